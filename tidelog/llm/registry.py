@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,17 @@ def op9_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the words of repeated 35-word windows."""
+    from tidelog.llm.substring import remove_repeats
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = remove_repeats(docs, width=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op7_substring_dedup": op7_substring_dedup,
     "op9_jaccard_components": op9_jaccard_components,
 }
 
