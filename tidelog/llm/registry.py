@@ -26,9 +26,44 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+#: Rules of op5: host, path, verdict.
+OP5_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of five fixed rules on every page's URL."""
+    from tidelog.llm.urlrules import judge_urls, rule_table
+
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rule_table(spark, OP5_RULES))
+
+
+OP5_SQL = """
+with cut as (
+  select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end rest from pages),
+parts as (
+  select page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+         regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) path, row_number() over () n from cut),
+rules(rule_host, rule_path, rule_verdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fit as (
+  select p.*, rule_host || rule_path rule, rule_verdict,
+         row_number() over (partition by p.n order by length(rule_host || rule_path) desc nulls last) best
+  from parts p left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path))
+select page_id, host, path, rule, coalesce(rule_verdict, 'allow') verdict from fit where best = 1
+"""
+
 QUERIES = {
+    "op5_url_filter": op5_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_jaccard_components": op9_jaccard_components,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_url_filter": OP5_SQL,
+}
