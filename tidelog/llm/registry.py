@@ -58,12 +58,48 @@ fit as (
 select page_id, host, path, rule, coalesce(rule_verdict, 'allow') verdict from fit where best = 1
 """
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    from tidelog.llm.mixing import mix
+
+    _, taken = mix(table(spark, sf_dir, "documents"))
+    return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP1_SQL = r"""
+with sized as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) size from documents),
+src as (
+  select source, cast(sum(size) as bigint) source_size, row_number() over (order by source nulls last) - 1 number from sized group by source),
+lim as (select *, 3.0::double * source_size lim, (number % 3 + 1)::double weight from src),
+cum as (
+  select *, sum(source_size) over ()::double total, sum(weight) over () weights,
+         coalesce(sum(lim) over (order by lim / weight, number rows between unbounded preceding and 1 preceding), 0) lim_before,
+         coalesce(sum(weight) over (order by lim / weight, number rows between unbounded preceding and 1 preceding), 0) weight_before
+  from lim),
+capped as (select *, (total - lim_before) / (weights - weight_before) * weight > lim is_full from cum),
+goal as (
+  select source, source_size, case when is_full then lim else coalesce(weight * ((total - sum(case when is_full then lim else 0 end) over ())
+         / nullif(weights - sum(case when is_full then weight else 0 end) over (), 0)), 0) end target from capped),
+want as (select *, least(cast(round(target) as bigint), 3 * source_size) want from goal),
+placed as (
+  select s.doc_id, s.size, w.source_size, w.target, w.want,
+         cast(sum(s.size) over (partition by s.source order by md5(concat_ws('|', coalesce(cast(s.doc_id as varchar), ''), coalesce('s' || s.source, 'n'), cast(s.size as varchar)))
+           rows between unbounded preceding and current row) as bigint) - s.size start
+  from sized s join want w on s.source is not distinct from w.source)
+select doc_id, size, source_size, target,
+       case when source_size = 0 then 0 else (want // source_size) * size + greatest(0, least(size, want % source_size - start)) end taken
+from placed
+"""
+
 QUERIES = {
+    "op1_source_mix": op1_source_mix,
     "op5_url_filter": op5_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_jaccard_components": op9_jaccard_components,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_source_mix": OP1_SQL,
     "op5_url_filter": OP5_SQL,
 }
