@@ -7,8 +7,9 @@ Sets of hashed shingles are compared by Jaccard similarity, exactly, without com
    The shingles of a set are dealt by hash into H + 1 + SPARE parts, so linked sets have at least 1 + SPARE
    equal parts. Sets with an equal part form the roots of a forest; sets in different trees cannot link.
    Empty parts count only for sets with more than SPARE of them, as else a non-empty part is shared too.
-2. In each tree the set with the smallest id is compared with one chosen for it (a star of few pairs), so
-   groups of copies become components without their pairs being listed.
+2. Each set is first compared with one other: the smallest id of its trees. Then, twice, with the likeliest of
+   another component that the search of step 3 finds. So groups of copies become components without their
+   pairs being listed.
 3. Trees that still hold several components get nodes with OR-combined token bitmaps, size ranges and the
    excess of tokens over bits. A dual traversal descends from the root paired with itself and drops node
    pairs whose largest possible overlap is too small for their sizes, or that lie within one component.
@@ -97,7 +98,7 @@ class Shape:
         return np.where(n > 0, mix(total[at[1:]] - total[at[:-1]] + n), 0).astype(np.int64)
 
     def bitmap(self, x: np.ndarray) -> bytes:
-        bits = min(max(256, 1 << (2 * len(x) - 1).bit_length()), 1 << 15)
+        bits = min(max(256, 1 << (8 * len(x) - 1).bit_length()), 1 << 17)
         on = np.zeros(bits, np.uint8)
         on[(x & _U(bits - 1)).astype(np.int64)] = 1
         return np.packbits(on, bitorder="little").tobytes()
@@ -247,8 +248,9 @@ class _Node:
         return _Node(np.bitwise_or.reduceat(self.bits, at), np.minimum.reduceat(self.low, at), np.maximum.reduceat(self.high, at), np.maximum.reduceat(self.excess, at), one, np.logical_or.reduceat(self.many, at) | ~alike)
 
 
-def traverse(shape: Shape, sizes: np.ndarray, bitmaps: list[bytes], comps: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of members (one marked left, the other right) of different components that may link.
+def traverse(shape: Shape, sizes: np.ndarray, bitmaps: list[bytes], comps: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of members (one marked left, the other right) of different components that may link, and the
+    similarity that each has at most.
 
     Dual traversal of the signature tree: a pair of nodes goes on only if their largest possible overlap,
     min(largest sizes, common bits + excess tokens), reaches what their smallest sizes need."""
@@ -265,12 +267,13 @@ def traverse(shape: Shape, sizes: np.ndarray, bitmaps: list[bytes], comps: np.nd
     for depth in range(len(levels) - 1, -1, -1):
         t = levels[depth]
         common = np.empty(len(p), np.int64)
-        for i in range(0, len(p), 8192):
-            common[i : i + 8192] = np.bitwise_count(t.bits[p[i : i + 8192]] & t.bits[q[i : i + 8192]]).sum(1)
+        step = max(64, (1 << 19) // t.bits.shape[1])
+        for i in range(0, len(p), step):
+            common[i : i + step] = np.bitwise_count(t.bits[p[i : i + step]] & t.bits[q[i : i + step]]).sum(1)
         most = np.minimum(np.minimum(t.high[p], t.high[q]), common + np.minimum(t.excess[p], t.excess[q]))
         go = (most >= shape.need(t.low[p] + t.low[q])) & (t.high[p] * shape.den >= t.low[q] * shape.num)
         go &= t.many[p] | t.many[q] | (t.one[p] != t.one[q])
-        p, q = p[go], q[go]
+        p, q, most = p[go], q[go], most[go]
         if depth:
             below = len(levels[depth - 1].low)
             p = (p[:, None] * _Node.FAN + np.arange(_Node.FAN)).ravel().repeat(_Node.FAN)
@@ -279,19 +282,30 @@ def traverse(shape: Shape, sizes: np.ndarray, bitmaps: list[bytes], comps: np.nd
             p, q = p[inside], q[inside]
     a, b = order[p], order[q]
     ok = (a != b) & ((left[a] & right[b]) | (left[b] & right[a]))
-    return a[ok], b[ok]
+    a, b, most = a[ok], b[ok], most[ok]
+    return a, b, most / (sizes[a] + sizes[b] - most)
 
 
-def _search(shape: Shape):
+def _search(shape: Shape, nearest: bool):
+    """Pairs (a, b) with their scores from rows sorted by tree and block; if nearest, for each member only its best."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
         def one(t: pa.Table):
             ids, sizes, comps = (t.column(c).to_numpy() for c in ("set_id", "n_shingles", "comp"))
             side = t.column("side").to_numpy()
-            a, b = traverse(shape, sizes, t.column("bitmap").to_pylist(), comps, side != 2, side != 1)
-            x, y = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+            a, b, score = traverse(shape, sizes, t.column("bitmap").to_pylist(), comps, side != 2, side != 1)
+            x, y = ids[a], ids[b]
+            if nearest:
+                x, y, score = np.concatenate((x, y)), np.concatenate((y, x)), np.tile(score, 2)
+                order = np.lexsort((y, -score, x))
+                x, y, score = x[order], y[order], score[order]
+                top = np.append(True, x[1:] != x[:-1])[: len(x)]
+                x, y, score = x[top], y[top], score[top]
+            else:
+                x, y = np.minimum(x, y), np.maximum(x, y)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(score, pa.float64())], ["a", "b", "score"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -351,13 +365,25 @@ def _verified(shape: Shape, texts: DataFrame, pairs: DataFrame, name: str) -> Da
     """The pairs (a, b) of set ids that link, compared by their shingles. A set with very many partners is
     dealt over several tasks."""
     counts = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / STAR).cast("int").alias("salts"))
-    needed = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct()
-    texts = texts.join(needed, "set_id").groupBy("set_id").agg(F.min("z").alias("z"))
-    texts = keep(texts, name)
     own = texts.join(counts, texts.set_id == counts.a).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "z")
     others = pairs.join(counts, "a").join(texts, pairs.b == texts.set_id).select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), "b", "z")
     rows = own.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return keep(rows.mapInArrow(_compare(shape), "a long, b long"), f"{name}-linked")
+    return keep(rows.mapInArrow(_compare(shape), "a long, b long"), name)
+
+
+def _candidates(shape: Shape, trees: DataFrame, comps: DataFrame, facts: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs to compare, from the trees whose members are not yet one component."""
+    member = trees.join(comps.select(F.col("node").alias("set_id"), F.col("component").alias("comp")), "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
+    mixed = member.groupBy("tree").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi")
+    member = member.join(mixed.select("tree", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "tree").join(facts, "set_id")
+    own = F.pmod(F.xxhash64("set_id", "tree"), "blocks").cast("int")
+    member = member.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    member = member.select("tree", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_id", "comp", "n_shingles", "bitmap", side.alias("side"))
+    found = by_key_blocks(member, "tree", "i", "j").mapInArrow(_search(shape, nearest), "a long, b long, score double")
+    if nearest:
+        found = found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"))
+    return found.select("a", "b").distinct()
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -382,27 +408,24 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     buckets = bucket_count(spark, total * 2 * (den - num) // (num + den) * 9 // 4)
     sent = rows.select("text").mapInArrow(_send(shape, buckets), "bucket long, packed binary")
     trees = keep(sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long").distinct(), "trees")
-
-    # a few pairs that settle most copies
+    members = trees.select("set_id").distinct()
     texts = rows.select("text").mapInArrow(_pack_texts(shape), "set_id long, z binary")
-    star = trees.where("set_id != center").groupBy("set_id").agg(F.min("center").alias("a")).select("a", F.col("set_id").alias("b"))
-    star = keep(star, "star")
-    linked = _verified(shape, texts, star, "texts")
-    comps = keep(components(linked), "comps")
+    texts = keep(texts.join(members, "set_id").groupBy("set_id").agg(F.min("z").alias("z")), "texts")
+    facts = sets.where(F.col("bitmap").isNotNull()).join(members, "set_id").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
+    facts = keep(facts, "facts")
 
-    # trees that hold several components yet
-    member = trees.select("tree", "set_id").join(comps.select(F.col("node").alias("set_id"), F.col("component").alias("comp")), "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
-    mixed = member.groupBy("tree").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi")
-    facts = sets.where(F.col("bitmap").isNotNull()).groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    member = member.join(mixed.select("tree", blocks.alias("blocks")), "tree").join(facts, "set_id")
-    own = F.pmod(F.xxhash64("set_id", "tree"), "blocks").cast("int")
-    member = member.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = member.select("tree", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_id", "comp", "n_shingles", "bitmap", F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
-    found = by_key_blocks(member, "tree", "i", "j").mapInArrow(_search(shape), "a long, b long").distinct()
-    found = keep(found.join(star, ["a", "b"], "left_anti"), "found")
-    links = linked.union(_verified(shape, texts, found, "texts2"))
+    # a few pairs that settle most copies: one for each set by id, then one by likeness
+    star = trees.where("set_id != center").groupBy("set_id").agg(F.min("center").alias("a")).select("a", F.col("set_id").alias("b"))
+    tested = keep(star, "star")
+    links = _verified(shape, texts, tested, "linked")
     comps = keep(components(links), "comps")
+    trees = trees.select("tree", "set_id")
+    # the last round compares all pairs that are left, of sets in different components
+    for nearest in (True, True, False):
+        found = keep(_candidates(shape, trees, comps, facts, nearest).join(tested, ["a", "b"], "left_anti"), "found")
+        tested = tested.union(found)
+        links = links.union(_verified(shape, texts, found, "linked"))
+        comps = keep(components(links), "comps")
 
     sets = sets.drop("bitmap").withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id")))
     least = sets.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least"))

@@ -92,7 +92,19 @@ select doc_id, size, source_size, target,
 from placed
 """
 
+def op3_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every text's token ids and of what they decode to."""
+    import public_tokenizers
+
+    from tidelog.llm.bpe import digests, encode_texts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select("doc_id", "n_tokens", *digests(rows))
+
+
 QUERIES = {
+    "op3_bpe_encode": op3_bpe_encode,
     "op1_source_mix": op1_source_mix,
     "op5_url_filter": op5_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
