@@ -103,7 +103,17 @@ def op3_bpe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", *digests(rows))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and risk-controlled cutoffs over every document."""
+    from tidelog.llm.quality import quality_rules
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = quality_rules(docs, table(spark, sf_dir, "labels"), keep_text=False)
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
+    "op6_quality_rules": op6_quality_rules,
     "op3_bpe_encode": op3_bpe_encode,
     "op1_source_mix": op1_source_mix,
     "op5_url_filter": op5_url_filter,
