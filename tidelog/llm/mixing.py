@@ -19,7 +19,7 @@ from tidelog.llm.shared import keep
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 1024
 #: Documents that one task puts in order, and slots that one task ranks.
-ORDERED = 50_000
+ORDERED = 4096
 RANKED = 1 << 16
 #: Pieces of the unit interval that points and targets are joined by.
 BINS = 4096
