@@ -112,7 +112,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a third of them is held out from training."""
+    from tidelog.llm.langid import predict, train
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = train(docs.where(~held_out), "text", "lang")
+    rows = predict(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op4_language_id": op4_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op3_bpe_encode": op3_bpe_encode,
     "op1_source_mix": op1_source_mix,
