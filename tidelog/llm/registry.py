@@ -123,7 +123,19 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids as read back from Arrow files of equal-length sequences."""
+    import public_tokenizers
+
+    from tidelog.llm.tokenfile import new_folder, read_tokens, write_tokens
+
+    folder = new_folder(spark)
+    docs = table(spark, sf_dir, "documents")
+    return read_tokens(write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), folder, end_id=2), folder)
+
+
 QUERIES = {
+    "op8_token_files": op8_token_files,
     "op4_language_id": op4_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op3_bpe_encode": op3_bpe_encode,
