@@ -24,6 +24,8 @@ from tidelog.llm.shared import small_batches
 from tidelog.llm.words import chunks
 
 HEAP = 512
+#: Characters that are encoded together: the more, the fewer pieces are met again.
+ENCODED = 4 << 20
 NONE = np.int64(1) << 40
 #: Characters that Unicode gives the property White_Space.
 SPACES = r"\t-\r \x85\xa0  -     　"
@@ -104,6 +106,7 @@ class Vocabulary:
         keys = np.array([vocab[a] << 32 | vocab[b] for a, b in merges], np.int64)
         made = np.array([vocab[a + b] for a, b in merges], np.int64)
         order = np.argsort(keys, kind="stable")
+        self._pairs = None
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,6 +115,20 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NONE), at
 
+    def _between_bytes(self, sym: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """find() for each symbol and the next of its piece, while symbols are single bytes."""
+        if self._pairs is None:
+            codes = np.concatenate((self.single, self.final))
+            self._code = np.zeros(codes.max() + 1, np.int64)
+            self._code[codes] = np.arange(512)
+            self._pairs = self.find(*(x.ravel() for x in np.meshgrid(codes, codes, indexing="ij")))
+        code = self._code[sym]
+        pair = code[:-1] * 512 + code[1:]
+        rank, at = self._pairs[0][pair], self._pairs[1][pair]
+        rank[piece[1:] != piece[:-1]] = NONE
+        end = len(sym) > 0
+        return np.append(rank, [NONE] * end), np.append(at, [0] * end)
+
     def merge(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces given as flat bytes: piece i is data[starts[i]:starts[i + 1]], not empty.
         Returns the ids, flat, and where each piece's begin."""
@@ -127,20 +144,21 @@ class Vocabulary:
                 done_piece.append(np.full(len(ids), w))
             small = n[piece] <= HEAP
             sym, piece = sym[small], piece[small]
+        rank, at = self._between_bytes(sym, piece)
         while len(sym):
-            rank, at = self.find(sym[:-1], sym[1:])
-            rank[piece[1:] != piece[:-1]] = NONE
-            rank, at = np.append(rank, NONE), np.append(at, 0)
             first = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
             size = np.diff(np.append(first, len(piece)))
-            least = np.repeat(np.minimum.reduceat(rank, first), size)
+            lowest = np.minimum.reduceat(rank, first)
+            least = np.repeat(lowest, size)
             over = least == NONE
-            done_sym.append(sym[over])
-            done_piece.append(piece[over])
+            if over.any():
+                done_sym.append(sym[over])
+                done_piece.append(piece[over])
             hit = (rank == least) & ~over
             # of equal pairs that overlap (a a a), every second one from the left
             run = hit.copy()
             run[1:] &= hit[:-1]
+            run[:1] = False
             if run.any():
                 place = np.arange(len(hit))
                 begin = np.maximum.accumulate(np.where(hit & ~run, place, 0))
@@ -149,7 +167,17 @@ class Vocabulary:
             sym[where] = self.made[at[where]]
             stay = ~over
             stay[where + 1] = False
-            sym, piece = sym[stay], piece[stay]
+            moved = np.cumsum(stay)[where] - 1
+            sym, piece, rank, at = sym[stay], piece[stay], rank[stay], at[stay]
+            # only pairs with a new symbol have a new rank
+            changed = np.zeros(len(sym), bool)
+            changed[moved] = True
+            changed[moved[moved > 0] - 1] = True
+            fresh = np.flatnonzero(changed)
+            after = np.minimum(fresh + 1, len(sym) - 1)
+            new, where = self.find(sym[fresh], sym[after])
+            new[(piece[after] != piece[fresh]) | (after == fresh)] = NONE
+            rank[fresh], at[fresh] = new, where
         if not done_sym:
             return np.empty(0, np.int64), np.zeros(len(n) + 1, np.int64)
         sym, piece = np.concatenate(done_sym), np.concatenate(done_piece)
@@ -253,7 +281,7 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", decode: boo
         vocabulary = shared.value
         for batch in batches:
             texts = [x or "" for x in batch.column(text).to_pylist()]
-            for i, j in chunks(texts):
+            for i, j in chunks(texts, ENCODED):
                 ids, at = vocabulary.encode(texts[i:j])
                 small = ids.astype("<u4")
                 new = [pa.array(np.diff(at), pa.int64()), pa.array([small[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())]
