@@ -134,7 +134,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), folder, end_id=2), folder)
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings by cosine of 0.95 or more."""
+    from tidelog.llm.vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op10_near_vectors": op10_near_vectors,
     "op8_token_files": op8_token_files,
     "op4_language_id": op4_language_id,
     "op6_quality_rules": op6_quality_rules,
