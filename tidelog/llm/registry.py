@@ -141,7 +141,15 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message without its quotes, with the turn it answers and its place in reading order."""
+    from tidelog.llm.quoting import link_quotes
+
+    return link_quotes(table(spark, sf_dir, "conversations")).withColumn("own_sha256", F.sha2("own_text", 256)).drop("own_text")
+
+
 QUERIES = {
+    "op2_quote_links": op2_quote_links,
     "op10_near_vectors": op10_near_vectors,
     "op8_token_files": op8_token_files,
     "op4_language_id": op4_language_id,
