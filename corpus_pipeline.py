@@ -1,12 +1,21 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: five stages over the documents, each written and read again."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.llm import stages
 from tidelog.llm.shared import keep
 
-STAGES: list = []
+#: (name, function of (spark, docs, sf_dir)) in order.
+STAGES = [
+    ("quality_rules", stages.keep_good),
+    ("jaccard_join", stages.keep_one_of_each),
+    ("substring_dedup", stages.cut_repeats),
+    ("source_mix", stages.mix_sources),
+    ("bpe_encode", stages.encode),
+]
+#: SQL can express neither the cutoffs of the first stage nor the encoding of the last.
 ORACLE_SQL = None
 
 
