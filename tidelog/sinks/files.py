@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.events import dead_letter, event_json, log_row, object_path
+from tidelog.sources.folders import listing
 
 
 def append_log(events: DataFrame, path: str, seq: str = "seq") -> None:
@@ -59,7 +60,8 @@ def dry_run(events: DataFrame) -> None:
 def copy_files(spark: SparkSession, source: str, target: str, glob: str = "*") -> DataFrame:
     """Copy files as they are, below their names; returns file_name and length. Executors copy with pyarrow's file systems;
     no file goes through the driver."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(source).select("path", "length")
+    files = listing(spark, source, glob).select("path", "length")
+    files = files.repartition(max(1, min(files.count(), spark.sparkContext.defaultParallelism)))
 
     def copy(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.events import json_field
 from tidelog.operators.filters import not_completed, only_tables
+from tidelog.sources.folders import listing
 
 #: 33 digits (date and time, nanoseconds, logical clock), node, number, table, part.
 FILE_NAME = r"^(\d{33})-[^-]+-\d+-(.+)-[^-]+\.ndjson(?:\.gz)?$"
@@ -33,9 +34,8 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Export files: file_name, table, file_us, length. Contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson*").load(path)
-    rows = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    """Export files: file_name, table, file_us, length, empty files included. Contents are not read."""
+    rows = listing(spark, path, "*.ndjson*").select("file_name", "length")
     return rows.withColumn("table", file_table(F.col("file_name"))).withColumn("file_us", file_time(F.col("file_name"))).where("table is not null")
 
 
