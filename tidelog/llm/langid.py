@@ -43,11 +43,12 @@ def letters() -> np.ndarray:
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all n-grams of the texts' lower-cased words (each with a space before and after it; other
     characters than letters are spaces), the text of each, and how many letters each text has."""
+    low = [f" {t.lower()} " for t in texts]
     # the separator keeps n-grams from running over two texts
-    data = np.frombuffer("\n".join(t.lower() for t in texts).encode("utf-32-le", "surrogatepass") + "\n".encode("utf-32-le"), np.uint32)
+    data = np.frombuffer(("\n".join(low) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     newline = data == 10
     is_letter = letters()[data]
-    sizes = np.array([len(t.lower()) + 1 for t in texts])
+    sizes = np.array([len(t) + 1 for t in low])
     text = np.repeat(np.arange(len(texts)), sizes)
     count = np.bincount(text, is_letter, len(texts)).astype(np.int64)
     x = np.where(is_letter, data, 32).astype(np.uint64)
@@ -68,7 +69,8 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ok = text[n - 1 :] == text[: len(text) - n + 1]
         for k in range(1, n - 1):
             ok &= x[k : len(x) - n + 1 + k] != 32
-        ok &= (x[: len(x) - n + 1] != 32) | (x[n - 1 :] != 32)
+        if n == 2:
+            ok &= (x[:-1] != 32) | (x[1:] != 32)
         found.append(mix(h[ok]))
         owners.append(text[: len(text) - n + 1][ok])
     if not found:
