@@ -4,9 +4,10 @@ Sets of hashed shingles are compared by Jaccard similarity, exactly, without com
 
 1. Every distinct set (documents with equal sets share one) falls in a size band; linked sets lie in the same
    or adjacent bands. For two bands the number of shingles by which linked sets differ is at most some H.
-   The shingles of a set are dealt by hash into H + 1 + SPARE parts, so linked sets have at least 1 + SPARE
-   equal parts. Sets with an equal part form the roots of a forest; sets in different trees cannot link.
-   Empty parts count only for sets with more than SPARE of them, as else a non-empty part is shared too.
+   The shingles of a set are dealt by hash into H + 1 + S parts, so linked sets have at least 1 + S equal
+   parts. Sets with an equal part form a tree of a forest; sets in different trees cannot link, nor can a set
+   that shares fewer than 1 + S parts with others. Empty parts are left out (and taken off the 1 + S), but for
+   sets that have more than S of them.
 2. Each set is first compared with one other: the smallest id of its trees. Then, twice, with the likeliest of
    another component that the search of step 3 finds. So groups of copies become components without their
    pairs being listed.
@@ -22,11 +23,11 @@ comparison.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +35,12 @@ from tidelog.llm.components import components
 from tidelog.llm.shared import bucket_count, by_key_blocks, drop, keep, new_path, small_batches, split_by_bucket
 from tidelog.llm.words import Words, as_bytes, chunks, mix
 
-SPARE = 2
 #: Members of a tree that one task traverses; larger trees are split.
 BLOCK = 512
 #: Comparisons with one set that one task makes; more are dealt over several tasks.
 STAR = 2048
+#: Ids of sets with a possible partner that are broadcast at most (8 MB); more are joined by a shuffle.
+BROADCAST = 1 << 20
 #: Keys that a task gathers before it sends them on.
 SEND = 1 << 19
 _U = np.uint64
@@ -61,7 +63,9 @@ class Shape:
         partner = np.minimum(high[1:], high[:-1] * den // num)
         most = high[:-1] + np.maximum(high[:-1], partner)
         # |x ^ y| <= (|x| + |y|) (den - num) / (den + num) for linked sets
-        self.parts = most * (den - num) // (den + num) + 1 + SPARE
+        differ = most * (den - num) // (den + num)
+        self.spare = 2 + differ // 6
+        self.parts = differ + 1 + self.spare
 
     def linked(self, common, a, b):
         return common * self.den >= self.num * (a + b - common)
@@ -98,19 +102,19 @@ class Shape:
         return np.where(n > 0, mix(total[at[1:]] - total[at[:-1]] + n), 0).astype(np.int64)
 
     def bitmap(self, x: np.ndarray) -> bytes:
-        bits = min(max(256, 1 << (8 * len(x) - 1).bit_length()), 1 << 17)
+        bits = min(max(256, 1 << (4 * len(x) - 1).bit_length()), 1 << 17)
         on = np.zeros(bits, np.uint8)
         on[(x & _U(bits - 1)).astype(np.int64)] = 1
         return np.packbits(on, bitorder="little").tobytes()
 
-    def keys(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the parts of each set, and the set of each key."""
+    def keys(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the parts of each set, the set of each key, and how many keys each set shares if it links."""
         n = np.diff(at)
         band = np.searchsorted(self.lows, n, side="right") - 1
         doc = np.repeat(np.arange(len(n)), n)
         value = mix(x ^ _U(0x2545F4914F6CDD1D))
         place = mix(x + _U(0x5851F42D4C957F2D)) >> _U(33)
-        found, owners = [], []
+        found, owners, least = [], [], np.full(len(n), 255)
         for shift in (0, 1):
             group = band - shift
             parts = np.where(group >= 0, self.parts[np.maximum(group, 0)], 0)
@@ -125,23 +129,34 @@ class Shape:
             owner = np.repeat(np.arange(len(n)), parts)
             number = np.arange(first[-1]) - first[owner]
             empties = np.bincount(owner, ~filled, len(n))
-            send = filled | (empties[owner] > SPARE)
+            spare = self.spare[np.maximum(group, 0)]
+            many = empties > spare
+            send = filled | many[owner]
+            least = np.where(group >= 0, np.minimum(least, 1 + spare - np.where(many, 0, empties)), least)
             key = mix(total + (group[owner].astype(np.uint64) << _U(32)) * _U(0x9E3779B97F4A7C15) + mix(number.astype(np.uint64)))
             found.append(key[send])
             owners.append(owner[send])
-        return np.concatenate(found), np.concatenate(owners)
+        return np.concatenate(found), np.concatenate(owners), least.astype(np.uint8)
 
 
-def _sets(shape: Shape, with_ids: bool):
+def _sets(shape: Shape):
+    """Each row's set, with its bitmap and its compressed text once per task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             texts = as_bytes(batch.column(1))
             for i, j in chunks(texts):
                 x, at = shape.of(texts[i:j])
                 ids = shape.ids(x, at)
                 n = np.diff(at)
-                maps = [shape.bitmap(x[at[d] : at[d + 1]]) if n[d] >= shape.least else None for d in range(j - i)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(maps, pa.binary())], ["id", "n_shingles", "set_id", "bitmap"])
+                first = [n[d] >= shape.least and not (ids[d] in seen or seen.add(int(ids[d]))) for d in range(j - i)]
+                if len(seen) > 1 << 20:
+                    seen.clear()
+                maps = [shape.bitmap(x[at[d] : at[d + 1]]) if first[d] else None for d in range(j - i)]
+                packed = [pack(texts[i + d]) if first[d] else None for d in range(j - i)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(maps, pa.binary()), pa.array(packed, pa.binary())], ["id", "n_shingles", "set_id", "bitmap", "z"])
 
     return run
 
@@ -150,18 +165,18 @@ def _send(shape: Shape, buckets: int):
     """Packed (key, set) pairs by bucket of the key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sets, size = [], [], 0
+        keys, sets, needs, size = [], [], [], 0
 
         def flush():
-            nonlocal keys, sets, size
-            k, s = np.concatenate(keys), np.concatenate(sets)
+            nonlocal keys, sets, needs, size
+            k, s, least = np.concatenate(keys), np.concatenate(sets), np.concatenate(needs)
             order, found, ends = split_by_bucket(k, buckets)
-            k, s = (k[order] >> _U(8)) & _U(0xFFFFFFFF), s[order]
+            k, s, least = (k[order] >> _U(8)) & _U(0xFFFFFFFF), s[order], least[order]
             rows = []
             for lo, hi in zip(ends[:-1], ends[1:], strict=True):
-                own, index = np.unique(s[lo:hi], return_inverse=True)
-                rows.append(np.array([len(own), hi - lo], np.int64).tobytes() + own.tobytes() + k[lo:hi].astype(np.uint32).tobytes() + index.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes())
-            keys, sets, size = [], [], 0
+                own, first, index = np.unique(s[lo:hi], return_index=True, return_inverse=True)
+                rows.append(np.array([len(own), hi - lo], np.int64).tobytes() + own.tobytes() + least[lo:hi][first].tobytes() + k[lo:hi].astype(np.uint32).tobytes() + index.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes())
+            keys, sets, needs, size = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(rows, pa.binary())], ["bucket", "packed"])
 
         seen: set[int] = set()
@@ -176,9 +191,10 @@ def _send(shape: Shape, buckets: int):
                 if not use:
                     continue
                 cut = np.concatenate([np.arange(at[d], at[d + 1]) for d in use])
-                k, owner = shape.keys(x[cut], np.concatenate(([0], np.cumsum(n[use]))))
+                k, owner, least = shape.keys(x[cut], np.concatenate(([0], np.cumsum(n[use]))))
                 keys.append(k)
                 sets.append(ids[use][owner])
+                needs.append(least[owner])
                 size += len(k)
                 if size >= SEND:
                     yield flush()
@@ -189,43 +205,45 @@ def _send(shape: Shape, buckets: int):
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups of two or more sets with an equal key, from one bucket; equal groups once."""
-    keys, sets = [], []
+    """Groups of two or more sets with an equal key, from one bucket; equal groups once, with their number."""
+    keys, sets, needs = [], [], []
     for batch in batches:
         for packed in batch.column("packed").to_pylist():
             n_own, n = np.frombuffer(packed, np.int64, 2)
             own = np.frombuffer(packed, np.int64, n_own, 16)
-            at = 16 + 8 * n_own
-            keys.append(np.frombuffer(packed, np.uint32, n, at))
-            index = np.frombuffer(packed, np.uint16 if n_own < 65536 else np.uint32, n, at + 4 * n)
+            least = np.frombuffer(packed, np.uint8, n_own, 16 + 8 * n_own)
+            at = 16 + 9 * n_own
+            keys.append(np.frombuffer(packed[at : at + 4 * n], np.uint32))
+            index = np.frombuffer(packed[at + 4 * n :], np.uint16 if n_own < 65536 else np.uint32)
             sets.append(own[index])
+            needs.append(least[index])
     if not keys:
         return
-    k, s = np.concatenate(keys), np.concatenate(sets)
-    del keys, sets
+    k, s, least = np.concatenate(keys), np.concatenate(sets), np.concatenate(needs)
+    del keys, sets, needs
     order = np.argsort(k, kind="stable")
     k = k[order]
     more = np.zeros(len(k), bool)  # keys that occur twice at least
     more[1:] = k[1:] == k[:-1]
     more[:-1] |= more[1:]
-    k, s = k[more], s[order[more]]
+    k, s, least = k[more], s[order[more]], least[order[more]]
     order = np.lexsort((s, k))
-    k, s = k[order], s[order]
+    k, s, least = k[order], s[order], least[order]
     new = np.ones(len(k), bool)
     new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
-    k, s = k[new], s[new]
+    k, s, least = k[new], s[new], least[new]
     first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.empty(0, np.int64)
     size = np.diff(np.append(first, len(k)))
     if not len(first):
         return
     name = np.add.reduceat(mix(s.view(np.uint64)), first) + size.astype(np.uint64)
-    _, keep_one = np.unique(name, return_index=True)
-    keep_one = keep_one[size[keep_one] > 1]
+    _, keep_one, times = np.unique(name, return_index=True, return_counts=True)
+    times, keep_one = times[size[keep_one] > 1], keep_one[size[keep_one] > 1]
     if not len(keep_one):
         return
     lens = size[keep_one]
     rows = np.repeat(first[keep_one], lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-    out = pa.table({"tree": pa.array(np.repeat(name[keep_one].view(np.int64), lens)), "center": pa.array(np.repeat(s[first[keep_one]], lens)), "set_id": pa.array(s[rows])})
+    out = pa.table({"tree": pa.array(np.repeat(name[keep_one].view(np.int64), lens)), "center": pa.array(np.repeat(s[first[keep_one]], lens)), "set_id": pa.array(s[rows]), "keys": pa.array(np.repeat(times, lens)), "least": pa.array(least[rows].astype(np.int32))})
     yield from out.to_batches(1 << 16)
 
 
@@ -321,29 +339,14 @@ def _search(shape: Shape, nearest: bool):
     return run
 
 
-def _pack_texts(shape: Shape):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            texts = as_bytes(batch.column(0))
-            for i, j in chunks(texts):
-                x, at = shape.of(texts[i:j])
-                ids, n = shape.ids(x, at), np.diff(at)
-                use = [d for d in range(j - i) if n[d] >= shape.least and not (ids[d] in seen or seen.add(int(ids[d])))]
-                if len(seen) > 1 << 20:
-                    seen.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(ids[use], pa.int64()), pa.array([zlib.compress(texts[i + d], 1) for d in use], pa.binary())], ["set_id", "z"])
-
-    return run
-
-
 def _compare(shape: Shape):
     """Rows sorted by (a, salt), that of a itself (b is null) first: the linked pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, own_id = None, None
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            raw = [zlib.decompress(z) for z in batch.column("z").to_pylist()]
+            raw = [unpack(z) for z in batch.column("z").to_pylist()]
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             linked = []
             for i, j in chunks(raw):
@@ -401,18 +404,24 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small_batches(spark)
     shape = Shape(shingle, num, den)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = keep(rows.mapInArrow(_sets(shape, True), "id long, n_shingles long, set_id long, bitmap binary"), "sets")
+    sets = keep(rows.mapInArrow(_sets(shape), "id long, n_shingles long, set_id long, bitmap binary, z binary"), "sets")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
 
     # linked sets share a tree
-    buckets = bucket_count(spark, total * 2 * (den - num) // (num + den) * 9 // 4)
+    buckets = bucket_count(spark, total * 2 * (den - num) // (num + den) * 5 // 2)
     sent = rows.select("text").mapInArrow(_send(shape, buckets), "bucket long, packed binary")
-    trees = keep(sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long").distinct(), "trees")
-    members = trees.select("set_id").distinct()
-    texts = rows.select("text").mapInArrow(_pack_texts(shape), "set_id long, z binary")
-    texts = keep(texts.join(members, "set_id").groupBy("set_id").agg(F.min("z").alias("z")), "texts")
-    facts = sets.where(F.col("bitmap").isNotNull()).join(members, "set_id").groupBy("set_id").agg(F.first("n_shingles").alias("n_shingles"), F.first("bitmap").alias("bitmap"))
-    facts = keep(facts, "facts")
+    trees = sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long, keys long, least int")
+    trees = keep(trees.groupBy("tree", "center", "set_id").agg(F.sum("keys").alias("keys"), F.max("least").alias("least")), "trees")
+    # sets that share enough parts, and the trees in which two of them are left
+    live = trees.groupBy("set_id").agg(F.sum("keys").alias("keys"), F.max("least").alias("least")).where("keys >= least").select("set_id")
+    trees = trees.select("tree", "set_id").join(live, "set_id")
+    whole = trees.groupBy("tree").agg(F.min("set_id").alias("center"), F.count("*").alias("members")).where("members > 1")
+    trees = keep(trees.join(whole.select("tree", "center"), "tree"), "trees")
+    members = keep(trees.select("set_id").distinct(), "members")
+    small = members.limit(BROADCAST + 1).count() <= BROADCAST
+    known = sets.where("z is not null").join(F.broadcast(members) if small else members, "set_id").groupBy("set_id")
+    facts = keep(known.agg(F.first("n_shingles").alias("n_shingles"), F.max(F.struct("z", "bitmap")).alias("best")).select("set_id", "n_shingles", "best.bitmap", "best.z"), "facts")
+    texts, facts = facts.select("set_id", "z"), facts.select("set_id", "n_shingles", "bitmap")
 
     # a few pairs that settle most copies: one for each set by id, then one by likeness
     star = trees.where("set_id != center").groupBy("set_id").agg(F.min("center").alias("a")).select("a", F.col("set_id").alias("b"))
@@ -420,14 +429,16 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = _verified(shape, texts, tested, "linked")
     comps = keep(components(links), "comps")
     trees = trees.select("tree", "set_id")
-    # the last round compares all pairs that are left, of sets in different components
+    # the last round compares all pairs that are left, of sets in different components; those before it only spare
+    # it work, for which some of the trees are enough
     for nearest in (True, True, False):
-        found = keep(_candidates(shape, trees, comps, facts, nearest).join(tested, ["a", "b"], "left_anti"), "found")
+        some = trees.where(F.pmod(F.xxhash64("tree"), F.lit(8)) == 0) if nearest else trees
+        found = keep(_candidates(shape, some, comps, facts, nearest).join(tested, ["a", "b"], "left_anti"), "found")
         tested = tested.union(found)
         links = links.union(_verified(shape, texts, found, "linked"))
         comps = keep(components(links), "comps")
 
-    sets = sets.drop("bitmap").withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id")))
+    sets = sets.drop("bitmap", "z").withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id")))
     least = sets.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least"))
     named = least.join(comps, least.set_id == comps.node, "left").withColumn("component", F.coalesce("component", "set_id"))
     best = named.groupBy("component").agg(F.min("least").alias("component_id"))
