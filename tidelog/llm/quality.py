@@ -24,7 +24,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from tidelog.llm.shared import keep, small_batches
 from tidelog.llm.words import Words, as_bytes, chunks, mix
 
-ALPHA, DELTA = 0.04, 0.05
+ALPHA, DELTA = 0.02, 0.05
 #: Lower ends of the length bands, in words.
 BANDS = (0, 150)
 #: Rule: measure over which other, and candidate cutoffs of the ratio from the mildest on.

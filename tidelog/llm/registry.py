@@ -148,6 +148,93 @@ def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotes(table(spark, sf_dir, "conversations")).withColumn("own_sha256", F.sha2("own_text", 256)).drop("own_text")
 
 
+# Strata are length bands of languages; a cutoff holds if the binomial sum up to its hits is at most 0.05 over the tests.
+OP6_SQL = r"""
+with d as (
+  select doc_id, lang, row_number() over () rid, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+tri as (select rid, i, w[i:i + 2] g from d, unnest(range(1, len(w) - 1)) x(i)),
+twice as (select rid, i from (select rid, i, count(*) over (partition by rid, g) n from tri) where n > 1),
+cover as (select rid, count(distinct i + k) n from twice, unnest([0, 1, 2]) y(k) group by rid),
+line as (select rid, l from d, unnest(string_split(t, chr(10))) y(l) where regexp_matches(l, '[^\x20\x09-\x0D]')),
+lines as (select rid, count(*) n, count(*) - count(distinct l) dup from line group by rid),
+m as (
+  select doc_id, lang, d.rid, len(w) n_words, coalesce(length(array_to_string(w, '')), 0) word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) n_symbols, length(t) - length(regexp_replace(t, '[!?]', '', 'g')) n_bangs,
+         coalesce(lines.dup, 0) n_dup_lines, coalesce(lines.n, 0) n_lines, coalesce(cover.n, 0) n_repeat_words
+  from d left join lines using (rid) left join cover using (rid)),
+j as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed, case when n_words >= 150 then 1 else 0 end band,
+         {'symbols': n_symbols / greatest(word_chars, 1), 'bangs': n_bangs / greatest(word_chars, 1),
+          'repeats': n_repeat_words / greatest(n_words, 1), 'lines': n_dup_lines / greatest(n_lines, 1)} ratio
+  from m),
+ratios as (
+  select rid, doc_id, lang, band, base_failed, unnest(['symbols', 'bangs', 'repeats', 'lines']) rule,
+         unnest([ratio.symbols, ratio.bangs, ratio.repeats, ratio.lines]) r from j),
+good as (select doc_id from labels where quality is not null and doc_id is not null group by doc_id having max(quality) = 1),
+steps as (select unnest([0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05])::double cut, unnest(range(15)) step),
+held as (select lang, band, rule, r from ratios where not base_failed and doc_id in (select doc_id from good)),
+counts as (
+  select lang, band, rule, cut, step, count(*) n, count(*) filter (where r > cut) hits from held, steps group by all),
+tests as (select count(*) m from (select distinct lang, band, rule from counts)),
+sums as (
+  select lang, band, rule, cut, step, n, hits,
+         (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995))) from unnest(range(hits + 1)) z(i)) tail
+  from counts),
+bad as (select lang, band, rule, cut, step, coalesce(hits >= n or tail > 0.05 / m, true) fails from sums, tests),
+best as (
+  select lang, band, rule, min(cut) cutoff from bad b
+  where not exists (select 1 from bad o where o.lang is not distinct from b.lang and o.band = b.band and o.rule = b.rule and o.step <= b.step and o.fails)
+  group by all),
+rejected as (
+  select distinct rid from ratios r join best b on r.lang is not distinct from b.lang and r.band = b.band and r.rule = b.rule and r.r > b.cutoff)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and rid not in (select rid from rejected) kept from j
+"""
+
+OP7_SQL = r"""
+with d as (
+  select doc_id, row_number() over () rid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+win as (select rid, i, array_to_string(w[i:i + 34], ' ') k from d, unnest(range(1, len(w) - 33)) t(i)),
+often as (select k from win group by k having count(*) > 1),
+dup as (select rid, i from win join often using (k)),
+word as (select rid, p, w[p] word from d, unnest(range(1, len(w) + 1)) t(p)),
+flag as (
+  select word.rid, p, word, max(case when dup.i is not null then 1 else 0 end)
+           over (partition by word.rid order by p rows between 34 preceding and current row) gone
+  from word left join dup on dup.rid = word.rid and dup.i = word.p),
+total as (
+  select rid, count(*) n, cast(sum(gone) as bigint) gone, string_agg(word, ' ' order by p) filter (where gone = 0) kept from flag group by rid)
+select doc_id, coalesce(n, 0) n_words, coalesce(gone, 0) n_removed, sha256(coalesce(kept, '')) kept_sha256 from d left join total using (rid)
+"""
+
+OP9_SQL = r"""
+with recursive d as (
+  select doc_id, row_number() over () rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (
+  select distinct rid, g from (
+    select rid, array_to_string(w[i:i + 3], ' ') g from d, unnest(range(1, len(w) - 2)) t(i) where len(w) >= 4
+    union all select rid, array_to_string(w, ' ') from d where len(w) between 1 and 3)),
+n as (select rid, count(*) n from s group by rid),
+pair as (select a.rid x, b.rid y, count(*) c from s a join s b on a.g = b.g and a.rid < b.rid group by all),
+link as (select x, y from pair join n nx on nx.rid = x join n ny on ny.rid = y where 100 * c >= 85 * (nx.n + ny.n - c)),
+edge as (select x, y from link union all select y, x from link),
+reach(rid, other) as (select rid, rid from d union select r.rid, e.y from reach r join edge e on r.other = e.x),
+comp as (select r.rid, min(o.doc_id) component_id from reach r join d o on o.rid = r.other group by r.rid)
+select doc_id, coalesce(n, 0) n_shingles, component_id from d left join n using (rid) join comp using (rid)
+"""
+
+OP10_SQL = """
+with recursive v as (select vec_id, row_number() over () rid, cast(embedding as double[]) e from embeddings),
+ok as (select * from v where e is not null and len([x for x in e if x is null or not isfinite(x)]) = 0 and list_dot_product(e, e) > 0),
+link as (select a.rid x, b.rid y from ok a join ok b on a.rid < b.rid and list_cosine_similarity(a.e, b.e) >= 0.95),
+edge as (select x, y from link union all select y, x from link),
+reach(rid, other) as (select rid, rid from v union select r.rid, e.y from reach r join edge e on r.other = e.x),
+comp as (select r.rid, min(o.vec_id) component_id from reach r join v o on o.rid = r.other group by r.rid),
+n as (select x rid, count(*) n from edge group by x)
+select vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id kept from v join comp using (rid) left join n using (rid)
+"""
+
 QUERIES = {
     "op2_quote_links": op2_quote_links,
     "op10_near_vectors": op10_near_vectors,
@@ -164,4 +251,8 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_source_mix": OP1_SQL,
     "op5_url_filter": OP5_SQL,
+    "op6_quality_rules": OP6_SQL,
+    "op7_substring_dedup": OP7_SQL,
+    "op9_jaccard_components": OP9_SQL,
+    "op10_near_vectors": OP10_SQL,
 }
