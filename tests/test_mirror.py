@@ -70,7 +70,7 @@ def test_hard_cases(spark):
 
 
 def test_values_survive(spark):
-    texts = ["O'Brien's Shop", "'; DROP TABLE eds; --", "こんにちは 🎉 Ünïcödé", "line1\nline2\ttabbed", None]
+    texts = ["O'Brien's Shop", "'; DROP TABLE orders; --", "こんにちは 🎉 Ünïcödé", "line1\nline2\ttabbed", None]
     got = state(spark, *[("insert", str(k), {"name": t, "amount": 123.45, "qty": 7, "active": True, "createdAt": "2024-03-15T14:30:00Z", "meta": {"a": [1]}, "tags": ["x"]}) for k, t in enumerate(texts)])
     assert [got[str(k)]["name"] for k in range(5)] == texts
     r = got["0"]
