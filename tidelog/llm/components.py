@@ -60,7 +60,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         new = keep(small, "edges", there)
         drop(path, spark)
         path, now = there, new
-        if now.select("a").intersect(now.select("b")).limit(1).count() == 0 and now.groupBy("b").count().where("count > 1").limit(1).count() == 0:
+        ends = now.select(F.col("a").alias("x"), F.lit(1).alias("of")).union(now.select("b", F.lit(0))).groupBy("x").agg(F.max("of").alias("center"), F.count_if(F.col("of") == 0).alias("times"))
+        if not ends.where("times > 1 or (center = 1 and times > 0)").limit(1).count():  # each edge is of a star of its own
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")

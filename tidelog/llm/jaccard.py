@@ -6,8 +6,8 @@ Sets of hashed shingles are compared by Jaccard similarity, exactly, without com
    or adjacent bands. For two bands the number of shingles by which linked sets differ is at most some H.
    The shingles of a set are dealt by hash into H + 1 + S parts, so linked sets have at least 1 + S equal
    parts. Sets with an equal part form a tree of a forest; sets in different trees cannot link, nor can a set
-   that shares fewer than 1 + S parts with others. Empty parts are left out (and taken off the 1 + S), but for
-   sets that have more than S of them.
+   that shares fewer than 1 + S parts of one such division with others. Empty parts are left out (and taken
+   off the 1 + S), but for sets that have more than S of them.
 2. Each set is first compared with one other: the smallest id of its trees. Then, twice, with the likeliest of
    another component that the search of step 3 finds. So groups of copies become components without their
    pairs being listed.
@@ -39,8 +39,6 @@ from tidelog.llm.words import Words, as_bytes, chunks, mix
 BLOCK = 512
 #: Comparisons with one set that one task makes; more are dealt over several tasks.
 STAR = 2048
-#: Ids of sets with a possible partner that are broadcast at most (8 MB); more are joined by a shuffle.
-BROADCAST = 1 << 20
 #: Keys that a task gathers before it sends them on.
 SEND = 1 << 19
 _U = np.uint64
@@ -134,6 +132,8 @@ class Shape:
             send = filled | many[owner]
             least = np.where(group >= 0, np.minimum(least, 1 + spare - np.where(many, 0, empties)), least)
             key = mix(total + (group[owner].astype(np.uint64) << _U(32)) * _U(0x9E3779B97F4A7C15) + mix(number.astype(np.uint64)))
+            # bit 8 tells the set's two groups apart
+            key = (key & ~_U(256)) | ((group[owner] & 1).astype(np.uint64) << _U(8))
             found.append(key[send])
             owners.append(owner[send])
         return np.concatenate(found), np.concatenate(owners), least.astype(np.uint8)
@@ -237,13 +237,14 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not len(first):
         return
     name = np.add.reduceat(mix(s.view(np.uint64)), first) + size.astype(np.uint64)
-    _, keep_one, times = np.unique(name, return_index=True, return_counts=True)
-    times, keep_one = times[size[keep_one] > 1], keep_one[size[keep_one] > 1]
+    _, keep_one, same = np.unique(name, return_index=True, return_inverse=True)
+    times = [np.bincount(same, (k[first] & 1) == g, len(keep_one)).astype(np.int64)[size[keep_one] > 1] for g in (0, 1)]
+    keep_one = keep_one[size[keep_one] > 1]
     if not len(keep_one):
         return
     lens = size[keep_one]
     rows = np.repeat(first[keep_one], lens) + np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-    out = pa.table({"tree": pa.array(np.repeat(name[keep_one].view(np.int64), lens)), "center": pa.array(np.repeat(s[first[keep_one]], lens)), "set_id": pa.array(s[rows]), "keys": pa.array(np.repeat(times, lens)), "least": pa.array(least[rows].astype(np.int32))})
+    out = pa.table({"tree": pa.array(np.repeat(name[keep_one].view(np.int64), lens)), "center": pa.array(np.repeat(s[first[keep_one]], lens)), "set_id": pa.array(s[rows]), "keys_0": pa.array(np.repeat(times[0], lens)), "keys_1": pa.array(np.repeat(times[1], lens)), "least": pa.array(least[rows].astype(np.int32))})
     yield from out.to_batches(1 << 16)
 
 
@@ -410,16 +411,16 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # linked sets share a tree
     buckets = bucket_count(spark, total * 2 * (den - num) // (num + den) * 5 // 2)
     sent = rows.select("text").mapInArrow(_send(shape, buckets), "bucket long, packed binary")
-    trees = sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long, keys long, least int")
-    trees = keep(trees.groupBy("tree", "center", "set_id").agg(F.sum("keys").alias("keys"), F.max("least").alias("least")), "trees")
+    trees = sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long, keys_0 long, keys_1 long, least int")
+    sums = [F.sum("keys_0").alias("keys_0"), F.sum("keys_1").alias("keys_1"), F.max("least").alias("least")]
+    trees = keep(trees.groupBy("tree", "center", "set_id").agg(*sums), "trees")
     # sets that share enough parts, and the trees in which two of them are left
-    live = trees.groupBy("set_id").agg(F.sum("keys").alias("keys"), F.max("least").alias("least")).where("keys >= least").select("set_id")
+    live = trees.groupBy("set_id").agg(*sums).where("keys_0 >= least or keys_1 >= least").select("set_id")
     trees = trees.select("tree", "set_id").join(live, "set_id")
     whole = trees.groupBy("tree").agg(F.min("set_id").alias("center"), F.count("*").alias("members")).where("members > 1")
     trees = keep(trees.join(whole.select("tree", "center"), "tree"), "trees")
     members = keep(trees.select("set_id").distinct(), "members")
-    small = members.limit(BROADCAST + 1).count() <= BROADCAST
-    known = sets.where("z is not null").join(F.broadcast(members) if small else members, "set_id").groupBy("set_id")
+    known = sets.where("z is not null").join(members, "set_id").groupBy("set_id")
     facts = keep(known.agg(F.first("n_shingles").alias("n_shingles"), F.max(F.struct("z", "bitmap")).alias("best")).select("set_id", "n_shingles", "best.bitmap", "best.z"), "facts")
     texts, facts = facts.select("set_id", "z"), facts.select("set_id", "n_shingles", "bitmap")
 
@@ -434,6 +435,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     for nearest in (True, True, False):
         some = trees.where(F.pmod(F.xxhash64("tree"), F.lit(8)) == 0) if nearest else trees
         found = keep(_candidates(shape, some, comps, facts, nearest).join(tested, ["a", "b"], "left_anti"), "found")
+        if not found.limit(1).count():
+            continue
         tested = tested.union(found)
         links = links.union(_verified(shape, texts, found, "linked"))
         comps = keep(components(links), "comps")
