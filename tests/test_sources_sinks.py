@@ -209,6 +209,9 @@ def test_time_series_delivery_and_dead_letters(spark, tmp_path):
     d = Delivery(root, Catalog([ORDERS]), mode="time_series", cutoffs=cut)
     deliver(se.stream_events(spark, inbox), d, str(tmp_path / "ck")).awaitTermination()
     assert sorted(r["_seq"] for r in d.log(spark, "orders").collect()) == [1, 2] and d.current(spark, "orders").count() == 2
+    d(spark.read.text(inbox), 0)  # again
+    d._append(spark, se.decode(spark.read.text(inbox))[0], 1)
+    assert sorted(r["_seq"] for r in d.log(spark, "orders").collect()) == [1, 2, 3, 4, 5]
     waits = []
     failing = Delivery(str(tmp_path / "f"), Catalog([ORDERS]), sleep=waits.append)
     failing._apply = lambda *a: (_ for _ in ()).throw(RuntimeError("connection refused"))
@@ -217,7 +220,7 @@ def test_time_series_delivery_and_dead_letters(spark, tmp_path):
     assert {r["error"] for r in spark.read.parquet(f"{tmp_path}/f/dead").collect()} == {"connection refused"}
 
 
-def test_sequence_numbers(spark):
+def test_sequence_numbers(spark, tmp_path):
     df = spark.range(100).select((F.col("id") * 7 % 100).alias("timestamp"), F.col("id").cast("string").alias("id"))
-    got = se.NumberedBatches(10).number(df, ["timestamp", "id"]).orderBy("timestamp").collect()
+    got = se.numbered(df, ["timestamp", "id"], str(tmp_path / "s"), 10).orderBy("timestamp").collect()
     assert [r["seq"] for r in got] == list(range(11, 111))

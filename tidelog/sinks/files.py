@@ -11,10 +11,10 @@ from tidelog.functions.events import dead_letter, event_json, log_row, object_pa
 from tidelog.sources.folders import listing
 
 
-def append_log(events: DataFrame, path: str, seq: str = "seq") -> None:
-    """Append events to a log, partitioned by table."""
+def append_log(events: DataFrame, path: str, seq: str = "seq", mode: str = "append") -> None:
+    """Append events to a log, partitioned by table; with mode overwrite, replace what a batch of its own path holds."""
     rows = events.select(F.col(seq).alias("_seq"), *log_row(), F.col("table").alias("table"))
-    rows.write.mode("append").partitionBy("table").parquet(path)
+    rows.write.mode(mode).partitionBy("table").parquet(path)
 
 
 def write_json(events: DataFrame, path: str) -> None:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gzip
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,34 +60,21 @@ def subjects(companies: list[str] | None) -> list[str]:
     return [f"dbchange.*.*.{c}.*.PUBLIC.>" for c in companies] if companies else ["dbchange.>"]
 
 
-class NumberedBatches:
-    """Sequence numbers for micro-batches: dense, and the same when a batch is repeated."""
-
-    def __init__(self, base: int = 0):
-        self.base = base
-
-    def number(self, batch: DataFrame, order: list[str]) -> DataFrame:
-        """Adds ``seq``: rows are sorted by a range partitioning, and each partition's rows come after those before it."""
-        spark = batch.sparkSession
-        parts = batch.repartitionByRange(*order).sortWithinPartitions(*order)
-        schema = T.StructType([*parts.schema.fields, T.StructField("seq", T.LongType())])
-        numbered = parts.withColumn("_part", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-        counts = {r[0]: r[1] for r in numbered.groupBy("_part").count().collect()}  # a row per partition
-        at, bases = self.base + 1, []
-        for k in sorted(counts):
-            bases.append((k, at))
-            at += counts[k]
-        offsets = spark.createDataFrame(bases, "_part int, _base long")
-        out = numbered.join(F.broadcast(offsets), "_part").withColumn("seq", F.col("_base") + F.col("_i")).drop("_part", "_i", "_base")
-        return out.select(*schema.names)
-
-
-def batches_of(rows: Iterator, size: int) -> Iterator[list]:
-    held = []
-    for r in rows:
-        held.append(r)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
+def numbered(batch: DataFrame, order: list[str], staging: str, base: int = 0) -> DataFrame:
+    """The batch with ``seq``: dense numbers from base + 1 on, in order.
+
+    Rows are dealt out in ranges of the order, sorted, and written with their range and place to ``staging``; numbers of rows per
+    range are added up and joined. Writing first matters: the ranges come from a sample, so working them out twice could cut
+    them differently. What reaches the driver is a row per range.
+    """
+    spark = batch.sparkSession
+    place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    ranged = batch.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.withColumn("_part", F.spark_partition_id()).withColumn("_i", place).write.mode("overwrite").parquet(staging)
+    rows = spark.read.parquet(staging)
+    at, bases = base + 1, []
+    for part, n in sorted(map(tuple, rows.groupBy("_part").count().collect())):
+        bases.append((part, at))
+        at += n
+    offsets = spark.createDataFrame(bases, "_part int, _base long")
+    return rows.join(F.broadcast(offsets), "_part").select(*batch.columns, (F.col("_base") + F.col("_i")).alias("seq"))

@@ -17,7 +17,7 @@ from tidelog.operators.views import current
 from tidelog.sinks.files import append_log, write_dead_letters
 from tidelog.sinks.registry import delays
 from tidelog.sinks.store import KeyValues, MirrorStore
-from tidelog.sources.events import NumberedBatches, decode
+from tidelog.sources.events import decode, numbered
 
 
 @dataclass
@@ -74,15 +74,16 @@ class Delivery:
 
     def _apply(self, spark: SparkSession, events: DataFrame, number: int) -> None:
         if self.mode == "time_series":
-            self._once(spark, f"log:{number}", lambda: self._append(spark, events, number))
+            self._append(spark, events, number)
             return
         names = sorted(r[0] for r in events.select(F.lower("table")).distinct().collect() if r[0] in self.catalog)
         for name in names:
             schema = self.catalog[name]
             store = self.mirror(spark, schema.table)
             own = events.where(F.lower("table") == name)
-            numbered = NumberedBatches().number(own, self.order)
-            store.commit(apply_events(self._base(spark, store, schema), numbered, schema, diff_aware=self.diff_aware), number, {"model": schema.version})
+            if number > store.state()["batch"]:
+                rows = numbered(own, self.order, f"{self.root}/staging/{schema.table}")
+                store.commit(apply_events(self._base(spark, store, schema), rows, schema, diff_aware=self.diff_aware), number, {"model": schema.version})
         unknown = events.where(~F.lower("table").isin(names)) if names else events
         self._once(spark, f"parked:{number}", lambda: unknown.write.mode("append").parquet(f"{self.root}/parked"))
 
@@ -93,14 +94,18 @@ class Delivery:
         return reshape(base, schema) if needs_migration(store.state().get("model"), schema.version) else base
 
     def _append(self, spark: SparkSession, events: DataFrame, number: int) -> None:
+        """A batch has a folder of its own, and what says that it is there also has the last number: a batch that is repeated
+        after a failure gets the same numbers in the same place."""
         state = self.state(spark)
+        if state.get(f"log:{number}") is not None:
+            return
         base = int(state.get("seq", "0"))
-        numbered = NumberedBatches(base).number(events, self.order)
-        append_log(numbered, f"{self.root}/log")
-        state.set({"seq": str(base + events.count())})
+        rows = numbered(events, self.order, f"{self.root}/staging/log", base)
+        append_log(rows, f"{self.root}/log/batch={number}", mode="overwrite")
+        state.set({"seq": str(base + rows.count()), f"log:{number}": "done"})
 
     def log(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(f"{self.root}/log").where(F.col("table") == table).drop("table")
+        return spark.read.parquet(f"{self.root}/log").where(F.col("table") == table).drop("table", "batch")
 
     def current(self, spark: SparkSession, table: str) -> DataFrame:
         return current(self.log(spark, table))
