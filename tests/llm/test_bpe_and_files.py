@@ -57,6 +57,19 @@ def test_queue_equals_rounds(own):
         assert own._merge_one([int(x) for x in first]) == rounds.tolist()
 
 
+def test_library_by_words(library):
+    more = ["Foo., bar!? O'Neil's. 'S x'. don't, <|ENDOFTEXT|>, <|endoftext|>. <|endoftext|, É. É| a|b| The THE tHe, I'D! it's: x:'s", " \x0b\x0c a \x1c b\x1f "]
+    texts = ODD + more
+    encoder = tokenfile.LibraryEncoder(PATH)
+    for _ in range(2):  # the second time from memory
+        ids, at = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    ids, at = encoder.encode(pa.array(texts).slice(3, 4))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [e.ids for e in library.encode_batch(texts[3:7], add_special_tokens=False)]
+    with pytest.raises(ValueError):
+        tokenfile.LibraryEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def test_other_vocabularies_are_refused():
     with pytest.raises((ValueError, KeyError, TypeError)):
         Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
@@ -98,7 +111,7 @@ def test_token_files(docs, corpus, library, tmp_path):
         for k in (0, rows // 2, rows - 1):
             ids, mask = reader.sequence(k)
             n = min(64, tokens - 64 * k)
-            assert mask.tolist() == [1] * n + [0] * (64 - n) and ids[:n].tolist() == stream[base + 64 * k : base + 64 * k + n].tolist()
+            assert mask.to_pylist() == [True] * n + [False] * (64 - n) and ids[:n].tolist() == stream[base + 64 * k : base + 64 * k + n].tolist()
         before = pa.total_allocated_bytes()
         view = reader.batch(0)
         assert not view.flags.owndata and pa.total_allocated_bytes() - before < view.nbytes
@@ -107,7 +120,7 @@ def test_token_files(docs, corpus, library, tmp_path):
 def test_spans_over_batches(tmp_path):
     writer = tokenfile.ShardWriter(f"file://{tmp_path}", 3, pa.uint16(), length=8)
     ids = np.arange(8 * tokenfile.ROWS * 2 + 5) % 60_000
-    writer.add([1, 2], ids, np.array([10, len(ids) - 10]))
+    writer.add(pa.array([1, 2]), ids, np.array([10, len(ids) - 10]))
     writer.close()
     reader = tokenfile.ShardReader(f"file://{tmp_path}", 3)
     assert np.concatenate(list(reader.span(5, len(ids) - 5))).tolist() == ids[5:].tolist()

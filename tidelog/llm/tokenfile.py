@@ -2,7 +2,8 @@
 
 A shard holds a range of documents, in ascending order of their ids, as one stream of token ids cut into rows of SEQUENCE
 ids. ``tokens-NNNNN.arrow`` is an Arrow IPC file (random access by record batch) with two fixed-size-list columns:
-``ids`` (the smallest unsigned type that holds the vocabulary) and ``mask``, 1 for ids and 0 for the padding of the last row.
+``ids`` (the smallest unsigned type that holds the vocabulary) and ``mask`` (booleans, a bit each): true for ids, false
+for the padding of the last row.
 All record batches but the last have ROWS rows, so row k is found without a scan, and a memory-mapped file gives its
 ids as a view. ``index-NNNNN.arrow`` has the documents: id, start in the shard, number of ids. Files are not
 compressed, so that they can be mapped.
@@ -13,35 +14,61 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.shared import keep, new_path, small_batches
-from tidelog.llm.words import chunks
+from tidelog.llm.words import size_chunks
 
 SEQUENCE = 2048
+#: Bytes of text that are encoded together: the more, the fewer words are met again.
+ENCODED = 4 << 20
+#: Words whose ids a worker remembers at most (some 100 MB).
+REMEMBERED = 600_000
 ROWS = 256
 
 
 def _schema(kind: pa.DataType, length: int) -> pa.Schema:
-    return pa.schema([pa.field("ids", pa.list_(pa.field("item", kind, False), length), False), pa.field("mask", pa.list_(pa.field("item", pa.uint8(), False), length), False)])
+    return pa.schema([pa.field("ids", pa.list_(pa.field("item", kind, False), length), False), pa.field("mask", pa.list_(pa.field("item", pa.bool_(), False), length), False)])
 
 
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 
+def _halves(words: pa.StringArray) -> tuple[pa.StringArray, pa.StringArray]:
+    """Words as two parts that have the word's ids together: without the marks that follow its last letter, and these. The
+    vocabulary separates letters from marks and lower-cases; words with what begins a special token stay whole."""
+    stems = pc.ascii_rtrim(words, characters=".,;:!?|")
+    cut = pc.and_(pc.match_substring_regex(stems, "[A-Za-z]$"), pc.invert(pc.match_substring(words, "<|")))
+    stems = pc.if_else(cut, stems, words)
+    stems = pc.if_else(pc.and_(cut, pc.string_is_ascii(stems)), pc.ascii_lower(stems), stems)
+    longer = np.flatnonzero(np.not_equal(pc.binary_length(words).to_numpy(), pc.binary_length(stems).to_numpy()))
+    tails = np.full(len(words), "", object)
+    tails[longer] = [w[len(s) :] for w, s in zip(words.take(longer).to_pylist(), stems.take(longer).to_pylist(), strict=True)]
+    return stems, pa.array(tails, pa.string())
+
+
 class LibraryEncoder:
-    """Ids of texts by the tokenizers library, one thread per task. The vocabulary travels as JSON."""
+    """Ids of texts by the tokenizers library, one thread per task.
+
+    White space separates pieces in the vocabularies used here, so a text's ids are those of its words (split at ASCII
+    white space). Each word is encoded once per chunk of texts, and up to REMEMBERED words are remembered by a worker.
+    The vocabulary travels as JSON; one that does not lower-case and split at white space is refused.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             self.json = f.read()
+        if r"[^\\s" not in self.json or '"Lowercase"' not in self.json:
+            raise ValueError(f"{path}: white space does not separate pieces in this vocabulary")
         self.size = max(self._load().get_vocab(with_added_tokens=True).values()) + 1
 
     def _load(self):
@@ -56,12 +83,35 @@ class LibraryEncoder:
     def __getstate__(self):
         return {"json": self.json, "size": self.size}
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, flat, and where each text's begin."""
         if not hasattr(self, "tokenizer"):
-            self.tokenizer = self._load()
-        found = [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.concatenate([*found, np.empty(0, np.int64)]), np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int64)
+            self.tokenizer, self.known = self._load(), {}
+        words = pc.ascii_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        halves = [x.dictionary_encode() for x in _halves(coded.dictionary)]
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        known, parts = self.known, []
+        for half in halves:
+            each = half.dictionary.to_pylist()
+            new = [w for w in each if w not in known]
+            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                known[w] = array("I", e.ids).tobytes()
+            parts += [known[w] for w in each]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        first = np.cumsum(size) - size
+        ids = np.frombuffer(b"".join(parts), np.uint32)
+        # each word is its stem, then its tail
+        index = coded.indices.to_numpy()
+        pair = np.empty((len(index), 2), np.int64)
+        pair[:, 0] = halves[0].indices.to_numpy()[index]
+        pair[:, 1] = halves[1].indices.to_numpy()[index] + len(halves[0].dictionary)
+        pair = pair.ravel()
+        n = size[pair]
+        place = np.concatenate(([0], np.cumsum(n)))
+        out = ids[np.repeat(first[pair] - place[:-1], n) + np.arange(place[-1])]
+        return out, place[2 * words.offsets.to_numpy()]
 
 
 class ShardWriter:
@@ -85,10 +135,10 @@ class ShardWriter:
         setattr(self, f"_{what}", sink)
         return sink
 
-    def add(self, doc_ids: list, ids: np.ndarray, counts: np.ndarray) -> None:
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
         """Append documents: all their ids, flat, and how many each has."""
         starts = self.total + np.cumsum(counts) - counts
-        self.index.write_batch(pa.record_batch([pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64())], schema=_INDEX))
+        self.index.write_batch(pa.record_batch([doc_ids, pa.array(starts, pa.int64()), pa.array(counts, pa.int64())], schema=_INDEX))
         self.total += len(ids)
         self.docs += len(doc_ids)
         self.held.append(ids.astype(self.kind.to_pandas_dtype()))
@@ -104,7 +154,7 @@ class ShardWriter:
         rows = -(-len(flat) // self.length)
         ids = np.zeros(rows * self.length, flat.dtype)
         ids[: len(flat)] = flat
-        mask = (np.arange(len(ids)) < len(flat)).astype(np.uint8)
+        mask = np.arange(len(ids)) < len(flat)
         schema = _schema(self.kind, self.length)
         self.tokens.write_batch(pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((ids, mask), schema, strict=True)], schema=schema))
 
@@ -129,14 +179,18 @@ class ShardReader:
 
         self.file, self.documents = opened("tokens"), opened("index")
         self.length = self.file.schema.field("ids").type.list_size
+        self._last: tuple[int, np.ndarray] | None = None
 
-    def batch(self, k: int, column: str = "ids") -> np.ndarray:
-        """The values of record batch k, rows by length, without a copy."""
-        return self.file.get_batch(k).column(column).flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
+    def batch(self, k: int) -> np.ndarray:
+        """The ids of record batch k, rows by length, without a copy. The last one asked for is remembered."""
+        if self._last is None or self._last[0] != k:
+            self._last = k, self.file.get_batch(k).column("ids").flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
+        return self._last[1]
 
-    def sequence(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and mask of row k."""
-        return self.batch(k // ROWS)[k % ROWS], self.batch(k // ROWS, "mask")[k % ROWS]
+    def sequence(self, k: int) -> tuple[np.ndarray, pa.BooleanArray]:
+        """Ids and mask of row k, both views of the file."""
+        mask = self.file.get_batch(k // ROWS).column("mask").flatten()
+        return self.batch(k // ROWS)[k % ROWS], mask.slice(k % ROWS * self.length, self.length)
 
     def span(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The n ids from ``start`` on, in parts that lie in one record batch each."""
@@ -166,15 +220,14 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
         vocabulary, writer = shared.value, None
         number = TaskContext.get().partitionId()
         for batch in batches:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            doc_ids = batch.column(0).to_pylist()
-            for i, j in chunks(texts):
+            texts, doc_ids = batch.column(1).fill_null(""), batch.column(0)
+            for i, j in size_chunks(pc.binary_length(texts).to_pylist(), ENCODED):
                 if writer is None:
                     kind = pa.uint16() if max(vocabulary.size - 1, end_id) < 1 << 16 else pa.uint32()
                     writer = ShardWriter(folder, number, kind, length)
-                ids, at = vocabulary.encode(texts[i:j])
+                ids, at = vocabulary.encode(texts.slice(i, j - i))
                 ids = np.insert(ids, at[1:], end_id)
-                writer.add(doc_ids[i:j], ids, np.diff(at) + 1)
+                writer.add(doc_ids.slice(i, j - i), ids, np.diff(at) + 1)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (number, writer.docs, writer.total)], ["shard", "docs", "tokens"])

@@ -7,7 +7,7 @@ a single text longer than a chunk makes a chunk of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -95,16 +95,21 @@ class Words:
         return np.arange(len(docs)) + skipped[docs], docs
 
 
-def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``limit`` bytes, one text at least."""
-    at, size = 0, 0
-    for i, x in enumerate(texts):
-        if size and size + len(x) > limit:
+def size_chunks(sizes: Iterable[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of items of about ``limit`` in all, one item at least."""
+    at, total, i = 0, 0, -1
+    for i, n in enumerate(sizes):
+        if total and total + n > limit:
             yield at, i
-            at, size = i, 0
-        size += len(x) + 1
-    if at < len(texts):
-        yield at, len(texts)
+            at, total = i, 0
+        total += n + 1
+    if at <= i:
+        yield at, i + 1
+
+
+def chunks(texts: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``limit`` bytes or characters, one text at least."""
+    return size_chunks(map(len, texts), limit)
 
 
 def as_bytes(column) -> list[bytes]:
