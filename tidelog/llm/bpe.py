@@ -25,7 +25,7 @@ from tidelog.llm.words import chunks
 
 HEAP = 512
 #: Characters that are encoded together: the more, the fewer pieces are met again.
-ENCODED = 4 << 20
+ENCODED = 2 << 20
 NONE = np.int64(1) << 40
 #: Characters that Unicode gives the property White_Space.
 SPACES = r"\t-\r \x85\xa0  -     　"
