@@ -29,7 +29,7 @@ from tidelog.llm.shared import keep, small_batches
 
 SAMPLE, QUERIES = 16_384, 1_024
 #: Entries for a cell on average, and codewords of a half at most.
-PER_CELL, MOST_WORDS = 64, 512
+PER_CELL, MOST_WORDS = 512, 512
 BLOCK = 2048
 #: Share of the links of the query vectors that traversal must reach.
 RECALL = 0.9999
