@@ -29,7 +29,7 @@ def _normal(text: Column) -> Column:
 
 
 def _hash(text: Column) -> Column:
-    return F.md5(_normal(text))
+    return F.unhex(F.md5(_normal(text)))
 
 
 def parse(text: Column) -> Column:
@@ -84,13 +84,15 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     conv, turn = F.col(conv_col), F.col(turn_col)
     rows = messages.groupBy(conv.alias("conv"), turn.cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")).agg(F.count("*").alias("copies"))
     shown = [F.coalesce(F.concat(F.lit("v"), c.cast("string")), F.lit("n")) for c in (F.col("conv"), F.col("turn"), F.col("role"), F.col("text"))]
-    rows = rows.withColumn("c", F.md5(shown[0])).withColumn("node", F.md5(F.concat_ws("\x1f", *shown))).withColumn("at", F.coalesce("turn", F.lit(_FIRST)))
+    rows = rows.withColumn("c", F.unhex(F.md5(shown[0]))).withColumn("node", F.unhex(F.md5(F.concat_ws("\x1f", *shown)))).withColumn("at", F.coalesce("turn", F.lit(_FIRST)))
     lines = parse(F.col("text"))
     rows = rows.withColumn("lines", lines).withColumn("own_text", F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["text"]), "\n"))
-    rows = keep(rows.withColumn("own_text", F.regexp_replace(F.regexp_replace("own_text", r"^\s+|\s+$", ""), r"\n\s*\n\s*\n+", "\n\n")), "messages")
+    rows = rows.withColumn("own_text", F.regexp_replace(F.regexp_replace("own_text", r"^\s+|\s+$", ""), r"\n\s*\n\s*\n+", "\n\n"))
+    rows = rows.withColumn("lines", F.when(F.exists("lines", lambda x: x["level"] > 0), F.col("lines")))
+    rows = keep(rows.select("conv", "turn", "role", "copies", "c", "node", "at", "own_text", "lines"), "messages")
 
     # passages: runs of lines of one level
-    each = rows.where(F.exists("lines", lambda x: x["level"] > 0)).select("c", "node", "at", F.posexplode("lines").alias("k", "line"))
+    each = rows.where("lines is not null").select("c", "node", "at", F.posexplode("lines").alias("k", "line"))
     each = each.select("c", "node", "at", "k", "line.level", "line.text")
     by_line = Window.partitionBy("node").orderBy("k")
     each = each.withColumn("new", F.coalesce((F.lag("level").over(by_line) != F.col("level")).cast("int"), F.lit(1)))
@@ -103,14 +105,15 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     told = rows.where("trim(own_text) != ''").select("c", "node", "at", F.explode(F.array_distinct(F.concat(F.transform(own, _hash), F.array(_hash(F.col("own_text")))))).alias("hash"))
     told = told.join(asked.select("c", "hash").distinct(), ["c", "hash"], "left_semi")
     source = F.struct("at", "node")
-    both = asked.withColumn("source", F.lit(None).cast("struct<at:bigint,node:string>")).unionByName(told.withColumn("source", source), allowMissingColumns=True)
+    both = asked.withColumn("source", F.lit(None).cast("struct<at:bigint,node:binary>")).unionByName(told.withColumn("source", source), allowMissingColumns=True)
     matched = _last_before(both, ["c", "hash"], F.col("source"), "found").where("level is not null and found is not null")
     votes = matched.groupBy("node", "level", "passage", "found").agg(F.count("*").alias("n"))
     linked = votes.groupBy("node").agg(F.countDistinct("passage").alias("n_linked"))
     best = votes.groupBy("node", "level", "found").agg(F.sum("n").alias("n")).groupBy("node").agg(F.max(F.struct((-F.col("level")).alias("low"), "n", "found")).alias("best"))
     passages = quoted.groupBy("node").agg(F.count("*").alias("n_quotes"))
 
-    tree = _last_before(rows.select("c", "node", "at", "turn", "conv", "role", "own_text", "copies"), ["c"], source, "previous")
+    # texts are joined last: what moves until then are names
+    tree = _last_before(rows.select("c", "node", "at"), ["c"], source, "previous")
     tree = tree.join(best.select("node", F.col("best.found").alias("answered")), "node", "left").join(linked, "node", "left").join(passages, "node", "left")
     tree = tree.withColumn("parent", F.coalesce("answered", "previous"))
     tree = keep(tree.drop("answered", "previous"), "tree")
@@ -133,7 +136,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     depth = tree.select("node", F.col("parent.node").alias("next"), F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("long").alias("far"), F.coalesce("parent.node", "node").alias("end"))
     depth = _jump(depth, "depth").select("node", F.col("far").alias("depth"))
     size = tree.groupBy("c").agg(F.count("*").alias("size"))
-    out = tree.join(left, "node").join(depth, "node").join(size, "c")
+    found = tree.select("c", "node", "parent", "n_quotes", "n_linked").join(left, "node").join(depth, "node").join(size, "c").drop("c")
+    out = rows.select("conv", "turn", "role", "own_text", "copies", "node").join(found, "node")
     zero = F.lit(0).cast("long")
     answers = F.when(F.col("parent").isNotNull() & (F.col("parent.at") != _FIRST), F.col("parent.at"))
     return out.select(F.col("conv").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), "own_text", "copies", F.coalesce("n_quotes", zero).alias("n_quotes"), F.coalesce("n_linked", zero).alias("n_linked"), answers.alias("reply_turn"), "depth", (F.col("size") - F.col("left")).alias("position"))
