@@ -59,3 +59,23 @@ def test_sample_table(spark, monkeypatch, block):
     links = lambda c: sum(n * k for (_, n, _), k in c.items())
     assert links(want) >= links(got) >= 0.99 * links(want)
     assert sum((got & want).values()) >= 0.99 * len(rows)
+
+
+@pytest.mark.parametrize("more", [{}, {"recall": 0.9999}])
+def test_cloud_does_not_set_the_limit(spark, monkeypatch, more):
+    """A third of the rows lies in one spread cloud, the others in pairs whose members are much farther apart."""
+    monkeypatch.setattr("tidelog.llm.vectors.BLOCK", 64)
+    monkeypatch.setattr("tidelog.llm.vectors.PER_CELL", 20)
+    r = np.random.default_rng(6)
+    one = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    cloud = one(one(r.normal(size=16)) + 0.013 * r.normal(size=(800, 16)))
+    a = one(r.normal(size=(800, 16)))
+    side = r.normal(size=a.shape)
+    side = one(side - (side * a).sum(1)[:, None] * a)
+    cos = r.uniform(0.951, 0.97, (800, 1))
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate((cloud, a, cos * a + np.sqrt(1 - cos**2) * side)))]
+    got, want = run(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), **more), brute(rows)
+    if more:
+        assert sum((got & want).values()) >= 0.99 * len(rows)
+    else:
+        assert got == want

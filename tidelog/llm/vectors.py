@@ -4,10 +4,10 @@ Each half of the unit vectors has its own codebook; pairs of codewords form a gr
 vector lies in the cell of its two nearest codewords. A vector compares itself with its own cell and with further
 cells in the order of a bound: a member of cell (i, j) is at least as far away as the planes that separate its
 codewords from the vector's, so LB = l1(i)^2 + l2(j)^2. Traversal takes both halves' codewords in ascending order and
-stops where LB exceeds a limit. The limit is set from the data: QUERIES vectors are compared with all vectors, in blocks,
-and the limit is such that the wanted share of the links found so lies within it (with a share of 1 it is the
-largest squared distance that linked unit vectors can have, and nothing can be missed). Every candidate is verified in
-double precision.
+stops where LB exceeds a limit. The limit is the largest squared distance that linked unit vectors can have, so nothing
+can be missed. Only if a share of the links below 1 is asked for is it set from the data: QUERIES vectors are compared
+with all vectors, in blocks, and the limit is such that this share of the links found so lies within it, where each
+query counts alike, however many links it has. Every candidate is verified in double precision.
 
 The codebooks are fitted on a bounded sample, SAMPLE vectors; all vectors are indexed and compared. Equal vectors are one
 entry with a count. Cells of more than BLOCK entries are split, and each pair of their blocks is a task of its own;
@@ -28,12 +28,15 @@ from tidelog.llm.components import components
 from tidelog.llm.shared import keep, small_batches
 
 SAMPLE, QUERIES = 16_384, 1_024
-#: Entries for a cell on average, and codewords of a half at most.
+#: Entries for a cell on average (if all links are wanted, so many cells are visited that they hold BLOCK), and codewords
+#: of a half at most.
 PER_CELL, MOST_WORDS = 512, 512
 BLOCK = 2048
-#: Share of the links of the query vectors that traversal must reach.
-RECALL = 0.9999
+#: Visits that a task lists at once.
+LISTED = 1 << 20
 BINS = 2000
+#: Codewords nearer than this have no plane between them that rounding leaves in place; what rounding adds to a bound.
+TOUCHING, ROUNDING = 1e-6, 1e-9
 
 
 def unit(raw: list, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,7 +93,7 @@ class Index:
             d = np.maximum((part**2).sum(1)[:, None] + (book**2).sum(1) - 2 * part @ book.T, 0)
             a = d.argmin(1)
             g = gap[a]
-            b = np.divide(d - d[np.arange(len(d)), a][:, None], 2 * g, out=np.zeros_like(d), where=g > 0)
+            b = np.divide(d - d[np.arange(len(d)), a][:, None], 2 * g, out=np.zeros_like(d), where=g > TOUCHING)
             near.append(a)
             low.append(np.maximum(b, 0) ** 2)
         return near, low
@@ -194,14 +197,15 @@ def _link(size: int, threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, recall: float = RECALL) -> DataFrame:
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95, recall: float = 1) -> DataFrame:
     """Links and components of all vectors by cosine of ``threshold`` or more.
 
     Returns one row per input row: the id, ``n_links`` (other rows linked directly), ``component_id`` (smallest id
     reachable by links, itself included) and ``kept`` (the id is the component's). Vectors that are null, empty,
     zero or hold null or non-finite components link with nothing. A shorter vector counts as ending with zeros.
     Repeated rows are links of each other. Rows with a null id take part, have a null ``kept``, and a null component
-    only if nothing with an id is linked. Other columns are ignored; an empty table gives an empty result.
+    only if nothing with an id is linked. Other columns are ignored; an empty table gives an empty result. With a
+    ``recall`` below 1 about that share of the links is found, with fewer comparisons.
     """
     spark = vectors.sparkSession
     small_batches(spark)
@@ -215,12 +219,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     edges = None
     if total:
-        words = min(MOST_WORDS, max(2, math.isqrt(max(total // PER_CELL, 1))))
+        words = min(MOST_WORDS, max(2, math.isqrt(max(total // (BLOCK if recall >= 1 else PER_CELL), 1))))
         # entry names are hashes, so the smallest are a fair sample
         sample = [r[0] for r in entries.orderBy("entry").limit(SAMPLE).select("vector").collect()]
         sample = np.frombuffer(b"".join(sample), np.float64).reshape(-1, size)
         index = Index(sample, words)
-        farthest = 2 - 2 * threshold
+        farthest = 2 - 2 * threshold + ROUNDING
         index.limit = farthest if recall >= 1 else _limit(entries, index, sample[:QUERIES], size, threshold, recall, farthest)
         edges, degrees = _pairs(entries, index, size, threshold)
     names = entries.select("entry", "copies", "least")
@@ -236,8 +240,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
 
 def _limit(entries: DataFrame, index: Index, queries: np.ndarray, size: int, threshold: float, recall: float, farthest: float) -> float:
-    """The bound within which traversal finds the wanted share of the links of the queries. Queries are compared with
-    all entries in blocks; only a histogram comes back."""
+    """The bound within which traversal finds the wanted share of the links of the queries, each of which has the same
+    weight. Queries are compared with all entries in blocks; only a histogram comes back."""
     shared = entries.sparkSession.sparkContext.broadcast((index, queries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,15 +259,17 @@ def _limit(entries: DataFrame, index: Index, queries: np.ndarray, size: int, thr
             theirs = q1[b, cell[a] // idx.columns] + q2[b, cell[a] % idx.columns]
             low = np.where(cell[a] < q_cell[b], mine, theirs)
             bins = np.minimum((low / farthest * BINS).astype(np.int64), BINS - 1)
-            n = np.bincount(bins, minlength=BINS)
-            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0])], ["bin", "n"])
-
-    found = entries.select("vector").mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+            at, n = np.unique(b * BINS + bins, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at // BINS), pa.array(at % BINS), pa.array(n)], ["query", "bin", "n"])
+
+    found = entries.select("vector").mapInArrow(run, "query long, bin long, n long").groupBy("query", "bin").agg(F.sum("n").alias("n"))
+    found = keep(found, "bounds")
+    links = found.groupBy("query").agg(F.sum("n").alias("links"))
+    if links.count() < 100:  # too few queries with links across cells to learn from
+        return farthest
     n = np.zeros(BINS)
-    for r in found:
+    for r in found.join(links, "query").groupBy("bin").agg(F.sum(F.col("n") / F.col("links")).alias("n")).collect():
         n[r[0]] = r[1]
-    if n.sum() < 100:  # too few links across cells to learn from: a bound that a link hardly exceeds
-        return farthest / 4
     reached = np.cumsum(n) / n.sum()
     return farthest * (int(np.searchsorted(reached, recall)) + 2) / BINS
 
@@ -275,9 +281,10 @@ def _pairs(entries: DataFrame, index: Index, size: int, threshold: float) -> tup
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = _vectors(batch.column(1), size)
-            for k in range(0, len(v), BLOCK):
-                cell, visits = shared.value.visits(v[k : k + BLOCK])
-                part = [c.slice(k, BLOCK) for c in batch.columns]
+            step = max(1, min(BLOCK, LISTED // math.prod(map(len, shared.value.books))))
+            for k in range(0, len(v), step):
+                cell, visits = shared.value.visits(v[k : k + step])
+                part = [c.slice(k, step) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays([*part, pa.array(cell, pa.int64()), pa.array([x.tolist() for x in visits], pa.list_(pa.int64()))], ["entry", "vector", "copies", "cell", "visits"])
 
     placed = keep(entries.select("entry", "vector", "copies").mapInArrow(place, "entry long, vector binary, copies long, cell long, visits array<long>"), "placed")
