@@ -87,6 +87,29 @@ def test_linked_sets_share_enough_parts():
             assert len(shared) >= max(least.min(), 1)
 
 
+def test_sets_with_many_empty_parts(spark):
+    """A set that sends its empty parts links with one that does not, though they share few keys."""
+    shape, r = Shape(4, 85, 100), random.Random(11)
+    words = [[f"w{r.randrange(10**6)}" for _ in range(10)] for _ in range(20_000)]
+    pairs = [(" ".join(w[:9]), " ".join(w)) for w in words]
+    x, at = shape.of([t.encode() for p in pairs for t in p])
+    keys, owner, least = shape.keys(x, at)
+    order = np.argsort(owner, kind="stable")
+    ends = np.searchsorted(owner[order], np.arange(2 * len(pairs) + 1))
+    sent = [set(keys[order[i:j]].tolist()) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+    few = []
+    for k in range(len(pairs)):
+        shared = sent[2 * k] & sent[2 * k + 1]
+        most = max(sum(bool(s & 256) == g for s in shared) for g in (False, True))
+        assert most >= max(least[2 * k], least[2 * k + 1])
+        if most == 1:
+            few.append(pairs[k])
+    assert few
+    rows = list(enumerate(t for p in few for t in p))
+    got = run(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows)
+
+
 def test_traversal_finds_every_pair_that_may_link():
     shape = Shape(4, 85, 100)
     r = np.random.default_rng(4)

@@ -7,7 +7,8 @@ Sets of hashed shingles are compared by Jaccard similarity, exactly, without com
    The shingles of a set are dealt by hash into H + 1 + S parts, so linked sets have at least 1 + S equal
    parts. Sets with an equal part form a tree of a forest; sets in different trees cannot link, nor can a set
    that shares fewer than 1 + S parts of one such division with others. Empty parts are left out (and taken
-   off the 1 + S), but for sets that have more than S of them.
+   off the 1 + S), but for sets that have more than S of them. Those may link with sets that leave out theirs, so one
+   equal part is enough for them.
 2. Each set is first compared with one other: the smallest id of its trees. Then, twice, with the likeliest of
    another component that the search of step 3 finds. So groups of copies become components without their
    pairs being listed.
@@ -130,7 +131,7 @@ class Shape:
             spare = self.spare[np.maximum(group, 0)]
             many = empties > spare
             send = filled | many[owner]
-            least = np.where(group >= 0, np.minimum(least, 1 + spare - np.where(many, 0, empties)), least)
+            least = np.where(group >= 0, np.minimum(least, 1 + spare - np.minimum(empties, spare)), least)
             key = mix(total + (group[owner].astype(np.uint64) << _U(32)) * _U(0x9E3779B97F4A7C15) + mix(number.astype(np.uint64)))
             # bit 8 tells the set's two groups apart
             key = (key & ~_U(256)) | ((group[owner] & 1).astype(np.uint64) << _U(8))
