@@ -28,6 +28,17 @@ def test_stages_on_awkward_documents(spark, docs, corpus, sf):
     assert stages.encode(spark, now, sf).count() == len(corpus)
 
 
+def test_near_copies_by_five_words(spark, sf):
+    """A fifth appended (0.83), or two words of a hundred changed (0.811; 0.848 on four words)."""
+    words = [f"w{k}" for k in range(200)]
+    changed = list(words[:100])
+    changed[30], changed[60] = "x", "y"
+    texts = [words[:100], changed, words[100:], [*words[100:], *(f"z{k}" for k in range(20))]]
+    rows = [(k, " ".join(w), "en", "s", 1) for k, w in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in stages.keep_one_of_each(spark, docs, sf).collect()} == {0, 2}
+
+
 def test_stages_on_nothing(spark, no_docs, sf):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, sf).count() == 0

@@ -22,12 +22,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id.
+    """Of each group of near-duplicates (0.8 of their five-word shingles), the document with the smallest id.
 
     Rows that share that id are told apart by their text, of which one stays. Rows without an id stay: no other stage
     could name them.
     """
-    found = jaccard_join(docs.select("doc_id", "text")).where("doc_id = component_id")
+    found = jaccard_join(docs.select("doc_id", "text"), shingle=5, num=80, den=100).where("doc_id = component_id")
     kept = found.groupBy("doc_id").agg(F.count("*").alias("_rows"))
     joined = docs.where("doc_id is not null").join(kept, "doc_id")
     once = joined.where("_rows = 1").select(*docs.columns)
