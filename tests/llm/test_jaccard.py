@@ -82,7 +82,7 @@ def test_linked_sets_share_enough_parts():
             if not shape.linked(common, n, len(b)):
                 continue
             x = np.concatenate((np.sort(a), np.sort(b)))
-            keys, owner, least = shape.keys(x, np.array([0, n, n + len(b)]))
+            keys, owner, _, least = shape.keys(x, np.array([0, n, n + len(b)]))
             shared = set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
             assert len(shared) >= max(least.min(), 1)
 
@@ -93,7 +93,7 @@ def test_sets_with_many_empty_parts(spark):
     words = [[f"w{r.randrange(10**6)}" for _ in range(10)] for _ in range(20_000)]
     pairs = [(" ".join(w[:9]), " ".join(w)) for w in words]
     x, at = shape.of([t.encode() for p in pairs for t in p])
-    keys, owner, least = shape.keys(x, at)
+    keys, owner, _, least = shape.keys(x, at)
     order = np.argsort(owner, kind="stable")
     ends = np.searchsorted(owner[order], np.arange(2 * len(pairs) + 1))
     sent = [set(keys[order[i:j]].tolist()) for i, j in zip(ends[:-1], ends[1:], strict=True)]

@@ -9,13 +9,14 @@ Sets of hashed shingles are compared by Jaccard similarity, exactly, without com
    that shares fewer than 1 + S parts of one such division with others. Empty parts are left out (and taken
    off the 1 + S), but for sets that have more than S of them. Those may link with sets that leave out theirs, so one
    equal part is enough for them.
-2. Each set is first compared with one other: the smallest id of its trees. Then, twice, with the likeliest of
-   another component that the search of step 3 finds. So groups of copies become components without their
-   pairs being listed.
+2. Each set is first compared with one other: the smallest id of its trees. Then, twice, the search of step 3 gives
+   a spanning forest of the likeliest pairs between components, so at most one pair for each member of a block.
+   Groups of near copies become components that way, without their pairs being listed.
 3. Trees that still hold several components get nodes with OR-combined token bitmaps, size ranges and the
    excess of tokens over bits. A dual traversal descends from the root paired with itself and drops node
    pairs whose largest possible overlap is too small for their sizes, or that lie within one component.
-   Trees with many members are split into blocks, and pairs of blocks are separate tasks.
+   Trees with many members are split into blocks, and pairs of blocks are separate tasks. A component that fills
+   a block has blocks of its own, which are not paired with each other.
 4. Surviving pairs are compared shingle by shingle, from the texts.
 
 Set ids and shingles are 64-bit hashes; the parts' keys are shorter, as a collision there only costs a
@@ -33,16 +34,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
-from tidelog.llm.shared import bucket_count, by_key_blocks, drop, keep, new_path, small_batches, split_by_bucket
+from tidelog.llm.shared import by_key_blocks, keep, small_batches
 from tidelog.llm.words import Words, as_bytes, chunks, mix
 
 #: Members of a tree that one task traverses; larger trees are split.
 BLOCK = 512
 #: Comparisons with one set that one task makes; more are dealt over several tasks.
 STAR = 2048
+#: Keys that a bucket holds, about.
+BUCKET = 1 << 20
 #: Keys that a task gathers before it sends them on.
 SEND = 1 << 19
 _U = np.uint64
+_PAIR = "a long, b long"
 
 
 class Shape:
@@ -66,6 +70,11 @@ class Shape:
         self.spare = 2 + differ // 6
         self.parts = differ + 1 + self.spare
 
+    def buckets(self, sets: dict[int, int]) -> np.ndarray:
+        """Buckets of each group's keys, from the number of sets in each band."""
+        n = np.array([sets.get(g, 0) + sets.get(g + 1, 0) for g in range(len(self.parts))])
+        return 1 + n * self.parts // BUCKET
+
     def linked(self, common, a, b):
         return common * self.den >= self.num * (a + b - common)
 
@@ -106,14 +115,15 @@ class Shape:
         on[(x & _U(bits - 1)).astype(np.int64)] = 1
         return np.packbits(on, bitorder="little").tobytes()
 
-    def keys(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of the parts of each set, the set of each key, and how many keys each set shares if it links."""
+    def keys(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the parts of each set, the set and the group (pair of bands) of each key, and how many keys each set
+        shares if it links."""
         n = np.diff(at)
         band = np.searchsorted(self.lows, n, side="right") - 1
         doc = np.repeat(np.arange(len(n)), n)
         value = mix(x ^ _U(0x2545F4914F6CDD1D))
         place = mix(x + _U(0x5851F42D4C957F2D)) >> _U(33)
-        found, owners, least = [], [], np.full(len(n), 255)
+        found, owners, groups, least = [], [], [], np.full(len(n), 255)
         for shift in (0, 1):
             group = band - shift
             parts = np.where(group >= 0, self.parts[np.maximum(group, 0)], 0)
@@ -137,7 +147,17 @@ class Shape:
             key = (key & ~_U(256)) | ((group[owner] & 1).astype(np.uint64) << _U(8))
             found.append(key[send])
             owners.append(owner[send])
-        return np.concatenate(found), np.concatenate(owners), least.astype(np.uint8)
+            groups.append(group[owner[send]])
+        return np.concatenate(found), np.concatenate(owners), np.concatenate(groups), least.astype(np.uint8)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers as four planes of bytes, of which the higher ones compress well if the numbers are small."""
+    return x.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, n).T.copy().view(np.uint32).ravel()
 
 
 def _sets(shape: Shape):
@@ -155,15 +175,17 @@ def _sets(shape: Shape):
                 first = [n[d] >= shape.least and not (ids[d] in seen or seen.add(int(ids[d]))) for d in range(j - i)]
                 if len(seen) > 1 << 20:
                     seen.clear()
-                maps = [shape.bitmap(x[at[d] : at[d + 1]]) if first[d] else None for d in range(j - i)]
+                maps = [pack(shape.bitmap(x[at[d] : at[d + 1]])) if first[d] else None for d in range(j - i)]
                 packed = [pack(texts[i + d]) if first[d] else None for d in range(j - i)]
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(n, pa.int64()), pa.array(ids, pa.int64()), pa.array(maps, pa.binary()), pa.array(packed, pa.binary())], ["id", "n_shingles", "set_id", "bitmap", "z"])
 
     return run
 
 
-def _send(shape: Shape, buckets: int):
-    """Packed (key, set) pairs by bucket of the key."""
+def _send(shape: Shape, buckets: np.ndarray):
+    """Packed (key, set) pairs by bucket of the key. Each group has so many buckets of its own, so a set's keys meet in
+    few buckets, to each of which its id goes once."""
+    before = np.concatenate(([0], np.cumsum(buckets)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets, needs, size = [], [], [], 0
@@ -171,16 +193,20 @@ def _send(shape: Shape, buckets: int):
         def flush():
             nonlocal keys, sets, needs, size
             k, s, least = np.concatenate(keys), np.concatenate(sets), np.concatenate(needs)
-            order, found, ends = split_by_bucket(k, buckets)
-            k, s, least = (k[order] >> _U(8)) & _U(0xFFFFFFFF), s[order], least[order]
+            order = np.argsort(k, kind="stable")
+            k, s, least = k[order], s[order], least[order]
+            found, starts = np.unique(k >> _U(32), return_index=True)
             rows = []
-            for lo, hi in zip(ends[:-1], ends[1:], strict=True):
+            for lo, hi in zip(starts, np.append(starts[1:], len(k)), strict=True):
                 own, first, index = np.unique(s[lo:hi], return_index=True, return_inverse=True)
-                rows.append(np.array([len(own), hi - lo], np.int64).tobytes() + own.tobytes() + least[lo:hi][first].tobytes() + k[lo:hi].astype(np.uint32).tobytes() + index.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes())
+                steps = np.diff(k[lo:hi].astype(np.uint32), prepend=np.uint32(0))
+                raw = own.tobytes() + least[lo:hi][first].tobytes() + _planes(steps) + _planes(index.astype(np.uint32))
+                rows.append(np.array([len(own), hi - lo], np.int64).tobytes() + pack(raw))
             keys, sets, needs, size = [], [], [], 0
-            return pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(rows, pa.binary())], ["bucket", "packed"])
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(rows, pa.binary())], ["bucket", "packed"])
 
         seen: set[int] = set()
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
             texts = as_bytes(batch.column(0))
             for i, j in chunks(texts):
@@ -192,8 +218,9 @@ def _send(shape: Shape, buckets: int):
                 if not use:
                     continue
                 cut = np.concatenate([np.arange(at[d], at[d + 1]) for d in use])
-                k, owner, least = shape.keys(x[cut], np.concatenate(([0], np.cumsum(n[use]))))
-                keys.append(k)
+                k, owner, group, least = shape.keys(x[cut], np.concatenate(([0], np.cumsum(n[use]))))
+                bucket = before[group].astype(np.uint64) + (k >> _U(40)) % buckets[group].astype(np.uint64)
+                keys.append((bucket << _U(32)) | ((k >> _U(8)) & _U(0xFFFFFFFF)))
                 sets.append(ids[use][owner])
                 needs.append(least[owner])
                 size += len(k)
@@ -208,14 +235,16 @@ def _send(shape: Shape, buckets: int):
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of two or more sets with an equal key, from one bucket; equal groups once, with their number."""
     keys, sets, needs = [], [], []
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for packed in batch.column("packed").to_pylist():
             n_own, n = np.frombuffer(packed, np.int64, 2)
-            own = np.frombuffer(packed, np.int64, n_own, 16)
-            least = np.frombuffer(packed, np.uint8, n_own, 16 + 8 * n_own)
-            at = 16 + 9 * n_own
-            keys.append(np.frombuffer(packed[at : at + 4 * n], np.uint32))
-            index = np.frombuffer(packed[at + 4 * n :], np.uint16 if n_own < 65536 else np.uint32)
+            raw = unpack(packed[16:])
+            own = np.frombuffer(raw, np.int64, n_own)
+            least = np.frombuffer(raw, np.uint8, n_own, 8 * n_own)
+            at = 9 * n_own
+            keys.append(np.cumsum(_from_planes(raw[at : at + 4 * n], n), dtype=np.uint32))
+            index = _from_planes(raw[at + 4 * n :], n)
             sets.append(own[index])
             needs.append(least[index])
     if not keys:
@@ -306,32 +335,49 @@ def traverse(shape: Shape, sizes: np.ndarray, bitmaps: list[bytes], comps: np.nd
     return a, b, most / (sizes[a] + sizes[b] - most)
 
 
-def _search(shape: Shape, nearest: bool):
-    """Pairs (a, b) with their scores from rows sorted by tree and block; if nearest, for each member only its best."""
+def forest(p: np.ndarray, q: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """Which of the edges between p and q make a spanning forest of the highest scores."""
+    order = np.lexsort((q, p, -score))
+    p, q = p[order], q[order]
+    _, best = np.unique(np.minimum(p, q) * np.int64(max(p.max(initial=0), q.max(initial=0)) + 1) + np.maximum(p, q), return_index=True)
+    best.sort()
+    root = list(range(int(max(p.max(initial=-1), q.max(initial=-1))) + 1))
+    used = []
+    for i, x, y in zip(best.tolist(), p[best].tolist(), q[best].tolist(), strict=True):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        while root[y] != y:
+            root[y] = y = root[root[y]]
+        if x != y:
+            root[x] = y
+            used.append(i)
+    return order[used]
+
+
+def _search(shape: Shape, spanning: bool):
+    """Pairs (a, b), a < b, from rows sorted by tree and block; if spanning, only a forest of them over the components
+    of each pair of blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def one(t: pa.Table):
             ids, sizes, comps = (t.column(c).to_numpy() for c in ("set_id", "n_shingles", "comp"))
             side = t.column("side").to_numpy()
-            a, b, score = traverse(shape, sizes, t.column("bitmap").to_pylist(), comps, side != 2, side != 1)
+            a, b, score = traverse(shape, sizes, [unpack(x) for x in t.column("bitmap").to_pylist()], comps, side != 2, side != 1)
+            if spanning:
+                _, group = np.unique(comps, return_inverse=True)
+                some = forest(group[a], group[b], score)
+                a, b = a[some], b[some]
             x, y = ids[a], ids[b]
-            if nearest:
-                x, y, score = np.concatenate((x, y)), np.concatenate((y, x)), np.tile(score, 2)
-                order = np.lexsort((y, -score, x))
-                x, y, score = x[order], y[order], score[order]
-                top = np.append(True, x[1:] != x[:-1])[: len(x)]
-                x, y, score = x[top], y[top], score[top]
-            else:
-                x, y = np.minimum(x, y), np.maximum(x, y)
-            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(score, pa.float64())], ["a", "b", "score"])
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([held, t]) if held is not None else t
-            tree, i, j = (t.column(c).to_numpy() for c in ("tree", "i", "j"))
-            cut = np.flatnonzero((tree[1:] != tree[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            tree, pair = (t.column(c).to_numpy() for c in ("tree", "pair"))
+            cut = np.flatnonzero((tree[1:] != tree[:-1]) | (pair[1:] != pair[:-1])) + 1
             for lo, hi in zip(np.append(0, cut[:-1]), cut, strict=False) if len(cut) else ():
                 yield one(t.slice(lo, hi - lo))
             held = t.slice(cut[-1]) if len(cut) else t
@@ -373,22 +419,34 @@ def _verified(shape: Shape, texts: DataFrame, pairs: DataFrame, name: str) -> Da
     own = texts.join(counts, texts.set_id == counts.a).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "z")
     others = pairs.join(counts, "a").join(texts, pairs.b == texts.set_id).select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), "b", "z")
     rows = own.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return keep(rows.mapInArrow(_compare(shape), "a long, b long"), name)
+    return keep(rows.mapInArrow(_compare(shape), _PAIR), name)
+
 
+def _candidates(shape: Shape, trees: DataFrame, comps: DataFrame, facts: DataFrame, spanning: bool) -> DataFrame:
+    """Pairs to compare, from the trees whose members are not yet one component.
 
-def _candidates(shape: Shape, trees: DataFrame, comps: DataFrame, facts: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs to compare, from the trees whose members are not yet one component."""
+    Members of a tree's large components (a block or more) are dealt into blocks of that component, the others into
+    common blocks. Two blocks of one large component hold nothing to compare."""
     member = trees.join(comps.select(F.col("node").alias("set_id"), F.col("component").alias("comp")), "set_id", "left").withColumn("comp", F.coalesce("comp", "set_id"))
     mixed = member.groupBy("tree").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("members")).where("lo < hi")
-    member = member.join(mixed.select("tree", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "tree").join(facts, "set_id")
-    own = F.pmod(F.xxhash64("set_id", "tree"), "blocks").cast("int")
-    member = member.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    member = member.select("tree", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_id", "comp", "n_shingles", "bitmap", side.alias("side"))
-    found = by_key_blocks(member, "tree", "i", "j").mapInArrow(_search(shape, nearest), "a long, b long, score double")
-    if nearest:
-        found = found.groupBy("a").agg(F.max(F.struct("score", "b")).alias("best")).select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"))
-    return found.select("a", "b").distinct()
+    large = member.join(mixed.where(F.col("members") > BLOCK).select("tree"), "tree").groupBy("tree", "comp").agg(F.count("*").alias("members")).where(F.col("members") >= BLOCK)
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")
+    large = large.groupBy("tree").agg(F.collect_list(F.struct(F.col("comp").alias("part"), blocks)).alias("parts"), F.sum("members").alias("inside"))
+    rest = F.col("members") - F.coalesce("inside", F.lit(0))
+    common = F.when(rest > 0, F.array(F.struct(F.lit(None).cast("long").alias("part"), F.ceil(rest / BLOCK).cast("int").alias("blocks"))))
+    mixed = mixed.join(large, "tree", "left").select("tree", F.concat(F.coalesce("parts", F.array()), F.coalesce(common, F.array())).alias("parts"))
+    member = member.join(mixed, "tree")
+    mine = F.coalesce(F.get(F.filter("parts", lambda p: p.part == F.col("comp")), F.lit(0)), F.get(F.filter("parts", lambda p: p.part.isNull()), F.lit(0)))
+    member = member.withColumn("mine", mine).withColumn("here", F.struct("mine.part", F.pmod(F.xxhash64("set_id", "tree"), "mine.blocks").cast("int").alias("own")))
+    # a member meets all blocks but those of its own large component
+    meets = F.filter("parts", lambda p: p.part.isNull() | F.col("mine.part").isNull() | (p.part != F.col("mine.part")))
+    there = F.flatten(F.transform(meets, lambda p: F.transform(F.sequence(F.lit(0), p.blocks - 1), lambda k: F.struct(p.part.alias("part"), k.alias("own")))))
+    member = member.withColumn("there", F.explode(there))
+    i, j = F.least("here", "there"), F.greatest("here", "there")
+    side = F.when(F.col("here") == F.col("there"), 0).when(F.col("here") == i, 1).otherwise(2)
+    member = member.select("tree", F.xxhash64(i, j).alias("pair"), "set_id", "comp", side.alias("side")).join(facts, "set_id")
+    found = by_key_blocks(member, "tree", "pair").mapInArrow(_search(shape, spanning), _PAIR)
+    return found.distinct()
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, num: int = 85, den: int = 100) -> DataFrame:
@@ -407,10 +465,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     shape = Shape(shingle, num, den)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sets = keep(rows.mapInArrow(_sets(shape), "id long, n_shingles long, set_id long, bitmap binary, z binary"), "sets")
-    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
 
-    # linked sets share a tree
-    buckets = bucket_count(spark, total * 2 * (den - num) // (num + den) * 5 // 2)
+    # linked sets share a tree; the number of sets in each size band, of which there are few, gives the buckets
+    band = F.size(F.filter(F.array(*[F.lit(int(x)) for x in shape.lows]), lambda x: x <= F.col("n_shingles"))) - 1
+    buckets = shape.buckets({r["band"]: r["count"] for r in sets.where("z is not null").groupBy(band.alias("band")).count().collect()})
     sent = rows.select("text").mapInArrow(_send(shape, buckets), "bucket long, packed binary")
     trees = sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long, keys_0 long, keys_1 long, least int")
     sums = [F.sum("keys_0").alias("keys_0"), F.sum("keys_1").alias("keys_1"), F.max("least").alias("least")]
@@ -433,9 +491,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     trees = trees.select("tree", "set_id")
     # the last round compares all pairs that are left, of sets in different components; those before it only spare
     # it work, for which some of the trees are enough
-    for nearest in (True, True, False):
-        some = trees.where(F.pmod(F.xxhash64("tree"), F.lit(8)) == 0) if nearest else trees
-        found = keep(_candidates(shape, some, comps, facts, nearest).join(tested, ["a", "b"], "left_anti"), "found")
+    for spanning in (1, 2, 0):
+        some = trees.where(F.pmod(F.xxhash64("tree"), F.lit(8)) == spanning) if spanning else trees
+        found = keep(_candidates(shape, some, comps, facts, spanning > 0).join(tested, ["a", "b"], "left_anti"), "found")
         if not found.limit(1).count():
             continue
         tested = tested.union(found)
