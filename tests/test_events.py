@@ -28,9 +28,10 @@ def test_column_order_and_not_null():
 @pytest.mark.parametrize(
     "more, expected",
     [
-        ({"companyId": "cmp-1", "locationId": "loc-2", "key": ["row-99"]}, "orders.cmp-1.loc-2.row-99"),
-        ({"key": ["pk"]}, "orders.none.none.pk"),
-        ({"companyId": "", "key": ["pk"]}, "orders..none.pk"),
+        ({"companyId": "7", "locationId": "north", "key": ["a7"]}, "orders.7.north.a7"),
+        ({"key": ["x"], "table": "bills"}, "bills.none.none.x"),
+        ({"companyId": "", "key": ["x"]}, "orders..none.x"),
+        ({"locationId": "", "companyId": "9", "key": []}, "orders.9.."),
     ],
 )
 def test_partition_key(spark, more, expected):
@@ -40,12 +41,12 @@ def test_partition_key(spark, more, expected):
 @pytest.mark.parametrize(
     "more, expected",
     [
-        ({"key": ["part1", "part2", "row-99"]}, "row-99"),
-        ({"key": []}, ""),
-        ({"key": [], "after": '{"id":"json-id","name":"test"}'}, "json-id"),
-        ({"key": None, "before": '{"id":"deleted-row"}'}, "deleted-row"),
-        ({"key": [], "after": '{"id":17}'}, ""),
         ({"key": [], "after": "not json"}, ""),
+        ({"key": [], "after": '{"id":17}'}, ""),
+        ({"key": None, "before": '{"note":null,"id":"b4"}'}, "b4"),
+        ({"key": [], "after": '{"id":"ü 1"}', "before": '{"id":"other"}'}, "ü 1"),
+        ({"key": ["", "k2"]}, "k2"),
+        ({"key": None}, ""),
     ],
 )
 def test_entity_id(spark, more, expected):

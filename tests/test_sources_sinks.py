@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tidelog.model import Catalog, Property, Schema
 from tidelog.operators import evolve, filters, metrics
-from tidelog.sinks import dialects, files, registry
-from tidelog.sinks.store import KeyValues, MirrorStore
+from tidelog.operators.mirror import empty_mirror
+from tidelog.sinks import databases, dialects, files, registry
+from tidelog.sinks.store import Folder, KeyValues, MirrorStore
 from tidelog.sources import events as se
 from tidelog.sources import schemas, snapshots
 from tidelog.streaming.runner import Delivery, deliver
@@ -210,8 +211,8 @@ def test_time_series_delivery_and_dead_letters(spark, tmp_path):
     deliver(se.stream_events(spark, inbox), d, str(tmp_path / "ck")).awaitTermination()
     assert sorted(r["_seq"] for r in d.log(spark, "orders").collect()) == [1, 2] and d.current(spark, "orders").count() == 2
     d(spark.read.text(inbox), 0)  # again
-    d._append(spark, se.decode(spark.read.text(inbox))[0], 1)
-    assert sorted(r["_seq"] for r in d.log(spark, "orders").collect()) == [1, 2, 3, 4, 5]
+    d(spark.read.text(inbox), 1)
+    assert sorted(r["_seq"] for r in d.log(spark, "orders").collect()) == [1, 2, 3, 4]
     waits = []
     failing = Delivery(str(tmp_path / "f"), Catalog([ORDERS]), sleep=waits.append)
     failing._apply = lambda *a: (_ for _ in ()).throw(RuntimeError("connection refused"))
@@ -220,6 +221,102 @@ def test_time_series_delivery_and_dead_letters(spark, tmp_path):
     assert {r["error"] for r in spark.read.parquet(f"{tmp_path}/f/dead").collect()} == {"connection refused"}
 
 
+def test_late_event_wins_in_a_mirror(spark, tmp_path):
+    """Mirrors follow arrival: what comes later counts, whatever its time."""
+    inbox = str(tmp_path / "in")
+    send(inbox, "1.json", change(200, "insert", "a", {"id": "a", "name": "first"}), change(100, "update", "a", {"id": "a", "name": "late"}))
+    d = Delivery(str(tmp_path / "out"), Catalog([ORDERS]))
+    deliver(se.stream_events(spark, inbox), d, str(tmp_path / "ck")).awaitTermination()
+    assert d.mirror(spark, "orders").read().first()["name"] == "late"
+    by_time = Delivery(str(tmp_path / "t"), Catalog([ORDERS]), order=["timestamp", "id"])
+    by_time(spark.read.text(inbox), 0)
+    assert by_time.mirror(spark, "orders").read().first()["name"] == "first"
+
+
+def test_state_survives_a_lost_driver(spark, tmp_path, monkeypatch):
+    state = KeyValues(spark, str(tmp_path / "s"))
+    state.set({"seq": "7"})
+
+    def lost(*_):
+        raise SystemExit
+
+    folder = Folder(spark, str(tmp_path / "s"))
+    real = folder.fs
+
+    class NoRename:
+        def __getattr__(self, name):
+            return lost if name == "rename" else getattr(real, name)
+
+    folder.fs = NoRename()
+    with pytest.raises(SystemExit):
+        folder.write("state.json", '{"seq": "8"}')
+    assert state.get("seq") == "8"
+    state.set({"x": "1"})
+    assert state.all() == {"seq": "8", "x": "1"}
+
+
+def test_batch_stopped_half_way(spark, tmp_path):
+    """What a batch leaves beside its tables is there once, however often it is tried."""
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "out")
+    send(inbox, "1.json", "{broken", change(1, "insert", "a", {"id": "a"}), change(2, "insert", "z", {}, table="unknown"), change(3, "insert", "q", {}, table="bad-name"))
+    d = Delivery(root, Catalog([ORDERS]))
+    real, d._base = d._base, lambda *a: (_ for _ in ()).throw(SystemExit)
+    with pytest.raises(SystemExit):
+        d(spark.read.text(inbox), 0)
+    d._base = real
+    for _ in range(2):
+        d(spark.read.text(inbox), 0)
+    assert [spark.read.parquet(f"{root}/{x}").count() for x in ("broken", "dead", "parked")] == [1, 1, 1]
+    assert d.mirror(spark, "orders").read().count() == 1
+
+
+def test_write_by_url(spark, tmp_path):
+    rows = spark.createDataFrame([("insert", "e1", "orders", 5)], "operation string, id string, table string, timestamp long")
+    registry.write(rows, f"file://{tmp_path}/lake")
+    assert spark.read.json(f"{tmp_path}/lake/folder=orders").first()["id"] == "e1"
+    for url in ("eventhub://h/x", "mysql://h/db"):
+        with pytest.raises(ValueError):
+            registry.write(rows, url)
+
+
+def test_upsert_into_a_database(spark):
+    two = Schema("t", "1", {"a": Property(), "b": Property("integer"), "v": Property(nullable=True)}, ("a", "b"))
+    e = [(1, "insert", ["1"], '{"a":"x","b":1,"v":"old"}'), (2, "update", ["1"], '{"a":"x","b":1,"v":"new"}'), (3, "insert", ["2"], '{"a":"x","b":2}'), (4, "delete", ["", "x", "2"], None), (5, "delete", ["", "y", "3"], None)]
+    df = spark.createDataFrame([(n, op, f"e{n}", "t", k, None, p, None) for n, op, k, p in e], "seq long, operation string, id string, table string, key array<string>, before string, after string, diff array<string>")
+    seen = {}
+    databases.upsert(df, two, registry.parse("postgres://h/db"), run=lambda s, t, sql: seen.update(sql=sql, url=t.options["url"]), stage=lambda rows, name: seen.update(rows=rows.collect(), name=name))
+    assert sorted((r["a"], r["b"], r["v"], r["_deleted"]) for r in seen["rows"]) == [("x", 1, "new", False), ("x", 2, None, True), ("y", 3, None, True)]
+    assert seen["name"] == "t__staging" and seen["url"] == "jdbc:postgresql://h:5432/db"
+    assert 'ON CONFLICT ("a", "b")' in seen["sql"][1] and '"t__staging"."a" = "t"."a" AND "t__staging"."b" = "t"."b"' in seen["sql"][0]
+
+
+def test_transient_errors():
+    wrapped = RuntimeError("flush failed")
+    wrapped.__cause__ = OSError("Connection reset by peer")
+    assert registry.is_transient(wrapped) and registry.is_transient(TimeoutError()) and not registry.is_transient(ValueError("bad column"))
+    tries, waits = [], []
+
+    def work():
+        tries.append(1)
+        if len(tries) < 3:
+            raise ConnectionError
+        return "done"
+
+    assert registry.retried(work, "start", waits.append) == "done" and waits == [5, 15]
+    with pytest.raises(ValueError):
+        registry.retried(lambda: int("x"), "start", waits.append)
+    assert waits == [5, 15]
+
+
+def test_last_line_of_a_file_wins(spark, tmp_path):
+    name = "202403151430221234567890000000000-n1-0-orders-0.ndjson"
+    (tmp_path / name).write_text("\n".join(json.dumps({"id": "a", "name": f"n{k}", "v": k}) for k in range(50)))
+    e = snapshots.import_events(spark, str(tmp_path), ["orders"])
+    got = snapshots.snapshot_mirror(e, empty_mirror(spark, ORDERS), ORDERS).collect()
+    assert [(r["id"], r["name"]) for r in got] == [("a", "n49")]
+    assert snapshots.cutoffs(spark.createDataFrame([("t", None)], "table string, file_us long"), "1700000000123456789.0").first()["cutoff_ms"] == 1700000000123
+
+
 def test_sequence_numbers(spark, tmp_path):
     df = spark.range(100).select((F.col("id") * 7 % 100).alias("timestamp"), F.col("id").cast("string").alias("id"))
     got = se.numbered(df, ["timestamp", "id"], str(tmp_path / "s"), 10).orderBy("timestamp").collect()

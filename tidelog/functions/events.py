@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What names, numbers, message keys ("dbchange") and error lengths must look like for other readers.
 IDENTIFIER = r"^[A-Za-z0-9_]{1,128}$"
 NUMBER = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 MAX_ERROR = 2000
@@ -52,11 +53,33 @@ def entity_id(key="key", after="after", before="before") -> Column:
     return F.when(F.size(c(key)) >= 1, F.element_at(c(key), -1)).otherwise(F.coalesce(F.when(is_text, raw), F.lit("")))
 
 
-def delete_key(position: int = 0, key="key") -> Column:
-    """The key value that a delete matches with the primary key at ``position``: the segment after it, '' if there is none;
-    a single segment is the key itself."""
+def delete_key(position: int = 0, key="key", of: int = 1) -> Column:
+    """The key value that a delete matches with the primary key at ``position`` of ``of``: the segment after it, '' if there is
+    none; as many segments as the key has columns are the key itself."""
     k = c(key)
-    return F.when((F.size(k) == 1) & F.lit(position == 0), F.get(k, F.lit(0))).otherwise(F.coalesce(F.get(k, F.lit(position + 1)), F.lit("")))
+    return F.coalesce(F.when(F.size(k) == of, F.get(k, F.lit(position))).otherwise(F.get(k, F.lit(position + 1))), F.lit(""))
+
+
+def row_key(names: tuple[str, ...] | list[str]) -> Column:
+    """What identifies the row that an event changes, as text: the key of one column as it is, of several a JSON array.
+
+    Deletes match by the segments of their key (delete_key), other events by the payload's columns, else by the segments
+    from the end. Null if a column of several is null.
+    """
+    if len(names) == 1:
+        return F.when(is_delete(), delete_key(0)).otherwise(entity_id())
+    own = fields(payload(), list(names))
+    parts = [
+        F.when(is_delete(), delete_key(i, of=len(names))).otherwise(F.coalesce(own.getField(n), F.get("key", F.size("key") - len(names) + i)))
+        for i, n in enumerate(names)
+    ]
+    return key_text(parts)
+
+
+def key_text(parts: list[Column]) -> Column:
+    """Key columns as one text, as row_key makes it."""
+    texts = [p.cast("string") for p in parts]
+    return texts[0] if len(texts) == 1 else F.when(~any_of([t.isNull() for t in texts]), F.to_json(F.array(*texts)))
 
 
 def partition_key(table="table", company="companyId", location="locationId", entity: str | Column | None = None) -> Column:
@@ -166,8 +189,11 @@ def nanos_to_millis(text: str | Column) -> Column:
     return F.floor(c(text).try_cast("decimal(38,0)") / 1_000_000).cast("long")
 
 
-def for_tenants(events: DataFrame, companies: list[str] | None = None, tables: list[str] | None = None, locations: list[str] | None = None) -> DataFrame:
-    """Events of some companies, tables (whatever the case) and locations; None is all. Comparisons reach the scan."""
+def for_tenants(events: DataFrame, companies: list[str] | None = None, tables: list[str] | None = None, locations: list[str] | None = None, since_ms: int | None = None) -> DataFrame:
+    """Events of some companies, tables (whatever the case) and locations, later than a time; None is all. Comparisons reach
+    the scan."""
+    if since_ms is not None:
+        events = events.where(F.col("timestamp") > since_ms)
     for column, wanted in (("companyId", companies), ("locationId", locations)):
         if wanted is not None:
             events = events.where(F.col(column).isin(wanted))

@@ -76,6 +76,11 @@ class Schema:
         keys = [k for k in self.primary_keys if k in self.properties]
         return keys + sorted((c for c in self.properties if c not in keys), key=lambda c: (c.lower(), c))
 
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """The columns that identify a row."""
+        return self.primary_keys or ("id",)
+
     @property
     def entity_column(self) -> str:
         return self.primary_keys[0] if self.primary_keys else "id"
@@ -93,10 +98,15 @@ class Schema:
 
 
 class Catalog(dict):
-    """Schemas by table name, whatever its case."""
+    """Schemas by table name, whatever its case. Of several versions of a table the last given is the one in force."""
 
     def __init__(self, schemas: list[Schema] = ()):
         super().__init__({s.table.lower(): s for s in schemas})
+        self._versions = {(s.table.lower(), s.version): s for s in schemas}
+
+    def find(self, table: str, version: str | None) -> Schema | None:
+        """The schema of a table in one version of its model; None if it isn't known."""
+        return self._versions.get((table.lower(), version))
 
     def __getitem__(self, table: str) -> Schema:
         return super().__getitem__(table.lower())

@@ -25,9 +25,11 @@ def histogram(df: DataFrame, value: str | Column, bounds: list[float], by: list[
     return row.select(*(by or []), "sum", "count", F.inline(F.array(*cells)))
 
 
-def status(log: DataFrame) -> DataFrame:
-    """Events so far, the time of the last one and its table."""
-    return log.agg(F.count("*").alias("processed"), F.max("timestamp").alias("last_event_ms"), F.max_by("table", F.struct("timestamp", "table")).alias("last_table"))
+def status(log: DataFrame, delivered_ms: int | None = None) -> DataFrame:
+    """Events so far, the time of the last one and its table; with the time up to which events are delivered, also how many
+    are pending."""
+    pending = [] if delivered_ms is None else [F.count_if(F.col("timestamp") > delivered_ms).alias("pending")]
+    return log.agg(*pending, F.count("*").alias("processed"), F.max("timestamp").alias("last_event_ms"), F.max_by("table", F.struct("timestamp", "table")).alias("last_table"))
 
 
 def progress(jobs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.functions.events import fields, is_delete, typed
+from tidelog.functions.events import fields, is_delete, key_text, typed
 from tidelog.model import HISTORY_COLUMNS, Schema
 
 
@@ -46,16 +46,20 @@ def history(log: DataFrame, schema: Schema, strict_nulls: bool = False) -> DataF
 
 def unified(log: DataFrame, mirror: DataFrame, schema: Schema, strict_nulls: bool = False) -> DataFrame | None:
     """Current rows of the log, and mirror rows of entities without any event. Both sides have the schema's types;
-    columns that the mirror lacks (whatever the case of the name) are null there. Without columns there is no view."""
+    columns that the mirror lacks (whatever the case of the name) are null there. Without columns there is no view. Rows of a
+    key of several columns are told apart by the payload's columns."""
     names = schema.columns
     if not names:
         return None
     there = {x.lower(): x for x in mirror.columns}
-    key = there.get(schema.entity_column.lower())
+    if len(schema.keys) > 1:
+        # an event's entity is only the last column of such a key; the payload has all
+        own = fields(F.coalesce("_after", "_before"), list(schema.keys))
+        log = log.withColumn("_entity_id", F.coalesce(key_text([own.getField(n) for n in schema.keys]), "_entity_id"))
     live = project(current(log), schema, [], strict_nulls, cast=True)
-    if key is not None:
+    if all(k.lower() in there for k in schema.keys):
         seen = log.select(F.col("_entity_id").alias("_seen")).distinct()
-        mirror = mirror.join(seen, mirror[f"`{key}`"].cast("string") == F.col("_seen"), "left_anti")
+        mirror = mirror.join(seen, key_text([mirror[f"`{there[k.lower()]}`"] for k in schema.keys]) == F.col("_seen"), "left_anti")
 
     def own(n: str):
         to = schema.properties[n].spark_type

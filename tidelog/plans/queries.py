@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions import events as fe
 from tidelog.functions.hashing import broker_partition
@@ -14,6 +16,7 @@ from tidelog.operators import evolve, filters, metrics, mirror, views
 from tidelog.plans import cdc
 from tidelog.sinks import brokers
 from tidelog.sources import snapshots
+from tidelog.sources.events import decode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,27 +34,34 @@ def query(sql: str | None = None, with_cdc: bool = True):
     return add
 
 
+def _payloads(log: DataFrame) -> DataFrame:
+    """Rows of a log with the payloads' fields in place of their JSON."""
+    parts = [fe.typed(fe.json_field(f"_{side}", n), cdc.ACCOUNTS.properties[n].spark_type).alias(f"{side}_{n}") for side in ("after", "before") for n in ("kind", "k", "amount")]
+    return log.select(*[c for c in log.columns if c not in ("_after", "_before")], F.col("_before").isNotNull().alias("has_before"), *parts)
+
+
 # views
 
 
 @query("""
-select seq as _seq, id as _event_id, operation as _operation, entity as _entity_id, ms as _timestamp, company as _company_id,
-       location as _location_id, rn
+select seq as _seq, id as _event_id, operation as _operation, entity as _entity_id, ms as _timestamp, cast(null as varchar) as _mvcc_ts, company as _company_id,
+       location as _location_id, '1' as _model_ver, case when is_diff then '["amount","unknown"]' end as _diff,
+       b_amount is not null as has_before, kind as after_kind, k as after_k, amount as after_amount, b_kind as before_kind, b_k as before_k, b_amount as before_amount, rn
 from (select *, row_number() over (partition by entity order by ms desc nulls last, seq desc nulls last) rn from ev)
 where rn = 1 and not deletes""")
 def view_current(spark, sf_dir):
-    v = views.current(cdc.log(spark, sf_dir))
-    return v.select("_seq", "_event_id", "_operation", "_entity_id", "_timestamp", "_company_id", "_location_id", "rn")
+    return _payloads(views.current(cdc.log(spark, sf_dir)))
 
 
 @query("""
 select seq as _seq, id as _event_id, operation as _operation, entity as _entity_id, ms as _timestamp, cast(null as varchar) as _mvcc_ts,
        company as _company_id, location as _location_id, '1' as _model_ver,
        case when deletes then case when b_kind is not null then entity end else entity end as id,
-       coalesce(case when not deletes then kind end, b_kind) as kind, cast(coalesce(case when not deletes then k end, b_k) as varchar) as k
+       coalesce(case when not deletes then kind end, b_kind) as kind, cast(coalesce(case when not deletes then k end, b_k) as varchar) as k,
+       coalesce(case when not deletes then amount end, b_amount) as amount
 from ev""")
 def view_history(spark, sf_dir):
-    return views.history(cdc.log(spark, sf_dir), cdc.ACCOUNTS).drop("amount")
+    return views.history(cdc.log(spark, sf_dir), cdc.ACCOUNTS).withColumn("amount", F.col("amount").cast("double"))
 
 
 @query("""
@@ -92,16 +102,45 @@ def mirror_delete(spark, sf_dir):
     return mirror.apply_events(cdc.mirror(spark, sf_dir), cdc.events(spark, sf_dir).where(fe.is_delete()), cdc.ACCOUNTS)
 
 
+@query("""
+, m as (select *, case when deletes then coalesce(cast(b_k as varchar), '') else cast(k as varchar) end key2 from ev),
+l as (select *, max(case when deletes then seq end) over (partition by entity, key2) ld from m where key2 is not null),
+net as (select entity, key2, arg_max({'v': amount}, seq).v amount, arg_max({'v': kind}, seq).v kind from l where not deletes and (ld is null or seq > ld) group by all),
+alive as (
+  select id, cast(cast(id as bigint) % 10 as varchar) key2, amount, kind from base b
+  where not exists (select 1 from l where deletes and l.entity = b.id and l.key2 = cast(cast(b.id as bigint) % 10 as varchar)))
+select coalesce(entity, id) id, cast(coalesce(net.key2, alive.key2) as bigint) k, case when entity is null then alive.amount else net.amount end amount,
+       case when entity is null then alive.kind else net.kind end kind
+from alive full join net on alive.id = net.entity and alive.key2 = net.key2""")
+def mirror_composite_key(spark, sf_dir):
+    schema = dataclasses.replace(cdc.ACCOUNTS, primary_keys=("k", "id"))
+    base = cdc.mirror(spark, sf_dir).withColumn("k", F.col("id").cast("long") % 10)
+    had = F.coalesce(fe.json_field("before", "k"), F.lit(""))
+    e = cdc.events(spark, sf_dir).withColumn("key", F.when(fe.is_delete(), F.array(F.lit(""), had, F.element_at("key", -1))).otherwise(F.col("key")))
+    return mirror.apply_events(base, e, schema, diff_aware=False)
+
+
+@query("""
+, last as (select entity, arg_max(deletes, came) gone, arg_max({'v': kind}, came) filter (where not deletes) kind from (select *, -ms * 100000 + seq came from ev) group by entity)
+select coalesce(base.id, last.entity) id, case when entity is null then base.kind when last.kind is null then null else last.kind.v end kind
+from base full join last on base.id = last.entity where entity is null or not gone""")
+def mirror_arrival_order(spark, sf_dir):
+    """Events that arrive in the opposite order of their time: the last to arrive wins."""
+    e = cdc.events(spark, sf_dir).withColumn("seq", -F.col("timestamp") * 100000 + F.col("seq"))
+    return mirror.apply_events(cdc.mirror(spark, sf_dir), e, cdc.ACCOUNTS, diff_aware=False).select("id", "kind")
+
+
 # projections
 
 
 @query("""
 select seq as _seq, id as _event_id, operation as _operation, entity as _entity_id, ms as _timestamp, cast(null as varchar) as _mvcc_ts, company as _company_id,
-       location as _location_id, '1' as _model_ver, case when is_diff then '["amount","unknown"]' end as _diff, not deletes as has_after, b_kind is not null as has_before
+       location as _location_id, '1' as _model_ver, case when is_diff then '["amount","unknown"]' end as _diff, b_kind is not null as has_before,
+       case when not deletes then kind end as after_kind, case when not deletes then k end as after_k, case when not deletes then amount end as after_amount,
+       b_kind as before_kind, b_k as before_k, b_amount as before_amount
 from ev""")
 def events_append_rows(spark, sf_dir):
-    rows = cdc.log(spark, sf_dir)
-    return rows.select(*[c for c in rows.columns if c not in ("_after", "_before")], F.col("_after").isNotNull().alias("has_after"), F.col("_before").isNotNull().alias("has_before"))
+    return _payloads(cdc.log(spark, sf_dir))
 
 
 @query("select id, coalesce(case when not deletes then kind end, b_kind) as kind from ev")
@@ -159,6 +198,13 @@ def partition_hash(spark, sf_dir):
     return cdc.events(spark, sf_dir).select("id", broker_partition(fe.partition_key()).alias("partition"))
 
 
+@query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as utc, user_id as n, event_type as text from events", False)
+def typed_values(spark, sf_dir):
+    e = cdc.load(spark, sf_dir, "events")
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return e.select("event_id", fe.utc_text(text).alias("utc"), fe.typed(F.concat(F.col("user_id").cast("string"), F.lit(".0")), T.LongType()).alias("n"), fe.utc_text("event_type").alias("text"))
+
+
 # filters and joins
 
 
@@ -206,11 +252,12 @@ def completed_files_anti(spark, sf_dir):
     return filters.not_completed(f, done).select("o_orderkey")
 
 
-@query("select n_name as \"table\", count(c_custkey) as n_rows from nation left join customer on c_nationkey = n_nationkey and c_acctbal > 9000 group by n_name", False)
+@query("select n_name as \"table\", count(c_custkey) as n_rows from (select n_nationkey, n_name from nation union all select -1, 'NOWHERE') left join customer on c_nationkey = n_nationkey group by n_name", False)
 def import_counts(spark, sf_dir):
-    n = cdc.load(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("table"))
-    c = cdc.load(spark, sf_dir, "customer").where("c_acctbal > 9000")
-    return snapshots.import_counts(n, c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey))
+    n = cdc.load(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("n_nationkey"), F.col("n_name").alias("table"))
+    n = n.union(spark.createDataFrame([(-1, "NOWHERE")], "n_nationkey int, table string"))  # a table without rows
+    c = cdc.load(spark, sf_dir, "customer")
+    return snapshots.import_counts(n, c.join(n, c.c_nationkey == n.n_nationkey))
 
 
 @query("""select o_orderkey, regexp_full_match(o_orderpriority, '[A-Za-z0-9_]{1,128}') as ok from orders""", False)
@@ -229,6 +276,35 @@ def url_sanitize(spark, sf_dir):
     return cdc.load(spark, sf_dir, "pages").select("page_id", fe.without_credentials(withheld).alias("url"))
 
 
+def _lines(spark, sf_dir) -> DataFrame:
+    """Lines of an export made from customers: a file per nation, blank and broken lines between."""
+    c = cdc.load(spark, sf_dir, "customer")
+    row = F.to_json(F.struct(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("companyId")))
+    value = F.explode(F.array(row, F.lit("[1]"), F.lit("{broken")))
+    return c.select(value.alias("value"), F.concat(F.lit("f"), F.col("c_nationkey").cast("string")).alias("file_name"), F.lit("customers").alias("table"), (F.col("c_nationkey").cast("long") * 1_000_000).alias("file_us"))
+
+
+@query("""select 'INSERT' as operation, cast(c_custkey as varchar) as entity, cast(c_nationkey as varchar) as company, c_name as name, c_nationkey * 1000 as timestamp,
+       cast(c_nationkey::bigint * 1000000000 as varchar) as mvcc, '7' as version from customer""", False)
+def export_lines(spark, sf_dir):
+    e = snapshots.line_events(_lines(spark, sf_dir), {"Customers": "7"})
+    return e.select("operation", fe.entity_id().alias("entity"), F.col("locationId").alias("company"), fe.json_field("after", "name").alias("name"), "timestamp", F.col("mvccTimestamp").alias("mvcc"), F.col("modelVersion").alias("version"))
+
+
+@query("select seq, company, row_number() over (partition by company order by seq) as place from ev")
+def key_order(spark, sf_dir):
+    rows = metrics.flush_batches(cdc.events(spark, sf_dir), 1, ["companyId"], "seq")
+    return rows.select("seq", F.col("companyId").alias("company"), (F.col("batch") + 1).alias("place"))
+
+
+@query("select seq, entity from ev where not is_diff")
+def valid_rows(spark, sf_dir):
+    """Rows of all events but those whose payload lacks a required column."""
+    schema = dataclasses.replace(cdc.ACCOUNTS, required=("id", "kind"), properties=cdc.ACCOUNTS.properties | {"kind": Property()})
+    e = cdc.events(spark, sf_dir).withColumn("after", F.when(F.size("diff") > 0, fe.omit("after", ["kind"])).otherwise(F.col("after")))
+    return filters.valid_rows(e, schema).select("seq", F.element_at("key", -1).alias("entity"))
+
+
 # schema evolution
 
 _OLD = Schema("t", "1", {"id": Property(), "qty": Property("integer"), "name": Property(), "at": Property()}, ("id",))
@@ -317,15 +393,23 @@ def delete_match(spark, sf_dir):
     return cdc.events(spark, sf_dir).select("seq", F.when(fe.is_delete(), fe.delete_key(0)).otherwise("").alias("gone"))
 
 
-@query("select seq, kind from ev where not deletes and seq % 2 = 0")
+def _messages(spark, sf_dir) -> DataFrame:
+    """Every event as a message, and a broken copy of each."""
+    e = cdc.events(spark, sf_dir)
+    text = e.select(fe.event_json([c for c in e.columns if c != "seq"]).alias("value"))
+    return text.unionByName(text.select(F.concat(F.lit("#"), "value").alias("value")))
+
+
+@query("select seq, entity, operation, case when not deletes then kind end as kind, ms as timestamp from ev")
 def decoded_messages(spark, sf_dir):
-    from tidelog.sources.events import decode
+    good, _ = decode(_messages(spark, sf_dir))
+    return good.select((F.col("id").cast("long") + 1).alias("seq"), fe.entity_id().alias("entity"), "operation", fe.json_field("after", "kind").alias("kind"), "timestamp")
 
-    e = cdc.events(spark, sf_dir).where("seq % 2 = 0 and after is not null")
-    text = e.select(fe.event_json([c for c in e.columns if c != "seq"]).alias("value"))
-    mixed = text.unionByName(e.select(F.lit("{broken").alias("value")))
-    good, _ = decode(mixed)
-    return good.select((F.col("id").cast("long") + 1).alias("seq"), fe.json_field("after", "kind").alias("kind"))
+
+@query("select count(*) as n, 'not a change event' as error, bool_and(true) as marked from ev group by all")
+def refused_messages(spark, sf_dir):
+    _, bad = decode(_messages(spark, sf_dir))
+    return bad.groupBy("error").agg(F.count("*").alias("n"), F.bool_and(F.col("payload").startswith("#")).alias("marked"))
 
 
 @query("select c_custkey, c_custkey % 2 = 0 as kept from customer where c_custkey % 2 = 0", False)

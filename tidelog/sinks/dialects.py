@@ -73,21 +73,27 @@ def change_columns(schema: Schema, names: list[str], dialect: str) -> list[str]:
 
 
 def merge(schema: Schema, staging: str, dialect: str, key: str | None = None) -> list[str]:
-    """Statements that bring a staging table (one folded row per key, ``_deleted`` true for deletes) into a table."""
+    """Statements that bring a staging table (one folded row per key, ``_deleted`` true for deletes) into a table. Rows match if
+    all columns of the key are equal."""
     d = DIALECTS[dialect]
-    key = key or schema.entity_column
+    keys = [key] if key else list(schema.keys)
     q, to, of = d.identifier, d.identifier(schema.table), d.identifier(staging)
-    names = [n for n in schema.columns if n != key]
-    rows = ", ".join(q(n) for n in [key, *names])
-    gone = f"DELETE FROM {to} WHERE {q(key)} IN (SELECT {q(key)} FROM {of} WHERE {q('_deleted')} = {'1' if d.name == 'sqlserver' else 'TRUE'})"
+    names = [n for n in schema.columns if n not in keys]
+    rows = ", ".join(q(n) for n in [*keys, *names])
+    dead = f"{q('_deleted')} = {'1' if d.name == 'sqlserver' else 'TRUE'}"
+    if len(keys) == 1:
+        gone = f"DELETE FROM {to} WHERE {q(keys[0])} IN (SELECT {q(keys[0])} FROM {of} WHERE {dead})"
+    else:
+        gone = f"DELETE FROM {to} WHERE EXISTS (SELECT 1 FROM {of} WHERE {' AND '.join(f'{of}.{q(k)} = {to}.{q(k)}' for k in keys)} AND {dead})"
     live = f"SELECT {rows} FROM {of} WHERE {q('_deleted')} = {'0' if d.name == 'sqlserver' else 'FALSE'}"
     if d.name == "postgres":
         sets = ", ".join(f"{q(n)} = EXCLUDED.{q(n)}" for n in names)
-        return [gone, f"INSERT INTO {to} ({rows}) {live} ON CONFLICT ({q(key)}) " + (f"DO UPDATE SET {sets}" if sets else "DO NOTHING")]
+        return [gone, f"INSERT INTO {to} ({rows}) {live} ON CONFLICT ({', '.join(map(q, keys))}) " + (f"DO UPDATE SET {sets}" if sets else "DO NOTHING")]
     if d.name == "mysql":
-        sets = ", ".join(f"{q(n)} = VALUES({q(n)})" for n in names) or f"{q(key)} = {q(key)}"
+        sets = ", ".join(f"{q(n)} = VALUES({q(n)})" for n in names) or f"{q(keys[0])} = {q(keys[0])}"
         return [gone, f"INSERT INTO {to} ({rows}) {live} ON DUPLICATE KEY UPDATE {sets}"]
     sets = ", ".join(f"{q(n)} = s.{q(n)}" for n in names)
     matched = f" WHEN MATCHED THEN UPDATE SET {sets}" if sets else ""
-    values = ", ".join(f"s.{q(n)}" for n in [key, *names])
-    return [gone, f"MERGE INTO {to} AS t USING ({live}) AS s ON t.{q(key)} = s.{q(key)}{matched} WHEN NOT MATCHED THEN INSERT ({rows}) VALUES ({values});"]
+    values = ", ".join(f"s.{q(n)}" for n in [*keys, *names])
+    same = " AND ".join(f"t.{q(k)} = s.{q(k)}" for k in keys)
+    return [gone, f"MERGE INTO {to} AS t USING ({live}) AS s ON {same}{matched} WHEN NOT MATCHED THEN INSERT ({rows}) VALUES ({values});"]

@@ -47,9 +47,9 @@ def write_objects(events: DataFrame, folder: str, prefix: str | None = None) ->
     return rows.mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def write_dead_letters(events: DataFrame, path: str, error: str | Column, retries: int = 0) -> None:
+def write_dead_letters(events: DataFrame, path: str, error: str | Column, retries: int = 0, mode: str = "append") -> None:
     error = F.lit(error) if isinstance(error, str) else error
-    events.select(*dead_letter(error, F.lit(retries))).write.mode("append").parquet(path)
+    events.select(*dead_letter(error, F.lit(retries))).write.mode(mode).parquet(path)
 
 
 def dry_run(events: DataFrame) -> None:

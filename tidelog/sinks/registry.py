@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import parse_qs, unquote, urlsplit
@@ -79,11 +80,52 @@ def parse(url: str) -> Target:
     return Target(scheme, kind, options, most, log)
 
 
-def write(df, url: str) -> None:
+def write(df, url: str, schema=None) -> None:
+    """Write events to a destination, by a sink of one's own if one is registered for the scheme.
+
+    Folders and object stores get JSON lines in a folder per table, through Spark's file systems. Brokers get the rows of
+    ``brokers``. Databases get one table: the batch is folded with ``schema`` and merged (``databases.upsert``). Brokers and
+    databases need their connector in Spark's class path.
+    """
+    from tidelog.sinks import brokers, databases, files
+
     target = parse(url)
-    if target.scheme not in _sinks:
-        raise NotImplementedError(f"register a writer for {target.scheme}")
-    _sinks[target.scheme](df, target)
+    if target.scheme in _sinks:
+        _sinks[target.scheme](df, target)
+    elif target.kind == "files":
+        files.write_json(df, target.options["path"])
+    elif target.scheme == "kafka":
+        brokers.write_kafka(df, target.options["servers"], target.options["topic"])
+    elif target.kind == "jdbc" and schema is not None:
+        databases.upsert(df, schema, target)
+    else:
+        raise ValueError(f"{target.scheme} needs " + ("the schema of the table" if target.kind == "jdbc" else "a registered sink"))
+
+
+#: What the messages of errors that pass by themselves contain.
+TRANSIENT = ("timeout", "timed out", "connection refused", "connection reset", "broken pipe", "temporarily unavailable", "too many connections", "deadlock", "throttl", "service unavailable")
+
+
+def is_transient(error: BaseException) -> bool:
+    """Whether trying again may help: a lost connection, a timeout, a busy server, or an error caused by one."""
+    seen: set[int] = set()
+    while error is not None and id(error) not in seen:
+        seen.add(id(error))
+        if isinstance(error, (ConnectionError, TimeoutError)) or any(x in str(error).lower() for x in TRANSIENT):
+            return True
+        error = error.__cause__ or error.__context__
+    return False
+
+
+def retried(work: Callable, kind: str = "http", sleep: Callable[[float], None] = time.sleep):
+    """What work() returns; after a transient error it is tried again, as often as there are delays."""
+    for seconds in [*delays(kind), None]:
+        try:
+            return work()
+        except Exception as e:
+            if seconds is None or not is_transient(e):
+                raise
+            sleep(seconds)
 
 
 def delays(kind: str = "http") -> list[int]:

@@ -21,9 +21,11 @@ class Folder:
         return self._of(f"{self.path}/{name}")
 
     def read(self, name: str) -> str | None:
-        if not self.fs.exists(self.at(name)):
+        """The file's text. If the driver was lost in write() after the old file was deleted, the new one is whole and is read."""
+        there = next((x for x in (name, f"{name}.part") if self.fs.exists(self.at(x))), None)
+        if there is None:
             return None
-        stream = self.fs.open(self.at(name))
+        stream = self.fs.open(self.at(there))
         try:
             return self._io.toString(stream, "UTF-8")
         finally:
@@ -58,8 +60,6 @@ class MirrorStore:
 
     def state(self) -> dict:
         text = self.folder.read("_CURRENT")
-        if text is None and (part := self.folder.read("_CURRENT.part")):
-            text = part  # the driver was lost between delete and rename
         return json.loads(text) if text else {"version": -1, "batch": -1}
 
     def read(self) -> DataFrame | None:

@@ -28,14 +28,16 @@ def gunzip(values: pd.Series) -> pd.Series:
 def decode(messages: DataFrame, value: str = "value", compressed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Events, and the messages that are none (with ``error``), from JSON text or bytes.
 
-    A message is an event if it parses and has an operation, an id and a table.
+    A message is an event if it parses and has an operation, an id and a table. A column ``arrival`` of messages stays with
+    their events.
     """
     text = gunzip(F.col(value)) if compressed else F.col(value).cast("string")
     rows = messages.withColumn("_text", text).withColumn("_e", F.from_json("_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     bad: Column = F.col("_e").isNull() | F.col("_e._corrupt_record").isNotNull()
     for needed in ("operation", "id", "table"):
         bad = bad | F.col(f"_e.{needed}").isNull()
-    events = rows.where(~bad).select("_e.*").drop("_corrupt_record").withColumn("timestamp", F.coalesce("timestamp", F.lit(0)))
+    place = ["arrival"] if "arrival" in messages.columns else []
+    events = rows.where(~bad).select("_e.*", *place).drop("_corrupt_record").withColumn("timestamp", F.coalesce("timestamp", F.lit(0)))
     return events, rows.where(bad).select(F.coalesce("_text", F.lit("")).alias("payload"), F.lit("not a change event").alias("error"))
 
 
@@ -45,9 +47,19 @@ def read_events(spark: SparkSession, path: str, glob: str = "*.json*") -> DataFr
 
 
 def stream_events(spark: SparkSession, path: str, max_files: int = 100, latest_first: bool = False) -> DataFrame:
-    """A stream of messages from files; max_files bounds a micro-batch."""
+    """A stream of messages from files, with the file's time, its name and the place of a block in it, which come before the
+    line as the place of arrival. max_files bounds a micro-batch."""
     reader = spark.readStream.option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", "true").option("latestFirst", str(latest_first).lower())
-    return reader.text(path)
+    m = F.col("_metadata")
+    block = F.struct(m.file_modification_time.alias("at"), m.file_path.alias("of"), m.file_block_start.alias("block"))
+    return reader.text(path).select("value", block.alias("block"))
+
+
+def with_arrival(messages: DataFrame) -> DataFrame:
+    """Messages of a batch with ``arrival``, which orders them: a broker's offset and partition, or the file and block that a
+    stream of files names, then the place in the batch."""
+    known = next((x for x in (["offset", "partition"], ["block"]) if set(x) <= set(messages.columns)), [])
+    return messages.withColumn("arrival", F.struct(*known, F.monotonically_increasing_id().alias("line")))
 
 
 def kafka_options(servers: str, topic: str, new_only: bool = False, most: int = 16_384) -> dict[str, str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.events import json_field
+from tidelog.functions.events import json_field, nanos_to_millis
 from tidelog.operators.filters import not_completed, only_tables
 from tidelog.sources.folders import listing
 
@@ -28,7 +28,9 @@ def file_time(name: Column) -> Column:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines that are not blank, with file_name, table and file_us. Files are read in parallel; a gzip file is one task."""
     lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.ndjson*").text(path)
-    rows = lines.select(F.col("value"), F.col("_metadata.file_name").alias("file_name"))
+    # a file's lines are numbered by the start of its block and their place in the task that reads it
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    rows = lines.select(F.col("value"), F.col("_metadata.file_name").alias("file_name"), place.alias("place"))
     rows = rows.withColumn("table", file_table(F.col("file_name"))).withColumn("file_us", file_time(F.col("file_name")))
     return rows.where("table is not null and length(trim(value)) > 0")
 
@@ -65,6 +67,7 @@ def line_events(lines: DataFrame, versions: dict[str, str] | None = None) -> Dat
         (F.col("file_us") * 1000).cast("string").alias("mvccTimestamp"),
         F.lit(True).alias("imported"),
         "file_name",
+        *(["place"] if "place" in lines.columns else []),
     )
 
 
@@ -82,9 +85,11 @@ def import_counts(files: DataFrame, events: DataFrame) -> DataFrame:
     return files.select("table").distinct().join(counts, "table", "left").select("table", F.coalesce("n", F.lit(0)).alias("n_rows"))
 
 
-def cutoffs(files: DataFrame) -> DataFrame:
-    """The time of the newest file of each table, in milliseconds: events up to it are in the snapshot."""
-    return files.groupBy("table").agg(F.floor(F.max("file_us") / 1000).alias("cutoff_ms"))
+def cutoffs(files: DataFrame, cursor: str | None = None) -> DataFrame:
+    """The time of the newest file of each table, in milliseconds: events up to it are in the snapshot. Where no file has a
+    time, that of the export's cursor (nanoseconds of Unix time as text) counts, else now."""
+    other = F.coalesce(nanos_to_millis(F.lit(cursor)), F.unix_millis(F.current_timestamp()))
+    return files.groupBy("table").agg(F.coalesce(F.floor(F.max("file_us") / 1000), other).alias("cutoff_ms"))
 
 
 def ordered_files(files: DataFrame) -> DataFrame:
@@ -93,7 +98,9 @@ def ordered_files(files: DataFrame) -> DataFrame:
 
 
 def snapshot_mirror(events: DataFrame, base: DataFrame, schema) -> DataFrame:
-    """The mirror of an imported table: of rows with one id the one of the newest file stays."""
+    """The mirror of an imported table: of rows with one id the last line of the newest file stays, whole."""
     from tidelog.operators.mirror import apply_events
 
-    return apply_events(base, events.withColumn("seq", F.col("timestamp")), schema)
+    place = ["place"] if "place" in events.columns else []
+    newest = events.groupBy("key").agg(F.max_by(F.struct(*events.columns), F.struct("timestamp", "file_name", *place, "id")).alias("e"))
+    return apply_events(base, newest.select("e.*").withColumn("seq", F.lit(0)), schema)

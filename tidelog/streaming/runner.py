@@ -15,18 +15,19 @@ from tidelog.operators.filters import after_import, guarded
 from tidelog.operators.mirror import apply_events, empty_mirror
 from tidelog.operators.views import current
 from tidelog.sinks.files import append_log, write_dead_letters
-from tidelog.sinks.registry import delays
+from tidelog.sinks.registry import delays, retried
 from tidelog.sinks.store import KeyValues, MirrorStore
-from tidelog.sources.events import decode, numbered
+from tidelog.sources.events import decode, numbered, with_arrival
 
 
 @dataclass
 class Delivery:
     """Where and how events are delivered.
 
-    ``mode`` is upsert (mirrors) or time_series (a log). Batches are committed by their number, so a batch that Spark repeats
-    after a failure changes nothing twice. A batch that fails ``attempts`` times goes to the dead-letter table, and the
-    stream goes on. Mirrors follow the order of arrival; views over a log follow event time.
+    ``mode`` is upsert (mirrors) or time_series (a log). Batches are committed by their number, and what else a batch leaves
+    (broken messages, dead letters, events of unknown tables) lies in a folder of that number that is replaced, so a batch
+    that Spark repeats after a failure changes nothing twice, wherever the first try stopped. A batch that fails ``attempts``
+    times goes to the dead-letter table, and the stream goes on. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time.
     """
 
     root: str
@@ -36,7 +37,7 @@ class Delivery:
     diff_aware: bool = True
     attempts: int = 5
     sleep: Callable[[float], None] = time.sleep
-    order: list[str] = field(default_factory=lambda: ["timestamp", "id"])
+    order: list[str] = field(default_factory=lambda: ["arrival"])
 
     def mirror(self, spark: SparkSession, table: str) -> MirrorStore:
         return MirrorStore(spark, f"{self.root}/mirror/{table}")
@@ -46,11 +47,12 @@ class Delivery:
 
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        events, broken = decode(batch)
+        events, broken = decode(with_arrival(batch))
         events, unsafe = guarded(events)
         if self.cutoffs is not None:
             events = after_import(events, self.cutoffs)
-        self._once(spark, f"broken:{number}", lambda: self._refuse(broken, unsafe))
+        self._leave(broken.withColumn("failed_at", F.current_timestamp()), "broken", number)
+        write_dead_letters(unsafe, f"{self.root}/dead/batch={number}/of=unsafe", "unsafe table name", mode="overwrite")
         waits = delays("flush")
         for attempt in range(self.attempts):
             try:
@@ -60,32 +62,32 @@ class Delivery:
                 error = str(e)
                 if attempt + 1 < self.attempts:
                     self.sleep(waits[min(attempt, len(waits) - 1)])
-        self._once(spark, f"dead:{number}", lambda: write_dead_letters(events, f"{self.root}/dead", error, self.attempts))
+        write_dead_letters(events, f"{self.root}/dead/batch={number}/of=failed", error, self.attempts, mode="overwrite")
 
-    def _once(self, spark: SparkSession, key: str, work: Callable[[], None]) -> None:
-        state = self.state(spark)
-        if state.get(key) is None:
-            work()
-            state.set({key: "done"})
-
-    def _refuse(self, broken: DataFrame, unsafe: DataFrame) -> None:
-        broken.withColumn("failed_at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/broken")
-        write_dead_letters(unsafe, f"{self.root}/dead", "unsafe table name")
+    def _leave(self, rows: DataFrame, name: str, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={number}")
 
     def _apply(self, spark: SparkSession, events: DataFrame, number: int) -> None:
+        """Events are decoded once, numbered and written; tables read them from there."""
+        state = self.state(spark)
+        last, base = int(state.get("log", "-1")), int(state.get("seq", "0"))
+        if self.mode == "time_series" and number <= last:
+            return
+        rows = numbered(events, self.order, f"{self.root}/staging", base)
         if self.mode == "time_series":
-            self._append(spark, events, number)
+            # the batch has a folder of its own, and its mark also has the last number: a repeat gets the same numbers in the same place
+            append_log(rows, f"{self.root}/log/batch={number}", mode="overwrite")
+            state.set({"seq": str(base + rows.count()), "log": str(number)})
             return
-        names = sorted(r[0] for r in events.select(F.lower("table")).distinct().collect() if r[0] in self.catalog)
+        names = sorted(r[0] for r in rows.select(F.lower("table")).distinct().collect() if r[0] in self.catalog)
         for name in names:
             schema = self.catalog[name]
             store = self.mirror(spark, schema.table)
-            own = events.where(F.lower("table") == name)
             if number > store.state()["batch"]:
-                rows = numbered(own, self.order, f"{self.root}/staging/{schema.table}")
-                store.commit(apply_events(self._base(spark, store, schema), rows, schema, diff_aware=self.diff_aware), number, {"model": schema.version})
-        unknown = events.where(~F.lower("table").isin(names)) if names else events
-        self._once(spark, f"parked:{number}", lambda: unknown.write.mode("append").parquet(f"{self.root}/parked"))
+                own = rows.where(F.lower("table") == name)
+                store.commit(apply_events(self._base(spark, store, schema), own, schema, diff_aware=self.diff_aware), number, {"model": schema.version})
+        unknown = rows.where(~F.lower("table").isin(names)) if names else rows
+        self._leave(unknown.drop("arrival", "seq"), "parked", number)
 
     def _base(self, spark: SparkSession, store: MirrorStore, schema: Schema) -> DataFrame:
         base = store.read()
@@ -93,17 +95,6 @@ class Delivery:
             return empty_mirror(spark, schema)
         return reshape(base, schema) if needs_migration(store.state().get("model"), schema.version) else base
 
-    def _append(self, spark: SparkSession, events: DataFrame, number: int) -> None:
-        """A batch has a folder of its own, and what says that it is there also has the last number: a batch that is repeated
-        after a failure gets the same numbers in the same place."""
-        state = self.state(spark)
-        if state.get(f"log:{number}") is not None:
-            return
-        base = int(state.get("seq", "0"))
-        rows = numbered(events, self.order, f"{self.root}/staging/log", base)
-        append_log(rows, f"{self.root}/log/batch={number}", mode="overwrite")
-        state.set({"seq": str(base + rows.count()), f"log:{number}": "done"})
-
     def log(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(f"{self.root}/log").where(F.col("table") == table).drop("table", "batch")
 
@@ -112,10 +103,10 @@ class Delivery:
 
 
 def deliver(stream: DataFrame, delivery: Delivery, checkpoint: str, seconds: float | None = None):
-    """Start delivery: a trigger every ``seconds``, or of what is there now."""
+    """Start delivery: a trigger every ``seconds``, or of what is there now. A start that fails for what may pass is tried again."""
     writer = stream.writeStream.foreachBatch(delivery).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")
-    return writer.start()
+    return retried(writer.start, "start")
 
 
 def without_repeats(events: DataFrame, time: str = "event_time", delay: str = "5 minutes") -> DataFrame:
