@@ -1,13 +1,17 @@
 """Quality rules with risk-controlled cutoffs.
 
-Four ratios of a text (RULES) may reject it, each beyond a cutoff. The cutoffs come from labelled documents: in each
-stratum (a length band of a language) and for each rule the candidate cutoffs are tried from the mildest on, and the
-strictest one is taken of which it is certain enough that it rejects at most a share ALPHA of good documents. Certain
-enough means that the exact binomial (Clopper-Pearson) upper bound at level DELTA / (strata x rules) is at most
-ALPHA / rules. Cutoffs of one rule are tried in order and the first failure ends the trial, so they need no
-correction among themselves; strata and rules are corrected for by Bonferroni's inequality. So with probability
-1 - DELTA no stratum loses more than ALPHA of its good documents. A stratum with too few labels gets no cutoff and
-rejects nothing by this method.
+Four ratios of a text (RULES) may reject it, each beyond a cutoff. How strict they are is a step on one fixed path: the first
+rule takes its candidate cutoffs from the mildest to the strictest, then the second joins in with its own, and so on. In
+each stratum of the labelled documents the steps are tried in that order, and one holds if it is certain enough that all rules
+together reject at most a share ALPHA of good documents: the exact binomial (Clopper-Pearson) upper bound at level
+DELTA / strata is at most ALPHA. The first failure ends the trial, so steps need no correction among themselves; strata are
+corrected for by Bonferroni's inequality. So with probability 1 - DELTA no stratum loses more than ALPHA of its good
+documents at any step that holds. Of these, the one is used that rejects the most bad documents in proportion, less the good
+ones; of equals the mildest.
+
+A stratum is a length band of a language. Those with fewer good labels than any certainty needs (a number that follows from
+ALPHA, DELTA and how many strata there are) are one stratum together. If that has too few as well, it rejects nothing by
+this method.
 """
 
 from __future__ import annotations
@@ -17,9 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidelog.llm.shared import keep, small_batches
 from tidelog.llm.words import Words, as_bytes, chunks, mix
@@ -27,14 +31,16 @@ from tidelog.llm.words import Words, as_bytes, chunks, mix
 ALPHA, DELTA = 0.02, 0.05
 #: Lower ends of the length bands, in words.
 BANDS = (0, 150)
-#: Rule: measure over which other, and candidate cutoffs of the ratio from the mildest on.
-_STEPS = tuple(float(x) for x in (0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05))
+#: Candidate cutoffs of a ratio, the mildest first.
+CUTOFFS = (0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05)
+#: Rule: measure over which other, in the order of the path.
 RULES = {
-    "symbols": ("n_symbols", "word_chars", _STEPS),
-    "bangs": ("n_bangs", "word_chars", _STEPS),
-    "repeats": ("n_repeat_words", "n_words", _STEPS),
-    "lines": ("n_dup_lines", "n_lines", _STEPS),
+    "symbols": ("n_symbols", "word_chars"),
+    "bangs": ("n_bangs", "word_chars"),
+    "repeats": ("n_repeat_words", "n_words"),
+    "lines": ("n_dup_lines", "n_lines"),
 }
+STEPS = len(RULES) * len(CUTOFFS)
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_bangs", "n_lines"]
 _U = np.uint64
 _SYMBOL, _BANG = np.zeros(256, np.int64), np.zeros(256, np.int64)
@@ -102,73 +108,70 @@ def upper_bound_holds(rejected: int, n: int, share: float, level: float) -> bool
     return top + math.log(np.exp(logs - top).sum()) <= math.log(level)
 
 
+def least_trials(share: float, level: float) -> int:
+    """Trials without a hit from which on upper_bound_holds can hold."""
+    return math.ceil(math.log(level) / math.log1p(-share))
+
+
 def _band(words):
     return sum((words >= low).cast("int") for low in BANDS) - 1
 
 
 def _ratio(rule: str):
-    top, under, _ = RULES[rule]
+    top, under = RULES[rule]
     return F.col(top) / F.greatest(F.col(under), F.lit(1))
 
 
-def calibrate(measured: DataFrame, labels: DataFrame, id_col: str, lang_col: str, label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """The cutoff of each stratum and rule that got one: lang, band, rule, cutoff.
+def first_step():
+    """The first step of the path that rejects a row, from 0; STEPS if none does."""
+    milder = lambda r: F.size(F.filter(F.array(*[F.lit(c) for c in CUTOFFS]), lambda c: _ratio(r) <= c))
+    return F.least(*[F.when(_ratio(r) > min(CUTOFFS), k * len(CUTOFFS) + milder(r)).otherwise(STEPS) for k, r in enumerate(RULES)])
+
+
+def calibrate(facts: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str | None, int] | None, int]:
+    """How many steps of the path are used in each stratum (lang, band) that is one of its own, and in the others' common
+    stratum (None).
 
-    All labelled documents that pass the base rules count (a document labelled twice counts as good if either
-    label says so). What reaches one task is counts by stratum, rule and cutoff.
+    ``facts`` has id, lang, measures and base_failed, ``labels`` id and good. All labelled documents that pass the base rules
+    count. What reaches the driver is a count by stratum, label and step.
     """
-    good = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("good")).where("good = 1")
-    rows = measured.where("not base_failed").join(good.select(id_col), id_col, "left_semi")
-    beyond = [F.struct(F.lit(r).alias("rule"), F.array(*[(_ratio(r) > c).cast("long") for c in RULES[r][2]]).alias("beyond")) for r in RULES]
-    rows = rows.select(F.col(lang_col).alias("lang"), _band(F.col("n_words")).alias("band"), F.inline(F.array(*beyond)))
-    width = len(_STEPS)
-    counts = rows.groupBy("lang", "band", "rule").agg(F.count("*").alias("n"), *[F.sum(F.col("beyond")[k]).alias(f"b{k}") for k in range(width)])
-    counts = counts.withColumn("tests", F.count("*").over(Window.partitionBy()).cast("double"))
-    share = alpha / len(RULES)
-
-    @F.pandas_udf(DoubleType())
-    def strictest(n, tests, beyond):
-        import pandas as pd
-
-        out = []
-        for total, m, hits in zip(n, tests, beyond, strict=True):
-            taken = None
-            for cutoff, rejected in zip(_STEPS, hits, strict=True):
-                if not upper_bound_holds(int(rejected), int(total), share, delta / m):
-                    break
-                taken = cutoff
-            out.append(taken)
-        return pd.Series(out, dtype="float64")
-
-    cut = strictest("n", "tests", F.array(*[f"b{k}" for k in range(width)]))
-    return counts.select("lang", "band", "rule", cut.alias("cutoff")).where("cutoff is not null and not isnan(cutoff)")
+    rows = facts.where("not base_failed").join(labels, "id").select("lang", _band(F.col("n_words")).alias("band"), "good", first_step().alias("step"))
+    counts: dict = {}
+    for r in rows.groupBy("lang", "band", "good", "step").count().collect():
+        counts.setdefault((r["lang"], r["band"]), np.zeros((2, STEPS + 1), np.int64))[int(r["good"]), r["step"]] += r["count"]
+    level = delta / (sum(bool(n[1].any()) for n in counts.values()) + 1)
+    least = least_trials(alpha, level)
+    own = {k: n for k, n in counts.items() if n[1].sum() >= least}
+    own[None] = sum((n for k, n in counts.items() if k not in own), np.zeros((2, STEPS + 1), np.int64))
+    used = {}
+    for stratum, n in own.items():
+        bad, good = np.cumsum(n, axis=1).tolist()
+        held = next((k for k in range(STEPS) if not upper_bound_holds(good[k], good[-1], alpha, level)), STEPS)
+        gain = [0] + [bad[k] * good[-1] - good[k] * bad[-1] for k in range(held)]
+        used[stratum] = gain.index(max(gain))
+    return used
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality", alpha: float = ALPHA, delta: float = DELTA, keep_text: bool = True) -> DataFrame:
     """Every row of docs with MEASURES, ``base_failed`` and ``kept``.
 
     Base rules reject texts of fewer than 50 words or with over half of their words in repeated runs of three; the
-    others are kept unless they are beyond a cutoff of their stratum (see above). ``labels`` has one 0/1 label
-    (1: good) per document; labels of unknown documents and null labels don't count. A null text has no words; a
-    null language is a language of its own; repeated rows are judged alike. Columns of docs with the names of new
-    ones are replaced. The cutoffs (one row per stratum) meet the documents in an equi-join, of which Spark
-    broadcasts the small side only if its measured size allows, and splits a hot stratum otherwise. With
-    ``keep_text=False`` the text is left out of the result, and texts are measured once instead of twice.
+    others are kept unless a step that is used in their stratum rejects them (see above). ``labels`` has one 0/1 label
+    (1: good) per document; a document labelled twice is good if either label says so; labels of unknown documents and
+    null labels don't count. A null text has no words, a null language is a language of its own, very long texts are
+    measured whole, and repeated rows are judged alike. A ratio equal to a cutoff is not beyond it. Columns of docs with the
+    names of new ones are replaced; others stay as they are. An empty table gives an empty one. With
+    ``keep_text=False`` the text is left out of the result.
     """
-    docs = docs.drop("base_failed", "kept", "reject_cutoffs")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    names = [c for c in docs.columns if c not in MEASURES]
-    if keep_text:
-        judged = with_measures(docs, text_col).withColumn("base_failed", base)
-        facts = keep(with_measures(docs.select(id_col, lang_col, text_col), text_col).drop(text_col).withColumn("base_failed", base), "measures")
-    else:
-        names.remove(text_col)
-        facts = judged = keep(with_measures(docs, text_col).drop(text_col).withColumn("base_failed", base), "measures")
-    cutoffs = calibrate(facts, labels, id_col, lang_col, label_col, alpha, delta)
-    cutoffs = keep(cutoffs.groupBy("lang", "band").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("reject_cutoffs")), "cutoffs")
-    cutoffs = cutoffs.select(F.col("lang").alias("of_lang"), F.col("band").alias("of_band"), "reject_cutoffs")
-    judged = judged.withColumn("of", _band(F.col("n_words"))).join(cutoffs, F.col(lang_col).eqNullSafe(F.col("of_lang")) & (F.col("of") == F.col("of_band")), "left")
-    bad = F.lit(False)
-    for rule in RULES:
-        bad = bad | F.coalesce(_ratio(rule) > F.col("reject_cutoffs")[rule], F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~bad).select(*names, *MEASURES, "base_failed", "kept")
+    judged = with_measures(docs.drop("base_failed", "kept"), text_col).withColumn("base_failed", base)
+    judged = keep(judged if keep_text else judged.drop(text_col), "measures")
+    facts = judged.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), *MEASURES, "base_failed")
+    given = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) == 1).alias("good"))
+    steps = calibrate(facts, given, alpha, delta)
+
+    held = F.lit(steps[None])
+    for stratum, k in steps.items():
+        if stratum is not None:
+            held = F.when(F.col(lang_col).eqNullSafe(F.lit(stratum[0])) & (_band(F.col("n_words")) == stratum[1]), F.lit(k)).otherwise(held)
+    return judged.withColumn("kept", ~F.col("base_failed") & (first_step() >= held))

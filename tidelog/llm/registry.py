@@ -148,7 +148,8 @@ def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotes(table(spark, sf_dir, "conversations")).withColumn("own_sha256", F.sha2("own_text", 256)).drop("own_text")
 
 
-# Strata are length bands of languages; a cutoff holds if the binomial sum up to its hits is at most 0.05 over the tests.
+# Steps of the path: rule by rule, from the mildest cutoff on. One holds if the binomial sum up to its hits is at most 0.05 over
+# the strata.
 OP6_SQL = r"""
 with d as (
   select doc_id, lang, row_number() over () rid, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
@@ -170,25 +171,32 @@ j as (
 ratios as (
   select rid, doc_id, lang, band, base_failed, unnest(['symbols', 'bangs', 'repeats', 'lines']) rule,
          unnest([ratio.symbols, ratio.bangs, ratio.repeats, ratio.lines]) r from j),
-good as (select doc_id from labels where quality is not null and doc_id is not null group by doc_id having max(quality) = 1),
-steps as (select unnest([0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05])::double cut, unnest(range(15)) step),
-held as (select lang, band, rule, r from ratios where not base_failed and doc_id in (select doc_id from good)),
-counts as (
-  select lang, band, rule, cut, step, count(*) n, count(*) filter (where r > cut) hits from held, steps group by all),
-tests as (select count(*) m from (select distinct lang, band, rule from counts)),
-sums as (
-  select lang, band, rule, cut, step, n, hits,
-         (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995))) from unnest(range(hits + 1)) z(i)) tail
-  from counts),
-bad as (select lang, band, rule, cut, step, coalesce(hits >= n or tail > 0.05 / m, true) fails from sums, tests),
-best as (
-  select lang, band, rule, min(cut) cutoff from bad b
-  where not exists (select 1 from bad o where o.lang is not distinct from b.lang and o.band = b.band and o.rule = b.rule and o.step <= b.step and o.fails)
-  group by all),
-rejected as (
-  select distinct rid from ratios r join best b on r.lang is not distinct from b.lang and r.band = b.band and r.rule = b.rule and r.r > b.cutoff)
+given as (
+  select doc_id, max(quality) = 1 good from labels where quality is not null and doc_id is not null group by doc_id),
+cuts as (select unnest([0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.05])::double cut, unnest(range(15)) nth),
+path as (select rule, cut, 15 * k + nth step from cuts, (select unnest(['symbols', 'bangs', 'repeats', 'lines']) rule, unnest(range(4)) k)),
+first as (select rid, min(step) step from ratios r join path p using (rule) where r.r > p.cut group by rid),
+held as (
+  select j.lang, j.band, g.good, coalesce(f.step, 60) step from j join given g using (doc_id) left join first f using (rid) where not base_failed),
+strata as (select lang, band, count(*) n from held where good group by lang, band),
+level as (select 0.05 / (count(*) + 1) p from strata),
+own as (select lang, band from strata, level where n >= ceil(ln(p) / ln(0.98))),
+named as (select step, good, o.band is not null own, o.lang, o.band from held h left join own o on o.lang is not distinct from h.lang and o.band = h.band),
+hits as (
+  select own, lang, band, p.step, count(*) filter (where good) n, count(*) filter (where good and h.step <= p.step) hits,
+         count(*) filter (where not good) n_bad, count(*) filter (where not good and h.step <= p.step) bad
+  from named h, path p group by own, lang, band, p.step),
+tests as (
+  select *, (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98))) from unnest(range(hits + 1)) z(i)) tail
+  from hits),
+passed as (select *, min(case when hits >= n or tail > p then step else 60 end) over (partition by own, lang, band order by step) = 60 holds from tests, level),
+used as (
+  select own, lang, band, arg_max(step, (bad * n - hits * n_bad, -step)) + 1 steps from passed
+  where holds and bad * n > hits * n_bad group by own, lang, band)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and rid not in (select rid from rejected) kept from j
+       not base_failed and coalesce(f.step, 60) >= coalesce(case when o.band is null then c.steps else u.steps end, 0) kept
+from j left join first f using (rid) left join own o on o.lang is not distinct from j.lang and o.band = j.band
+  left join used u on u.own and u.lang is not distinct from j.lang and u.band = j.band left join used c on not c.own
 """
 
 OP7_SQL = r"""
