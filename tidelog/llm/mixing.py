@@ -62,7 +62,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     key, size (words of the text; of a null one 0), source_size, target and taken.
     Null sources are a source of their own, null ids and repeated rows take part as rows. Documents without words
     are taken 0 times. No document gives more than ``most`` times its words. An empty table gives empty tables.
-    Reruns give the same mix, as the order follows only id, source and size.
+    Reruns give the same mix, as the order follows only id, source and size; rows alike in these are interchangeable. Very long
+    texts are cut over several blocks. Other columns of docs are ignored.
 
     Documents are put in order in groups of about ORDERED by the first bits of their hash and slots are ranked in
     runs of RANKED, with sums over groups and runs added, so one source may hold any share of the rows.
@@ -86,9 +87,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     at = at.withColumn("row", F.row_number().over(inside)).withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
     at = at.join(base, ["number", "group"]).withColumn("start", F.col("base") + F.col("upto") - F.col("size")).drop("base", "upto")
 
-    # its pieces, by block
-    blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)))
-    pieces = at.withColumn("block", F.explode_outer(blocks))
+    # its pieces, by block; a document without words has one in a block that no slot takes, of many so that they don't meet
+    none = F.array(-1 - F.pmod(F.xxhash64("key"), F.lit(1 << 20)))
+    blocks = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).otherwise(none)
+    pieces = at.withColumn("block", F.explode(blocks))
     edge = F.col("block") * block
     pieces = pieces.withColumn("lo", F.greatest(F.col("start") - edge, F.lit(0))).withColumn("hi", F.least(F.col("start") + F.col("size") - edge, F.lit(block).cast("long")))
 
