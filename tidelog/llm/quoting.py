@@ -19,8 +19,6 @@ from tidelog.llm.shared import drop, keep, new_path
 
 _MARKS = r"^(?:[ \t]*>)+"
 _INTRODUCES = r"(?i)(wrote|writes|schrieb|escribió|a écrit)\s*:\s*$"
-#: Turns that one task puts in order: windows go over this many turns of a conversation, and over their maxima.
-SPAN = 4096
 _FIRST = -(1 << 40)
 
 
@@ -43,15 +41,15 @@ def parse(text: Column) -> Column:
     return F.transform(marked, lambda x: F.struct(F.when(x["intro"], F.lit(-1)).otherwise(x["level"]).alias("level"), x["text"].alias("text")))
 
 
-def _last_before(df: DataFrame, keys: list[str], value: Column, out: str) -> DataFrame:
-    """The greatest value of the rows of equal keys with a smaller turn. Windows cover SPAN turns of a key, and a row per
-    SPAN turns."""
-    df = df.withColumn("_span", F.floor(F.col("at") / SPAN)).withColumn("_v", value)
-    inside = Window.partitionBy(*keys, "_span").orderBy("at").rangeBetween(Window.unboundedPreceding, -1)
-    spans = df.groupBy(*keys, "_span").agg(F.max("_v").alias("_m"))
-    spans = spans.withColumn("_before", F.max("_m").over(Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1))).drop("_m")
-    df = df.withColumn("_in", F.max("_v").over(inside)).join(spans, [*keys, "_span"])
-    return df.withColumn(out, F.coalesce("_in", "_before")).drop("_span", "_v", "_in", "_before")
+def _last_before(df: DataFrame, keys: list[str], value: Column, out: str, spans: DataFrame) -> DataFrame:
+    """The greatest value of the rows of equal keys with a smaller turn. Rows of one turn are made one first; windows then go
+    over the turns of a key in one span, and over a row per span."""
+    turns = df.groupBy(*keys, "at").agg(F.max(value).alias("_v")).join(spans, ["c", "at"])
+    inside = Window.partitionBy(*keys, "span").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    whole = turns.groupBy(*keys, "span").agg(F.max("_v").alias("_m"))
+    whole = whole.withColumn("_before", F.max("_m").over(Window.partitionBy(*keys).orderBy("span").rowsBetween(Window.unboundedPreceding, -1))).drop("_m")
+    turns = turns.withColumn("_in", F.max("_v").over(inside)).join(whole, [*keys, "span"])
+    return df.join(turns.select(*keys, "at", F.coalesce("_in", "_before").alias(out)), [*keys, "at"])
 
 
 def _jump(df: DataFrame, name: str) -> DataFrame:
@@ -78,8 +76,8 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
 
     Equal rows are one message with their number of copies. A null text is empty; null turns come first, and messages of
     one turn answer what comes before that turn; a null conversation is one of its own; an empty table stays empty. All
-    steps are joins, aggregations and windows over a bounded number of turns, so one conversation may hold any share of
-    the rows; replies are followed by doubling, in rounds that grow with the logarithm of the longest conversation.
+    steps are joins, aggregations and windows over a bounded number of messages, so one conversation or turn may hold any share
+    of the rows; very long texts are cut into their lines; further columns are ignored; replies are followed by doubling, in rounds that grow with the logarithm of the longest conversation.
     """
     conv, turn = F.col(conv_col), F.col(turn_col)
     rows = messages.groupBy(conv.alias("conv"), turn.cast("long").alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")).agg(F.count("*").alias("copies"))
@@ -91,6 +89,12 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     rows = rows.withColumn("lines", F.when(F.exists("lines", lambda x: x["level"] > 0), F.col("lines")))
     rows = keep(rows.select("conv", "turn", "role", "copies", "c", "node", "at", "own_text", "lines"), "messages")
 
+    # spans: ranges of conversation, turn and name with about equally many messages, so windows within one are bounded
+    # whatever turns look like; a turn belongs to the first span that has it
+    placed = rows.select("c", "node", "at").repartitionByRange("c", "at", "node").withColumn("own_span", F.spark_partition_id())
+    placed = keep(placed, "placed")
+    spans = keep(placed.groupBy("c", "at").agg(F.min("own_span").alias("span")), "spans")
+
     # passages: runs of lines of one level
     each = rows.where("lines is not null").select("c", "node", "at", F.posexplode("lines").alias("k", "line"))
     each = each.select("c", "node", "at", "k", "line.level", "line.text")
@@ -106,25 +110,24 @@ def link_quotes(messages: DataFrame, conv_col: str = "conv_id", turn_col: str =
     told = told.join(asked.select("c", "hash").distinct(), ["c", "hash"], "left_semi")
     source = F.struct("at", "node")
     both = asked.withColumn("source", F.lit(None).cast("struct<at:bigint,node:binary>")).unionByName(told.withColumn("source", source), allowMissingColumns=True)
-    matched = _last_before(both, ["c", "hash"], F.col("source"), "found").where("level is not null and found is not null")
+    matched = _last_before(both, ["c", "hash"], F.col("source"), "found", spans).where("level is not null and found is not null")
     votes = matched.groupBy("node", "level", "passage", "found").agg(F.count("*").alias("n"))
     linked = votes.groupBy("node").agg(F.countDistinct("passage").alias("n_linked"))
     best = votes.groupBy("node", "level", "found").agg(F.sum("n").alias("n")).groupBy("node").agg(F.max(F.struct((-F.col("level")).alias("low"), "n", "found")).alias("best"))
     passages = quoted.groupBy("node").agg(F.count("*").alias("n_quotes"))
 
     # texts are joined last: what moves until then are names
-    tree = _last_before(rows.select("c", "node", "at"), ["c"], source, "previous")
+    tree = _last_before(placed, ["c"], source, "previous", spans)
     tree = tree.join(best.select("node", F.col("best.found").alias("answered")), "node", "left").join(linked, "node", "left").join(passages, "node", "left")
     tree = tree.withColumn("parent", F.coalesce("answered", "previous"))
     tree = keep(tree.drop("answered", "previous"), "tree")
 
     # reading order: first answer, else next answer to the same message, else that of the nearest message above that has one
-    up = tree.select("c", "node", "at", F.coalesce("parent.node", "c").alias("above"))
-    span = up.withColumn("span", F.floor(F.col("at") / SPAN))
+    up = tree.select("c", "node", "at", F.coalesce("parent.node", "c").alias("above"), F.col("own_span").alias("span"))
     in_span = Window.partitionBy("above", "span").orderBy("at", "node")
-    firsts = span.groupBy("above", "span").agg(F.min(F.struct("at", "node")).alias("first"))
+    firsts = up.groupBy("above", "span").agg(F.min(F.struct("at", "node")).alias("first"))
     firsts = firsts.withColumn("later", F.lead("first.node").over(Window.partitionBy("above").orderBy("span"))).drop("first")
-    beside = span.withColumn("next", F.lead("node").over(in_span)).join(firsts, ["above", "span"]).select("c", "node", "above", F.coalesce("next", "later").alias("beside"))
+    beside = up.withColumn("next", F.lead("node").over(in_span)).join(firsts, ["above", "span"]).select("c", "node", "above", F.coalesce("next", "later").alias("beside"))
     beside = keep(beside, "beside")
     child = up.groupBy("above").agg(F.min(F.struct("at", "node")).alias("first")).select(F.col("above").alias("of"), F.col("first.node").alias("child"))
     climb = beside.select("node", F.when(F.col("beside").isNull() & (F.col("above") != F.col("c")), F.col("above")).alias("next"), F.lit(0).cast("long").alias("far"), F.col("node").alias("end"))
