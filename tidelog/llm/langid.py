@@ -1,9 +1,9 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
 Training counts all n-grams of the labelled texts by language. An n-gram belongs to each language in which it is at
-least SHARE times as frequent as in the language where it is most frequent; per language the most frequent ones, up
-to FEATURES, go into the filter. The filter is an array of bit masks, one bit per language: an n-gram sets its
-languages' bits in HASHES slots, and the AND of its slots returns all languages that contain it at once.
+least SHARE times as frequent as in the language where it is most frequent. The filter is an array of bit masks, one bit
+per language: an n-gram sets its languages' bits in HASHES slots, and the AND of its slots returns all languages that
+contain it at once.
 A text's score for a language is the share of its n-grams that the filter assigns to it, corrected for the share
 that a filter so full assigns by chance.
 """
@@ -16,14 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField
 
-from tidelog.llm.shared import keep, small_batches
+from tidelog.llm.shared import keep, map_rows, small_batches
 from tidelog.llm.words import chunks, mix
 
 SIZES = (2, 3, 4)
-#: N-grams per language in the filter at most, and slots of the filter for each of them.
-FEATURES = 20_000
-SLOTS = 1 << 19
+#: Slots of the filter for each n-gram of the largest language, and in all (powers of two).
+SLOTS_A_GRAM = 16
+LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 22
 HASHES = 3
 SHARE = 0.5
 #: Distinct n-grams that a training task holds before it sends their counts on.
@@ -101,28 +102,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = end
 
 
+def slots_of(grams: np.ndarray, k: int, slots: int) -> np.ndarray:
+    """The slot of each n-gram by the k-th hash; ``slots`` is a power of two."""
+    return ((grams + _U(k) * ((grams >> _U(32)) | _U(1))) & _U(slots - 1)).astype(np.int64)
+
+
+def _set(langs: list[str], slots: int):
+    """(lang, gram) rows as the bits that they set: slot, word of the mask, and mask, OR-ed within a batch."""
+    place = {x: i for i, x in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            coded = batch.column(0).dictionary_encode()
+            lang = np.array([place[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
+            grams = batch.column(1).to_numpy().view(np.uint64)
+            words = max(len(langs) - 1, 0) // 64 + 1
+            at = np.concatenate([slots_of(grams, k, slots) for k in range(HASHES)]) * words + np.tile(lang // 64, HASHES)
+            bits = np.tile(_U(1) << (lang % 64).astype(np.uint64), HASHES)
+            order = np.argsort(at, kind="stable")
+            found, first = np.unique(at[order], return_index=True)
+            masks = np.bitwise_or.reduceat(bits[order], first) if len(found) else bits
+            yield pa.RecordBatch.from_arrays([pa.array(found // words), pa.array(found % words), pa.array(masks.view(np.int64))], ["slot", "word", "mask"])
+
+    return run
+
+
 class Filter:
     """The trained filter: masks[slot, word] holds bits of the languages, 64 to a word."""
 
-    def __init__(self, langs: list[str], grams: np.ndarray, lang: np.ndarray):
-        self.langs = langs
-        self.masks = np.zeros((SLOTS, -(-max(len(langs), 1) // 64)), np.uint64)
-        for k in range(HASHES):
-            np.bitwise_or.at(self.masks, (self.slots(grams, k), lang // 64), _U(1) << (lang % 64).astype(np.uint64))
-        bits = np.array([np.count_nonzero((self.masks[:, i // 64] >> _U(i % 64)) & _U(1)) for i in range(len(langs))])
-        self.chance = (bits / SLOTS) ** HASHES
+    def __init__(self, langs: list[str], masks: np.ndarray):
+        self.langs, self.masks = langs, masks
+        bits = np.array([np.count_nonzero((masks[:, i // 64] >> _U(i % 64)) & _U(1)) for i in range(len(langs))])
+        self.chance = (bits / len(masks)) ** HASHES
 
-    @staticmethod
-    def slots(grams: np.ndarray, k: int) -> np.ndarray:
-        return ((grams + _U(k) * ((grams >> _U(32)) | _U(1))) & _U(SLOTS - 1)).astype(np.int64)
+    def languages(self, grams: np.ndarray) -> np.ndarray:
+        """The mask of all languages that contain each n-gram."""
+        mask = self.masks[slots_of(grams, 0, len(self.masks))]
+        for k in range(1, HASHES):
+            mask &= self.masks[slots_of(grams, k, len(self.masks))]
+        return mask
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A score for each text and language, and the letters of each text."""
         grams, text, count = ngrams(texts)
         n = np.bincount(text, minlength=len(texts))
-        mask = self.masks[self.slots(grams, 0)]
-        for k in range(1, HASHES):
-            mask &= self.masks[self.slots(grams, k)]
+        mask = self.languages(grams)
         out = np.zeros((len(texts), len(self.langs)))
         for i in range(len(self.langs)):
             hits = np.bincount(text, ((mask[:, i // 64] >> _U(i % 64)) & _U(1)).astype(np.float64), len(texts))
@@ -133,38 +157,39 @@ class Filter:
 def train(docs: DataFrame, text_col: str, lang_col: str) -> Filter:
     """A filter from all labelled texts (null text or language: not used).
 
-    N-grams are counted over all of them, per task first, then by a Spark aggregation. What reaches the driver
-    are FEATURES n-grams per language, found with a bounded top-k of each language; languages are the distinct
-    labels.
+    N-grams are counted over all of them, per task first, then by a Spark aggregation; all that belong to a language set its
+    bits, whichever counts are equal or small. The filter has SLOTS_A_GRAM slots for each n-gram of the largest language, up to
+    MOST_SLOTS, from where on it only fills further and more hits are by chance. Bits are OR-ed by a Spark aggregation: what
+    reaches the driver is a mask per slot that is used. Languages are the distinct labels; an empty table gives a
+    filter without any. Repeated rows count as often as they occur.
     """
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    small_batches(docs.sparkSession)
     counts = keep(rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rates = counts.join(F.broadcast(totals) if totals.limit(10_001).count() <= 10_000 else totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
     belongs = rates.withColumn("top", F.max("rate").over(Window.partitionBy("gram"))).where(F.col("rate") >= SHARE * F.col("top"))
-    # the top FEATURES of a language: of each of 64 parts first, then of what they leave
-    part = Window.partitionBy("lang", "part").orderBy(F.desc("n"), "gram")
-    whole = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    best = belongs.withColumn("part", F.pmod(F.xxhash64("gram"), F.lit(64))).withColumn("r", F.row_number().over(part)).where(F.col("r") <= FEATURES)
-    best = best.withColumn("r", F.row_number().over(whole)).where(F.col("r") <= FEATURES).select("lang", "gram")
-    found = best.toPandas()
-    langs = sorted(found["lang"].unique().tolist())
-    place = {x: i for i, x in enumerate(langs)}
-    return Filter(langs, found["gram"].to_numpy(np.int64).view(np.uint64), found["lang"].map(place).to_numpy(np.int64))
+    belongs = keep(belongs.select("lang", "gram"), "belongs")
+    sizes = {r["lang"]: r["count"] for r in belongs.groupBy("lang").count().collect()}
+    langs = sorted(sizes)
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (SLOTS_A_GRAM * max(sizes.values(), default=1) - 1).bit_length()))
+    found = belongs.mapInArrow(_set(langs, slots), "slot long, word long, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    masks = np.zeros((slots, max(len(langs) - 1, 0) // 64 + 1), np.uint64)
+    masks[found["slot"].to_numpy(np.int64), found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
+    return Filter(langs, masks)
 
 
 def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
     """Every row of docs with ``lang_pred`` and ``score`` (0 to 1); columns of docs with these names are replaced.
 
     Whole texts are scored, in chunks. A null text or one without a letter is ``und`` with score 0; so is every
-    text if the model knows no language. Ties go to the language that is first by code point. The filter is
-    broadcast (SLOTS masks, whatever the tables).
+    text if the model knows no language. Ties go to the language that is first by code point. Repeated rows are
+    scored alike, an empty table stays empty. The filter is broadcast (MOST_SLOTS masks at most, whatever the tables).
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index(text_col)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -180,4 +205,4 @@ def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame
                     pred, score = ["und"] * (j - i), np.zeros(j - i)
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return map_rows(docs, run, [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
