@@ -34,6 +34,11 @@ ENCODED = 4 << 20
 #: Words whose ids a worker remembers at most (some 100 MB).
 REMEMBERED = 600_000
 ROWS = 256
+#: Texts whose ids show whether white space, and marks after letters, separate pieces in a vocabulary.
+PROBES = [
+    "Two words", "a. b, c; d: e! f? g|", "A.B,c!?;:|", "end...", "end.' end.) end.\"", "don't. DON'T! we'll?", "x1. 1.5, 3:", "é. ß! Ωα? 日本. ı.", "a\tb\nc\x0bd\x0ce\rf",
+    " lead  and trail ", "<|x.|> <y.", "#a.# $b,$ a|b| |", "A", ".", "?!", "word.word word,word", "e\u0301. a\u00a0b. a\u3000b",
+]
 
 
 def _schema(kind: pa.DataType, length: int) -> pa.Schema:
@@ -61,15 +66,18 @@ class LibraryEncoder:
 
     White space separates pieces in the vocabularies used here, so a text's ids are those of its words (split at ASCII
     white space). Each word is encoded once per chunk of texts, and up to REMEMBERED words are remembered by a worker.
-    The vocabulary travels as JSON; one that does not lower-case and split at white space is refused.
+    The vocabulary travels as JSON; one whose ids of whole texts (PROBES) are not those of their parts is refused.
     """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             self.json = f.read()
-        if r"[^\\s" not in self.json or '"Lowercase"' not in self.json:
-            raise ValueError(f"{path}: white space does not separate pieces in this vocabulary")
-        self.size = max(self._load().get_vocab(with_added_tokens=True).values()) + 1
+        library = self._load()
+        self.size = max(library.get_vocab(with_added_tokens=True).values()) + 1
+        ids, at = LibraryEncoder.encode(self, pa.array(PROBES))
+        if any(library.encode(t, add_special_tokens=False).ids != ids[at[k] : at[k + 1]].tolist() for k, t in enumerate(PROBES)):
+            raise ValueError(f"{path}: words do not have ids of their own in this vocabulary")
+        del self.tokenizer, self.known
 
     def _load(self):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -114,12 +122,22 @@ class LibraryEncoder:
         return out, place[2 * words.offsets.to_numpy()]
 
 
+def arrow_uri(folder: str) -> str:
+    """A folder as Spark names it, as Arrow names it: s3a and s3n are s3, dbfs is a mounted path."""
+    for spark, arrow in (("s3a://", "s3://"), ("s3n://", "s3://"), ("dbfs:/", "file:///dbfs/")):
+        if folder.startswith(spark):
+            return arrow + folder[len(spark) :].lstrip("/" if arrow.startswith("file") else "")
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        return "file://" + folder[len("file:") :]
+    return folder if "://" in folder else f"file://{folder}"
+
+
 class ShardWriter:
     """Writes one shard as ids come; holds ROWS sequences at most. The files get their names when they are whole,
     so a task that is repeated replaces them by the same."""
 
     def __init__(self, folder: str, number: int, kind: pa.DataType, length: int = SEQUENCE):
-        self.fs, self.folder = pa.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        self.fs, self.folder = pa.fs.FileSystem.from_uri(arrow_uri(folder))
         self.fs.create_dir(self.folder, recursive=True)
         self.number, self.kind, self.length, self.tag = number, kind, length, uuid.uuid4().hex[:8]
         self.tokens = pa.ipc.new_file(self._sink("tokens"), _schema(kind, length))
@@ -171,7 +189,7 @@ class ShardReader:
     """Random access to a shard. On a local or mounted file system it is mapped, and rows are views."""
 
     def __init__(self, folder: str, number: int):
-        fs, path = pa.fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        fs, path = pa.fs.FileSystem.from_uri(arrow_uri(folder))
 
         def opened(name: str):
             whole = f"{path}/{name}-{number:05d}.arrow"
@@ -207,14 +225,16 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
 
     Returns the manifest: shard, docs, tokens and ``base``, the ids in all shards before it. Rows with a null id come
     first, rows with equal ids follow each other by text, and a null or empty text is just ``end_id``. An empty table
-    makes no shard. Documents are dealt out in ranges of their id (Spark splits or joins ranges by size), sorted, and
-    written while they are read; only one row per shard is summed up in one task.
+    makes no shard. Documents are dealt out in ranges of their id and the beginning of their text, so rows of one id may lie in
+    several; ranges are sorted, and written while they are read. Very long texts are encoded whole. Further columns are
+    ignored. Only one row per shard is summed up in one task.
     """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(LibraryEncoder(path))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    # the beginning of a text orders as texts do, and is short enough for the sample that the ranges come from
+    rows = rows.repartitionByRange(F.col("id").asc_nulls_first(), F.substring("text", 1, 32).asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, writer = shared.value, None
@@ -239,7 +259,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
 
 def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     """Every document in the files of a manifest: doc_id, start (ids of all documents before it), n_tokens and
-    ids_crc32, the CRC-32 of its ids as unsigned 32-bit little-endian integers. One task per shard reads it."""
+    ids_crc32, the CRC-32 of its ids as unsigned 32-bit little-endian integers. One task per shard reads it; documents longer
+    than a record batch are read in parts; an empty manifest gives no rows, and its further columns are ignored."""
     shards = max(manifest.count(), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
