@@ -9,7 +9,8 @@ can be missed. Only if a share of the links below 1 is asked for is it set from
 with all vectors, in blocks, and the limit is such that this share of the links found so lies within it, where each
 query counts alike, however many links it has. Every candidate is verified in double precision.
 
-The codebooks are fitted on a bounded sample, SAMPLE vectors; all vectors are indexed and compared. Equal vectors are one
+The codebooks are fitted on a sample (SAMPLE vectors, or SAMPLE_A_WORD per codeword, of which there are about as many as the
+root of the number of cells); all vectors are indexed and compared. Equal vectors are one
 entry with a count. Cells of more than BLOCK entries are split, and each pair of their blocks is a task of its own;
 links are summed up and turned into stars where they are found, never listed as pairs.
 """
@@ -27,10 +28,10 @@ from pyspark.sql import functions as F
 from tidelog.llm.components import components
 from tidelog.llm.shared import keep, small_batches
 
-SAMPLE, QUERIES = 16_384, 1_024
-#: Entries for a cell on average (if all links are wanted, so many cells are visited that they hold BLOCK), and codewords
-#: of a half at most.
-PER_CELL, MOST_WORDS = 512, 512
+#: Vectors that the codebooks are fitted on, or SAMPLE_A_WORD for each codeword of a half if these are more.
+SAMPLE, SAMPLE_A_WORD, QUERIES = 16_384, 32, 1_024
+#: Entries for a cell on average; if all links are wanted, so many cells are visited that they hold BLOCK.
+PER_CELL = 512
 BLOCK = 2048
 #: Visits that a task lists at once.
 LISTED = 1 << 20
@@ -39,16 +40,18 @@ BINS = 2000
 TOUCHING, ROUNDING = 1e-6, 1e-9
 
 
-def unit(raw: list, size: int) -> tuple[np.ndarray, np.ndarray]:
+def unit(raw: pa.ListArray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Unit vectors (shorter ones end with zeros), and which rows have one."""
-    out, ok = np.zeros((len(raw), size)), np.zeros(len(raw), bool)
-    for k, x in enumerate(raw):
-        if x is not None and len(x):
-            v = np.array(x, np.float64)  # null components become nan
-            top = np.abs(v).max()
-            if np.isfinite(top) and top > 0 and np.isfinite(v).all():
-                v /= top
-                out[k, : len(v)], ok[k] = v / math.sqrt(float(v @ v)), True
+    n = raw.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    out = np.zeros((len(n), size))
+    out[row, place] = raw.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)  # null components become nan
+    top = np.abs(out).max(1, initial=0)
+    ok = np.isfinite(top) & (top > 0)  # nan and infinity come through
+    out[~ok] = 0
+    out[ok] /= top[ok, None]
+    out[ok] /= np.sqrt(np.einsum("ij,ij->i", out[ok], out[ok]))[:, None]
     return out, ok
 
 
@@ -58,7 +61,7 @@ def _entries(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v, ok = unit(batch.column(1).to_pylist(), size)
+            v, ok = unit(batch.column(1), size)
             v += 0.0  # no negative zeros
             names = [xxhash.xxh3_64_intdigest(x.tobytes()) - (1 << 63) if o else None for x, o in zip(v, ok, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.int64()), pa.array([x.tobytes() if o else None for x, o in zip(v, ok, strict=True)], pa.binary())], ["id", "entry", "vector"])
@@ -219,11 +222,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     edges = None
     if total:
-        words = min(MOST_WORDS, max(2, math.isqrt(max(total // (BLOCK if recall >= 1 else PER_CELL), 1))))
-        # entry names are hashes, so the smallest are a fair sample
-        sample = [r[0] for r in entries.orderBy("entry").limit(SAMPLE).select("vector").collect()]
+        # cells grow in number with the vectors, not in size
+        words = max(2, math.isqrt(max(total // (BLOCK if recall >= 1 else PER_CELL), 1)))
+        # entry names are hashes, so the smallest are a fair sample; the queries are not of those that codebooks are fitted on
+        n = max(SAMPLE, SAMPLE_A_WORD * words)
+        sample = [r[0] for r in entries.orderBy("entry").limit(n + QUERIES * (recall < 1)).select("vector").collect()]
         sample = np.frombuffer(b"".join(sample), np.float64).reshape(-1, size)
-        index = Index(sample, words)
+        index = Index(sample[QUERIES * (recall < 1) :] if len(sample) > QUERIES else sample, words)
         farthest = 2 - 2 * threshold + ROUNDING
         index.limit = farthest if recall >= 1 else _limit(entries, index, sample[:QUERIES], size, threshold, recall, farthest)
         edges, degrees = _pairs(entries, index, size, threshold)
