@@ -117,6 +117,23 @@ def test_token_files(docs, corpus, library, tmp_path):
         assert not view.flags.owndata and pa.total_allocated_bytes() - before < view.nbytes
 
 
+def test_names_of_folders():
+    names = ["s3a://b/x", "s3n://b/x", "dbfs:/m/x", "file:/t/x", "file:///t/x", "/t/x", "hdfs://h/x"]
+    assert [tokenfile.arrow_uri(n) for n in names] == ["s3://b/x", "s3://b/x", "file:///dbfs/m/x", "file:///t/x", "file:///t/x", "file:///t/x", "hdfs://h/x"]
+
+
+def test_other_vocabularies_are_refused(tmp_path):
+    """One whose pieces keep marks with letters, or whose words have no ids of their own."""
+    import json
+
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"pre_tokenizer": {"type": "WhitespaceSplit"}}, {"pre_tokenizer": None}, {"normalizer": None}):
+        (tmp_path / "v.json").write_text(json.dumps(spec | change))
+        with pytest.raises(ValueError):
+            tokenfile.LibraryEncoder(str(tmp_path / "v.json"))
+
+
 def test_spans_over_batches(tmp_path):
     writer = tokenfile.ShardWriter(f"file://{tmp_path}", 3, pa.uint16(), length=8)
     ids = np.arange(8 * tokenfile.ROWS * 2 + 5) % 60_000

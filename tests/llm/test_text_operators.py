@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,11 +172,56 @@ def test_more_languages_than_a_word_has_bits():
     langs = [f"l{k:03d}" for k in range(70)]
     grams = np.concatenate([langid.ngrams([f"word{chr(97 + k % 26)}{chr(97 + k // 26)}q"])[0] for k in range(70)])
     of = np.repeat(np.arange(70), len(grams) // 70)
-    f = langid.Filter(langs, grams, of)
+    batch = pa.RecordBatch.from_arrays([pa.array([langs[k] for k in of]), pa.array(grams.view(np.int64))], ["lang", "gram"])
+    (bits,) = langid._set(langs, 1 << 16)(iter([batch]))
+    masks = np.zeros((1 << 16, 2), np.uint64)
+    masks[bits.column(0).to_numpy(), bits.column(1).to_numpy()] = bits.column(2).to_numpy().view(np.uint64)
+    f = langid.Filter(langs, masks)
     scores, _ = f.scores([f"word{chr(97 + k % 26)}{chr(97 + k // 26)}q" for k in (0, 65, 69)])
     assert (scores[[0, 1, 2], [0, 65, 69]] > 0.99).all()
 
 
+def test_language_against_exact_sets(spark):
+    """The filter against sets of n-grams made one by one: it contains all of them, others as rarely as it says, and so
+    scores are those of the sets."""
+    import random
+
+    r = random.Random(5)
+    letters = {"aa": "abcdef", "bb": "cdefgh", "cc": "ghijkl"}
+    say = lambda x, n: " ".join("".join(r.choices(letters[x], k=r.randrange(1, 6))) for _ in range(n))
+    rows = [(say(x, r.randrange(1, 60)), x) for x in letters for _ in range(40)]
+    rows += rows[:10] + [(None, "aa"), ("", "bb"), ("abc", None), ("x" * 5000, "cc")]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(4), "text", "lang")
+    counts = {x: Counter() for x in letters}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            counts[lang].update(langid.ngrams([text])[0].tolist())
+    rate = {x: {g: n / sum(c.values()) for g, n in c.items()} for x, c in counts.items()}
+    top = Counter()
+    for x in letters:
+        for g, v in rate[x].items():
+            top[g] = max(top[g], v)
+    sets = [{g for g, v in rate[x].items() if v >= langid.SHARE * top[g]} for x in sorted(letters)]
+    assert model.langs == sorted(letters)
+    every = np.array(sorted(top), np.uint64)
+    mask = model.languages(every)[:, 0]
+    for i, own in enumerate(sets):
+        has = ((mask >> np.uint64(i)) & np.uint64(1)).astype(bool)
+        exact = np.array([int(g) in own for g in every])
+        assert has[exact].all() and (has & ~exact).mean() <= model.chance[i] + 0.02
+    texts = [say(x, 20) for x in letters for _ in range(10)] + [say("aa", 10) + " " + say("cc", 12)]
+    scores, _ = model.scores(texts)
+    for k, t in enumerate(texts):
+        grams = langid.ngrams([t])[0].tolist()
+        want = [sum(g in own for g in grams) / len(grams) for own in sets]
+        assert np.abs(scores[k] - want).max() < 0.05
+        if sorted(want)[-1] - sorted(want)[-2] > 0.1:
+            assert scores[k].argmax() == int(np.argmax(want))
+    again = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(texts + texts)], "id long, text string, lang_pred string")
+    got = {r["id"]: (r["lang_pred"], r["score"]) for r in langid.predict(again, model).collect()}
+    assert all(got[k] == got[k + len(texts)] for k in range(len(texts)))
+
+
 def test_ngrams():
     def plain(t):
         w = "".join(c if c.isalpha() else " " for c in t.lower()).split()
@@ -222,6 +268,66 @@ def test_quotes(spark):
     assert out.where("copies = 2").count() == 1 and link_quotes(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_links_of_random_threads(spark, seed):
+    """Against a linker that looks at all earlier messages."""
+    import random
+
+    r = random.Random(seed)
+    rows, texts = [], []
+    vocabulary = [f"Line {k}  of it" for k in range(40)]
+    for turn in range(60):
+        lines = []
+        for _ in range(r.randrange(0, 3)):  # quoted passages, some of nobody
+            level = r.choice([1, 1, 1, 2, 3])
+            source = r.choice(texts)[1] if texts and r.random() < 0.8 else [f"nobody {r.random()}"]
+            part = source[r.randrange(len(source)) :][: r.choice([1, 2, 9])] if source else ["?"]
+            lines += [">" * level + " " + (x.upper() if r.random() < 0.3 else x.replace(" ", "  ")) for x in part]
+            lines += [r.choice(["", ">", "aside " + str(r.randrange(5))])]
+        own = [r.choice(vocabulary) for _ in range(r.randrange(0, 4))]
+        lines += own
+        if seed == 3 and turn == 20:
+            lines += [f"long {k}" for k in range(3000)]
+        text = "\n".join(lines)
+        texts.append((turn * 10**6, [x for x in lines if not x.startswith(">") and x.strip()], lines))
+        rows.append(("c", turn * 10**6, "u", text))
+    norm = lambda x: " ".join(x.split()).lower()
+    want = {}
+    for turn, _, lines in texts:
+        runs, last = [], None
+        for x in lines:
+            level = len(re.match(r"^(?:[ \t]*>)*", x)[0].replace(" ", ""))
+            x = re.sub(r"^(?:[ \t]*>)+[ ]?", "", x)
+            if level != last:
+                runs.append((level, []))
+            last = level
+            if x.strip():
+                runs[-1][1].append(x)
+        runs = [(k, p) for k, p in runs if k and p]
+        votes, linked = Counter(), 0
+        for level, part in runs:
+            hits = []
+            for unit in {norm(x) for x in part} | {norm(" ".join(part))}:
+                earlier = [t for t, own, _ in texts if t < turn and (unit in {norm(x) for x in own} or (own and unit == norm(" ".join(own))))]
+                hits += [max(earlier)] if earlier else []
+            linked += bool(hits)
+            for t in hits:
+                votes[level, t] += 1
+        best = max(((-level, n, t) for (level, t), n in votes.items()), default=None)
+        want[turn] = (len(runs), linked, best[2] if best else turn - 10**6 if turn else None)
+    out = link_quotes(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(5)).collect()
+    assert {x["turn"]: (x["n_quotes"], x["n_linked"], x["reply_turn"]) for x in out} == want
+
+
+def test_messages_of_one_turn(spark):
+    """However many messages share a turn, or have none, they answer what comes before it and are read by name."""
+    rows = [("c", None, "u", f"first {k}") for k in range(30)] + [("c", 5, "v", f"> first {k}\nanswer {k}") for k in range(30)]
+    out = link_quotes(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(4)).collect()
+    assert sorted(x["position"] for x in out) == list(range(1, 61)) and all(x["depth"] == (x["turn"] is not None) for x in out)
+    place = {x["own_text"]: x["position"] for x in out}
+    assert all(place[f"answer {k}"] == place[f"first {k}"] + 1 for k in range(30))
+
+
 def test_reading_order_of_a_long_conversation(spark):
     """Against a depth-first walk, with turns over several spans."""
     import random

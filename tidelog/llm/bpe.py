@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, BinaryType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 
-from tidelog.llm.shared import small_batches
+from tidelog.llm.shared import map_rows, small_batches
 from tidelog.llm.words import chunks
 
 HEAP = 512
@@ -269,7 +269,7 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", decode: boo
 
     Adds ``n_tokens``, ``ids`` (unsigned 32-bit little-endian integers as binary) and, if asked for, ``decoded``,
     the text that the ids stand for; columns of docs with these names are replaced. A null or empty text has no
-    ids and decodes to an empty text. ``path`` is a vocabulary file on the driver; it is broadcast (a few MB,
+    ids and decodes to an empty text; repeated rows are encoded alike; very long texts are encoded whole. ``path`` is a vocabulary file on the driver; it is broadcast (a few MB,
     whatever the table). One pass without a shuffle; chunks bound the memory of a task.
     """
     small_batches(docs.sparkSession)
@@ -292,7 +292,7 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", decode: boo
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), *new], [*batch.schema.names, *names])
 
     fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())] + [StructField("decoded", StringType())] * decode
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *fields]))
+    return map_rows(docs, run, fields)
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -306,7 +306,7 @@ def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             text = [shared.value.decode(np.frombuffer(x or b"", "<u4")).decode() for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*batch.schema.names, "decoded"])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("decoded", StringType())]))
+    return map_rows(rows, run, [StructField("decoded", StringType())])
 
 
 def digests(rows: DataFrame) -> list:

@@ -23,9 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField
 
-from tidelog.llm.shared import keep, small_batches
+from tidelog.llm.shared import keep, map_rows, small_batches
 from tidelog.llm.words import Words, as_bytes, chunks, mix
 
 ALPHA, DELTA = 0.02, 0.05
@@ -94,7 +94,7 @@ def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 found = measure(texts[i:j])
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), *(pa.array(found[m], pa.int64()) for m in MEASURES)], [*batch.schema.names, *MEASURES])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(m, LongType()) for m in MEASURES)]))
+    return map_rows(docs, run, [StructField(m, LongType()) for m in MEASURES])
 
 
 def upper_bound_holds(rejected: int, n: int, share: float, level: float) -> bool:

@@ -11,6 +11,7 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of one Arrow batch that goes to a Python worker.
 BATCH_BYTES = 8 << 20
@@ -18,11 +19,13 @@ _folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder of this session under spark.checkpoint.dir, which all executors share. A local folder
-    stands in only where that setting is absent, as in tests. It is removed when the driver ends."""
+    """A folder of this session under spark.checkpoint.dir, which all executors share. Only where driver and executors are one
+    process, as in tests, a local folder stands in for it. It is removed when the driver ends."""
     app = spark.sparkContext.applicationId
     if app not in _folders:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not root:
             root = "file://" + tempfile.mkdtemp(prefix="tidelog-")
         _folders[app] = f"{root.rstrip('/')}/tidelog-{uuid.uuid4().hex}"
@@ -56,6 +59,33 @@ def keep(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns(df: DataFrame) -> list[str]:
+    """The columns of df, quoted."""
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def by_place(df: DataFrame) -> DataFrame:
+    """df with the names c0, c1, ... of its columns: mapInArrow takes no names with dots or backticks."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+
+
+def map_rows(df: DataFrame, run, added: list[StructField]) -> DataFrame:
+    """mapInArrow of a function that adds columns to all of df, whatever their names."""
+    plain = by_place(df)
+    return plain.mapInArrow(run, StructType([*plain.schema.fields, *added])).toDF(*df.columns, *[f.name for f in added])
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python workers get, unless the session has set its own bound."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

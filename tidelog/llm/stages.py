@@ -8,60 +8,89 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.bpe import encode_texts
+from tidelog.llm.bpe import digests, encode_texts
 from tidelog.llm.jaccard import jaccard_join
 from tidelog.llm.mixing import WORD, mix, shuffle_key
 from tidelog.llm.quality import quality_rules
 from tidelog.llm.registry import table
+from tidelog.llm.shared import columns, unused
 from tidelog.llm.substring import remove_repeats
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, with cutoffs from the labels of sf_dir."""
-    return quality_rules(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
+    """Documents that the quality rules keep, with cutoffs from the labels of sf_dir.
+
+    Null and short texts fail the base rules and go; repeated rows are judged alike; other columns, whatever their names,
+    stay as they are.
+    """
+    mine = [c for c in docs.columns if c not in ("doc_id", "lang", "text")]
+    (row,) = unused(docs.select("doc_id", "lang", "text"), "row")
+    rest = F.struct(*[F.col(c) for c, name in zip(columns(docs), docs.columns, strict=True) if name in mine]).alias(row)
+    kept = quality_rules(docs.select("doc_id", "lang", "text", rest), table(spark, sf_dir, "labels")).where("kept")
+    return kept.select("doc_id", "lang", "text", f"{row}.*").select(*columns(docs))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (0.8 of their five-word shingles), the document with the smallest id.
 
     Rows that share that id are told apart by their text, of which one stays. Rows without an id stay: no other stage
-    could name them.
+    could name them. So do null and blank texts, which are near nothing. Other columns, whatever their names, stay.
     """
     found = jaccard_join(docs.select("doc_id", "text"), shingle=5, num=80, den=100).where("doc_id = component_id")
-    kept = found.groupBy("doc_id").agg(F.count("*").alias("_rows"))
-    joined = docs.where("doc_id is not null").join(kept, "doc_id")
-    once = joined.where("_rows = 1").select(*docs.columns)
-    more = joined.where("_rows > 1").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
-    return once.unionByName(more).unionByName(docs.where("doc_id is null"))
+    (n,) = unused(docs, "rows")
+    joined = docs.where("doc_id is not null").join(found.groupBy("doc_id").agg(F.count("*").alias(n)), "doc_id")
+    once = joined.where(F.col(n) == 1).drop(n)
+    more = joined.where(F.col(n) > 1).dropDuplicates(["doc_id", "text"]).drop(n)
+    return once.unionByName(more).unionByName(docs.where("doc_id is null")).select(*columns(docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated 35-word windows; those left without a word go. Texts that lose nothing
-    stay as they are."""
-    out = remove_repeats(docs, width=35).where("n_removed = 0 or n_removed < n_words")
-    out = out.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")))
+    stay as they are, null and blank ones too. Repeated rows lose all that is long enough. Other columns, whatever their names,
+    stay."""
+    own = dict(zip(("n_words", "n_removed", "kept_text"), unused(docs, "words", "removed", "kept"), strict=True))
+    (row,) = unused(docs.select("text"), "row")
+    others = F.struct(*[F.col(c) for c in columns(docs) if c != "`text`"]).alias(row)
+    out = remove_repeats(docs.select(others, "text"), width=35).where("n_removed = 0 or n_removed < n_words")
+    out = out.select(*[F.col(c).alias(a) for c, a in own.items()], "text", f"{row}.*")
+    cut = F.col(own["n_removed"]) > 0
+    out = out.withColumn("text", F.when(cut, F.col(own["kept_text"])).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*columns(docs))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: words taken by size, rounded. A document cut by the end of its source's
-    share is whole or absent."""
-    _, taken = mix(docs)
+    share is whole or absent, one without words is absent.
+
+    Rows alike in id, source and size share a key. Mostly all rows of a key are taken equally often; where a source's share
+    ends among them, some are taken once more, which are those that come first in the parts that docs is read in. Other columns,
+    whatever their names, stay.
+    """
+    _, taken = mix(docs.select("doc_id", "source", "text"))
+    key, part, nth, base, n, copy, low, high, more = unused(docs, *(f"mix_{x}" for x in ("key", "part", "nth", "base", "n", "copy", "low", "high", "more")))
     times = F.floor(F.try_divide("taken", "size") + 0.5).cast("int")
-    lists = taken.where("size > 0").groupBy("key").agg(F.sort_array(F.collect_list(times)).alias("_times"))
+    counts = taken.where("size > 0").select(F.col("key").alias(key), times.alias(n))
+    # along a source's stream the number changes by one at most once, so a key has two neighbouring numbers at most
+    counts = counts.groupBy(key).agg(F.min(n).alias(low), F.max(n).alias(high), F.sum(n).alias(n), F.count("*").alias(more))
+    counts = counts.where(F.col(high) > 0).select(key, low, high, (F.col(n) - F.col(low) * F.col(more)).alias(more))
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_key", shuffle_key(F.col("doc_id"), F.col("source"), size))
-    # rows alike in id, source and size share a key; each gets one of the key's numbers
-    rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("text")))
-    rows = rows.join(lists, rows["_key"] == lists["key"]).withColumn("_n", F.element_at("_times", F.col("_nth")))
-    return rows.where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    rows = docs.withColumn(key, shuffle_key(F.col("doc_id"), F.col("source"), size)).withColumn(part, F.spark_partition_id()).join(counts, key)
+    plain = rows.where(F.col(low) == F.col(high)).withColumn(n, F.col(low))
+    cut = rows.where(F.col(low) < F.col(high))
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    parts = cut.groupBy(key, part).agg(F.count("*").alias(base)).withColumn(base, F.coalesce(F.sum(base).over(before), F.lit(0)))
+    cut = cut.withColumn(nth, F.row_number().over(Window.partitionBy(key, part).orderBy("text"))).join(parts, [key, part])
+    cut = cut.withColumn(n, F.when(F.col(nth) + F.col(base) <= F.col(more), F.col(high)).otherwise(F.col(low))).drop(nth, base)
+    rows = plain.unionByName(cut).where(F.col(n) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
+    return rows.select(*columns(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document (32-bit little-endian), with their number and digest."""
+    """Token ids of every document (32-bit little-endian), with their number, their digest and that of the text that they decode to.
+    A null or empty text has none. Other columns are left out."""
     import public_tokenizers
 
-    rows = encode_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("word_bpe_49k.json"), decode=False)
-    return rows.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"))
+    rows = encode_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select("doc_id", "lang", "source", "n_tokens", "ids", *digests(rows))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidelog.llm.shared import bucket_count, keep, small_batches, split_by_bucket
+from tidelog.llm.shared import bucket_count, by_place, keep, small_batches, split_by_bucket
 from tidelog.llm.words import _STEP, Words, as_bytes, chunks, mix, powers
 
 #: Words at either end of a window whose symbols may depend on what lies outside: 2 for a run, then 2 and 4.
@@ -264,7 +264,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = 35) ->
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop("n_words", "n_removed", "kept_text")
-    text = docs.columns.index(text_col)
+    text, names = docs.columns.index(text_col), docs.columns
+    docs = by_place(docs)
     blocks = keep(docs.mapInArrow(_pack(text), "block long, words long, packed binary"), "blocks")
     total = blocks.agg(F.sum("words")).first()[0] or 0
     buckets = bucket_count(spark, total // 4), bucket_count(spark, total)
@@ -277,4 +278,5 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = 35) ->
     pairs = blocks.select("block", "packed").join(first, "block", "left")
     second = repeated(pairs.mapInArrow(_send_windows(text, width, buckets), _SENT), "second")
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
-    return pairs.join(second, "block", "left").mapInArrow(_finish(text, width, buckets), schema)
+    out = pairs.join(second, "block", "left").mapInArrow(_finish(text, width, buckets), schema)
+    return out.toDF(*names, "n_words", "n_removed", "kept_text")
