@@ -108,6 +108,10 @@ class Catalog(dict):
         """The schema of a table in one version of its model; None if it isn't known."""
         return self._versions.get((table.lower(), version))
 
+    def others(self, table: str) -> list[Schema]:
+        """The schemas of a table in the versions that are not in force."""
+        return [s for (name, v), s in self._versions.items() if name == table.lower() and v != self[table].version]
+
     def __getitem__(self, table: str) -> Schema:
         return super().__getitem__(table.lower())
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,17 +15,22 @@ def empty_mirror(spark, schema: Schema) -> DataFrame:
     return spark.createDataFrame([], schema.struct())
 
 
-def changes(events: DataFrame, schema: Schema, seq: str = "seq") -> DataFrame:
-    """What the fold needs of events: key, seq, whether they delete, the columns they are limited to, and the values.
+def changes(events: DataFrame, schema: Schema, seq: str = "seq", older: Iterable[Schema] = ()) -> DataFrame:
+    """What the fold needs of events: key, seq, whether they delete, the columns they are limited to, those that the version of
+    their model has (null: all), and the values.
 
-    ``seq`` is a column of their order of arrival. Deletes match the mirror's key by the segments after the first.
+    ``seq`` is a column of their order of arrival. Deletes match the mirror's key by the segments after the first. ``older``
+    are the table's schemas in other versions: an event of one of them sets no column that its version doesn't have.
     """
     names = schema.columns
     key = row_key(schema.keys)
     parsed = events.withColumn("_p", fields(payload(), names))
     values = F.struct(*[typed(F.col("_p").getField(n), schema.properties[n].spark_type).alias(n) for n in names])
     limited = F.when(is_update() & (F.coalesce(F.size("diff"), F.lit(0)) > 0), F.col("diff"))
-    return parsed.select(key.alias("key"), F.col(seq).cast("long").alias("seq"), is_delete().alias("deletes"), limited.alias("only"), values.alias("values"))
+    known = F.lit(None).cast("array<string>")
+    for s in older:
+        known = F.when(F.col("modelVersion") == s.version, F.array(*[F.lit(n) for n in s.columns if n in names]).cast("array<string>")).otherwise(known)
+    return parsed.select(key.alias("key"), F.col(seq).cast("long").alias("seq"), is_delete().alias("deletes"), limited.alias("only"), known.alias("known"), values.alias("values"))
 
 
 def fold(base: DataFrame, changed: DataFrame, schema: Schema, diff_aware: bool = True) -> DataFrame:
@@ -46,7 +53,7 @@ def fold(base: DataFrame, changed: DataFrame, schema: Schema, diff_aware: bool =
     live = changed.where("not deletes").join(gone.withColumnRenamed("key", "_k"), F.col("key") == F.col("_k"), "left").where("deleted is null or seq > deleted")
 
     def last(n: str) -> Column:
-        sets = F.col("only").isNull() | F.array_contains("only", n)
+        sets = (F.col("only").isNull() | F.array_contains("only", n)) & (F.col("known").isNull() | F.array_contains("known", n))
         return F.max_by(F.when(sets, F.struct(F.col("values").getField(n).alias("v"))), F.when(sets, F.col("seq"))).alias(f"last_{n}")
 
     net = live.groupBy("key").agg(F.min_by("values", "seq").alias("first"), *[last(n) for n in names])
@@ -71,5 +78,5 @@ def fold(base: DataFrame, changed: DataFrame, schema: Schema, diff_aware: bool =
     return both.select(*[key_value(i, n) for i, n in enumerate(schema.keys)], *[value(n) for n in names])
 
 
-def apply_events(base: DataFrame, events: DataFrame, schema: Schema, seq: str = "seq", diff_aware: bool = True) -> DataFrame:
-    return fold(base, changes(events, schema, seq), schema, diff_aware)
+def apply_events(base: DataFrame, events: DataFrame, schema: Schema, seq: str = "seq", diff_aware: bool = True, older: Iterable[Schema] = ()) -> DataFrame:
+    return fold(base, changes(events, schema, seq, older), schema, diff_aware)

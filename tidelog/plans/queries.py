@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import events as fe
-from tidelog.functions.hashing import broker_partition
+from tidelog.functions.hashing import broker_partition, xxhash32
 from tidelog.model import Property, Schema
 from tidelog.operators import evolve, filters, metrics, mirror, views
 from tidelog.plans import cdc
@@ -130,6 +130,21 @@ def mirror_arrival_order(spark, sf_dir):
     return mirror.apply_events(cdc.mirror(spark, sf_dir), e, cdc.ACCOUNTS, diff_aware=False).select("id", "kind")
 
 
+@query("""
+, last as (select entity, arg_max(deletes, seq) gone, max(seq) filter (where deletes) ld from ev group by entity),
+live as (select ev.* from ev join last using (entity) where not gone and not deletes and (ld is null or seq > ld)),
+net as (select entity, arg_max(amount, seq) amount, arg_max({'v': kind}, seq) filter (where seq % 4 <> 0) kind, arg_min({'v': kind}, seq) first from live group by entity),
+alive as (select * from base where not exists (select 1 from ev where ev.entity = base.id and deletes))
+select coalesce(alive.id, net.entity) id, case when net.entity is null then alive.amount else net.amount end amount,
+       case when net.kind is not null then net.kind.v when alive.id is not null then alive.kind else net.first.v end kind
+from alive full join net on alive.id = net.entity""")
+def mirror_older_version(spark, sf_dir):
+    """A fourth of the events are of a version without the column kind, which they leave as it is."""
+    older = dataclasses.replace(cdc.ACCOUNTS, version="0", properties={n: p for n, p in cdc.ACCOUNTS.properties.items() if n != "kind"})
+    e = cdc.events(spark, sf_dir).withColumn("modelVersion", F.when(F.col("seq") % 4 == 0, "0").otherwise("1"))
+    return mirror.apply_events(cdc.mirror(spark, sf_dir), e, cdc.ACCOUNTS, diff_aware=False, older=[older]).select("id", "amount", "kind")
+
+
 # projections
 
 
@@ -198,6 +213,12 @@ def partition_hash(spark, sf_dir):
     return cdc.events(spark, sf_dir).select("id", broker_partition(fe.partition_key()).alias("partition"))
 
 
+@query("""select * from (values ('', 46947589), ('a', 1426945110), ('abc', 852579327), ('Nobody inspects the spammish repetition', 3794352943)) v(text, hash)""", False)
+def hash_known_answers(spark, sf_dir):
+    texts = spark.createDataFrame([("",), ("a",), ("abc",), ("Nobody inspects the spammish repetition",)], "text string")
+    return texts.select("text", xxhash32("text").alias("hash"))
+
+
 @query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as utc, user_id as n, event_type as text from events", False)
 def typed_values(spark, sf_dir):
     e = cdc.load(spark, sf_dir, "events")
@@ -291,6 +312,19 @@ def export_lines(spark, sf_dir):
     return e.select("operation", fe.entity_id().alias("entity"), F.col("locationId").alias("company"), fe.json_field("after", "name").alias("name"), "timestamp", F.col("mvccTimestamp").alias("mvcc"), F.col("modelVersion").alias("version"))
 
 
+@query("select o_orderkey from orders where o_orderstatus in ('F', 'P')", False)
+def files_of_known_tables(spark, sf_dir):
+    """Export files of tables that a catalog knows; those of the others are passed over."""
+    names = cdc.load(spark, sf_dir, "orders").select(F.concat(F.lit("ORDERS_"), "o_orderstatus").alias("name")).where("name != 'ORDERS_O'")
+    status = cdc.load(spark, sf_dir, "orders").select(F.col("o_orderkey"), F.concat(F.lit("orders_"), F.lower("o_orderstatus")).alias("table"))
+    return filters.known_tables(_files(spark, sf_dir).join(status, "o_orderkey"), names).select("o_orderkey")
+
+
+@query("select count(*) as files, cast(sum(n_chars) as bigint) as bytes from documents", False)
+def transferred_bytes(spark, sf_dir):
+    return metrics.transferred(cdc.load(spark, sf_dir, "documents").select(F.col("n_chars").alias("length")))
+
+
 @query("select seq, company, row_number() over (partition by company order by seq) as place from ev")
 def key_order(spark, sf_dir):
     rows = metrics.flush_batches(cdc.events(spark, sf_dir), 1, ["companyId"], "seq")

@@ -27,7 +27,8 @@ class Delivery:
     ``mode`` is upsert (mirrors) or time_series (a log). Batches are committed by their number, and what else a batch leaves
     (broken messages, dead letters, events of unknown tables) lies in a folder of that number that is replaced, so a batch
     that Spark repeats after a failure changes nothing twice, wherever the first try stopped. A batch that fails ``attempts``
-    times goes to the dead-letter table, and the stream goes on. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time.
+    times goes to the dead-letter table, and the stream goes on. Events of an older version of a table's model set only the
+    columns that it had. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time.
     """
 
     root: str
@@ -85,7 +86,7 @@ class Delivery:
             store = self.mirror(spark, schema.table)
             if number > store.state()["batch"]:
                 own = rows.where(F.lower("table") == name)
-                store.commit(apply_events(self._base(spark, store, schema), own, schema, diff_aware=self.diff_aware), number, {"model": schema.version})
+                store.commit(apply_events(self._base(spark, store, schema), own, schema, diff_aware=self.diff_aware, older=self.catalog.others(name)), number, {"model": schema.version})
         unknown = rows.where(~F.lower("table").isin(names)) if names else rows
         self._leave(unknown.drop("arrival", "seq"), "parked", number)
 
