@@ -255,6 +255,27 @@ def test_state_survives_a_lost_driver(spark, tmp_path, monkeypatch):
     assert state.all() == {"seq": "8", "x": "1"}
 
 
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    numbers = Schema("orders", "1", {"id": Property("integer"), "name": Property(nullable=True)}, ("id",))
+    d = Delivery(str(tmp_path / "out"), Catalog([numbers]), buckets=8)
+
+    def batch(n, *events):
+        d(spark.createDataFrame([(json.dumps(e),) for e in events], "value string"), n)
+
+    batch(0, *[change(k, "insert", str(k), {"id": k, "name": "x"}) for k in range(40)])
+    first = d.mirror(spark, "orders").state()["at"]
+    assert len(first) == 8
+    batch(1, change(50, "update", "3", {"id": 3, "name": "y"}), change(51, "insert", "0099", {"id": 99, "name": "z"}), change(52, "delete", "7"))
+    store = d.mirror(spark, "orders")
+    got = {r["id"]: r["name"] for r in store.read().collect()}
+    assert got == {k: "x" for k in range(40) if k != 7} | {3: "y", 99: "z"}
+    assert 0 < sum(v == 1 for v in store.state()["at"].values()) <= 4
+    batch(2, *[change(60 + k, "delete", str(k)) for k in [*range(40), 99]])
+    batch(3, change(200, "insert", "5", {"id": 5}))
+    assert [r["id"] for r in d.mirror(spark, "orders").read().collect()] == [5]
+    assert sorted(n for n in os.listdir(tmp_path / "out/mirror/orders") if n.startswith("v=")) == ["v=3"]
+
+
 def test_batch_stopped_half_way(spark, tmp_path):
     """What a batch leaves beside its tables is there once, however often it is tried."""
     inbox, root = str(tmp_path / "in"), str(tmp_path / "out")

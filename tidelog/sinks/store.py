@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidelog.functions.events import key_text
 
 
 class Folder:
@@ -52,30 +56,55 @@ class Folder:
 
 
 class MirrorStore:
-    """A mirror table as versions v=0, v=1, ... and a pointer that also knows the last batch."""
+    """A mirror table in buckets by the hash of its key, each in some version v=0, v=1, ..., and a pointer to the versions in force
+    that also knows the last batch. A commit writes only the buckets that it is told of; versions that it replaces stay until
+    the commit after. Without keys there is one bucket."""
 
-    def __init__(self, spark: SparkSession, path: str, keep: int = 2):
-        self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
+    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = (), buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets if keys else 1
         self.folder = Folder(spark, path)
 
     def state(self) -> dict:
         text = self.folder.read("_CURRENT")
-        return json.loads(text) if text else {"version": -1, "batch": -1}
+        return json.loads(text) if text else {"version": -1, "batch": -1, "at": {}, "stale": []}
+
+    def bucket(self, key: Column) -> Column:
+        """The bucket of a row's key as text (functions.events.key_text)."""
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The rows of some buckets, or of all; None if nothing was committed."""
+        now = self.state()
+        if now["version"] < 0:
+            return None
+        schema = T.StructType.fromJson(now["schema"])
+        paths = [f"{self.path}/{self._place(b, v)}" for b, v in now["at"].items() if buckets is None or int(b) in buckets]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def read(self) -> DataFrame | None:
-        v = self.state()["version"]
-        return None if v < 0 else self.spark.read.parquet(f"{self.path}/v={v}")
+    @staticmethod
+    def _place(bucket: str, version: int) -> str:
+        return f"v={version}/_bucket={bucket}"
 
-    def commit(self, df: DataFrame, batch: int | None = None, more: dict | None = None) -> bool:
-        """Write df as the next version. A batch that was committed before is not written again (returns False)."""
+    def commit(self, df: DataFrame, batch: int | None = None, more: dict | None = None, buckets: list[int] | None = None) -> bool:
+        """Write df as the next version of some buckets, or of all. A batch that was committed before is not written again
+        (returns False)."""
         now = self.state()
         if batch is not None and batch <= now["batch"]:
             return False
         version = now["version"] + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.folder.write("_CURRENT", json.dumps(now | (more or {}) | {"version": version, "batch": now["batch"] if batch is None else batch}))
+        key = key_text([F.col(f"`{k}`") for k in self.keys]) if self.keys else F.lit("")
+        rows = df.withColumn("_bucket", self.bucket(key)).hint("rebalance", "_bucket")
+        rows.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/v={version}")
+        written = [n.partition("=")[2] for n in Folder(self.spark, f"{self.path}/v={version}").names() if n.startswith("_bucket=")]
+        at = {b: v for b, v in now["at"].items() if buckets is not None and int(b) not in buckets} | dict.fromkeys(written, version)
+        stale = [self._place(b, v) for b, v in now["at"].items() if at.get(b) != v]
+        for place in now["stale"]:  # neither pointer has them
+            self.folder.remove(place)
+        new = {"version": version, "batch": now["batch"] if batch is None else batch, "at": at, "stale": stale, "schema": df.schema.jsonValue()}
+        self.folder.write("_CURRENT", json.dumps(now | (more or {}) | new))
+        used = {version, *at.values(), *now["at"].values()}
         for name in self.folder.names():
-            if name.startswith("v=") and int(name[2:]) <= version - self.keep:
+            if name.startswith("v=") and int(name[2:]) not in used:
                 self.folder.remove(name)
         return True
 

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.events import key_text, row_key
 from tidelog.model import Catalog, Schema
 from tidelog.operators.evolve import needs_migration, reshape
 from tidelog.operators.filters import after_import, guarded
@@ -28,7 +29,7 @@ class Delivery:
     (broken messages, dead letters, events of unknown tables) lies in a folder of that number that is replaced, so a batch
     that Spark repeats after a failure changes nothing twice, wherever the first try stopped. A batch that fails ``attempts``
     times goes to the dead-letter table, and the stream goes on. Events of an older version of a table's model set only the
-    columns that it had. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time.
+    columns that it had. A mirror has ``buckets``, of which a batch rewrites those that it touches. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time.
     """
 
     root: str
@@ -37,11 +38,12 @@ class Delivery:
     cutoffs: DataFrame | None = None
     diff_aware: bool = True
     attempts: int = 5
+    buckets: int = 64
     sleep: Callable[[float], None] = time.sleep
     order: list[str] = field(default_factory=lambda: ["arrival"])
 
     def mirror(self, spark: SparkSession, table: str) -> MirrorStore:
-        return MirrorStore(spark, f"{self.root}/mirror/{table}")
+        return MirrorStore(spark, f"{self.root}/mirror/{table}", self.catalog[table].keys, self.buckets)
 
     def state(self, spark: SparkSession) -> KeyValues:
         return KeyValues(spark, f"{self.root}/state")
@@ -86,12 +88,25 @@ class Delivery:
             store = self.mirror(spark, schema.table)
             if number > store.state()["batch"]:
                 own = rows.where(F.lower("table") == name)
-                store.commit(apply_events(self._base(spark, store, schema), own, schema, diff_aware=self.diff_aware, older=self.catalog.others(name)), number, {"model": schema.version})
+                touched = self._touched(store, own, schema)
+                changed = apply_events(self._base(spark, store, schema, touched), own, schema, diff_aware=self.diff_aware, older=self.catalog.others(name))
+                store.commit(changed, number, {"model": schema.version}, touched)
         unknown = rows.where(~F.lower("table").isin(names)) if names else rows
         self._leave(unknown.drop("arrival", "seq"), "parked", number)
 
-    def _base(self, spark: SparkSession, store: MirrorStore, schema: Schema) -> DataFrame:
-        base = store.read()
+    def _touched(self, store: MirrorStore, events: DataFrame, schema: Schema) -> list[int] | None:
+        """The buckets that events may change: those of their keys, as they are and as the key's columns hold them. None is all,
+        as for a first version or a new shape."""
+        state = store.state()
+        if state["version"] < 0 or needs_migration(state.get("model"), schema.version):
+            return None
+        key, parts = row_key(schema.keys), F.from_json(row_key(schema.keys), "array<string>")
+        typed = [(key if len(schema.keys) == 1 else F.get(parts, F.lit(i))).try_cast(schema.properties[k].spark_type if k in schema.properties else "string") for i, k in enumerate(schema.keys)]
+        pairs = events.select(store.bucket(key).alias("a"), store.bucket(key_text(typed)).alias("b")).distinct().collect()
+        return sorted({b for pair in pairs for b in pair})
+
+    def _base(self, spark: SparkSession, store: MirrorStore, schema: Schema, buckets: list[int] | None) -> DataFrame:
+        base = store.read(buckets)
         if base is None:
             return empty_mirror(spark, schema)
         return reshape(base, schema) if needs_migration(store.state().get("model"), schema.version) else base
