@@ -44,6 +44,67 @@ def test_stages_on_nothing(spark, no_docs, sf):
         assert stage(spark, no_docs, sf).count() == 0
 
 
+def test_run_against_plain_versions(spark, sf):
+    """Each stage done one document, pair and window at a time; the first and the fourth by their SQL."""
+    import hashlib
+
+    import duckdb
+    import numpy as np
+    import pandas as pd
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    db = duckdb.connect()
+    labels = pd.read_parquet(f"{sf}/labels.parquet")  # noqa: F841
+    documents = pd.read_parquet(f"{sf}/documents.parquet")
+    good = db.sql(ORACLES["op6_quality_rules"]).df().query("kept").doc_id
+    now = documents[documents.doc_id.isin(good)].reset_index(drop=True)
+
+    words = [t.encode().lower().split() for t in now.text]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in words]
+    up = list(range(len(sets)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common):
+                up[find(a)] = find(b)
+    least = {}
+    for k, i in enumerate(now.doc_id):
+        least[find(k)] = min(i, least.get(find(k), i))
+    now = now[[least[find(k)] == i for k, i in enumerate(now.doc_id)]].reset_index(drop=True)
+
+    words = [t.encode().split() for t in now.text]
+    n = Counter(tuple(w[k : k + 35]) for w in words for k in range(len(w) - 34))
+    texts = []
+    for w, text in zip(words, now.text, strict=True):
+        gone = [False] * len(w)
+        for k in range(len(w) - 34):
+            if n[tuple(w[k : k + 35])] > 1:
+                gone[k : k + 35] = [True] * 35
+        texts.append(b" ".join(x for x, g in zip(w, gone, strict=True) if not g).decode() if any(gone) else text)
+    now = now.assign(text=texts)
+    now = now[now.text.str.strip() != ""]
+
+    documents = now
+    taken = db.sql(ORACLES["op1_source_mix"]).df()
+    times = {r.doc_id: int(r.taken / r.size_ + 0.5) for r in taken.rename(columns={"size": "size_"}).itertuples() if r.size_}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    library.no_padding()
+    want = Counter()
+    for i, text in zip(now.doc_id, now.text, strict=True):
+        ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
+        want[i, hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(library.decode(ids.tolist(), skip_special_tokens=False).encode()).hexdigest()] += times[i]
+    got = Counter((r["doc_id"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, sf).collect())
+    assert got == +want
+
+
 def test_run(spark, sf):
     rows = corpus_pipeline.run(spark, sf).collect()
     assert rows and all(r["n_tokens"] * 4 == len(r["ids"]) for r in rows)
