@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import components
-from tidelog.llm.shared import by_key_blocks, keep, small_batches
+from tidelog.llm.shared import by_key_blocks, keep, new_path, release, small_batches
 from tidelog.llm.words import Words, as_bytes, chunks, mix
 
 #: Members of a tree that one task traverses; larger trees are split.
@@ -412,14 +412,14 @@ def _compare(shape: Shape):
     return run
 
 
-def _verified(shape: Shape, texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+def _verified(shape: Shape, texts: DataFrame, pairs: DataFrame, path: str) -> DataFrame:
     """The pairs (a, b) of set ids that link, compared by their shingles. A set with very many partners is
     dealt over several tasks."""
     counts = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / STAR).cast("int").alias("salts"))
     own = texts.join(counts, texts.set_id == counts.a).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "z")
     others = pairs.join(counts, "a").join(texts, pairs.b == texts.set_id).select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), "b", "z")
     rows = own.unionByName(others).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return keep(rows.mapInArrow(_compare(shape), _PAIR), name)
+    return keep(rows.mapInArrow(_compare(shape), _PAIR), "linked", path)
 
 
 def _candidates(shape: Shape, trees: DataFrame, comps: DataFrame, facts: DataFrame, spanning: bool) -> DataFrame:
@@ -464,7 +464,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small_batches(spark)
     shape = Shape(shingle, num, den)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = keep(rows.mapInArrow(_sets(shape), "id long, n_shingles long, set_id long, bitmap binary, z binary"), "sets")
+    paths = {x: new_path(spark, x) for x in ("sets", "trees", "trees_live", "members", "facts", "star", "linked")}
+    sets = keep(rows.mapInArrow(_sets(shape), "id long, n_shingles long, set_id long, bitmap binary, z binary"), "sets", paths["sets"])
 
     # linked sets share a tree; the number of sets in each size band, of which there are few, gives the buckets
     band = F.size(F.filter(F.array(*[F.lit(int(x)) for x in shape.lows]), lambda x: x <= F.col("n_shingles"))) - 1
@@ -472,35 +473,43 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sent = rows.select("text").mapInArrow(_send(shape, buckets), "bucket long, packed binary")
     trees = sent.groupBy("bucket").applyInArrow(_trees, "tree long, center long, set_id long, keys_0 long, keys_1 long, least int")
     sums = [F.sum("keys_0").alias("keys_0"), F.sum("keys_1").alias("keys_1"), F.max("least").alias("least")]
-    trees = keep(trees.groupBy("tree", "center", "set_id").agg(*sums), "trees")
+    trees = keep(trees.groupBy("tree", "center", "set_id").agg(*sums), "trees", paths["trees"])
     # sets that share enough parts, and the trees in which two of them are left
     live = trees.groupBy("set_id").agg(*sums).where("keys_0 >= least or keys_1 >= least").select("set_id")
     trees = trees.select("tree", "set_id").join(live, "set_id")
     whole = trees.groupBy("tree").agg(F.min("set_id").alias("center"), F.count("*").alias("members")).where("members > 1")
-    trees = keep(trees.join(whole.select("tree", "center"), "tree"), "trees")
-    members = keep(trees.select("set_id").distinct(), "members")
+    trees = keep(trees.join(whole.select("tree", "center"), "tree"), "trees", paths["trees_live"])
+    release(spark, paths.pop("trees"))
+    members = keep(trees.select("set_id").distinct(), "members", paths["members"])
     known = sets.where("z is not null").join(members, "set_id").groupBy("set_id")
-    facts = keep(known.agg(F.first("n_shingles").alias("n_shingles"), F.max(F.struct("z", "bitmap")).alias("best")).select("set_id", "n_shingles", "best.bitmap", "best.z"), "facts")
+    facts = keep(known.agg(F.first("n_shingles").alias("n_shingles"), F.max(F.struct("z", "bitmap")).alias("best")).select("set_id", "n_shingles", "best.bitmap", "best.z"), "facts", paths["facts"])
+    # of each row only the name of its set is needed from here on
+    sets = keep(sets.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set_id")).alias("set_id")), "sets")
+    release(spark, paths.pop("sets"), paths.pop("members"))
     texts, facts = facts.select("set_id", "z"), facts.select("set_id", "n_shingles", "bitmap")
 
     # a few pairs that settle most copies: one for each set by id, then one by likeness
     star = trees.where("set_id != center").groupBy("set_id").agg(F.min("center").alias("a")).select("a", F.col("set_id").alias("b"))
-    tested = keep(star, "star")
-    links = _verified(shape, texts, tested, "linked")
+    tested = keep(star, "star", paths["star"])
+    links = _verified(shape, texts, tested, paths["linked"])
     comps = keep(components(links), "comps")
     trees = trees.select("tree", "set_id")
     # the last round compares all pairs that are left, of sets in different components; those before it only spare
     # it work, for which some of the trees are enough
     for spanning in (1, 2, 0):
         some = trees.where(F.pmod(F.xxhash64("tree"), F.lit(8)) == spanning) if spanning else trees
-        found = keep(_candidates(shape, some, comps, facts, spanning > 0).join(tested, ["a", "b"], "left_anti"), "found")
+        for x in ("found", "linked"):
+            paths[f"{x}_{spanning}"] = new_path(spark, x)
+        found = keep(_candidates(shape, some, comps, facts, spanning > 0).join(tested, ["a", "b"], "left_anti"), "found", paths[f"found_{spanning}"])
+        release(spark)
         if not found.limit(1).count():
             continue
         tested = tested.union(found)
-        links = links.union(_verified(shape, texts, found, "linked"))
+        links = links.union(_verified(shape, texts, found, paths[f"linked_{spanning}"]))
         comps = keep(components(links), "comps")
+    del trees, some, found, tested, links, texts, facts
+    release(spark, *paths.values())
 
-    sets = sets.drop("bitmap", "z").withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id")))
     least = sets.where("set_id is not null").groupBy("set_id").agg(F.min("id").alias("least"))
     named = least.join(comps, least.set_id == comps.node, "left").withColumn("component", F.coalesce("component", "set_id"))
     best = named.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -161,12 +161,16 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     null labels don't count. A null text has no words, a null language is a language of its own, very long texts are
     measured whole, and repeated rows are judged alike. A ratio equal to a cutoff is not beyond it. Columns of docs with the
     names of new ones are replaced; others stay as they are. An empty table gives an empty one. With
-    ``keep_text=False`` the text is left out of the result.
+    ``keep_text=False`` the text is left out of the result, and texts are measured once instead of twice.
     """
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = with_measures(docs.drop("base_failed", "kept"), text_col).withColumn("base_failed", base)
-    judged = keep(judged if keep_text else judged.drop(text_col), "measures")
-    facts = judged.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), *MEASURES, "base_failed")
+    if keep_text:  # measuring again costs less than a second copy of all texts
+        facts = with_measures(docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
+        facts = keep(facts.drop("text").withColumn("base_failed", base), "measures")
+    else:
+        judged = keep(judged.drop(text_col), "measures")
+        facts = judged.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), *MEASURES, "base_failed")
     given = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) == 1).alias("good"))
     steps = calibrate(facts, given, alpha, delta)
 

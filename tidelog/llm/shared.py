@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import math
 import re
 import tempfile
@@ -59,6 +60,15 @@ def keep(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, *paths: str) -> None:
+    """Delete tables that keep() wrote and nothing reads any more, and have Spark drop the shuffle files of steps that are done,
+    which it does when their plans are collected as garbage."""
+    for path in paths:
+        _remove(spark, path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def columns(df: DataFrame) -> list[str]:
     """The columns of df, quoted."""
     return ["`" + c.replace("`", "``") + "`" for c in df.columns]

@@ -13,7 +13,7 @@ from tidelog.llm.jaccard import jaccard_join
 from tidelog.llm.mixing import WORD, mix, shuffle_key
 from tidelog.llm.quality import quality_rules
 from tidelog.llm.registry import table
-from tidelog.llm.shared import columns, unused
+from tidelog.llm.shared import columns, release, unused
 from tidelog.llm.substring import remove_repeats
 
 
@@ -36,6 +36,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that share that id are told apart by their text, of which one stays. Rows without an id stay: no other stage
     could name them. So do null and blank texts, which are near nothing. Other columns, whatever their names, stay.
     """
+    release(spark)
     found = jaccard_join(docs.select("doc_id", "text"), shingle=5, num=80, den=100).where("doc_id = component_id")
     (n,) = unused(docs, "rows")
     joined = docs.where("doc_id is not null").join(found.groupBy("doc_id").agg(F.count("*").alias(n)), "doc_id")
@@ -48,6 +49,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated 35-word windows; those left without a word go. Texts that lose nothing
     stay as they are, null and blank ones too. Repeated rows lose all that is long enough. Other columns, whatever their names,
     stay."""
+    release(spark)
     own = dict(zip(("n_words", "n_removed", "kept_text"), unused(docs, "words", "removed", "kept"), strict=True))
     (row,) = unused(docs.select("text"), "row")
     others = F.struct(*[F.col(c) for c in columns(docs) if c != "`text`"]).alias(row)
@@ -68,6 +70,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ends among them, some are taken once more, which are those that come first in the parts that docs is read in. Other columns,
     whatever their names, stay.
     """
+    release(spark)
     _, taken = mix(docs.select("doc_id", "source", "text"))
     key, part, nth, base, n, copy, low, high, more = unused(docs, *(f"mix_{x}" for x in ("key", "part", "nth", "base", "n", "copy", "low", "high", "more")))
     times = F.floor(F.try_divide("taken", "size") + 0.5).cast("int")

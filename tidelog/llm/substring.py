@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidelog.llm.shared import bucket_count, by_place, keep, small_batches, split_by_bucket
+from tidelog.llm.shared import bucket_count, by_place, keep, release, small_batches, split_by_bucket
 from tidelog.llm.words import _STEP, Words, as_bytes, chunks, mix, powers
 
 #: Words at either end of a window whose symbols may depend on what lies outside: 2 for a run, then 2 and 4.
@@ -274,8 +274,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = 35) ->
         bits = sent.groupBy("bucket").applyInArrow(_repeats, "block long, bucket long, bits binary")
         return keep(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias(name)), name)
 
+    release(spark)
     first = repeated(blocks.select("block", "packed").mapInArrow(_send_anchors(text, width, buckets[0]), _SENT), "first")
     pairs = blocks.select("block", "packed").join(first, "block", "left")
+    release(spark)
     second = repeated(pairs.mapInArrow(_send_windows(text, width, buckets), _SENT), "second")
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())])
     out = pairs.join(second, "block", "left").mapInArrow(_finish(text, width, buckets), schema)
