@@ -13,7 +13,7 @@ from tidelog.llm.jaccard import jaccard_join
 from tidelog.llm.mixing import WORD, mix, shuffle_key
 from tidelog.llm.quality import quality_rules
 from tidelog.llm.registry import table
-from tidelog.llm.shared import columns, release, unused
+from tidelog.llm.shared import columns, keep, release, unused
 from tidelog.llm.substring import remove_repeats
 
 
@@ -79,9 +79,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     counts = counts.groupBy(key).agg(F.min(n).alias(low), F.max(n).alias(high), F.sum(n).alias(n), F.count("*").alias(more))
     counts = counts.where(F.col(high) > 0).select(key, low, high, (F.col(n) - F.col(low) * F.col(more)).alias(more))
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn(key, shuffle_key(F.col("doc_id"), F.col("source"), size)).withColumn(part, F.spark_partition_id()).join(counts, key)
-    plain = rows.where(F.col(low) == F.col(high)).withColumn(n, F.col(low))
-    cut = rows.where(F.col(low) < F.col(high))
+    rows = docs.withColumn(key, shuffle_key(F.col("doc_id"), F.col("source"), size)).withColumn(part, F.spark_partition_id())
+    # the few keys at which a share ends have a table of their own, which Spark broadcasts if its files are small
+    split = keep(counts.where(F.col(low) < F.col(high)), "split")
+    plain = rows.join(counts.where(F.col(low) == F.col(high)), key).withColumn(n, F.col(low))
+    cut = rows.join(split, key)
     before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     parts = cut.groupBy(key, part).agg(F.count("*").alias(base)).withColumn(base, F.coalesce(F.sum(base).over(before), F.lit(0)))
     cut = cut.withColumn(nth, F.row_number().over(Window.partitionBy(key, part).orderBy("text"))).join(parts, [key, part])
