@@ -148,6 +148,84 @@ def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotes(table(spark, sf_dir, "conversations")).withColumn("own_sha256", F.sha2("own_text", 256)).drop("own_text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two to four words of each language."""
+    from tidelog.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+with p as (
+  select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
+  from documents),
+w as (select lang, row_number() over () piece, regexp_extract_all(piece, '[^\x20\x09]+') w from p),
+total as (select lang, cast(sum(len(w)) as bigint) n from w group by lang),
+word as (select lang, piece, unnest(w) word, generate_subscripts(w, 1) i from w),
+run as (
+  select lang, word a, lead(word) over o b, lead(word, 2) over o c, lead(word, 3) over o d from word window o as (partition by piece order by i)),
+phrase as (
+  select lang, a phrase from run union all select lang, a || ' ' || b from run where b is not null
+  union all select lang, a || ' ' || b || ' ' || c from run where c is not null union all select lang, a || ' ' || b || ' ' || c || ' ' || d from run where d is not null),
+often as (select lang, phrase, count(*) a from phrase group by all having count(*) >= 30),
+f as materialized (select lang, string_split(phrase, ' ') g, len(string_split(phrase, ' ')) k, a from often),
+cut as (
+  select f.lang, f.g, f.k, c, f.a, l.a l, r.a r, (2000000::hugeint * f.a) // (l.a + r.a) score
+  from f join unnest([1, 2, 3]) x(c) on c < f.k join f l on l.lang = f.lang and l.g = f.g[1:c] join f r on r.lang = f.lang and r.g = f.g[c + 1:f.k]),
+weakest as (select * from (select *, row_number() over (partition by lang, g order by score, c) nth from cut) where nth = 1),
+inside as (
+  select lang, f.g[s:s + m - 1] g, max(a) above from f, unnest([2, 3]) x(m), unnest([1, 2, 3]) y(s) where m < f.k and s + m - 1 <= f.k group by all),
+left_over as (select weakest.* from weakest left join inside using (lang, g) where above is null or 100::hugeint * above < 80::hugeint * a),
+named as (select *, array_to_string(g, ' ') phrase from left_over),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from named)
+select lang, rank, phrase, a, l, r, n, cast(score as bigint) score from ranked join total using (lang) where rank <= 2000
+"""
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings by 16 codebooks of 64 entries."""
+    from tidelog.llm.codes import compress, digest
+
+    rows, books = compress(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("codebooks_sha256", F.lit(digest(books)))
+
+
+# The rounds are written out, since each one's entries are sums over the one before.
+_OP12_ROUND = """
+near{n} as materialized (
+  select rid, p, arg_min(e, (d, e)) e, min(d) d
+  from (select x.rid, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) d from part x join book{n} b using (p)) group by rid, p),"""
+_OP12_NEXT = """
+sum{n} as (select p, e, i, cast(sum(v[i]) as hugeint) s, count(*) c from near{n} join part using (rid, p), range(1, 5) z(i) group by p, e, i),
+mean{n} as (select p, e, list(cast((s - ((s % c) + c) % c) // c as bigint) order by i) v from sum{n} group by p, e),
+book{m} as materialized (select p, e, coalesce(mean{n}.v, book{n}.v) v from book{n} left join mean{n} using (p, e)),"""
+OP12_SQL = (
+    """
+with ok as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * x::double) as bigint)) v, row_number() over (order by vec_id nulls last, embedding) rid
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+part as materialized (select rid, p, v[4 * p + 1:4 * p + 4] v from ok, range(16) y(p)),
+book0 as materialized (select p, rid - 1 e, v from part where rid <= 64),"""
+    + _OP12_ROUND.format(n=0) + _OP12_NEXT.format(n=0, m=1) + _OP12_ROUND.format(n=1) + _OP12_NEXT.format(n=1, m=2) + _OP12_ROUND.format(n=2)
+    + """
+coded as (select rid, string_agg(printf('%02x', e), '' order by p) code, cast(sum(d) as bigint) error from near2 group by rid),
+name as (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) codebooks_sha256 from book2)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, codebooks_sha256 from ok join coded using (rid), name
+"""
+)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, through a cache that is empty at first."""
+    import public_tokenizers
+
+    from tidelog.llm.shared import new_path
+    from tidelog.llm.tokencount import CountCache, token_counts
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts(docs, public_tokenizers.path("word_bpe_49k.json"), CountCache(spark, new_path(spark, "counts")))
+
+
 # Steps of the path: rule by rule, from the mildest cutoff on. One holds if the binomial sum up to its hits is at most 0.05 over
 # the strata.
 OP6_SQL = r"""
@@ -254,6 +332,9 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_jaccard_components": op9_jaccard_components,
+    "op11_collocations": op11_collocations,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLES: dict[str, str] = {
@@ -263,4 +344,6 @@ ORACLES: dict[str, str] = {
     "op7_substring_dedup": OP7_SQL,
     "op9_jaccard_components": OP9_SQL,
     "op10_near_vectors": OP10_SQL,
+    "op11_collocations": OP11_SQL,
+    "op12_vector_codes": OP12_SQL,
 }
