@@ -167,17 +167,18 @@ run as (
 phrase as (
   select lang, a phrase from run union all select lang, a || ' ' || b from run where b is not null
   union all select lang, a || ' ' || b || ' ' || c from run where c is not null union all select lang, a || ' ' || b || ' ' || c || ' ' || d from run where d is not null),
-often as (select lang, phrase, count(*) a from phrase group by all having count(*) >= 30),
-f as materialized (select lang, string_split(phrase, ' ') g, len(string_split(phrase, ' ')) k, a from often),
+often as materialized (select lang, phrase, count(*) a from phrase group by all having count(*) >= 30),
+f as materialized (select lang, phrase, string_split(phrase, ' ') g, len(string_split(phrase, ' ')) k, a from often),
+side as materialized (
+  select lang, phrase, a, c, array_to_string(g[1:c], ' ') before, array_to_string(g[c + 1:k], ' ') after from f, unnest([1, 2, 3]) x(c) where c < k),
 cut as (
-  select f.lang, f.g, f.k, c, f.a, l.a l, r.a r, (2000000::hugeint * f.a) // (l.a + r.a) score
-  from f join unnest([1, 2, 3]) x(c) on c < f.k join f l on l.lang = f.lang and l.g = f.g[1:c] join f r on r.lang = f.lang and r.g = f.g[c + 1:f.k]),
-weakest as (select * from (select *, row_number() over (partition by lang, g order by score, c) nth from cut) where nth = 1),
-inside as (
-  select lang, f.g[s:s + m - 1] g, max(a) above from f, unnest([2, 3]) x(m), unnest([1, 2, 3]) y(s) where m < f.k and s + m - 1 <= f.k group by all),
-left_over as (select weakest.* from weakest left join inside using (lang, g) where above is null or 100::hugeint * above < 80::hugeint * a),
-named as (select *, array_to_string(g, ' ') phrase from left_over),
-ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from named)
+  select side.lang, side.phrase, side.a, c, l.a l, r.a r, (2000000::hugeint * side.a) // (l.a + r.a) score
+  from side join often l on l.lang = side.lang and l.phrase = before join often r on r.lang = side.lang and r.phrase = after),
+weakest as (select * from (select *, row_number() over (partition by lang, phrase order by score, c) nth from cut) where nth = 1),
+inside as materialized (
+  select lang, array_to_string(g[s:s + m - 1], ' ') phrase, max(a) above from f, unnest([2, 3]) x(m), unnest([1, 2, 3]) y(s) where m < k and s + m - 1 <= k group by all),
+left_over as (select weakest.* from weakest left join inside using (lang, phrase) where above is null or 100::hugeint * above < 80::hugeint * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from left_over)
 select lang, rank, phrase, a, l, r, n, cast(score as bigint) score from ranked join total using (lang) where rank <= 2000
 """
 
