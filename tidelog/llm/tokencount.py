@@ -175,6 +175,7 @@ def token_counts(docs: DataFrame, path: str, cache: CountCache, text_col: str =
         cache.add(texts.mapInArrow(run, "digest binary, n_tokens long"), of)
     drop(gone, spark)
     (right, count) = unused(keyed, "right", "n_tokens")
-    counts = cache.read(of).select(F.col("digest").alias(right), F.col("n_tokens").alias(count))
+    # a table of its own, so that the join can split a digest that very many rows have
+    counts = keep(wanted.join(cache.read(of), "digest").select(F.col("digest").alias(right), F.col("n_tokens").alias(count)), "counts")
     out = keyed.join(counts, F.col(key) == F.col(right), "left")
     return out.select(*columns(others), "n_bytes", F.col(count).alias("n_tokens"), (F.col(count) > limit).alias("over_limit"))
