@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.model import Catalog, Property, Schema
-from tidelog.operators import evolve, filters, metrics
+from tidelog.operators import evolve, filters, metrics, segments
 from tidelog.operators.mirror import empty_mirror
 from tidelog.sinks import databases, dialects, files, registry
-from tidelog.sinks.store import Folder, KeyValues, MirrorStore
+from tidelog.sinks.store import Buckets, Folder, KeyValues, Ledger, MirrorStore
 from tidelog.sources import events as se
 from tidelog.sources import schemas, snapshots
 from tidelog.streaming.runner import Delivery, deliver
@@ -233,26 +233,58 @@ def test_late_event_wins_in_a_mirror(spark, tmp_path):
     assert by_time.mirror(spark, "orders").read().first()["name"] == "first"
 
 
-def test_state_survives_a_lost_driver(spark, tmp_path, monkeypatch):
-    state = KeyValues(spark, str(tmp_path / "s"))
-    state.set({"seq": "7"})
-
-    def lost(*_):
-        raise SystemExit
-
-    folder = Folder(spark, str(tmp_path / "s"))
-    real = folder.fs
-
-    class NoRename:
-        def __getattr__(self, name):
-            return lost if name == "rename" else getattr(real, name)
-
-    folder.fs = NoRename()
-    with pytest.raises(SystemExit):
-        folder.write("state.json", '{"seq": "8"}')
-    assert state.get("seq") == "8"
-    state.set({"x": "1"})
-    assert state.all() == {"seq": "8", "x": "1"}
+class Lost(BaseException):
+    """The driver is gone."""
+
+
+def losing(monkeypatch, step, times=1):
+    """From now on the driver is lost just before a step of Folder.create, so often."""
+    left, real = [times], Folder.__init__
+
+    def init(self, *args):
+        real(self, *args)
+        fs = self.fs
+
+        class Fs:
+            def __getattr__(self, name):
+                if name == step and left[0]:
+                    left[0] -= 1
+                    raise Lost
+                return getattr(fs, name)
+
+        self.fs = Fs()
+
+    monkeypatch.setattr(Folder, "__init__", init)
+
+
+@pytest.mark.parametrize("step", ["create", "exists", "rename"])
+def test_state_survives_lost_drivers(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "s")
+    KeyValues(spark, path).set({"seq": "7"})
+    for times in (1, 2):
+        with monkeypatch.context() as m:
+            losing(m, step, times)
+            for _ in range(times):
+                with pytest.raises(Lost):
+                    KeyValues(spark, path).set({"seq": "8"})
+        assert KeyValues(spark, path).all() == {"seq": "7"}
+    (tmp_path / "s/.part-torn").write_text("")  # begun by one that was lost
+    KeyValues(spark, path).set({"x": "1"})
+    assert KeyValues(spark, path).all() == {"seq": "7", "x": "1"} and not (tmp_path / "s/.part-torn").exists()
+
+
+def test_ledger(spark, tmp_path):
+    ledger = Ledger(spark, str(tmp_path / "l"))
+    assert ledger.read() == (-1, {})
+    for k in range(5):
+        assert ledger.commit({"k": k}) == k
+    assert ledger.read() == (4, {"k": 4}) and len([n for n in os.listdir(tmp_path / "l") if n.endswith("json")]) == 3
+    with pytest.raises(FileExistsError):  # two writers that both saw commit 3
+        ledger.commit({"k": 9}, 3)
+    for torn in ("", "[]", '{"k":'):
+        (tmp_path / "l/00000000000000000005.json").write_text(torn)
+        with pytest.raises(ValueError):
+            ledger.read()
 
 
 def test_only_touched_buckets_are_written(spark, tmp_path):
@@ -269,7 +301,7 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     store = d.mirror(spark, "orders")
     got = {r["id"]: r["name"] for r in store.read().collect()}
     assert got == {k: "x" for k in range(40) if k != 7} | {3: "y", 99: "z"}
-    assert 0 < sum(v == 1 for v in store.state()["at"].values()) <= 4
+    assert 0 < sum(v == 1 for v, _ in store.state()["at"].values()) <= 4
     batch(2, *[change(60 + k, "delete", str(k)) for k in [*range(40), 99]])
     batch(3, change(200, "insert", "5", {"id": 5}))
     assert [r["id"] for r in d.mirror(spark, "orders").read().collect()] == [5]
@@ -281,16 +313,173 @@ def test_batch_stopped_half_way(spark, tmp_path):
     inbox, root = str(tmp_path / "in"), str(tmp_path / "out")
     send(inbox, "1.json", "{broken", change(1, "insert", "a", {"id": "a"}), change(2, "insert", "z", {}, table="unknown"), change(3, "insert", "q", {}, table="bad-name"))
     d = Delivery(root, Catalog([ORDERS]))
-    real, d._base = d._base, lambda *a: (_ for _ in ()).throw(SystemExit)
+    real, d._fold = d._fold, lambda *a: (_ for _ in ()).throw(SystemExit)
     with pytest.raises(SystemExit):
         d(spark.read.text(inbox), 0)
-    d._base = real
+    d._fold = real
     for _ in range(2):
         d(spark.read.text(inbox), 0)
     assert [spark.read.parquet(f"{root}/{x}").count() for x in ("broken", "dead", "parked")] == [1, 1, 1]
     assert d.mirror(spark, "orders").read().count() == 1
 
 
+def batch_of(spark, *events):
+    return spark.createDataFrame([(e if isinstance(e, str) else json.dumps(e),) for e in events], "value string")
+
+
+def rows_of(delivery, spark, table):
+    df = delivery.mirror(spark, table).read()
+    return None if df is None else {r["id"]: r.asDict() for r in df.collect()}
+
+
+ITEMS = Schema("items", "1", {"id": Property(), "name": Property(nullable=True)}, ("id",), ("id",))
+
+
+def failing(monkeypatch, table, error, times=1 << 30):
+    """From now on writing a table's buckets fails, so often."""
+    left, real = [times], Buckets.write
+
+    def write(self, *args):
+        if self.path.endswith(table) and left[0]:
+            left[0] -= 1
+            raise error
+        return real(self, *args)
+
+    monkeypatch.setattr(Buckets, "write", write)
+
+
+def test_a_batch_is_all_or_nothing(spark, tmp_path, monkeypatch):
+    """One table of two fails for good: neither has the batch, and the dead letters are those of both, once."""
+    root = str(tmp_path / "out")
+    d = Delivery(root, Catalog([ORDERS, ITEMS]), sleep=lambda s: None)
+    d(batch_of(spark, change(1, "insert", "a", {"id": "a", "name": "x"}), change(2, "insert", "i", {"id": "i", "name": "x"}, table="items")), 0)
+    more = batch_of(spark, change(3, "update", "a", {"id": "a", "name": "y"}), change(4, "insert", "j", {"id": "j"}, table="items"), change(5, "insert", "z", {}, table="unknown"))
+    with monkeypatch.context() as m:
+        failing(m, "orders", RuntimeError("disk full"))  # items come first and are written
+        d(more, 1)
+    assert rows_of(d, spark, "orders") == {"a": {"id": "a", "name": "x"}} and list(rows_of(d, spark, "items")) == ["i"]
+    assert sorted((r["event_id"], r["error"], r["retry_count"]) for r in d.dead_letters(spark).collect()) == [(f"e{k}", "disk full", 5) for k in (3, 4, 5)]
+    assert d.committed(spark)["dead"] == [1] and sorted(os.listdir(tmp_path / "out/mirror/items")) == ["v=0"]
+    d(more, 1)  # repeated by Spark: it was given up
+    assert rows_of(d, spark, "orders")["a"]["name"] == "x"
+    with monkeypatch.context() as m:
+        failing(m, "orders", RuntimeError("busy"), 2)  # the third try holds
+        d(more, 2)
+    assert rows_of(d, spark, "orders")["a"]["name"] == "y" and sorted(rows_of(d, spark, "items")) == ["i", "j"]
+    assert d.dead_letters(spark).count() == 3 and spark.read.parquet(f"{root}/parked").where("batch = 2").count() == 1
+
+
+@pytest.mark.parametrize("mode", ["upsert", "time_series"])
+def test_lost_drivers_leave_a_batch_to_its_repeat(spark, tmp_path, monkeypatch, mode):
+    d = Delivery(str(tmp_path / "out"), Catalog([ORDERS, ITEMS]), mode=mode, attempts=1)
+    first = batch_of(spark, change(1, "insert", "a", {"id": "a", "name": "x"}), change(2, "insert", "i", {"id": "i"}, table="items"))
+    again = batch_of(spark, change(3, "update", "a", {"id": "a", "name": "y"}), change(4, "insert", "j", {"id": "j"}, table="items"))
+
+    def now():
+        if mode == "upsert":
+            return rows_of(d, spark, "orders"), rows_of(d, spark, "items")
+        return [sorted((r["_seq"], r["_event_id"]) for r in d.log(spark, t).collect()) for t in ("orders", "items")]
+
+    d(first, 0)
+    before = now()
+    for step in ("rename", "create", "rename"):
+        with monkeypatch.context() as m:
+            losing(m, step)
+            with pytest.raises(Lost):
+                d(again, 1)
+        assert now() == before  # nothing of the batch shows
+    d(again, 1)
+    after = now()
+    d(again, 1)
+    assert now() == after != before
+    if mode == "time_series":
+        assert after == [[(1, "e1"), (3, "e3")], [(2, "e2"), (4, "e4")]]
+    else:
+        assert after[0]["a"]["name"] == "y" and sorted(after[1]) == ["i", "j"]
+
+
+def test_a_given_up_log_batch_shows_nothing(spark, tmp_path, monkeypatch):
+    d = Delivery(str(tmp_path / "out"), Catalog([ORDERS]), mode="time_series", attempts=2, sleep=lambda s: None)
+    d(batch_of(spark, change(1, "insert", "a", {"id": "a"})), 0)
+    from tidelog.streaming import runner
+
+    real = runner.append_log
+
+    def half(*args, **more):
+        real(*args, **more)
+        raise RuntimeError("lost after the append")
+
+    with monkeypatch.context() as m:
+        m.setattr(runner, "append_log", half)
+        d(batch_of(spark, change(2, "insert", "b", {"id": "b"})), 1)
+    d(batch_of(spark, change(3, "insert", "c", {"id": "c"})), 2)
+    assert sorted((r["_seq"], r["_entity_id"]) for r in d.log(spark, "orders").collect()) == [(1, "a"), (2, "c")]
+    assert [r["event_id"] for r in d.dead_letters(spark).collect()] == ["e2"]
+
+
+def test_batch_is_cut_where_the_version_changes(spark, tmp_path):
+    """Versions 1, 2, 1, 3 in one batch; name is removed in 2 and comes back, as another column, in 3."""
+    text, number = Property(nullable=True), Property("integer", nullable=True)
+    one = Schema("orders", "1", {"id": Property(), "name": text, "qty": text}, ("id",), ("id",))
+    two = Schema("orders", "2", {"id": Property(), "qty": number, "note": text}, ("id",), ("id",))
+    three = Schema("orders", "3", {"id": Property(), "qty": number, "note": text, "name": text}, ("id",), ("id",))
+    d = Delivery(str(tmp_path / "out"), Catalog([one, two, three]), order=["timestamp"], buckets=4)
+    first = batch_of(spark, *[change(k, "insert", f"k{k}", {"id": f"k{k}", "name": "n", "qty": "7"}, modelVersion="1") for k in range(12)])
+    d(first, 0)
+    assert d.mirror(spark, "orders").read().columns == ["id", "name", "qty"]
+    files_before = {p for p in (tmp_path / "out/mirror/orders").rglob("*.parquet")}
+    rest = [
+        change(20, "update", "k0", {"id": "k0", "name": "last", "qty": "8"}, modelVersion="1"),
+        change(21, "update", "k0", {"id": "k0", "qty": 9, "note": "two"}, modelVersion="2"),
+        change(22, "update", "k0", {"id": "k0", "name": "late", "qty": "10"}, modelVersion="1"),  # keeps note, has no name any more
+        change(23, "insert", "new", {"id": "new", "qty": 1, "note": "x"}, modelVersion="2"),
+        change(24, "update", "new", {"id": "new", "qty": 2, "note": "y", "name": "third"}, modelVersion="3"),
+    ]
+    d(batch_of(spark, *rest), 1)
+    got = rows_of(d, spark, "orders")
+    assert got["k0"] == {"id": "k0", "qty": 10, "note": "two", "name": None}
+    assert got["new"] == {"id": "new", "qty": 2, "note": "y", "name": "third"}
+    assert got["k5"] == {"id": "k5", "qty": 7, "note": None, "name": None}  # its old name does not come back
+    state = d.committed(spark)["tables"]["orders"]
+    assert state["model"] == "3" and len({s for _, s in state["at"].values()}) > 1  # some buckets lie as they were written
+    assert files_before & {p for p in (tmp_path / "out/mirror/orders").rglob("*.parquet")}
+    d(batch_of(spark, change(30, "delete", "k1"), change(31, "update", "k2", {"id": "k2", "qty": 3}, modelVersion="9")), 2)
+    got = rows_of(d, spark, "orders")
+    assert "k1" not in got and got["k2"] == {"id": "k2", "qty": 3, "note": None, "name": None} and len(got) == 12
+
+
+def test_another_key_or_key_type_deals_all_rows_out_anew(spark, tmp_path):
+    one = Schema("orders", "1", {"id": Property(), "k": Property("integer", nullable=True)}, ("id",))
+    two = Schema("orders", "2", {"id": Property("number"), "k": Property("integer", nullable=True)}, ("id",))
+    three = Schema("orders", "3", two.properties, ("id", "k"))
+    d = Delivery(str(tmp_path / "out"), Catalog([one, two, three]), order=["timestamp"], buckets=4)
+    d(batch_of(spark, *[change(k, "insert", str(k), {"id": str(k), "k": k}, modelVersion="1") for k in range(8)]), 0)
+    d(batch_of(spark, change(10, "update", "3.0", {"id": 3.0, "k": 33}, modelVersion="2")), 1)
+    assert rows_of(d, spark, "orders")[3.0]["k"] == 33 and len(rows_of(d, spark, "orders")) == 8
+    d(batch_of(spark, change(20, "insert", "3.0", {"id": 3.0, "k": 34}, modelVersion="3")), 2)
+    assert sorted((r["id"], r["k"]) for r in d.mirror(spark, "orders").read().where("id = 3").collect()) == [(3.0, 33), (3.0, 34)]
+
+
+def test_segments(spark):
+    import itertools
+    import random
+
+    r = random.Random(4)
+    rows = [(k, r.choice(["a", "b", None]), r.choice(["x", "x", "x", None, "y"])) for k in range(-50, 3000)]
+    df = spark.createDataFrame(rows, "n long, k string, v string")
+    for span in (7, 1 << 14):
+        got = {(x["k"], x["n"]): x["segment"] for x in segments.segmented(df, "v", "n", ("k",), span).collect()}
+        for key in ("a", "b", None):
+            own = [(n, v) for n, k, v in rows if k == key]
+            want = [i for i, (_, run) in enumerate(itertools.groupby(v for _, v in own)) for _ in run]
+            assert [got[(key, n)] for n, _ in own] == want
+    assert segments.segmented(df.limit(0), "v", "n").count() == 0
+    e = spark.createDataFrame([(k, "T", v) for k, v in enumerate(["9", None, "1", "3", "1", "2", "3", "4"])] + [(99, "u", "1")], "seq long, table string, modelVersion string")
+    got = segments.version_segments(e, {("t", str(k)): k for k in range(1, 5)}).orderBy("seq")
+    assert [r["segment"] for r in got.collect()] == [0, 0, 1, 2, 2, 2, 2, 3, 0]
+    assert segments.version_segments(e, {}).where("segment = 0").count() == 9
+
+
 def test_write_by_url(spark, tmp_path):
     rows = spark.createDataFrame([("insert", "e1", "orders", 5)], "operation string, id string, table string, timestamp long")
     registry.write(rows, f"file://{tmp_path}/lake")

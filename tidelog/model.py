@@ -108,9 +108,19 @@ class Catalog(dict):
         """The schema of a table in one version of its model; None if it isn't known."""
         return self._versions.get((table.lower(), version))
 
-    def others(self, table: str) -> list[Schema]:
-        """The schemas of a table in the versions that are not in force."""
-        return [s for (name, v), s in self._versions.items() if name == table.lower() and v != self[table].version]
+    def others(self, table: str, version: str | None = None) -> list[Schema]:
+        """The schemas of a table in other versions than the given one, or than the one in force."""
+        version = self[table].version if version is None else version
+        return [s for (name, v), s in self._versions.items() if name == table.lower() and v != version]
+
+    def ranks(self) -> dict[tuple[str, str], int]:
+        """How late each version of a table (lower case) is: numbers by their size, if all are numbers, else as they were given."""
+        out = {}
+        for table in self:
+            versions = [v for t, v in self._versions if t == table]
+            order = sorted(versions, key=int) if all(v.isdigit() for v in versions) else versions
+            out |= {(table, v): k for k, v in enumerate(order)}
+        return out
 
     def __getitem__(self, table: str) -> Schema:
         return super().__getitem__(table.lower())
