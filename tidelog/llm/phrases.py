@@ -8,29 +8,58 @@ that counts is lost on the way.
 
 The two ids of a pair are also its parents, the phrase without its last and without its first word. Through them a phrase
 inherits the counts of all its beginnings and ends, which the cuts need, and gives its own count to the phrases inside it.
+
+Items (words, or pairs of ids) travel packed: a row has a block's items of one bucket, sorted and compressed, and their numbers in
+the block are those that follow its ``base``. A bucket's rows meet in one place, where its items are summed and named; the
+answer to a row has the places and ids of its frequent items and goes back to the block. There are so many buckets that one holds
+about BUCKET_ITEMS, so rows get shorter as blocks and buckets grow, down to an item each.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.shared import drop, keep, new_path, small_batches
-from tidelog.llm.words import as_bytes
+from tidelog.llm.shared import bucket_count, drop, keep, new_path, small_batches
+from tidelog.llm.words import as_bytes, mix
 
 #: Bytes of text in a block at most, unless one piece is longer, and in all the blocks that a task fills.
 BLOCK_BYTES, TASK_BYTES = 4 << 20, 16 << 20
+#: Items that one bucket holds at most, about.
+BUCKET_ITEMS = 1 << 20
 #: Texts with A-Z lower-cased and every character that ends a piece as a dot.
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz.........")
-_BLOCKS = "block long, code int, lang string, word string, n long, seq binary"
-_PAIRS = "block long, code int, left long, right long, n long, seq binary"
+#: Items of a block in one bucket (its sequence if bucket is null): base is the number of the first, size how many there are (of a
+#: sequence of words, its words).
+_BLOCKS = "bucket long, lang string, block long, base long, size long, items binary"
+#: A frequent item by name, or (block not null) the answer to a row of items.
+_NAMES = "id long, left long, right long, lang string, word string, f long, block long, base long, items binary"
 #: Parts that the ranking of a language is first cut into.
 RANKS = 16
+_U = np.uint64
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Integer arrays of one length, byte by byte of all their numbers, compressed."""
+    planes = [np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() for x in arrays]
+    return zstandard.compress(b"".join(planes), 1)
+
+
+def _unpack(data: bytes, *types) -> list[np.ndarray]:
+    widths = [np.dtype(t).itemsize for t in types]
+    flat = np.frombuffer(zstandard.decompress(data), np.uint8)
+    n, at, out = len(flat) // sum(widths), 0, []
+    for t, w in zip(types, widths, strict=True):
+        out.append(np.ascontiguousarray(flat[at : at + n * w].reshape(w, n).T).view(t).ravel())
+        at += n * w
+    return out
 
 
 def _cut(text: bytes) -> Iterator[bytes]:
@@ -46,87 +75,197 @@ def _cut(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of (lang, text) rows: a row for each distinct word with its number, then one with the sequence of numbers, in which
-    -1 ends a piece."""
-    number = TaskContext.get().partitionId() << 33
-    held: dict[str, list[bytes]] = {}
-    sizes: dict[str, int] = {}
-
-    def block(lang: str) -> Iterator[pa.RecordBatch]:
-        nonlocal number
-        del sizes[lang]
-        words = pa.array(b".".join(held.pop(lang)).replace(b".", b" . ").split(), pa.binary()).dictionary_encode()
-        seq, names = words.indices.to_numpy(), words.dictionary.cast(pa.string())
-        stop = words.dictionary.index(b".").as_py()
-        n = np.bincount(seq, minlength=len(names))
-        real = np.flatnonzero(np.arange(len(names)) != stop)
-        if not len(real):
-            return
-        seq = np.where(seq == stop, -1, seq).astype(np.int32)
-        one = pa.array([None], pa.binary())
-        rows = [
-            pa.array(np.full(len(real) + 1, number)),
-            pa.concat_arrays([pa.array(real, pa.int32()), pa.array([None], pa.int32())]),
-            pa.array([lang]).take(pa.array(np.zeros(len(real) + 1, np.int64))),
-            pa.concat_arrays([names.take(pa.array(real)), pa.array([None], pa.string())]),
-            pa.array(np.append(n[real], n[real].sum()), pa.int64()),
-            pa.concat_arrays([one.take(pa.array(np.zeros(len(real), np.int64))), pa.array([seq.tobytes()])]),
-        ]
-        number += 1
-        yield pa.RecordBatch.from_arrays(rows, ["block", "code", "lang", "word", "n", "seq"])
-
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
-            for part in _cut(text.translate(_PLAIN)):
-                held.setdefault(lang, []).append(part)
-                sizes[lang] = sizes.get(lang, 0) + len(part) + 1
-                if sizes[lang] >= BLOCK_BYTES:
+def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of runs of equal values, with the end, and the values."""
+    found, first = np.unique(sorted_values, return_index=True)
+    return np.append(first, len(sorted_values)), found
+
+
+def _rows(lang: str | None, block: int, buckets: np.ndarray, starts: np.ndarray, packed: list[bytes], size: int | None, seq: np.ndarray | None) -> pa.RecordBatch:
+    """The rows of a block: its items bucket by bucket, then its sequence."""
+    more = seq is not None
+    base = [*starts[:-1].tolist(), *[None] * more]
+    rows = [
+        pa.array([*buckets.tolist(), *[None] * more], pa.int64()),
+        pa.array([lang] * (len(buckets) + more), pa.string()),
+        pa.array([block] * (len(buckets) + more), pa.int64()),
+        pa.array(base, pa.int64()),
+        pa.array([*np.diff(starts).tolist(), *[size] * more], pa.int64()),
+        pa.array([*packed, *([_pack(seq)] if more else [])], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(rows, ["bucket", "lang", "block", "base", "size", "items"])
+
+
+def _read(buckets: int):
+    """A function over (lang, text) rows that makes the rows of their blocks. In a sequence -1 ends a piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        held: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+
+        def block(lang: str) -> Iterator[pa.RecordBatch]:
+            nonlocal number
+            del sizes[lang]
+            words = pa.array(b".".join(held.pop(lang)).replace(b".", b" . ").split(), pa.binary()).dictionary_encode()
+            seq, names = words.indices.to_numpy(), words.dictionary.to_pylist()
+            n = np.bincount(seq, minlength=len(names))
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in names), np.int64, len(names))
+            stop = words.dictionary.index(b".").as_py()
+            if stop >= 0:
+                bucket[stop] = buckets  # the last of all, which is no item
+            order = np.argsort(bucket, kind="stable")
+            real = len(names) - (stop >= 0)
+            if not real:
+                return
+            code = np.empty(len(names), np.int32)
+            code[order] = np.arange(len(names))
+            if stop >= 0:
+                code[stop] = -1
+            starts, found = _runs(bucket[order[:real]])
+            packed = []
+            for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                mine = order[i:j].tolist()
+                packed.append(zstandard.compress(n[order[i:j]].astype(np.int64).tobytes() + b" ".join([names[k] for k in mine]), 1))
+            yield _rows(lang, number, found, starts, packed, int(n[order[:real]].sum()), code[seq])
+            number += 1
+
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+                for part in _cut(text.translate(_PLAIN)):
+                    held.setdefault(lang, []).append(part)
+                    sizes[lang] = sizes.get(lang, 0) + len(part) + 1
+                    if sizes[lang] >= BLOCK_BYTES:
+                        yield from block(lang)
+            if sum(sizes.values()) >= TASK_BYTES:
+                for lang in list(held):
                     yield from block(lang)
-        if sum(sizes.values()) >= TASK_BYTES:
-            for lang in list(held):
-                yield from block(lang)
-    for lang in list(held):
-        yield from block(lang)
+        for lang in list(held):
+            yield from block(lang)
+
+    return run
 
 
-def _pair(codes: np.ndarray, ids: np.ndarray, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct neighbours among the frequent items of a block: their ids, how often they occur, and the sequence of their
-    numbers, in which -1 stands for any run of what is not one."""
+class _Group:
+    """The rows of one bucket (and language, for words)."""
+
+    def __init__(self, words: bool, least: int):
+        self.words, self.least, self.rows, self.items, self.n = words, least, [], [], []
+
+    def add(self, block: int, base: int, size: int, data: bytes) -> None:
+        if self.words:
+            data = zstandard.decompress(data)
+            self.n.append(np.frombuffer(data, np.int64, size))
+            self.items.append(data[8 * size :])
+        else:
+            left, right, n = _unpack(data, np.int64, np.int64, np.int64)
+            self.n.append(n)
+            self.items.append((left, right))
+        self.rows.append((block, base, size))
+
+    def names(self, lang: str | None, first: int) -> tuple[int, Iterator[pa.RecordBatch]]:
+        """How many items are frequent, and the rows that name them and that answer."""
+        if self.words:
+            whole = pa.array(b" ".join(self.items).split(b" "), pa.binary()).dictionary_encode()
+            of, keys = whole.indices.to_numpy(), whole.dictionary
+            m = len(keys)
+        else:
+            left, right = (np.concatenate([x[k] for x in self.items]) for k in range(2))
+            a, ia = np.unique(left, return_inverse=True)
+            b, ib = np.unique(right, return_inverse=True)
+            keys, of = np.unique(ia * len(b) + ib, return_inverse=True)
+            m = len(keys)
+        order = np.argsort(of, kind="stable")
+        f = np.add.reduceat(np.concatenate(self.n)[order], np.searchsorted(of[order], np.arange(m)))
+        often = np.flatnonzero(f >= self.least)
+        ids = np.full(m, -1, np.int64)
+        ids[often] = first + np.arange(len(often))
+        if self.words:
+            named = [pa.nulls(len(often), pa.int64())] * 2 + [pa.array([lang] * len(often), pa.string()), keys.take(pa.array(often)).cast(pa.string())]
+        else:
+            named = [pa.array(a[keys[often] // len(b)]), pa.array(b[keys[often] % len(b)])] + [pa.nulls(len(often), pa.string())] * 2
+        return len(often), self._made(named, ids, often, f, of)
+
+    def _made(self, named: list[pa.Array], ids: np.ndarray, often: np.ndarray, f: np.ndarray, of: np.ndarray) -> Iterator[pa.RecordBatch]:
+        names = ["id", "left", "right", "lang", "word", "f", "block", "base", "items"]
+        if not len(often):
+            return
+        yield pa.RecordBatch.from_arrays([pa.array(ids[often]), *named, pa.array(f[often]), *[pa.nulls(len(often), pa.int64())] * 2, pa.nulls(len(often), pa.binary())], names)
+        at, answers = 0, []
+        for block, base, size in self.rows:
+            mine = ids[of[at : at + size]]
+            at += size
+            there = np.flatnonzero(mine >= 0)
+            if len(there):
+                answers.append((block, base, _pack(there.astype(np.int32), mine[there])))
+        n = len(answers)
+        columns = [pa.array([x[k] for x in answers], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 3, *[pa.nulls(n, pa.string())] * 2, pa.nulls(n, pa.int64()), *columns], names)
+
+
+def _name(words: bool, least: int):
+    """A function over rows of items, by bucket and language, that names frequent items and answers each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group, next_id = None, _Group(words, least), 0
+        for batch in batches:
+            for bucket, lang, block, base, size, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (bucket, lang):
+                    if now is not None:
+                        n, rows = group.names(now[1], next_id)
+                        yield from rows
+                        next_id = next_id + n if now[0] == bucket else bucket << 36
+                    else:
+                        next_id = bucket << 36
+                    now, group = (bucket, lang), _Group(words, least)
+                group.add(block, base, size, items)
+        if now is not None:
+            yield from group.names(now[1], next_id)[1]
+
+    return run
+
+
+def _pair(codes: np.ndarray, ids: np.ndarray, seq: np.ndarray, buckets: int):
+    """Distinct neighbours among the frequent items of a block, by bucket: buckets, starts, packed items, and the sequence of their
+    numbers, in which -1 stands for any run of what is none."""
     rank = np.full(max(int(seq.max(initial=-1)), int(codes.max(initial=-1))) + 2, -1, np.int64)
     rank[codes] = np.arange(len(codes))
     now = rank[seq]  # -1 reads the last place, which no code has
     there = (now[:-1] >= 0) & (now[1:] >= 0)
     key = (now[:-1] * len(codes) + now[1:])[there]
     key, of, n = np.unique(key, return_inverse=True, return_counts=True)
+    if not len(key):
+        return None
+    left, right = ids[key // len(codes)], ids[key % len(codes)]
+    bucket = (mix(left.astype(_U) * _U(0x9E3779B97F4A7C15) + right.astype(_U)) % _U(buckets)).astype(np.int64)
+    order = np.lexsort((right, left, bucket))
+    code = np.empty(len(key), np.int32)
+    code[order] = np.arange(len(key))
     out = np.full(len(there), -1, np.int32)
-    out[there] = of
-    out = out[(out >= 0) | np.concatenate(([False], out[:-1] >= 0))] if len(out) else out
-    return ids[key // max(len(codes), 1)], ids[key % max(len(codes), 1)], n, out
+    out[there] = code[of]
+    out = out[(out >= 0) | np.concatenate(([False], out[:-1] >= 0))]
+    starts, found = _runs(bucket[order])
+    left, right, n = left[order], right[order], n[order].astype(np.int64)
+    return found, starts, [_pack(left[i:j], right[i:j], n[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)], out
 
 
-def _pairs(last: bool):
-    """A function over (block, code, id, seq), each block's numbers with global ids before its sequence."""
+def _pairs(buckets: int, last: bool):
+    """A function over (block, base, items): each block's answers, then its sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            code, ids = batch.column(1).fill_null(-1).to_numpy(), batch.column(2).fill_null(-1).to_numpy()
-            at = 0
-            for end in np.flatnonzero(batch.column(3).is_valid().to_numpy(zero_copy_only=False)).tolist():
-                held.append((code[at:end], ids[at:end]))
-                block, seq = batch.column(0)[end].as_py(), np.frombuffer(batch.column(3)[end].as_py(), np.int32)
-                left, right, n, seq = _pair(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), seq)
-                held, at = [], end + 1
-                if not len(n):
+            for block, base, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if base is not None:
+                    there, ids = _unpack(items, np.int32, np.int64)
+                    held.append((there.astype(np.int64) + base, ids))
                     continue
-                nothing = pa.array([None], pa.int64())
-                more = 0 if last else 1
-                rows = [pa.array(np.full(len(n) + more, block)), pa.array(np.arange(len(n)), pa.int32()), pa.array(left), pa.array(right), pa.array(n, pa.int64()), pa.array([None], pa.binary()).take(pa.array(np.zeros(len(n), np.int64)))]
-                if more:
-                    rows = rows[:1] + [pa.concat_arrays([x, y]) for x, y in zip(rows[1:], (pa.array([None], pa.int32()), nothing, nothing, nothing, pa.array([seq.tobytes()])), strict=True)]
-                yield pa.RecordBatch.from_arrays(rows, ["block", "code", "left", "right", "n", "seq"])
-            held.append((code[at:], ids[at:]))
+                if held:
+                    made = _pair(*(np.concatenate([x[k] for x in held]) for k in range(2)), _unpack(items, np.int32)[0], buckets)
+                    if made:
+                        found, starts, packed, seq = made
+                        yield _rows(None, block, found, starts, packed, None, None if last else seq)
+                held = []
 
     return run
 
@@ -144,38 +283,43 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
     there. An empty table gives empty ones. Very long texts are cut into blocks between pieces; a longer piece makes a block
     of its own.
 
-    A block's memory is that of its few MB of text. What is shuffled are a block's distinct items and, to get their ids,
-    its sequence. An item makes one row per block, so no key holds more rows than there are blocks. Only the joins of
-    frequent pairs with their parents meet a hot key, where a word is in very many of them; adaptive execution splits these.
+    A task holds a block's few MB of text, or a bucket's items. An item is there once in a block, so no item has more
+    occurrences in its bucket than there are blocks. Only the joins of frequent pairs with their parents meet a hot key, where a
+    word is in very many of them; adaptive execution splits these.
     """
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    path = new_path(spark, "blocks")
-    now = keep(rows.mapInArrow(_read, _BLOCKS), "blocks", path)
-    totals = keep(now.where("seq is not null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    counts = now.where("seq is null").groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = bucket_count(spark, size // 6, BUCKET_ITEMS)  # words have some six bytes, and a block's items are fewer
     nobody = F.lit(None).cast("long")
-    found = [keep(counts.select(F.monotonically_increasing_id().alias("id"), nobody.alias("left"), nobody.alias("right"), "lang", "phrase", F.col("phrase").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails")), "phrases")]
-    keys = ["lang", "word"]
-    for k in range(2, longest + 1):
-        before = found[-1]
-        ids = before.select("id", *(["lang", F.col("phrase").alias("word")] if k == 2 else keys))
-        coded = now.where("seq is null").join(ids, keys).select("block", "code", "id", F.lit(None).cast("binary").alias("seq"))
-        coded = coded.union(now.where("seq is not null").select("block", "code", F.lit(None).cast("long"), "seq"))
-        pairs = coded.repartition("block").sortWithinPartitions("block", F.col("code").asc_nulls_last()).mapInArrow(_pairs(k == longest), _PAIRS)
-        there = new_path(spark, "blocks")
+    path, found, totals = new_path(spark, "blocks"), [], None
+    now = keep(rows.mapInArrow(_read(buckets), _BLOCKS), "blocks", path)
+    totals = keep(now.where("bucket is null").groupBy("lang").agg(F.sum("size").alias("n")), "totals")
+    for k in range(1, longest + 1):
+        items = now.where("bucket is not null").repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang", "block", "base")
+        named_at = new_path(spark, "names")
+        named = keep(items.mapInArrow(_name(k == 1, least), _NAMES), "names", named_at)
+        new = named.where("block is null")
+        if k == 1:
+            new = new.select("id", nobody.alias("left"), nobody.alias("right"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("heads"), F.array("f").alias("tails"))
+        else:
+            before = found[-1]
+            first = before.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("_begin"), F.col("heads").alias("_heads"))
+            second = before.select(F.col("id").alias("right"), "last", F.col("tails").alias("_tails"))
+            add = lambda c: F.concat(F.col(c), F.array("f"))
+            both = new.select("id", "left", "right", "f").join(first, "left").join(second, "right")
+            new = both.select("id", "left", "right", "lang", F.concat_ws(" ", "_begin", "last").alias("phrase"), "last", "f", add("_heads").alias("heads"), add("_tails").alias("tails"))
+        found.append(keep(new, "phrases"))
         if k < longest:
-            pairs = keep(pairs, "blocks", there)
-        counts = pairs.where("seq is null").groupBy("left", "right").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        first = before.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("_begin"), F.col("heads").alias("_heads"))
-        second = before.select(F.col("id").alias("right"), "last", F.col("tails").alias("_tails"))
-        both = counts.join(first, "left").join(second, "right")
-        add = lambda c: F.concat(F.col(c), F.array("f"))
-        both = both.select(F.monotonically_increasing_id().alias("id"), "left", "right", "lang", F.concat_ws(" ", "_begin", "last").alias("phrase"), "last", "f", add("_heads").alias("heads"), add("_tails").alias("tails"))
-        found.append(keep(both, "phrases"))
+            back = named.where("block is not null").select("block", "base", "items").union(now.where("bucket is null").select("block", "base", "items"))
+            back = back.repartition("block").sortWithinPartitions("block", F.col("base").asc_nulls_last())
+            there = new_path(spark, "blocks")
+            pairs = keep(back.mapInArrow(_pairs(buckets, k + 1 == longest), _BLOCKS), "blocks", there)
         drop(path, spark)
-        path, now, keys = there, pairs, ["left", "right"]
+        drop(named_at, spark)
+        if k < longest:
+            path, now = there, pairs
     return [*found, totals]
 
 
