@@ -151,6 +151,32 @@ def test_awkward_quality(docs, spark):
         assert r["base_failed"] == (r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]) and r["kept"] != r["base_failed"]
 
 
+def test_rejections_only_where_labels_bound_them(spark):
+    """Languages without, with few and with many labels; in each, half of the documents have a mark after every word."""
+    word = lambda k, i: f"w{(k * 31 + i * 7) % 997}"
+    marked = lambda k: " ".join(word(k, i) + " ##" for i in range(60))
+    clean = lambda k: " ".join(word(k, i) for i in range(60))
+    rows = [(n * 10_000 + k, lang, marked(k) if k % 2 else clean(k)) for n, lang in enumerate(["none", None, "few", "many", "mixed"]) for k in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    # few: 100 good ones, which bound nothing; many: marked ones are bad; mixed: a tenth of the good ones are marked
+    labels = [(20_000 + k, 1) for k in range(0, 200, 2)] + [(20_000 + k, 0) for k in range(1, 200, 2)]
+    labels += [(30_000 + k, 1 - k % 2) for k in range(500)]
+    labels += [(40_000 + k, int(k % 2 == 0 or k % 20 == 1)) for k in range(500)]
+    out = quality.quality_rules(docs, spark.createDataFrame(labels, "doc_id long, quality int").repartition(3))
+    lost = {r["lang"]: (r["marked"], r["clean"]) for r in out.where("not kept").groupBy("lang").agg(F.count_if(F.col("doc_id") % 2 == 1).alias("marked"), F.count_if(F.col("doc_id") % 2 == 0).alias("clean")).collect()}
+    assert lost == {"many": (350, 0)}
+    assert out.where("base_failed").count() == 0 and out.count() == len(rows)
+
+
+def test_strata_that_are_tried():
+    """As many as there are, their tests together are no less certain than one."""
+    for sizes in ([], [10], [149], [148], [200, 200], [149, 149], [180, 181, 90, 1000], [300] * 50 + [150] * 50):
+        level, least = quality.tried(sizes, 0.02, 0.05)
+        n = sum(x >= least for x in sizes)
+        assert n * level <= 0.05 * (1 + 1e-12) and least == quality.least_trials(0.02, level)
+    assert quality.tried([149], 0.02, 0.05)[1] == 149 and quality.tried([149, 149], 0.02, 0.05)[1] > 149
+
+
 # language
 
 

@@ -4,14 +4,14 @@ Four ratios of a text (RULES) may reject it, each beyond a cutoff. How strict th
 rule takes its candidate cutoffs from the mildest to the strictest, then the second joins in with its own, and so on. In
 each stratum of the labelled documents the steps are tried in that order, and one holds if it is certain enough that all rules
 together reject at most a share ALPHA of good documents: the exact binomial (Clopper-Pearson) upper bound at level
-DELTA / strata is at most ALPHA. The first failure ends the trial, so steps need no correction among themselves; strata are
-corrected for by Bonferroni's inequality. So with probability 1 - DELTA no stratum loses more than ALPHA of its good
-documents at any step that holds. Of these, the one is used that rejects the most bad documents in proportion, less the good
+DELTA / strata is at most ALPHA. The first failure ends the trial, so steps need no correction among themselves; the strata that
+are tried are corrected for by Bonferroni's inequality. So with probability 1 - DELTA no stratum loses more than ALPHA of its good
+documents. Of the steps that hold, the one is used that rejects the most bad documents in proportion, less the good
 ones; of equals the mildest.
 
-A stratum is a length band of a language. Those with fewer good labels than any certainty needs (a number that follows from
-ALPHA, DELTA and how many strata there are) are one stratum together. If that has too few as well, it rejects nothing by
-this method.
+A stratum is a length band of a language. What its own labels can't bound is not rejected: a stratum with fewer good labels than any
+certainty needs (a number that follows from ALPHA, DELTA and how many strata are tried), or with none, keeps all that pass the
+base rules. Which strata are tried depends on how many good labels they have, not on what the rules say of these.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from tidelog.llm.shared import keep, map_rows, small_batches
+from tidelog.llm.shared import keep, map_rows, small_batches, unused
 from tidelog.llm.words import Words, as_bytes, chunks, mix
 
 ALPHA, DELTA = 0.02, 0.05
+#: Strata with cutoffs that are sent to all tasks at most; more are joined by a shuffle.
+BROADCAST_STRATA = 100_000
 #: Lower ends of the length bands, in words.
 BANDS = (0, 150)
 #: Candidate cutoffs of a ratio, the mildest first.
@@ -128,23 +130,33 @@ def first_step():
     return F.least(*[F.when(_ratio(r) > min(CUTOFFS), k * len(CUTOFFS) + milder(r)).otherwise(STEPS) for k, r in enumerate(RULES)])
 
 
-def calibrate(facts: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str | None, int] | None, int]:
-    """How many steps of the path are used in each stratum (lang, band) that is one of its own, and in the others' common
-    stratum (None).
+def tried(sizes: list[int], alpha: float, delta: float) -> tuple[float, int]:
+    """The level of each test and the good labels that a stratum needs to be tried, for strata with so many good labels: the
+    highest level delta / k at which no more than k strata are."""
+    k = 1
+    while sum(n >= least_trials(alpha, delta / k) for n in sizes) > k:
+        k += 1
+    return delta / k, least_trials(alpha, delta / k)
+
+
+def calibrate(facts: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[tuple[str | None, int], int]:
+    """How many steps of the path are used in each stratum (lang, band) that is tried.
 
     ``facts`` has id, lang, measures and base_failed, ``labels`` id and good. All labelled documents that pass the base rules
-    count. What reaches the driver is a count by stratum, label and step.
+    count. What reaches the driver are counts by label and step of the strata with as many good labels as a single test
+    needs, so dirty languages don't.
     """
     rows = facts.where("not base_failed").join(labels, "id").select("lang", _band(F.col("n_words")).alias("band"), "good", first_step().alias("step"))
+    by_step = keep(rows.groupBy("lang", "band", "good", "step").count(), "steps")
+    large = by_step.groupBy(F.col("lang").alias("_lang"), F.col("band").alias("_band")).agg(F.sum(F.when(F.col("good"), F.col("count")).otherwise(0)).alias("n")).where(F.col("n") >= least_trials(alpha, delta))
     counts: dict = {}
-    for r in rows.groupBy("lang", "band", "good", "step").count().collect():
+    for r in by_step.join(large, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("band") == F.col("_band"))).collect():
         counts.setdefault((r["lang"], r["band"]), np.zeros((2, STEPS + 1), np.int64))[int(r["good"]), r["step"]] += r["count"]
-    level = delta / (sum(bool(n[1].any()) for n in counts.values()) + 1)
-    least = least_trials(alpha, level)
-    own = {k: n for k, n in counts.items() if n[1].sum() >= least}
-    own[None] = sum((n for k, n in counts.items() if k not in own), np.zeros((2, STEPS + 1), np.int64))
+    level, least = tried([int(n[1].sum()) for n in counts.values()], alpha, delta)
     used = {}
-    for stratum, n in own.items():
+    for stratum, n in counts.items():
+        if n[1].sum() < least:
+            continue
         bad, good = np.cumsum(n, axis=1).tolist()
         held = next((k for k in range(STEPS) if not upper_bound_holds(good[k], good[-1], alpha, level)), STEPS)
         gain = [0] + [bad[k] * good[-1] - good[k] * bad[-1] for k in range(held)]
@@ -156,7 +168,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Every row of docs with MEASURES, ``base_failed`` and ``kept``.
 
     Base rules reject texts of fewer than 50 words or with over half of their words in repeated runs of three; the
-    others are kept unless a step that is used in their stratum rejects them (see above). ``labels`` has one 0/1 label
+    others are kept unless a step that is used in their stratum rejects them (see above); in a stratum that is not tried, all are. ``labels`` has one 0/1 label
     (1: good) per document; a document labelled twice is good if either label says so; labels of unknown documents and
     null labels don't count. A null text has no words, a null language is a language of its own, very long texts are
     measured whole, and repeated rows are judged alike. A ratio equal to a cutoff is not beyond it. Columns of docs with the
@@ -174,8 +186,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     given = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg((F.max(label_col) == 1).alias("good"))
     steps = calibrate(facts, given, alpha, delta)
 
-    held = F.lit(steps[None])
-    for stratum, k in steps.items():
-        if stratum is not None:
-            held = F.when(F.col(lang_col).eqNullSafe(F.lit(stratum[0])) & (_band(F.col("n_words")) == stratum[1]), F.lit(k)).otherwise(held)
-    return judged.withColumn("kept", ~F.col("base_failed") & (first_step() >= held))
+    lang, band, step = unused(judged, "of_lang", "of_band", "steps")
+    limits = judged.sparkSession.createDataFrame([(*k, v) for k, v in steps.items()], f"{lang} string, {band} int, {step} int")
+    limits = F.broadcast(limits) if len(steps) <= BROADCAST_STRATA else limits
+    same = F.col(f"`{lang_col}`").eqNullSafe(F.col(lang)) & (_band(F.col("n_words")) == F.col(band))
+    rows = judged.join(limits, same, "left")
+    return rows.withColumn("kept", ~F.col("base_failed") & (first_step() >= F.coalesce(step, F.lit(0)))).drop(lang, band, step)

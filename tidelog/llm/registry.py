@@ -228,7 +228,7 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Steps of the path: rule by rule, from the mildest cutoff on. One holds if the binomial sum up to its hits is at most 0.05 over
-# the strata.
+# the strata that are tried.
 OP6_SQL = r"""
 with d as (
   select doc_id, lang, row_number() over () rid, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
@@ -258,24 +258,24 @@ first as (select rid, min(step) step from ratios r join path p using (rule) wher
 held as (
   select j.lang, j.band, g.good, coalesce(f.step, 60) step from j join given g using (doc_id) left join first f using (rid) where not base_failed),
 strata as (select lang, band, count(*) n from held where good group by lang, band),
-level as (select 0.05 / (count(*) + 1) p from strata),
+level as (
+  select 0.05 / min(k) p from range(1, 1 + (select greatest(count(*), 1) from strata)) x(k)
+  where (select count(*) from strata where n >= ceil(ln(0.05 / k) / ln(0.98))) <= k),
 own as (select lang, band from strata, level where n >= ceil(ln(p) / ln(0.98))),
-named as (select step, good, o.band is not null own, o.lang, o.band from held h left join own o on o.lang is not distinct from h.lang and o.band = h.band),
 hits as (
-  select own, lang, band, p.step, count(*) filter (where good) n, count(*) filter (where good and h.step <= p.step) hits,
+  select h.lang, h.band, p.step, count(*) filter (where good) n, count(*) filter (where good and h.step <= p.step) hits,
          count(*) filter (where not good) n_bad, count(*) filter (where not good and h.step <= p.step) bad
-  from named h, path p group by own, lang, band, p.step),
+  from held h join own o on o.lang is not distinct from h.lang and o.band = h.band, path p group by h.lang, h.band, p.step),
 tests as (
   select *, (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.02) + (n - i) * ln(0.98))) from unnest(range(hits + 1)) z(i)) tail
   from hits),
-passed as (select *, min(case when hits >= n or tail > p then step else 60 end) over (partition by own, lang, band order by step) = 60 holds from tests, level),
+passed as (select *, min(case when hits >= n or tail > p then step else 60 end) over (partition by lang, band order by step) = 60 holds from tests, level),
 used as (
-  select own, lang, band, arg_max(step, (bad * n - hits * n_bad, -step)) + 1 steps from passed
-  where holds and bad * n > hits * n_bad group by own, lang, band)
+  select lang, band, arg_max(step, (bad * n - hits * n_bad, -step)) + 1 steps from passed
+  where holds and bad * n > hits * n_bad group by lang, band)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and coalesce(f.step, 60) >= coalesce(case when o.band is null then c.steps else u.steps end, 0) kept
-from j left join first f using (rid) left join own o on o.lang is not distinct from j.lang and o.band = j.band
-  left join used u on u.own and u.lang is not distinct from j.lang and u.band = j.band left join used c on not c.own
+       not base_failed and coalesce(f.step, 60) >= coalesce(u.steps, 0) kept
+from j left join first f using (rid) left join used u on u.lang is not distinct from j.lang and u.band = j.band
 """
 
 OP7_SQL = r"""
