@@ -9,6 +9,9 @@ that counts is lost on the way.
 The two ids of a pair are also its parents, the phrase without its last and without its first word. Through them a phrase
 inherits the counts of all its beginnings and ends, which the cuts need, and gives its own count to the phrases inside it.
 
+A block's sequence stands in the form from which its next items follow: for words, numbers by how frequent they are in the block; for
+pairs, the frequent (k-1)-grams, of which the block makes the same pairs again when their ids arrive.
+
 Items (words, or pairs of ids) travel packed: a row has a block's items of one bucket, sorted and compressed, and their numbers in
 the block are those that follow its ``base``. A bucket's rows meet in one place, where its items are summed and named; the
 answer to a row has the places and ids of its frequent items and goes back to the block. There are so many buckets that one holds
@@ -81,9 +84,20 @@ def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.append(first, len(sorted_values)), found
 
 
-def _rows(lang: str | None, block: int, buckets: np.ndarray, starts: np.ndarray, packed: list[bytes], size: int | None, seq: np.ndarray | None) -> pa.RecordBatch:
+def _flow(values: np.ndarray, seq: np.ndarray) -> bytes:
+    """A sequence of numbers (-1 for a gap) and what each number stands for."""
+    first = _pack(values.astype(np.int64))
+    return len(first).to_bytes(8, "little") + first + _pack(seq.astype(np.int32))
+
+
+def _flowing(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    cut = 8 + int.from_bytes(data[:8], "little")
+    return _unpack(data[8:cut], np.int64)[0], _unpack(data[cut:], np.int32)[0]
+
+
+def _rows(lang: str | None, block: int, buckets: np.ndarray, starts: np.ndarray, packed: list[bytes], size: int | None, flow: bytes | None) -> pa.RecordBatch:
     """The rows of a block: its items bucket by bucket, then its sequence."""
-    more = seq is not None
+    more = flow is not None
     base = [*starts[:-1].tolist(), *[None] * more]
     rows = [
         pa.array([*buckets.tolist(), *[None] * more], pa.int64()),
@@ -91,7 +105,7 @@ def _rows(lang: str | None, block: int, buckets: np.ndarray, starts: np.ndarray,
         pa.array([block] * (len(buckets) + more), pa.int64()),
         pa.array(base, pa.int64()),
         pa.array([*np.diff(starts).tolist(), *[size] * more], pa.int64()),
-        pa.array([*packed, *([_pack(seq)] if more else [])], pa.binary()),
+        pa.array([*packed, *([flow] if more else [])], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(rows, ["bucket", "lang", "block", "base", "size", "items"])
 
@@ -118,16 +132,18 @@ def _read(buckets: int):
             real = len(names) - (stop >= 0)
             if not real:
                 return
-            code = np.empty(len(names), np.int32)
+            code = np.empty(len(names), np.int64)
             code[order] = np.arange(len(names))
-            if stop >= 0:
-                code[stop] = -1
+            ranked = np.argsort(-n, kind="stable")
+            ranked = ranked[ranked != stop]
+            rank = np.full(len(names), -1, np.int32)
+            rank[ranked] = np.arange(real)
             starts, found = _runs(bucket[order[:real]])
             packed = []
             for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 mine = order[i:j].tolist()
                 packed.append(zstandard.compress(n[order[i:j]].astype(np.int64).tobytes() + b" ".join([names[k] for k in mine]), 1))
-            yield _rows(lang, number, found, starts, packed, int(n[order[:real]].sum()), code[seq])
+            yield _rows(lang, number, found, starts, packed, int(n[order[:real]].sum()), _flow(code[ranked], rank[seq]))
             number += 1
 
         for batch in batches:
@@ -225,31 +241,38 @@ def _name(words: bool, least: int):
     return run
 
 
-def _pair(codes: np.ndarray, ids: np.ndarray, seq: np.ndarray, buckets: int):
-    """Distinct neighbours among the frequent items of a block, by bucket: buckets, starts, packed items, and the sequence of their
-    numbers, in which -1 stands for any run of what is none."""
-    rank = np.full(max(int(seq.max(initial=-1)), int(codes.max(initial=-1))) + 2, -1, np.int64)
-    rank[codes] = np.arange(len(codes))
-    now = rank[seq]  # -1 reads the last place, which no code has
-    there = (now[:-1] >= 0) & (now[1:] >= 0)
-    key = (now[:-1] * len(codes) + now[1:])[there]
-    key, of, n = np.unique(key, return_inverse=True, return_counts=True)
-    if not len(key):
-        return None
-    left, right = ids[key // len(codes)], ids[key % len(codes)]
+def _pair(ids: np.ndarray, seq: np.ndarray, buckets: int):
+    """Neighbours among the frequent items of a block. Of the distinct pairs, by bucket, left and right: bucket, left, right, n; of each
+    place but the last, the number of its pair in that order, -1 for none."""
+    there = (seq[:-1] >= 0) & (seq[1:] >= 0)
+    key, of, n = np.unique((seq[:-1].astype(np.int64) * len(ids) + seq[1:])[there], return_inverse=True, return_counts=True)
+    left, right = ids[key // max(len(ids), 1)], ids[key % max(len(ids), 1)]
     bucket = (mix(left.astype(_U) * _U(0x9E3779B97F4A7C15) + right.astype(_U)) % _U(buckets)).astype(np.int64)
     order = np.lexsort((right, left, bucket))
-    code = np.empty(len(key), np.int32)
+    code = np.empty(len(key), np.int64)
     code[order] = np.arange(len(key))
-    out = np.full(len(there), -1, np.int32)
-    out[there] = code[of]
-    out = out[(out >= 0) | np.concatenate(([False], out[:-1] >= 0))]
-    starts, found = _runs(bucket[order])
-    left, right, n = left[order], right[order], n[order].astype(np.int64)
-    return found, starts, [_pack(left[i:j], right[i:j], n[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)], out
-
-
-def _pairs(buckets: int, last: bool):
+    places = np.full(len(there), -1, np.int64)
+    places[there] = code[of]
+    return bucket[order], left[order], right[order], n[order].astype(np.int64), places
+
+
+def _frequent(codes: np.ndarray, ids: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of frequent items only, numbered by how frequent they are, with runs of others as one gap; and their ids. ``of`` has
+    the item of each place (-1 for none), ``codes`` and ``ids`` are the frequent ones of ``size`` items."""
+    id_of = np.full(size + 1, -1, np.int64)
+    id_of[codes] = ids
+    id_of[size] = -1
+    n = np.bincount(of[of >= 0], minlength=size + 1)
+    often = np.flatnonzero(id_of >= 0)
+    often = often[np.argsort(-n[often], kind="stable")]
+    rank = np.full(size + 1, -1, np.int32)
+    rank[often] = np.arange(len(often))
+    seq = rank[of]  # -1 reads the last place, which no item has
+    gap = seq < 0
+    return id_of[often], seq[~(gap & np.concatenate(([False], gap[:-1])))]
+
+
+def _pairs(words: bool, buckets: int, last: bool):
     """A function over (block, base, items): each block's answers, then its sequence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,10 +284,18 @@ def _pairs(buckets: int, last: bool):
                     held.append((there.astype(np.int64) + base, ids))
                     continue
                 if held:
-                    made = _pair(*(np.concatenate([x[k] for x in held]) for k in range(2)), _unpack(items, np.int32)[0], buckets)
-                    if made:
-                        found, starts, packed, seq = made
-                        yield _rows(None, block, found, starts, packed, None, None if last else seq)
+                    values, seq = _flowing(items)
+                    if words:
+                        of, size = np.append(values, -1)[seq], len(values)
+                    else:
+                        bucket, *_, of = _pair(values, seq, buckets)
+                        size = len(bucket)
+                    ids, seq = _frequent(*(np.concatenate([x[k] for x in held]) for k in range(2)), of, size)
+                    bucket, left, right, n, _ = _pair(ids, seq, buckets)
+                    if len(n):
+                        starts, found = _runs(bucket)
+                        packed = [_pack(left[i:j], right[i:j], n[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+                        yield _rows(None, block, found, starts, packed, None, None if last else _flow(ids, seq))
                 held = []
 
     return run
@@ -315,7 +346,7 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lon
             back = named.where("block is not null").select("block", "base", "items").union(now.where("bucket is null").select("block", "base", "items"))
             back = back.repartition("block").sortWithinPartitions("block", F.col("base").asc_nulls_last())
             there = new_path(spark, "blocks")
-            pairs = keep(back.mapInArrow(_pairs(buckets, k + 1 == longest), _BLOCKS), "blocks", there)
+            pairs = keep(back.mapInArrow(_pairs(k == 1, buckets, k + 1 == longest), _BLOCKS), "blocks", there)
         drop(path, spark)
         drop(named_at, spark)
         if k < longest:
