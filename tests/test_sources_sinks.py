@@ -6,24 +6,28 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.model import Catalog, Property, Schema
-from tidelog.operators import evolve, filters, metrics, segments
+from tidelog.operators import cooldown, evolve, filters, metrics, segments
 from tidelog.operators.mirror import empty_mirror
 from tidelog.sinks import databases, dialects, files, registry
 from tidelog.sinks.store import Buckets, Folder, KeyValues, Ledger, MirrorStore
 from tidelog.sources import events as se
-from tidelog.sources import schemas, snapshots
+from tidelog.sources import exports, schemas, snapshots
+from tidelog.sources.folders import listing
 from tidelog.streaming.runner import Delivery, deliver
 
 ORDERS = Schema("orders", "1", {"id": Property(), "name": Property(nullable=True)}, ("id",), ("id",))
-STAMP = "202403151430221234567890000000000"
+STAMP = "203105091716151823000000000000042"
+
+
+AT = 1936113375182300  # of STAMP, in microseconds
 
 
 def test_file_names(spark):
-    names = [f"{STAMP}-n1-0-orders-0.ndjson.gz", f"{STAMP}-n1-0-work_orders-0.ndjson", "202312251200001234567890000000000-n5-3-invoice_items-2.ndjson.gz", "README.txt", ""]
+    names = [f"{STAMP}-w9-0-parcels-a.ndjson.gz", f"{STAMP}-w9-12-lost_parcels-0.ndjson", f"{STAMP}-w9-0-a-b-0.ndjson", f"{'9' * 33}-w9-0-parcels-0.ndjson", f"{STAMP}-w9-x-parcels-0.ndjson", f"{STAMP[:32]}-w9-0-parcels-0.ndjson", "notes.txt", ""]
     df = spark.createDataFrame([(n,) for n in names], "n string")
     got = [tuple(r) for r in df.select(snapshots.file_table(F.col("n")), snapshots.file_time(F.col("n"))).collect()]
-    at = 1710513022123456
-    assert got == [("orders", at), ("work_orders", at), ("invoice_items", 1703505600123456), (None, None), (None, None)]
+    assert got == [("parcels", AT), ("lost_parcels", AT), ("a-b", AT), ("parcels", None)] + [(None, None)] * 4
+    assert [exports.parsed(n) for n in names] == [("parcels", AT), ("lost_parcels", AT), ("a-b", AT), ("parcels", None), None, None, None, None]
 
 
 def put(folder, name, lines):
@@ -47,11 +51,11 @@ def test_import(spark, tmp_path):
     done = spark.createDataFrame([(f"/x/{STAMP}-N1-0-orders-0.ndjson",)], "f string")
     assert snapshots.import_events(spark, d, ["orders"], completed=done).count() == 2
     first = every.where("after like '%locationId%'").first()
-    assert (first["operation"], first["key"], first["locationId"], first["timestamp"], first["mvccTimestamp"]) == ("INSERT", ["1"], "c", 1710513022123, "1710513022123456000")
+    assert (first["operation"], first["key"], first["locationId"], first["timestamp"], first["mvccTimestamp"]) == ("INSERT", ["1"], "c", AT // 1000, f"{AT}000")
     listed = snapshots.list_files(spark, d)
     counts = {r["table"]: r["n_rows"] for r in snapshots.import_counts(listed, every).collect()}
     assert counts == {"orders": 4, "products": 1, "empty": 0}
-    assert {r["table"]: r["cutoff_ms"] for r in snapshots.cutoffs(listed).collect()}["products"] == 1710513022123
+    assert {r["table"]: r["cutoff_ms"] for r in snapshots.cutoffs(listed).collect()}["products"] == AT // 1000
     from tidelog.operators.mirror import empty_mirror
 
     mirror = snapshots.snapshot_mirror(every.where("table = 'orders'"), empty_mirror(spark, ORDERS), ORDERS)
@@ -61,6 +65,66 @@ def test_import(spark, tmp_path):
     assert metrics.transferred(spark.read.format("binaryFile").load(d + "/*.txt")).first()["bytes"] == 1
 
 
+def members(lines, per_member, torn=False):
+    """gzip of lines in members of so many bytes, so that lines run over their ends."""
+    text = "\n".join(lines).encode()
+    out = b"".join(gzip.compress(text[k : k + per_member]) for k in range(0, len(text), per_member))
+    return out[:-5] if torn else out
+
+
+def test_export_splits(spark, tmp_path):
+    """Rows are those of the whole file, in order, however it is split."""
+    import random
+
+    r = random.Random(6)
+    text = ["".join(r.choices("abcdef ü日", k=r.randrange(0, 90))) for _ in range(2000)] + ["x" * 5000, "", "last"]
+    made = {
+        "a-many": members(text, 700),
+        "b-one": gzip.compress("\n".join(text).encode() + b"\n"),
+        "c-lines": b"".join(gzip.compress((t + "\n").encode()) for t in text[:300]) + b"\0" * 100,
+        "d-inside": members(["p" + gzip.compress(b"no member").decode("latin1").replace("\n", "") for _ in range(50)], 300),
+        "e-crlf": gzip.compress(b"u\r\nv\r\n") + gzip.compress(b"w"),
+    }
+    for name, data in made.items():
+        (tmp_path / f"{STAMP}-n-0-{name}-0.ndjson.gz").write_bytes(data)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / f"sub/{STAMP}-n-0-plain-0.ndjson").write_bytes("\n".join(text).encode())
+    (tmp_path / f"sub/{STAMP}-n-0-none-0.ndjson").write_bytes(b"")
+    want = {f"{k[0]}": gzip.decompress(v).decode("utf-8", "replace") for k, v in made.items()} | {"p": "\n".join(text)}
+    for split in (1 << 30, 40_000, 1000, 97):
+        got = {}
+        if split < 1000:  # small files only: a task for every few bytes
+            rows = exports.read_export(spark, str(tmp_path), split, ["e-crlf", "d-inside"])
+        else:
+            rows = exports.read_export(spark, str(tmp_path), split)
+        for x in rows.orderBy("table", "place").collect():
+            got.setdefault(x["table"][0], []).append(x["value"])
+        assert got == {k: [t.removesuffix("\r") for t in want[k].split("\n") if t.strip(" ") and t != "\r"] for k in got} and len(got) == (2 if split < 1000 else 6)
+    assert listing(spark, str(tmp_path), "*.ndjson").count() == 2 and listing(spark, str(tmp_path)).count() == 7
+
+
+def test_torn_gzip_is_an_error(spark, tmp_path):
+    (tmp_path / f"{STAMP}-n-0-t-0.ndjson.gz").write_bytes(members(["abc" * 50] * 90, 500, torn=True))
+    for split in (1 << 20, 300):
+        with pytest.raises(Exception, match="torn"):
+            exports.read_export(spark, str(tmp_path), split).count()
+
+
+def test_names_are_pruned_before_files_are_opened(spark, tmp_path):
+    put(str(tmp_path), f"{STAMP}-n1-0-orders-0.ndjson", [{"id": "1"}])
+    later = "2040" + STAMP[4:]
+    put(str(tmp_path), f"{later}-n1-0-orders-1.ndjson", [{"id": "2"}])
+    (tmp_path / f"{STAMP}-n1-0-broken-0.ndjson.gz").write_bytes(b"no gzip")
+    rows = exports.read_export(spark, str(tmp_path))
+    assert rows.where("table = 'orders'").count() == 2  # the broken one is not opened
+    assert rows.where(f"table in ('orders', 'x') and file_us > {AT}").count() == 1
+    assert rows.where(f"table = 'orders' and file_us <= {AT} and value like '%1%'").count() == 1
+    assert rows.where("table = 'nothing'").count() == 0
+    assert exports.read_export(spark, str(tmp_path), tables=["orders"]).count() == 2
+    plan = rows.where("table = 'orders'")._jdf.queryExecution().executedPlan().toString()
+    assert "Filter" in plan and "table" not in plan[plan.index("Filter") :].split("\n")[0]  # only the blank lines are left to Spark
+
+
 def test_decode(spark):
     good = json.dumps({"operation": "insert", "id": "e", "table": "t", "key": ["1"], "after": {"id": "1", "n": {"k": [1]}}})
     df = spark.createDataFrame([(good.encode(),), (gzip.compress(good.encode()),), (b"{oops",), (b'{"id":"x"}',), (None,)], "value binary")
@@ -84,12 +148,51 @@ def test_filters(spark):
 
 def test_alert_cooldown(spark):
     times = [0, 10, 299, 300, 301, 599, 600, 5000]
-    df = spark.createDataFrame([(c, t, x) for c in ("mail", "chat") for t in ("down", "up") for x in times] + [("mail", "down", 0)], "channel string, title string, at long")
+    df = spark.createDataFrame([(c, t, x) for c in ("mail", "chat") for t in ("down", None) for x in times] + [("mail", "down", 0), ("mail", "down", None)], "channel string, title string, at long")
     sent = {}
-    for r in metrics.alert_cooldown(df, 300).collect():
+    for r in cooldown.alert_cooldown(df, 300).collect():
         sent.setdefault((r["channel"], r["title"]), []).append(r["at"])
     assert all(sorted(v) == [0, 300, 600, 5000] for v in sent.values()) and len(sent) == 4
-    assert metrics.alert_cooldown(df, 0).count() == 32
+    assert cooldown.alert_cooldown(df, 0).count() == 32
+    assert cooldown.alert_cooldown(df.limit(0), 300).count() == 0
+
+
+def one_by_one(times, seconds):
+    sent = []
+    for t in sorted(set(times)):
+        if not sent or t - sent[-1] >= seconds:
+            sent.append(t)
+    return sent
+
+
+def test_alert_cooldown_over_spans(spark):
+    """Dense and sparse keys, spans shorter than the cooldown, times before zero."""
+    import random
+
+    r = random.Random(1)
+    rows = [(1, t) for t in range(-500, 3000) if r.random() < 0.7] + [(2, r.randrange(-10_000, 10_000)) for _ in range(300)] + [(None, 7), (3, -1)]
+    df = spark.createDataFrame(rows + rows[:50], "k int, t long")
+    for seconds, span in ((7, 20), (50, 10), (1, 5), (400, 1000), (100_000, 60)):
+        got = {}
+        for x in cooldown.alert_cooldown(df, seconds, ("k",), "t", span).collect():
+            got.setdefault(x["k"], []).append(x["t"])
+        assert {k: sorted(v) for k, v in got.items()} == {k: one_by_one([t for j, t in rows if j == k], seconds) for k in (1, 2, 3, None)}
+
+
+def test_alert_cooldown_of_a_stream(spark, tmp_path):
+    import random
+
+    r = random.Random(2)
+    times = sorted(r.sample(range(2000), 300))
+    os.makedirs(tmp_path / "in")
+    stream = spark.readStream.schema("channel string, title string, at long").option("maxFilesPerTrigger", 1).option("latestFirst", "false").json(str(tmp_path / "in"))
+    for k in range(3):
+        send(str(tmp_path / "in"), f"{k}.json", *[{"channel": c, "title": "t", "at": t} for c in "ab" for t in times[100 * k : 100 * k + 100]])
+        os.utime(tmp_path / f"in/{k}.json", (1000 + k, 1000 + k))
+    q = cooldown.alert_cooldown_stream(stream, 60).writeStream.format("memory").queryName("sent").outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    for c in "ab":
+        assert sorted(x["at"] for x in spark.table("sent").where(f"channel = '{c}'").collect()) == one_by_one(times, 60)
 
 
 def test_progress_and_batches(spark):
@@ -519,7 +622,7 @@ def test_transient_errors():
 
 
 def test_last_line_of_a_file_wins(spark, tmp_path):
-    name = "202403151430221234567890000000000-n1-0-orders-0.ndjson"
+    name = f"{STAMP}-n1-0-orders-0.ndjson"
     (tmp_path / name).write_text("\n".join(json.dumps({"id": "a", "name": f"n{k}", "v": k}) for k in range(50)))
     e = snapshots.import_events(spark, str(tmp_path), ["orders"])
     got = snapshots.snapshot_mirror(e, empty_mirror(spark, ORDERS), ORDERS).collect()

@@ -56,18 +56,6 @@ def in_key_order(events: DataFrame, order: str, partitions: int) -> DataFrame:
     return events.withColumn("_pk", partition_key()).repartition(partitions, "_pk").sortWithinPartitions("_pk", order).drop("_pk")
 
 
-def alert_cooldown(alerts: DataFrame, seconds: int = 300, keys: tuple[str, ...] = ("channel", "title"), at: str = "at") -> DataFrame:
-    """Alerts that are sent: the first of its channel and title, and each that comes ``seconds`` or more after the last one
-    sent. What is sent depends on what was sent before, so each key's distinct times are folded in order; times within one
-    second of another are one, which bounds a fold by the time span."""
-    sent = F.aggregate(
-        F.array_sort(F.collect_set(F.col(at).cast("long"))),
-        F.array().cast("array<bigint>"),
-        lambda acc, t: F.when((F.size(acc) == 0) | (t - F.element_at(acc, -1) >= seconds), F.concat(acc, F.array(t))).otherwise(acc),
-    )
-    return alerts.groupBy(*keys).agg(sent.alias("sent")).select(*keys, F.explode("sent").alias(at))
-
-
 def transferred(files: DataFrame) -> DataFrame:
     """Files and bytes of a binaryFile listing."""
     return files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))

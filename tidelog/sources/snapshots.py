@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.events import json_field, nanos_to_millis
 from tidelog.operators.filters import not_completed, only_tables
+from tidelog.sources.exports import read_export
 from tidelog.sources.folders import listing
 
 #: 33 digits (date and time, nanoseconds, logical clock), node, number, table, part.
@@ -71,9 +72,10 @@ def line_events(lines: DataFrame, versions: dict[str, str] | None = None) -> Dat
     )
 
 
-def import_events(spark: SparkSession, path: str, known: list[str], only: list[str] | None = None, completed: DataFrame | None = None, versions: dict[str, str] | None = None) -> DataFrame:
-    """Events of an export: of known tables, of the listed ones if a list is given, without files already completed."""
-    lines = only_tables(only_tables(read_lines(spark, path), known), only)
+def import_events(spark: SparkSession, path: str, known: list[str], only: list[str] | None = None, completed: DataFrame | None = None, versions: dict[str, str] | None = None, source: bool = True) -> DataFrame:
+    """Events of an export: of known tables, of the listed ones if a list is given, without files already completed. Read by the data
+    source of ``exports``, or, for stores that only Spark reaches, by Spark's reader (source=False)."""
+    lines = only_tables(only_tables(read_export(spark, path) if source else read_lines(spark, path), known), only)
     if completed is not None:
         lines = not_completed(lines, completed)
     return line_events(lines, versions)
