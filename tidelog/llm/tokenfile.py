@@ -31,6 +31,8 @@ from tidelog.llm.words import size_chunks
 SEQUENCE = 2048
 #: Bytes of text that are encoded together: the more, the fewer words are met again.
 ENCODED = 4 << 20
+#: Words that are given to the library together.
+ENCODED_WORDS = 1 << 13
 #: Words whose ids a worker remembers at most (some 100 MB).
 REMEMBERED = 600_000
 ROWS = 256
@@ -104,8 +106,10 @@ class LibraryEncoder:
         for half in halves:
             each = half.dictionary.to_pylist()
             new = [w for w in each if w not in known]
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[w] = array("I", e.ids).tobytes()
+            for k in range(0, len(new), ENCODED_WORDS):  # what the library returns takes a KB or two for each
+                some = new[k : k + ENCODED_WORDS]
+                for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                    known[w] = array("I", e.ids).tobytes()
             parts += [known[w] for w in each]
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         first = np.cumsum(size) - size
