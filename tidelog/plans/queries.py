@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import dataclasses
+import gzip
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.functions import events as fe
 from tidelog.functions.hashing import broker_partition, xxhash32
 from tidelog.model import Property, Schema
-from tidelog.operators import evolve, filters, metrics, mirror, views
+from tidelog.operators import cooldown, evolve, filters, metrics, mirror, segments, views
 from tidelog.plans import cdc
+from tidelog.scratch import scratch_folder
 from tidelog.sinks import brokers
 from tidelog.sources import snapshots
 from tidelog.sources.events import decode
+from tidelog.sources.exports import opened, read_export
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -207,16 +211,35 @@ def dlq_rows(spark, sf_dir):
     return rows.select("event_id", "operation", "table_name", "company_id", "location_id", F.col("error"), F.col("retry_count").cast("long").alias("retry_count"), fe.json_field("payload", "kind").alias("payload_kind"))
 
 
-@query(None)
+# xxHash32 of h (bytes as hexadecimal text): u has the words of each whole stripe and what is left.
+_XXH = """
+, b as (select id, k, hex(encode(k)) h, octet_length(encode(k))::hugeint n from keys),
+w as (select *, list_transform(range((n // 4)::bigint), lambda i: (('0x' || h[8 * i + 7:8 * i + 8] || h[8 * i + 5:8 * i + 6] || h[8 * i + 3:8 * i + 4] || h[8 * i + 1:8 * i + 2])::bigint)::hugeint) w,
+  list_transform(range((n - n % 4)::bigint, n::bigint), lambda i: (('0x' || h[2 * i + 1:2 * i + 2])::bigint)::hugeint) rest from b),
+lane as (select id, k, n, w, rest, list_transform([606290984, 2246822519, 0, 1640531535], lambda start, l: list_reduce(list_prepend(start::hugeint, list_transform(range((n // 16)::bigint), lambda s: w[4 * s + l])),
+  lambda acc, x: (((((acc + x * 2246822519) % 4294967296) * 8192) % 4294967296 + ((acc + x * 2246822519) % 4294967296) // 524288) * 2654435761) % 4294967296)) v from w),
+s0 as (select *, (n + case when n >= 16 then ((v[1] * 2) % 4294967296 + v[1] // 2147483648 + (v[2] * 128) % 4294967296 + v[2] // 33554432 + (v[3] * 4096) % 4294967296 + v[3] // 1048576
+  + (v[4] * 262144) % 4294967296 + v[4] // 16384) else 374761393 end) % 4294967296 a from lane),
+s1 as (select *, list_reduce(list_prepend(a, w[(4 * (n // 16))::bigint + 1:]), lambda acc, x: (((((acc + x * 3266489917) % 4294967296) * 131072) % 4294967296 + ((acc + x * 3266489917) % 4294967296) // 32768) * 668265263) % 4294967296) c from s0),
+s2 as (select *, list_reduce(list_prepend(c, rest), lambda acc, x: (((((acc + x * 374761393) % 4294967296) * 2048) % 4294967296 + ((acc + x * 374761393) % 4294967296) // 2097152) * 2654435761) % 4294967296) d from s1),
+s3 as (select *, (xor(d, d // 32768) * 2246822519) % 4294967296 e from s2),
+s4 as (select *, (xor(e, e // 8192) * 3266489917) % 4294967296 g from s3),
+hashed as (select id, k, cast(xor(g, g // 65536) as bigint) hash from s4)
+"""
+
+
+@query(", keys as (select id, 'accounts.' || company || '.' || coalesce(location, 'none') || '.' || entity k from ev)" + _XXH + "select id, hash % 64 as partition from hashed")
 def partition_hash(spark, sf_dir):
-    """xxHash32 of partition keys, modulo 64: not expressible in SQL, tested against known values."""
+    """xxHash32 of partition keys, modulo 64."""
     return cdc.events(spark, sf_dir).select("id", broker_partition(fe.partition_key()).alias("partition"))
 
 
-@query("""select * from (values ('', 46947589), ('a', 1426945110), ('abc', 852579327), ('Nobody inspects the spammish repetition', 3794352943)) v(text, hash)""", False)
+@query(", keys as (select id, case when seq % 9 = 0 then '' else repeat(kind || 'ü' || id, cast(seq % 5 as bigint)) end k from ev)" + _XXH + "select id, k as text, hash from hashed")
 def hash_known_answers(spark, sf_dir):
-    texts = spark.createDataFrame([("",), ("a",), ("abc",), ("Nobody inspects the spammish repetition",)], "text string")
-    return texts.select("text", xxhash32("text").alias("hash"))
+    """xxHash32 of texts from none to some 80 bytes."""
+    e = cdc.load(spark, sf_dir, "events")
+    text = F.when((F.col("event_id") + 1) % 9 == 0, "").otherwise(F.repeat(F.concat("event_type", F.lit("ü"), F.col("event_id").cast("string")), ((F.col("event_id") + 1) % 5).cast("int")))
+    return e.select(F.col("event_id").cast("string").alias("id"), text.alias("text")).select("id", "text", xxhash32("text").alias("hash"))
 
 
 @query("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as utc, user_id as n, event_type as text from events", False)
@@ -320,15 +343,77 @@ def files_of_known_tables(spark, sf_dir):
     return filters.known_tables(_files(spark, sf_dir).join(status, "o_orderkey"), names).select("o_orderkey")
 
 
-@query("select count(*) as files, cast(sum(n_chars) as bigint) as bytes from documents", False)
+def _export(spark, sf_dir, gz: bool = True) -> str:
+    """An export of the orders in a folder that is shared: a table per status, files named by their number, some below others, gzip files
+    of many members."""
+    folder = scratch_folder(spark, "export")
+    o = cdc.load(spark, sf_dir, "orders").select(F.concat(F.lit("orders_"), F.lower("o_orderstatus")).alias("table"), (F.col("o_orderkey") % 4).alias("part"), "o_orderkey", F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").alias("cust"))).alias("line"))
+
+    def write(rows: pa.Table) -> pa.Table:
+        table, part = rows.column("table")[0].as_py(), rows.column("part")[0].as_py()
+        lines = [x.encode() + b"\n" for _, x in sorted(zip(rows.column("o_orderkey").to_pylist(), rows.column("line").to_pylist(), strict=True))]
+        packed = gz and part % 2 == 0
+        data = b"".join(gzip.compress(b"".join(lines[k : k + 50]), 1) for k in range(0, len(lines), 50)) if packed else b"".join(lines)
+        name = f"2024020{1 + part}000000{'0' * 19}-n1-0-{table}-{part}.ndjson" + ".gz" * packed
+        fs, root = opened(folder)
+        root += f"/more/{part}" if part > 1 else ""
+        fs.create_dir(root, recursive=True)
+        with fs.open_output_stream(f"{root}/{name}", compression=None) as out:  # a name with .gz is compressed otherwise
+            out.write(data)
+        return pa.table({"n": pa.array([len(lines)], pa.int64())})
+
+    o.groupBy("table", "part").applyInArrow(write, "n long").agg(F.sum("n")).collect()
+    return folder
+
+
+@query("select 'orders_' || lower(o_orderstatus) as \"table\", o_orderkey, o_custkey as cust from orders where o_orderstatus in ('F', 'P') and o_orderkey % 4 > 0", False)
+def export_rows(spark, sf_dir):
+    """Rows of an export by the data source, in small splits, of two tables and all but the first day: the other files aren't opened."""
+    rows = read_export(spark, _export(spark, sf_dir), 2000, ["orders_f", "orders_p"]).where(F.col("file_us") >= 1706832000000000)
+    return rows.select("table", fe.json_field("value", "id").cast("long").alias("o_orderkey"), fe.json_field("value", "cust").cast("long").alias("cust"))
+
+
+@query("""with f as (select distinct 'orders_' || lower(o_orderstatus) as tbl, o_orderkey % 4 as part from orders)
+select tbl as "table", (1706745600 + 86400 * part) * 1000000 as file_us, '2024020' || (1 + part) || '000000' || repeat('0', 19) || '-n1-0-' || tbl || '-' || part || '.ndjson' || case when part % 2 = 0 then '.gz' else '' end as file_name,
+       row_number() over (order by tbl, part) as place from f""", False)
+def export_files(spark, sf_dir):
+    """Files of an export, by table and time."""
+    files = snapshots.ordered_files(snapshots.list_files(spark, _export(spark, sf_dir)))
+    return files.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id())).cast("long")).select("table", "file_us", "file_name", "place")
+
+
+@query("""select count(distinct (o_orderstatus, o_orderkey % 4)) as files, cast(sum(18 + strlen(cast(o_orderkey as varchar)) + strlen(cast(o_custkey as varchar))) as bigint) as bytes from orders""", False)
 def transferred_bytes(spark, sf_dir):
-    return metrics.transferred(cdc.load(spark, sf_dir, "documents").select(F.col("n_chars").alias("length")))
+    """Files and bytes of an export."""
+    return metrics.transferred(snapshots.list_files(spark, _export(spark, sf_dir, gz=False)))
 
 
-@query("select seq, company, row_number() over (partition by company order by seq) as place from ev")
+@query("select seq, 'accounts.' || company || '.' || coalesce(location, 'none') || '.' || entity as key, row_number() over (partition by company, location, entity order by seq) as place from ev")
 def key_order(spark, sf_dir):
-    rows = metrics.flush_batches(cdc.events(spark, sf_dir), 1, ["companyId"], "seq")
-    return rows.select("seq", F.col("companyId").alias("company"), (F.col("batch") + 1).alias("place"))
+    """Events dealt out by key, with the place among those of their key that they come in."""
+    rows = metrics.in_key_order(cdc.events(spark, sf_dir), "seq", 8).withColumn("_i", F.monotonically_increasing_id())
+    rows = rows.select("seq", fe.partition_key().alias("key"), "_i")
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("_i")).cast("long")).drop("_i")
+
+
+@query(""", r as (select seq, company, kind, case when kind is distinct from lag(kind) over (partition by company order by seq) and row_number() over (partition by company order by seq) > 1 then 1 else 0 end turn from ev)
+select seq, company, cast(sum(turn) over (partition by company order by seq) as bigint) as segment from r""")
+def value_segments(spark, sf_dir):
+    """Runs of one kind among the events of a company, in spans of 1,000 numbers."""
+    e = cdc.events(spark, sf_dir).select("seq", F.col("companyId").alias("company"), "operation", "after", "before", "diff")
+    e = e.withColumn("kind", F.coalesce(fe.json_field("after", "kind"), F.lit("error")))
+    return segments.segmented(e, "kind", "seq", ("company",), 1000).select("seq", "company", "segment")
+
+
+@query(""", r as (select seq, case when seq % 1000 < 7 then null else 1 + (seq * 7 // 3000) % 40 end v from ev),
+t as (select seq, v, coalesce(max(v) over (order by seq rows between unbounded preceding and 1 preceding), -1) top from r)
+select seq, cast(count(*) filter (where v > top) over (order by seq) as bigint) as segment from t""")
+def version_segments(spark, sf_dir):
+    """Where a table moves on to a later version of its model, among versions that also go back, and unknown ones."""
+    seq = F.col("seq")
+    version = F.when(seq % 1000 < 7, "other").otherwise((1 + F.floor(seq * 7 / 3000) % 40).cast("string"))
+    e = cdc.events(spark, sf_dir).withColumn("modelVersion", version)
+    return segments.version_segments(e, {("accounts", str(k)): k for k in range(1, 41)}).select("seq", "segment")
 
 
 @query("select seq, entity from ev where not is_diff")
@@ -341,26 +426,32 @@ def valid_rows(spark, sf_dir):
 
 # schema evolution
 
-_OLD = Schema("t", "1", {"id": Property(), "qty": Property("integer"), "name": Property(), "at": Property()}, ("id",))
-_NEW = Schema("t", "2", {"id": Property(), "qty": Property("number"), "at": Property(format="date-time"), "note": Property()}, ("id",))
-_VERSIONS = """with o(name, type, format) as (values ('id', 'string', null), ('qty', 'integer', null), ('name', 'string', null), ('at', 'string', null)),
-n(name, type, format) as (values ('id', 'string', null), ('qty', 'number', null), ('at', 'string', 'date-time'), ('note', 'string', null)) """
+def _versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two versions of a model with a column for each order: some are new, some removed, some have another type or format."""
+    o, key = cdc.load(spark, sf_dir, "orders"), F.col("o_orderkey")
+    old = o.where(key % 5 != 0).select(key.cast("string").alias("name"), F.col("o_orderstatus").alias("type"), F.when(key % 11 != 0, F.col("o_orderpriority")).alias("format"))
+    new = o.where(key % 3 != 0).select(key.cast("string").alias("name"), F.when(key % 7 == 0, "X").otherwise(F.col("o_orderstatus")).alias("type"), F.when(key % 13 != 0, F.col("o_orderpriority")).alias("format"))
+    return old, new
+
+
+_VERSIONS = """with o as (select cast(o_orderkey as varchar) as name, o_orderstatus as type, case when o_orderkey % 11 <> 0 then o_orderpriority end as format from orders where o_orderkey % 5 <> 0),
+n as (select cast(o_orderkey as varchar) as name, case when o_orderkey % 7 = 0 then 'X' else o_orderstatus end as type, case when o_orderkey % 13 <> 0 then o_orderpriority end as format from orders where o_orderkey % 3 <> 0) """
 
 
-@query(_VERSIONS + "select name, type, cast(format as varchar) as format from n where name not in (select name from o)", False)
+@query(_VERSIONS + "select name, type, format from n where name not in (select name from o)", False)
 def schema_new_columns(spark, sf_dir):
-    return evolve.new_columns(evolve.schema_rows(spark, _OLD), evolve.schema_rows(spark, _NEW))
+    return evolve.new_columns(*_versions(spark, sf_dir))
 
 
-@query(_VERSIONS + "select name, cast(format as varchar) as format, type from o where name not in (select name from n)", False)
+@query(_VERSIONS + "select name, format, type from o where name not in (select name from n)", False)
 def schema_removed_columns(spark, sf_dir):
-    return evolve.removed_columns(evolve.schema_rows(spark, _OLD), evolve.schema_rows(spark, _NEW))
+    return evolve.removed_columns(*_versions(spark, sf_dir))
 
 
-@query(_VERSIONS + """select n.name, o.type as old_type, n.type as new_type, cast(o.format as varchar) as old_format, cast(n.format as varchar) as new_format from n join o on n.name = o.name
+@query(_VERSIONS + """select n.name, o.type as old_type, n.type as new_type, o.format as old_format, n.format as new_format from n join o on n.name = o.name
 where o.type is distinct from n.type or o.format is distinct from n.format""", False)
 def schema_changed_columns(spark, sf_dir):
-    return evolve.changed_columns(evolve.schema_rows(spark, _OLD), evolve.schema_rows(spark, _NEW))
+    return evolve.changed_columns(*_versions(spark, sf_dir))
 
 
 @query("select distinct c_mktsegment as \"table\" from customer where c_mktsegment not in ('BUILDING') and c_acctbal < 0", False)
@@ -382,15 +473,15 @@ def schema_reshape(spark, sf_dir):
 
 
 @query("""with b(le) as (select cast(pow(2, i) as double) from range(14) t(i) union all select null)
-select event_type, le, count(*) filter (where le is null or value <= le) as n, count(*) as count from events, b group by event_type, le""", False)
+select event_type, le, count(*) filter (where le is null or value <= le) as n, count(*) as count, round(sum(value), 2) as sum from events, b group by event_type, le""", False)
 def metrics_histogram(spark, sf_dir):
     h = metrics.histogram(cdc.load(spark, sf_dir, "events"), "value", metrics.FLUSH_COUNT, ["event_type"])
-    return h.select("event_type", "le", "n", "count")
+    return h.select("event_type", "le", "n", "count", F.round("sum", 2).alias("sum"))
 
 
-@query("select count(*) as processed, max(ms) as last_event_ms, 'accounts' as last_table from ev")
+@query("select count(*) as processed, max(ms) as last_event_ms, 'accounts' as last_table, count(*) filter (where ms > 1705000000000) as pending from ev")
 def status_snapshot(spark, sf_dir):
-    return metrics.status(cdc.events(spark, sf_dir))
+    return metrics.status(cdc.events(spark, sf_dir), 1_705_000_000_000)
 
 
 @query("""select count(*) filter (where o_orderstatus = 'F') as done, count(*) as total,
@@ -406,14 +497,16 @@ def flush_batches(spark, sf_dir):
     return metrics.flush_batches(e, 500, ["company"], "seq").select("id", "company", "batch")
 
 
-@query("""with recursive a as (select distinct event_type as title, epoch_us(ts) // 1000000 as sec from events where event_type in ('error', 'signup')),
-s(title, sec) as (select title, min(sec) from a group by title
-  union all select s.title, (select min(a.sec) from a where a.title = s.title and a.sec >= s.sec + 86400) from s where s.sec is not null)
-select 'mail' as channel, title, sec from s where sec is not null""", False)
+@query("""with recursive a as (select distinct case when user_id % 4 = 0 then 'chat' else 'mail' end as channel, event_type as title, epoch_us(ts) // 1000000 as sec from events),
+nxt as materialized (select a.*, b.sec as following from a asof join a b on b.channel = a.channel and b.title = a.title and b.sec >= a.sec + 3600),
+s(channel, title, sec) as (select channel, title, min(sec) from a group by channel, title
+  union all select s.channel, s.title, nxt.following from s join nxt using (channel, title, sec))
+select * from s""", False)
 def alert_cooldown(spark, sf_dir):
-    a = cdc.load(spark, sf_dir, "events").where(F.col("event_type").isin("error", "signup"))
-    a = a.select(F.lit("mail").alias("channel"), F.col("event_type").alias("title"), F.floor(cdc.millis("ts") / 1000).alias("sec"))
-    return metrics.alert_cooldown(a, 86400, at="sec")
+    """Alerts of all kinds of events in two channels, an hour apart."""
+    a = cdc.load(spark, sf_dir, "events")
+    a = a.select(F.when(F.col("user_id") % 4 == 0, "chat").otherwise("mail").alias("channel"), F.col("event_type").alias("title"), F.floor(cdc.millis("ts") / 1000).alias("sec"))
+    return cooldown.alert_cooldown(a, 3600, at="sec")
 
 
 @query("""select seq, entity from ev where company in ('1', '3') and location is not null""")
@@ -446,7 +539,8 @@ def refused_messages(spark, sf_dir):
     return bad.groupBy("error").agg(F.count("*").alias("n"), F.bool_and(F.col("payload").startswith("#")).alias("marked"))
 
 
-@query("select c_custkey, c_custkey % 2 = 0 as kept from customer where c_custkey % 2 = 0", False)
+@query("select o_orderkey, o_orderpriority as severity from orders where lower(o_orderpriority) in ('1-urgent', '3-medium')", False)
 def severity_filter(spark, sf_dir):
-    c = cdc.load(spark, sf_dir, "customer").withColumn("severity", F.when(F.col("c_custkey") % 2 == 0, "Critical").otherwise("info"))
-    return filters.by_severity(c, ["CRITICAL", "warning"]).select("c_custkey", (F.col("c_custkey") % 2 == 0).alias("kept"))
+    """Orders as alerts whose severity is their priority."""
+    alerts = cdc.load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("severity"))
+    return filters.by_severity(alerts, ["1-Urgent", "3-MEDIUM"])
