@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -128,7 +129,8 @@ def _read(buckets: int):
             stop = words.dictionary.index(b".").as_py()
             if stop >= 0:
                 bucket[stop] = buckets  # the last of all, which is no item
-            order = np.argsort(bucket, kind="stable")
+            by_word = pc.sort_indices(words.dictionary).to_numpy()
+            order = by_word[np.argsort(bucket[by_word], kind="stable")]
             real = len(names) - (stop >= 0)
             if not real:
                 return
@@ -183,8 +185,10 @@ class _Group:
         """How many items are frequent, and the rows that name them and that answer."""
         if self.words:
             whole = pa.array(b" ".join(self.items).split(b" "), pa.binary()).dictionary_encode()
-            of, keys = whole.indices.to_numpy(), whole.dictionary
-            m = len(keys)
+            m, by_word = len(whole.dictionary), pc.sort_indices(whole.dictionary)
+            place = np.empty(m, np.int64)
+            place[by_word.to_numpy()] = np.arange(m)
+            of, keys = place[whole.indices.to_numpy()], whole.dictionary.take(by_word)
         else:
             left, right = (np.concatenate([x[k] for x in self.items]) for k in range(2))
             a, ia = np.unique(left, return_inverse=True)
@@ -213,7 +217,8 @@ class _Group:
             at += size
             there = np.flatnonzero(mine >= 0)
             if len(there):
-                answers.append((block, base, _pack(there.astype(np.int32), mine[there])))
+                # places and ids ascend, as a row's items are in the order of the bucket's
+                answers.append((block, base, _pack(np.diff(there, prepend=0).astype(np.int32), np.diff(mine[there], prepend=0))))
         n = len(answers)
         columns = [pa.array([x[k] for x in answers], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
         yield pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 3, *[pa.nulls(n, pa.string())] * 2, pa.nulls(n, pa.int64()), *columns], names)
@@ -281,7 +286,7 @@ def _pairs(words: bool, buckets: int, last: bool):
             for block, base, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if base is not None:
                     there, ids = _unpack(items, np.int32, np.int64)
-                    held.append((there.astype(np.int64) + base, ids))
+                    held.append((np.cumsum(there.astype(np.int64)) + base, np.cumsum(ids)))
                     continue
                 if held:
                     values, seq = _flowing(items)
