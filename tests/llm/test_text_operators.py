@@ -194,20 +194,59 @@ def test_language(spark, sf):
     assert langid.predict(odd, none).where("lang_pred != 'und'").count() == 0
 
 
-def test_more_languages_than_a_word_has_bits():
+def all_hits(model, texts):
+    """Hits in all shards, and n-grams."""
+    found = [model.hits(texts, model.masks if model.shards == 1 else model.load(k), k) for k in range(model.shards)]
+    return sum(h for h, _, _ in found), found[0][1]
+
+
+def every_mask(model, grams):
+    out = np.zeros((len(grams), model.words), np.uint64)
+    for k in range(model.shards):
+        mine = langid.shard_of(grams, model.shards) == k
+        out[mine] = model.languages(grams[mine], model.masks if model.shards == 1 else model.load(k))
+    return out
+
+
+@pytest.mark.parametrize("shards", [1, 4])
+def test_more_languages_than_a_word_has_bits(spark, shards):
     langs = [f"l{k:03d}" for k in range(70)]
     grams = np.concatenate([langid.ngrams([f"word{chr(97 + k % 26)}{chr(97 + k // 26)}q"])[0] for k in range(70)])
     of = np.repeat(np.arange(70), len(grams) // 70)
     batch = pa.RecordBatch.from_arrays([pa.array([langs[k] for k in of]), pa.array(grams.view(np.int64))], ["lang", "gram"])
-    (bits,) = langid._set(langs, 1 << 16)(iter([batch]))
-    masks = np.zeros((1 << 16, 2), np.uint64)
-    masks[bits.column(0).to_numpy(), bits.column(1).to_numpy()] = bits.column(2).to_numpy().view(np.uint64)
-    f = langid.Filter(langs, masks)
-    scores, _ = f.scores([f"word{chr(97 + k % 26)}{chr(97 + k // 26)}q" for k in (0, 65, 69)])
-    assert (scores[[0, 1, 2], [0, 65, 69]] > 0.99).all()
-
-
-def test_language_against_exact_sets(spark):
+    (bits,) = langid._set(langs, 1 << 14, shards)(iter([batch]))
+    f = langid.Filter(langs, 1 << 14, spark.createDataFrame(bits.to_pandas(), "shard long, slot long, word long, mask long"), shards)
+    scores = f.scores(*all_hits(f, [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}q" for k in (0, 65, 69)]))
+    assert (scores[[0, 1, 2], [0, 65, 69]] > 0.99).all() and (f.chance > 0).all()
+
+
+def test_a_language_of_many_ngrams(spark):
+    """More than 262,144 n-grams in one language: scores are still those of exact sets, and those of several shards are the same."""
+    r = np.random.default_rng(9)
+    say = lambda n: " ".join("".join(map(chr, w)) for w in r.integers(0x4E00, 0x4E00 + 6000, (n, 3)))
+    rows = [(say(500), "zh") for _ in range(110)] + [("some plain words of another language " * 20, "en")]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    sets = [set(langid.ngrams([t for t, x in rows if x == y])[0].tolist()) for y in ("en", "zh")]
+    assert len(sets[1]) > 262_144
+    texts = [rows[0][0][:200] + " " + say(n) for n in (1, 20, 50, 100)] + [say(60), "some other words", "x"]
+    asked = spark.createDataFrame([(k, t, 5) for k, t in enumerate(texts)] + [(98, None, 5), (99, "1 2", 5)], "id long, text string, hits int")
+    found = []
+    for size in (langid.SHARD_BYTES, 1 << 23):
+        model = langid.train(df, "text", "lang", size)
+        assert (model.shards > 1) == (size < langid.SHARD_BYTES) and model.slots * model.shards >= 16 * len(sets[1])
+        scores = model.scores(*all_hits(model, texts))
+        for k, t in enumerate(texts):
+            grams = langid.ngrams([t])[0].tolist()
+            assert np.abs(scores[k] - [sum(g in own for g in grams) / len(grams) for own in sets]).max() < 0.05
+        rows_of = {x["id"]: (x["lang_pred"], round(x["score"], 2), x["hits"]) for x in langid.predict(asked, model).collect()}
+        assert rows_of[98] == rows_of[99] == ("und", 0.0, 5) and len(rows_of) == len(texts) + 2
+        assert [rows_of[k][1] for k in range(len(texts))] == [round(float(x.max()), 2) for x in scores]
+        found.append([rows_of[k][0] for k in range(len(texts))])
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("size", [langid.SHARD_BYTES, 1 << 17])
+def test_language_against_exact_sets(spark, size):
     """The filter against sets of n-grams made one by one: it contains all of them, others as rarely as it says, and so
     scores are those of the sets."""
     import random
@@ -217,7 +256,8 @@ def test_language_against_exact_sets(spark):
     say = lambda x, n: " ".join("".join(r.choices(letters[x], k=r.randrange(1, 6))) for _ in range(n))
     rows = [(say(x, r.randrange(1, 60)), x) for x in letters for _ in range(40)]
     rows += rows[:10] + [(None, "aa"), ("", "bb"), ("abc", None), ("x" * 5000, "cc")]
-    model = langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(4), "text", "lang")
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string").repartition(4), "text", "lang", size)
+    assert (model.shards == 1) == (size == langid.SHARD_BYTES)
     counts = {x: Counter() for x in letters}
     for text, lang in rows:
         if text is not None and lang is not None:
@@ -230,13 +270,13 @@ def test_language_against_exact_sets(spark):
     sets = [{g for g, v in rate[x].items() if v >= langid.SHARE * top[g]} for x in sorted(letters)]
     assert model.langs == sorted(letters)
     every = np.array(sorted(top), np.uint64)
-    mask = model.languages(every)[:, 0]
+    mask = every_mask(model, every)[:, 0]
     for i, own in enumerate(sets):
         has = ((mask >> np.uint64(i)) & np.uint64(1)).astype(bool)
         exact = np.array([int(g) in own for g in every])
         assert has[exact].all() and (has & ~exact).mean() <= model.chance[i] + 0.02
     texts = [say(x, 20) for x in letters for _ in range(10)] + [say("aa", 10) + " " + say("cc", 12)]
-    scores, _ = model.scores(texts)
+    scores = model.scores(*all_hits(model, texts))
     for k, t in enumerate(texts):
         grams = langid.ngrams([t])[0].tolist()
         want = [sum(g in own for g in grams) / len(grams) for own in sets]

@@ -5,7 +5,8 @@ least SHARE times as frequent as in the language where it is most frequent. The
 per language: an n-gram sets its languages' bits in HASHES slots, and the AND of its slots returns all languages that
 contain it at once.
 A text's score for a language is the share of its n-grams that the filter assigns to it, corrected for the share
-that a filter so full assigns by chance.
+that a filter so full assigns by chance. The filter has as many slots as its n-grams need. One that is larger than tasks should
+hold lies in shards by the n-gram's hash: each is sent to all tasks in turn, and a text's hits in all of them are added up.
 """
 
 from __future__ import annotations
@@ -18,13 +19,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from tidelog.llm.shared import keep, map_rows, small_batches
+from tidelog.llm.shared import keep, map_rows, small_batches, unused
 from tidelog.llm.words import chunks, mix
 
 SIZES = (2, 3, 4)
-#: Slots of the filter for each n-gram of the largest language, and in all (powers of two).
+#: Slots of the filter for each n-gram of the largest language, and at least (powers of two).
 SLOTS_A_GRAM = 16
-LEAST_SLOTS, MOST_SLOTS = 1 << 16, 1 << 22
+LEAST_SLOTS = 1 << 16
+#: Bytes of a filter, or of one shard of a larger one, that tasks get at a time.
+SHARD_BYTES = 64 << 20
+#: Distinct labels beyond which a column is not one of languages.
+MOST_LABELS = 1 << 16
 HASHES = 3
 SHARE = 0.5
 #: Distinct n-grams that a training task holds before it sends their counts on.
@@ -102,13 +107,18 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = end
 
 
+def shard_of(grams: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each n-gram; ``shards`` is a power of two."""
+    return (mix(grams ^ _U(0x9E3779B97F4A7C15)) & _U(shards - 1)).astype(np.int64)
+
+
 def slots_of(grams: np.ndarray, k: int, slots: int) -> np.ndarray:
-    """The slot of each n-gram by the k-th hash; ``slots`` is a power of two."""
+    """The slot in its shard of each n-gram by the k-th hash; ``slots`` is a power of two."""
     return ((grams + _U(k) * ((grams >> _U(32)) | _U(1))) & _U(slots - 1)).astype(np.int64)
 
 
-def _set(langs: list[str], slots: int):
-    """(lang, gram) rows as the bits that they set: slot, word of the mask, and mask, OR-ed within a batch."""
+def _set(langs: list[str], slots: int, shards: int = 1):
+    """(lang, gram) rows as the bits that they set: shard, slot, word of the mask, and mask, OR-ed within a batch."""
     place = {x: i for i, x in enumerate(langs)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,51 +127,90 @@ def _set(langs: list[str], slots: int):
             lang = np.array([place[x] for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
             grams = batch.column(1).to_numpy().view(np.uint64)
             words = max(len(langs) - 1, 0) // 64 + 1
-            at = np.concatenate([slots_of(grams, k, slots) for k in range(HASHES)]) * words + np.tile(lang // 64, HASHES)
+            first = np.tile(shard_of(grams, shards) * slots, HASHES) if shards > 1 else 0
+            at = (first + np.concatenate([slots_of(grams, k, slots) for k in range(HASHES)])) * words + np.tile(lang // 64, HASHES)
             bits = np.tile(_U(1) << (lang % 64).astype(np.uint64), HASHES)
             order = np.argsort(at, kind="stable")
             found, first = np.unique(at[order], return_index=True)
             masks = np.bitwise_or.reduceat(bits[order], first) if len(found) else bits
-            yield pa.RecordBatch.from_arrays([pa.array(found // words), pa.array(found % words), pa.array(masks.view(np.int64))], ["slot", "word", "mask"])
+            slot = found // words
+            yield pa.RecordBatch.from_arrays([pa.array(slot // slots), pa.array(slot % slots), pa.array(found % words), pa.array(masks.view(np.int64))], ["shard", "slot", "word", "mask"])
 
     return run
 
 
 class Filter:
-    """The trained filter: masks[slot, word] holds bits of the languages, 64 to a word."""
+    """The trained filter: masks[slot, word] holds bits of the languages, 64 to a word; of a filter in shards, the rows of ``bits``
+    (shard, slot, word, mask) do."""
+
+    def __init__(self, langs: list[str], slots: int, bits: DataFrame | None, shards: int = 1):
+        self.langs, self.slots, self.shards, self.bits = langs, slots, shards, bits
+        self.words = max(len(langs) - 1, 0) // 64 + 1
+        self.masks = self.load(0) if shards == 1 else None
+        if shards == 1:
+            self.bits = None
+            full = [np.count_nonzero((self.masks[:, i // 64] >> _U(i % 64)) & _U(1)) for i in range(len(langs))]
+        else:
+            # a language's bits are counted where they are; its numbers reach the driver
+            ones = bits.select("word", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.call_function("getbit", F.col("mask"), k).cast("int"))).alias("bit", "one"))
+            full = [0] * (64 * self.words)
+            for r in ones.groupBy("word", "bit").agg(F.sum("one").alias("n")).collect():
+                full[64 * r["word"] + r["bit"]] = r["n"]
+            full = full[: len(langs)]
+        self.chance = (np.array(full, np.float64) / (slots * shards)) ** HASHES
+
+    def __getstate__(self):
+        return {**self.__dict__, "bits": None}
 
-    def __init__(self, langs: list[str], masks: np.ndarray):
-        self.langs, self.masks = langs, masks
-        bits = np.array([np.count_nonzero((masks[:, i // 64] >> _U(i % 64)) & _U(1)) for i in range(len(langs))])
-        self.chance = (bits / len(masks)) ** HASHES
+    def load(self, shard: int) -> np.ndarray:
+        """The masks of a shard, of SHARD_BYTES at most."""
+        masks = np.zeros((self.slots, self.words), np.uint64)
+        if self.bits is not None:
+            found = self.bits.where(F.col("shard") == shard).select("slot", "word", "mask").toPandas()
+            masks[found["slot"].to_numpy(np.int64), found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
+        return masks
 
-    def languages(self, grams: np.ndarray) -> np.ndarray:
+    def languages(self, grams: np.ndarray, masks: np.ndarray) -> np.ndarray:
         """The mask of all languages that contain each n-gram."""
-        mask = self.masks[slots_of(grams, 0, len(self.masks))]
+        mask = masks[slots_of(grams, 0, len(masks))]
         for k in range(1, HASHES):
-            mask &= self.masks[slots_of(grams, k, len(self.masks))]
+            mask &= masks[slots_of(grams, k, len(masks))]
         return mask
 
-    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A score for each text and language, and the letters of each text."""
+    def hits(self, texts: list[str], masks: np.ndarray, shard: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each text, its n-grams of a shard that belong to each language; all its n-grams; its letters."""
         grams, text, count = ngrams(texts)
         n = np.bincount(text, minlength=len(texts))
-        mask = self.languages(grams)
-        out = np.zeros((len(texts), len(self.langs)))
+        if self.shards > 1:
+            mine = shard_of(grams, self.shards) == shard
+            grams, text = grams[mine], text[mine]
+        mask = self.languages(grams, masks)
+        out = np.zeros((len(texts), len(self.langs)), np.int64)
         for i in range(len(self.langs)):
-            hits = np.bincount(text, ((mask[:, i // 64] >> _U(i % 64)) & _U(1)).astype(np.float64), len(texts))
-            out[:, i] = (hits / np.maximum(n, 1) - self.chance[i]) / (1 - self.chance[i])
-        return np.clip(out, 0, 1), count
+            out[:, i] = np.bincount(text[((mask[:, i // 64] >> _U(i % 64)) & _U(1)).astype(bool)], minlength=len(texts))
+        return out, n, count
 
+    def scores(self, hits: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """A score for each text and language."""
+        return np.clip((hits / np.maximum(n, 1)[:, None] - self.chance) / np.maximum(1 - self.chance, 1e-12), 0, 1)
 
-def train(docs: DataFrame, text_col: str, lang_col: str) -> Filter:
+    def best(self, hits: np.ndarray, n: np.ndarray, letters: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The language of each text, and its score."""
+        if not self.langs:
+            return ["und"] * len(n), np.zeros(len(n))
+        scores = self.scores(hits, n)
+        best = scores.argmax(1)
+        return [self.langs[b] if c else "und" for b, c in zip(best, letters, strict=True)], np.where(letters > 0, scores[np.arange(len(n)), best], 0.0)
+
+
+def train(docs: DataFrame, text_col: str, lang_col: str, shard_bytes: int = SHARD_BYTES) -> Filter:
     """A filter from all labelled texts (null text or language: not used).
 
     N-grams are counted over all of them, per task first, then by a Spark aggregation; all that belong to a language set its
-    bits, whichever counts are equal or small. The filter has SLOTS_A_GRAM slots for each n-gram of the largest language, up to
-    MOST_SLOTS, from where on it only fills further and more hits are by chance. Bits are OR-ed by a Spark aggregation: what
-    reaches the driver is a mask per slot that is used. Languages are the distinct labels; an empty table gives a
-    filter without any. Repeated rows count as often as they occur.
+    bits, whichever counts are equal or small. The filter has SLOTS_A_GRAM slots for each n-gram of the largest language, however many
+    these are, in shards of ``shard_bytes``. Bits are OR-ed by a Spark aggregation; a filter of one shard comes to the driver,
+    one of several stays a table. Languages are the distinct labels, of which there may be MOST_LABELS; an empty table gives a
+    filter without any. Repeated rows count as often as they occur, very long texts are counted whole.
     """
     rows = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     small_batches(docs.sparkSession)
@@ -170,13 +219,16 @@ def train(docs: DataFrame, text_col: str, lang_col: str) -> Filter:
     rates = counts.join(F.broadcast(totals) if totals.limit(10_001).count() <= 10_000 else totals, "lang").withColumn("rate", F.col("n") / F.col("total"))
     belongs = rates.withColumn("top", F.max("rate").over(Window.partitionBy("gram"))).where(F.col("rate") >= SHARE * F.col("top"))
     belongs = keep(belongs.select("lang", "gram"), "belongs")
-    sizes = {r["lang"]: r["count"] for r in belongs.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in belongs.groupBy("lang").count().limit(MOST_LABELS + 1).collect()}
+    if len(sizes) > MOST_LABELS:
+        raise ValueError(f"{lang_col} has more than {MOST_LABELS} labels: it is no column of languages")
     langs = sorted(sizes)
-    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (SLOTS_A_GRAM * max(sizes.values(), default=1) - 1).bit_length()))
-    found = belongs.mapInArrow(_set(langs, slots), "slot long, word long, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toPandas()
-    masks = np.zeros((slots, max(len(langs) - 1, 0) // 64 + 1), np.uint64)
-    masks[found["slot"].to_numpy(np.int64), found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
-    return Filter(langs, masks)
+    slots = max(LEAST_SLOTS, 1 << (SLOTS_A_GRAM * max(sizes.values(), default=1) - 1).bit_length())
+    shards = 1
+    while slots > 64 and 8 * slots * (max(len(langs) - 1, 0) // 64 + 1) > shard_bytes:
+        slots, shards = slots // 2, shards * 2
+    bits = belongs.mapInArrow(_set(langs, slots, shards), "shard long, slot long, word long, mask long").groupBy("shard", "slot", "word").agg(F.bit_or("mask").alias("mask"))
+    return Filter(langs, slots, bits if shards == 1 else keep(bits, "bits"), shards)
 
 
 def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
@@ -184,10 +236,13 @@ def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame
 
     Whole texts are scored, in chunks. A null text or one without a letter is ``und`` with score 0; so is every
     text if the model knows no language. Ties go to the language that is first by code point. Repeated rows are
-    scored alike, an empty table stays empty. The filter is broadcast (MOST_SLOTS masks at most, whatever the tables).
+    scored alike, an empty table stays empty. Tasks get SHARD_BYTES of the filter at a time. With a filter of several shards
+    the texts are read once for each of them, from a table of their own.
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score")
+    if model.shards > 1:
+        return _predict_in_turns(docs, model, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text = docs.columns.index(text_col)
 
@@ -196,13 +251,44 @@ def predict(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame
         for batch in batches:
             texts = [x or "" for x in batch.column(text).to_pylist()]
             for i, j in chunks(texts, 1 << 20):
-                scores, count = m.scores(texts[i:j])
-                if m.langs:
-                    best = scores.argmax(1)
-                    pred = [m.langs[b] if c else "und" for b, c in zip(best, count, strict=True)]
-                    score = np.where(count > 0, scores[np.arange(j - i), best], 0.0)
-                else:
-                    pred, score = ["und"] * (j - i), np.zeros(j - i)
+                pred, score = m.best(*m.hits(texts[i:j], m.masks))
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "score"])
 
     return map_rows(docs, run, [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+
+
+def _predict_in_turns(docs: DataFrame, model: Filter, text_col: str) -> DataFrame:
+    """predict with one shard of the filter after the other."""
+    spark = docs.sparkSession
+    row, of = unused(docs, "row", "of")
+    kept = keep(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    texts = kept.select(F.col(row).alias("row"), F.col(f"`{text_col}`").alias("text"))
+    parts = None
+    for shard in range(model.shards):
+        masks = spark.sparkContext.broadcast(model.load(shard))
+
+        def run(batches: Iterator[pa.RecordBatch], masks=masks, shard=shard) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = [x or "" for x in batch.column(1).to_pylist()]
+                for i, j in chunks(own, 1 << 20):
+                    hits, n, letters = light.hits(own[i:j], masks.value, shard)
+                    rows = np.concatenate([hits, n[:, None], letters[:, None]], axis=1)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(list(rows), pa.list_(pa.int64()))], ["row", "hits"])
+
+        light = Filter.__new__(Filter)
+        light.__dict__.update(model.__getstate__())
+        part = keep(texts.mapInArrow(run, "row long, hits array<bigint>"), "hits")
+        masks.destroy()
+        parts = part if parts is None else parts.union(part)
+    width = len(model.langs)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # each text's hits in all shards; its n-grams and letters are the same in each
+            sums = np.array([np.sum(x, axis=0) for x in batch.column(1).to_pylist()], np.int64).reshape(batch.num_rows, width + 2)
+            pred, score = light.best(sums[:, :width], sums[:, width] // light.shards, sums[:, width + 1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["row", "lang_pred", "score"])
+
+    found = parts.groupBy("row").agg(F.collect_list("hits").alias("hits")).mapInArrow(decide, "row long, lang_pred string, score double")
+    found = found.select(F.col("row").alias(of), F.col("lang_pred"), "score")
+    return kept.join(found, F.col(row) == F.col(of)).drop(row, of)
