@@ -35,7 +35,7 @@ from tidelog.llm.shared import bucket_count, drop, keep, new_path, small_batches
 from tidelog.llm.words import as_bytes, mix
 
 #: Bytes of text in a block at most, unless one piece is longer, and in all the blocks that a task fills.
-BLOCK_BYTES, TASK_BYTES = 4 << 20, 16 << 20
+BLOCK_BYTES, TASK_BYTES = 8 << 20, 32 << 20
 #: Items that one bucket holds at most, about.
 BUCKET_ITEMS = 1 << 20
 #: Texts with A-Z lower-cased and every character that ends a piece as a dot.
@@ -47,6 +47,9 @@ _BLOCKS = "bucket long, lang string, block long, base long, size long, items bin
 _NAMES = "id long, left long, right long, lang string, word string, f long, block long, base long, items binary"
 #: Parts that the ranking of a language is first cut into.
 RANKS = 16
+#: An id is its bucket and, in so many bits, its rank there.
+_RANK_BITS = 36
+_RANK = (1 << _RANK_BITS) - 1
 _U = np.uint64
 
 
@@ -66,6 +69,19 @@ def _unpack(data: bytes, *types) -> list[np.ndarray]:
     return out
 
 
+def _pack_pairs(left: np.ndarray, right: np.ndarray, n: np.ndarray) -> bytes:
+    """Pairs in the order of left: its ids, of which few of the possible ones are used, as differences of denser numbers."""
+    dense = 1 + int((left & _RANK).max())
+    return dense.to_bytes(8, "little") + _pack(np.diff((left >> _RANK_BITS) * dense + (left & _RANK), prepend=0), right, n)
+
+
+def _unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    dense = int.from_bytes(data[:8], "little")
+    left, right, n = _unpack(data[8:], np.int64, np.int64, np.int64)
+    left = np.cumsum(left)
+    return (left // dense << _RANK_BITS) + left % dense, right, n
+
+
 def _cut(text: bytes) -> Iterator[bytes]:
     """A plain text in parts of about BLOCK_BYTES that end with a piece."""
     at = 0
@@ -176,7 +192,7 @@ class _Group:
             self.n.append(np.frombuffer(data, np.int64, size))
             self.items.append(data[8 * size :])
         else:
-            left, right, n = _unpack(data, np.int64, np.int64, np.int64)
+            left, right, n = _unpack_pairs(data)
             self.n.append(n)
             self.items.append((left, right))
         self.rows.append((block, base, size))
@@ -185,10 +201,7 @@ class _Group:
         """How many items are frequent, and the rows that name them and that answer."""
         if self.words:
             whole = pa.array(b" ".join(self.items).split(b" "), pa.binary()).dictionary_encode()
-            m, by_word = len(whole.dictionary), pc.sort_indices(whole.dictionary)
-            place = np.empty(m, np.int64)
-            place[by_word.to_numpy()] = np.arange(m)
-            of, keys = place[whole.indices.to_numpy()], whole.dictionary.take(by_word)
+            m, of, keys = len(whole.dictionary), whole.indices.to_numpy(), whole.dictionary
         else:
             left, right = (np.concatenate([x[k] for x in self.items]) for k in range(2))
             a, ia = np.unique(left, return_inverse=True)
@@ -198,6 +211,8 @@ class _Group:
         order = np.argsort(of, kind="stable")
         f = np.add.reduceat(np.concatenate(self.n)[order], np.searchsorted(of[order], np.arange(m)))
         often = np.flatnonzero(f >= self.least)
+        if self.words:  # the most frequent first, so that the ids in pairs are mostly small ones
+            often = often[np.argsort(-f[often], kind="stable")]
         ids = np.full(m, -1, np.int64)
         ids[often] = first + np.arange(len(often))
         if self.words:
@@ -217,8 +232,8 @@ class _Group:
             at += size
             there = np.flatnonzero(mine >= 0)
             if len(there):
-                # places and ids ascend, as a row's items are in the order of the bucket's
-                answers.append((block, base, _pack(np.diff(there, prepend=0).astype(np.int32), np.diff(mine[there], prepend=0))))
+                there = there[np.argsort(mine[there], kind="stable")]
+                answers.append((block, base, _pack(np.diff(there, prepend=0).astype(np.int32) if not self.words else there.astype(np.int32), np.diff(mine[there], prepend=0))))
         n = len(answers)
         columns = [pa.array([x[k] for x in answers], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))]
         yield pa.RecordBatch.from_arrays([*[pa.nulls(n, pa.int64())] * 3, *[pa.nulls(n, pa.string())] * 2, pa.nulls(n, pa.int64()), *columns], names)
@@ -235,9 +250,9 @@ def _name(words: bool, least: int):
                     if now is not None:
                         n, rows = group.names(now[1], next_id)
                         yield from rows
-                        next_id = next_id + n if now[0] == bucket else bucket << 36
+                        next_id = next_id + n if now[0] == bucket else bucket << _RANK_BITS
                     else:
-                        next_id = bucket << 36
+                        next_id = bucket << _RANK_BITS
                     now, group = (bucket, lang), _Group(words, least)
                 group.add(block, base, size, items)
         if now is not None:
@@ -286,7 +301,8 @@ def _pairs(words: bool, buckets: int, last: bool):
             for block, base, items in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if base is not None:
                     there, ids = _unpack(items, np.int32, np.int64)
-                    held.append((np.cumsum(there.astype(np.int64)) + base, np.cumsum(ids)))
+                    there = there.astype(np.int64) if words else np.cumsum(there.astype(np.int64))
+                    held.append((there + base, np.cumsum(ids)))
                     continue
                 if held:
                     values, seq = _flowing(items)
@@ -299,7 +315,7 @@ def _pairs(words: bool, buckets: int, last: bool):
                     bucket, left, right, n, _ = _pair(ids, seq, buckets)
                     if len(n):
                         starts, found = _runs(bucket)
-                        packed = [_pack(left[i:j], right[i:j], n[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+                        packed = [_pack_pairs(left[i:j], right[i:j], n[i:j]) for i, j in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
                         yield _rows(None, block, found, starts, packed, None, None if last else _flow(ids, seq))
                 held = []
 
