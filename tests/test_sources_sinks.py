@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidelog.model import Catalog, Property, Schema
-from tidelog.operators import cooldown, evolve, filters, metrics, segments
+from tidelog.operators import cooldown, evolve, filters, metrics, redelivery, segments
 from tidelog.operators.mirror import empty_mirror
-from tidelog.sinks import databases, dialects, files, registry
+from tidelog.sinks import databases, dialects, files, objects, registry
 from tidelog.sinks.store import Buckets, Folder, KeyValues, Ledger, MirrorStore
 from tidelog.sources import events as se
 from tidelog.sources import exports, schemas, snapshots
 from tidelog.sources.folders import listing
+from tidelog.streaming import monitor
 from tidelog.streaming.runner import Delivery, deliver
 
 ORDERS = Schema("orders", "1", {"id": Property(), "name": Property(nullable=True)}, ("id",), ("id",))
@@ -254,18 +255,74 @@ def test_store(spark, tmp_path):
 def test_file_sinks(spark, tmp_path):
     rows = [("insert", "e1", "orders", 5), ("delete", "e2", "items", 6)]
     df = spark.createDataFrame(rows, "operation string, id string, table string, timestamp long")
-    assert files.write_objects(df, str(tmp_path / "o"), "pre/") == 2
-    assert files.write_objects(df, str(tmp_path / "o"), "pre/") == 2
+    for _ in range(2):
+        objects.write_objects(df, str(tmp_path / "o"), "pre/")
     assert json.loads((tmp_path / "o/pre/orders/5-e1.json").read_text())["operation"] == "insert"
+    assert sorted(str(p.relative_to(tmp_path / "o")) for p in (tmp_path / "o").rglob("*") if p.is_file()) == ["pre/items/6-e2.json", "pre/orders/5-e1.json"]
     files.write_json(df, str(tmp_path / "j"))
     assert sorted(p for p in os.listdir(tmp_path / "j") if "=" in p) == ["folder=items", "folder=orders"]
     files.dry_run(df)
 
 
+def test_a_task_that_fails_leaves_no_object(spark, tmp_path):
+    fails = F.when(F.col("n") == 99, F.raise_error(F.lit("half way"))).otherwise(F.lit("orders"))
+    df = spark.range(100).repartition(1).sortWithinPartitions("id").select(F.col("id").alias("n"), F.lit("insert").alias("operation"), F.col("id").cast("string").alias("id"), F.col("id").alias("timestamp"))
+    with pytest.raises(Exception, match="half way"):
+        objects.write_objects(df.withColumn("table", fails), str(tmp_path / "o"))
+    assert not [p for p in (tmp_path / "o").rglob("*") if p.is_file()] if (tmp_path / "o").exists() else True
+    objects.write_objects(df.withColumn("table", F.lit("orders")), str(tmp_path / "o"))
+    assert len(list((tmp_path / "o/orders").iterdir())) == 100 and [p.name for p in (tmp_path / "o").iterdir()] == ["orders"]
+
+
+def packed(x):
+    """A small MessagePack writer, for tests."""
+    import struct
+
+    if x is None or isinstance(x, bool):
+        return {None: b"\xc0", False: b"\xc2", True: b"\xc3"}[x]
+    if isinstance(x, int):
+        return struct.pack("b", x) if -32 <= x < 128 else b"\xd3" + struct.pack(">q", x) if x < 1 << 63 else b"\xcf" + struct.pack(">Q", x)
+    if isinstance(x, float):
+        return b"\xcb" + struct.pack(">d", x)
+    if isinstance(x, bytes):
+        return b"\xc5" + struct.pack(">H", len(x)) + x
+    if isinstance(x, str):
+        b = x.encode()
+        return (bytes([0xA0 | len(b)]) if len(b) < 32 else b"\xd9" + bytes([len(b)]) if len(b) < 256 else b"\xda" + struct.pack(">H", len(b))) + b
+    n = len(x)
+    if isinstance(x, dict):
+        return (bytes([0x80 | n]) if n < 16 else b"\xde" + struct.pack(">H", n)) + b"".join(packed(k) + packed(v) for k, v in x.items())
+    return (bytes([0x90 | n]) if n < 16 else b"\xdd" + struct.pack(">I", n)) + b"".join(map(packed, x))
+
+
+def test_messagepack(spark):
+    """MessagePack and JSON of the same events are the same rows; what is broken is refused."""
+    many = {f"c{k}": k for k in range(20)} | {"big": 1 << 62, "neg": -5, "low": -40_000, "f": 0.5, "t": "ü" * 40, "long": "x" * 300, "null": None, "yes": True, "list": list(range(17)), "nested": {"a": [{}, []]}}
+    events = [change(1, "insert", "a", many), change(2, "delete", "b"), change(3, "update", "c", {"id": "c"}, diff=["id"], companyId="7", imported=False)]
+    rows = [(json.dumps(e).encode(), "application/json") for e in events] + [(packed(e), "application/msgpack") for e in events]
+    bad = [b"\xc1", packed(events[0])[:-1], packed(events[0]) + b"\x00", b"", b"\xcb\x7f\xf8\0\0\0\0\0\0", packed([1]), packed({"id": "x"}), b"\x91" * 5000, None, b"\xa2\xff\xff"]
+    df = spark.createDataFrame(rows + [(b, "application/msgpack") for b in bad], "value binary, kind string")
+    got, broken = se.decode(df, packed=F.col("kind") == "application/msgpack")
+    by_id = {}
+    for r in got.collect():
+        by_id.setdefault(r["id"], []).append(r.asDict())
+    for a, b in by_id.values():
+        assert {k: v for k, v in a.items() if k != "after"} == {k: v for k, v in b.items() if k != "after"}
+        assert (a["after"] and json.loads(a["after"])) == (b["after"] and json.loads(b["after"]))
+    assert sorted(by_id) == ["e1", "e2", "e3"] and json.loads(by_id["e1"][1]["after"]) == many and broken.count() == len(bad)
+    zipped = df.where("kind like '%msgpack'").rdd.map(lambda r: (r[0] and gzip.compress(r[0]),)).toDF("value binary")
+    assert se.decode(zipped, compressed=True, packed=True)[0].count() == 3
+    from tidelog.sources.msgpack import to_json
+
+    assert to_json(b"\xd6\xff\0\0\0\x3c") == '"1970-01-01T00:01:00+00:00"' and to_json(b"\xd7\xff" + ((5000 << 34) | 60).to_bytes(8, "big")) == '"1970-01-01T00:01:00.000005+00:00"'
+    assert to_json(packed(b"ab")) == '"YWI="' and to_json(b"\xd4\x05z") == '"eg=="' and to_json(packed({1: 2})) == '{"1": 2}'
+
+
 def test_registry_and_dialects():
     assert registry.parse("PostgreSQL://u:p%40@h/db").options == {"url": "jdbc:postgresql://h:5432/db", "user": "u", "password": "p@"}
     assert registry.parse("kafka://h:1/topic").max_batch == 1000 and registry.parse("s3://b/x").options["path"] == "s3a://b/x"
-    for bad in ("nothing", "redis://x/y", "mysql://host", "kafka://h:1"):
+    assert registry.parse("azureblob://acct/box/a/b?key=k").options == {"path": "abfss://box@acct.dfs.core.windows.net/a/b", "key": "k"}
+    for bad in ("nothing", "redis://x/y", "mysql://host", "kafka://h:1", "azureblob://acct"):
         with pytest.raises(ValueError):
             registry.parse(bad)
     assert registry.delays("import") == [30, 60, 120, 240, 480]
@@ -501,6 +558,74 @@ def test_lost_drivers_leave_a_batch_to_its_repeat(spark, tmp_path, monkeypatch,
         assert after[0]["a"]["name"] == "y" and sorted(after[1]) == ["i", "j"]
 
 
+def test_redelivered_events_are_logged_once(spark, tmp_path):
+    """Repeats within a batch, of the batch before, and of a day ago."""
+    d = Delivery(str(tmp_path / "out"), Catalog([ORDERS]), mode="time_series", once=True)
+    day = 86_400_000
+    at = lambda n, t: change(n, "insert", f"k{n}", {"id": f"k{n}"}) | {"timestamp": t}
+    d(batch_of(spark, at(1, 5), at(2, 6), at(1, 5)), 0)
+    d(batch_of(spark, at(3, day), at(2, 6), at(4, 7)), 1)
+    d(batch_of(spark, at(5, 2 * day), at(1, 5), at(3, day), at(4, 7)), 2)
+    d(batch_of(spark, at(5, 2 * day)), 3)
+    assert sorted((r["_seq"], r["_event_id"]) for r in d.log(spark, "orders").collect()) == [(1, "e1"), (2, "e2"), (3, "e3"), (4, "e4"), (5, "e5")]
+    status = d.committed(spark)["status"]
+    assert status == {"events": 5, "batches": 4, "given_up": 0, "last_event_ms": 2 * day, "last_table": "orders"}
+
+
+def test_unseen_over_many_stretches(spark, monkeypatch):
+    e = spark.range(2000).select(F.col("id").cast("string").alias("id"), (F.col("id") * 5_000_000).alias("timestamp"))
+    log = e.where("id % 3 = 0").select(F.col("id").alias("_event_id"), F.col("timestamp").alias("_timestamp"))
+    for most in (5, 200):
+        monkeypatch.setattr(redelivery, "STRETCHES", most)
+        for newest in (None, -1, 500_000_000, 3_000_000_000, 10**11):
+            got = {int(r["id"]) for r in redelivery.unseen(e, log.where(f"_timestamp <= {newest or 0}") if newest else log.limit(0), newest).collect()}
+            assert got == {k for k in range(2000) if not (newest and k % 3 == 0 and k * 5_000_000 <= newest)}
+
+
+def test_heartbeat_of_a_running_delivery(spark, tmp_path):
+    import time
+
+    inbox = str(tmp_path / "in")
+    for k in range(2):
+        send(inbox, f"{k}.json", *[change(10 * k + j, "insert", f"k{j}", {"id": f"k{j}"}) for j in range(3)])
+    d = Delivery(str(tmp_path / "out"), Catalog([ORDERS]))
+    beat = monitor.Heartbeat(spark, str(tmp_path / "beat"), 0, lambda: d.committed(spark))
+    spark.streams.addListener(beat)
+    try:
+        deliver(se.stream_events(spark, inbox, max_files=1), d, str(tmp_path / "ck")).awaitTermination()
+        for _ in range(100):
+            if beat.read().get("status") == "stopped":
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(beat)
+    now = beat.read()
+    assert now["status"] == "stopped" and now["rows_read"] >= 6 and now["batch"] == 1 and now["sequence"] >= 3 and now["error"] is None
+    assert now["last"] == {"events": 6, "batches": 2, "given_up": 0, "last_event_ms": 12, "last_table": "orders"}
+    assert monitor.pending({"sources": [{"metrics": {"numFilesOutstanding": "4"}}]}) == 4 and monitor.pending({"sources": [{"metrics": {}}]}) is None
+
+
+def test_current_view_of_a_stream(spark, tmp_path):
+    """Equals the view over the whole log, however the events are split into batches."""
+    import random
+
+    from tidelog.model import EVENTS_TABLE
+    from tidelog.operators import views
+
+    r = random.Random(8)
+    rows = [{"_seq": k, "_event_id": f"e{k}", "_operation": r.choice(["insert", "update", "delete"]), "_entity_id": f"k{r.randrange(15)}", "_timestamp": r.choice([None, r.randrange(40)]), "_mvcc_ts": None, "_company_id": None, "_location_id": None, "_model_ver": "1", "_diff": None, "_before": None, "_after": "{}"} for k in range(200)]
+    want = sorted(tuple(x)[:5] for x in views.current(spark.createDataFrame([tuple(x.values()) for x in rows], EVENTS_TABLE)).collect())
+    for n in (1, 4):
+        part = tmp_path / str(n)
+        os.makedirs(part / "in")
+        shuffled = r.sample(rows, len(rows))
+        for k in range(n):
+            send(str(part / "in"), f"{k}.json", *shuffled[k * 200 // n : (k + 1) * 200 // n])
+        stream = spark.readStream.schema(EVENTS_TABLE).option("maxFilesPerTrigger", 1).json(str(part / "in"))
+        views.current_stream(stream).writeStream.format("memory").queryName(f"now{n}").outputMode("append").option("checkpointLocation", str(part / "ck")).trigger(availableNow=True).start().awaitTermination()
+        assert sorted(tuple(x)[:5] for x in views.current(spark.table(f"now{n}")).collect()) == want
+
+
 def test_a_given_up_log_batch_shows_nothing(spark, tmp_path, monkeypatch):
     d = Delivery(str(tmp_path / "out"), Catalog([ORDERS]), mode="time_series", attempts=2, sleep=lambda s: None)
     d(batch_of(spark, change(1, "insert", "a", {"id": "a"})), 0)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidelog.functions.events import fields, is_delete, key_text, typed
 from tidelog.model import HISTORY_COLUMNS, Schema
@@ -21,6 +25,29 @@ def current(log: DataFrame) -> DataFrame:
     return newest(log).where(~is_delete("_operation"))
 
 
+def current_stream(log: DataFrame) -> DataFrame:
+    """Changes of the current view, from a stream of log rows: each entity's newest event (by time, then sequence) whenever that
+    changes, deletes included, so that the newest row of an entity is its state. Events that are older than what was emitted
+    for their entity change nothing. A key's state is a time and a sequence number; of a batch each entity emits one row."""
+    columns = [f"`{c}`" for c in log.columns]
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, seq = state.get if state.exists else (None, None)
+        best = None
+        for frame in frames:
+            order = [(-1 if pd.isna(t) else 1, 0 if pd.isna(t) else int(t), -1 if pd.isna(s) else 1, 0 if pd.isna(s) else int(s)) for t, s in zip(frame["_timestamp"], frame["_seq"], strict=True)]
+            i = max(range(len(order)), key=order.__getitem__)
+            if best is None or order[i] > best[0]:
+                best = order[i], frame.iloc[[i]]
+        last = None if at is None else (1 if at[0] else -1, at[1], 1 if seq[0] else -1, seq[1])
+        if best is not None and (last is None or best[0] > last):
+            state.update(([best[0][0] > 0, best[0][1]], [best[0][2] > 0, best[0][3]]))
+            yield best[1]
+
+    kind = "at struct<there:boolean,value:bigint>, seq struct<there:boolean,value:bigint>"
+    return log.select(*columns).groupBy("_entity_id").applyInPandasWithState(run, log.schema, kind, "append", GroupStateTimeout.NoTimeout)
+
+
 def project(log: DataFrame, schema: Schema, keep: list[str], strict_nulls: bool = False, cast: bool = False) -> DataFrame:
     """Columns of the payload, each from after and else from before. Both JSON texts are parsed once.
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.events import dead_letter, event_json, log_row, object_path
+from tidelog.functions.events import dead_letter, log_row
 from tidelog.sources.folders import listing
 
 
@@ -22,31 +22,6 @@ def write_json(events: DataFrame, path: str) -> None:
     events.withColumn("_t", F.col("table")).withColumnRenamed("_t", "folder").write.mode("append").partitionBy("folder").json(path)
 
 
-def write_objects(events: DataFrame, folder: str, prefix: str | None = None) -> int:
-    """One JSON object per event at prefix/table/timestamp-id.json, replaced if it is there. ``folder`` is any location that
-    pyarrow knows (file://, s3://, gs://, hdfs://). Returns the number of objects."""
-    rows = events.select(object_path(prefix).alias("path"), event_json(events.columns).alias("body"))
-
-    def put(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        from pyarrow import fs as pafs
-
-        fs, root = pafs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
-        for batch in batches:
-            made: set[str] = set()
-            for path, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                whole = f"{root}/{path}"
-                parent = whole.rpartition("/")[0]
-                if parent not in made:
-                    fs.create_dir(parent, recursive=True)
-                    made.add(parent)
-                with fs.open_output_stream(whole) as out:
-                    out.write(body.encode())
-            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
-
-    return rows.mapInArrow(put, "n long").agg(F.sum("n")).first()[0] or 0
-
-
 def write_dead_letters(events: DataFrame, path: str, error: str | Column, retries: int = 0, mode: str = "append") -> None:
     error = F.lit(error) if isinstance(error, str) else error
     events.select(*dead_letter(error, F.lit(retries))).write.mode(mode).parquet(path)

@@ -74,7 +74,12 @@ def parse(url: str) -> Target:
         where = path if scheme == "file" else f"{u.hostname or ''}/{path}".strip("/")
         if not where:
             raise ValueError(f"a {scheme} URL needs a folder or bucket")
-        options = {"path": "file:///" + where if scheme == "file" else ("s3a://" if scheme == "s3" else "abfss://") + where} | query
+        if scheme == "azureblob":  # account/container/folder
+            container, _, folder = path.partition("/")
+            if not u.hostname or not container:
+                raise ValueError("an azureblob URL needs an account and a container")
+            where = f"{container}@{u.hostname}.dfs.core.windows.net/{folder}"
+        options = {"path": {"file": "file:///", "s3": "s3a://", "azureblob": "abfss://"}[scheme] + where} | query
     else:
         options = {"url": url} | query
     return Target(scheme, kind, options, most, log)

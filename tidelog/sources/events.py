@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import gzip
+import zlib
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.model import EVENT
+from tidelog.sources.msgpack import msgpack_text
 
 #: before and after are objects on the wire and text in the engine; from_json keeps nested values of string fields as text.
 _WIRE = T.StructType([*EVENT.fields, T.StructField("_corrupt_record", T.StringType())])
@@ -19,19 +22,36 @@ def gunzip(values: pd.Series) -> pd.Series:
     def one(x: bytes | None) -> str | None:
         try:
             return None if x is None else (gzip.decompress(x) if x[:2] == b"\x1f\x8b" else bytes(x)).decode()
-        except (OSError, EOFError, UnicodeDecodeError):
+        except (OSError, EOFError, UnicodeDecodeError, zlib.error):
+            return None
+
+    return values.map(one)
+
+
+@F.pandas_udf(T.BinaryType())
+def inflate(values: pd.Series) -> pd.Series:
+    """Bytes without gzip, if they have it; null if it is broken."""
+
+    def one(x: bytes | None) -> bytes | None:
+        try:
+            return None if x is None else gzip.decompress(x) if x[:2] == b"\x1f\x8b" else bytes(x)
+        except (OSError, EOFError, zlib.error):
             return None
 
     return values.map(one)
 
 
-def decode(messages: DataFrame, value: str = "value", compressed: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Events, and the messages that are none (with ``error``), from JSON text or bytes.
+def decode(messages: DataFrame, value: str = "value", compressed: bool = False, packed: Column | bool = False) -> tuple[DataFrame, DataFrame]:
+    """Events, and the messages that are none (with ``error``), from JSON text or bytes, or from MessagePack where ``packed`` says so (a
+    condition such as on a header's content type).
 
     A message is an event if it parses and has an operation, an id and a table. A column ``arrival`` of messages stays with
     their events.
     """
     text = gunzip(F.col(value)) if compressed else F.col(value).cast("string")
+    if packed is not False:
+        body = inflate(F.col(value)) if compressed else F.col(value)
+        text = msgpack_text(body) if packed is True else F.when(packed, msgpack_text(body)).otherwise(text)
     rows = messages.withColumn("_text", text).withColumn("_e", F.from_json("_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     bad: Column = F.col("_e").isNull() | F.col("_e._corrupt_record").isNotNull()
     for needed in ("operation", "id", "table"):

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from tidelog.functions.events import key_text, row_key
 from tidelog.model import Catalog, Schema
 from tidelog.operators.filters import after_import, guarded
 from tidelog.operators.mirror import apply_events, empty_mirror
+from tidelog.operators.redelivery import once_each, unseen
 from tidelog.operators.segments import version_starts
 from tidelog.operators.views import current
 from tidelog.sinks.files import append_log, write_dead_letters
@@ -33,7 +35,10 @@ class Delivery:
     Where a table's events move on to a later version of its model, the batch is cut: the events before are applied in the shape
     that the table had, then it gets the new one, then the rest follows. Events of an earlier version set only the columns that it
     had; unknown versions count as the one in force. A mirror has ``buckets``, of which a batch rewrites those that it touches; a new version
-    rewrites none. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time.
+    rewrites none. Mirrors follow the order of arrival (or ``order``, such as event time); views over a log follow event time. With
+    ``once``, an event that is delivered again, however late, is not logged again.
+
+    A commit also has the ``status`` so far: events, batches, time and table of the last event, and those that were given up.
     """
 
     root: str
@@ -45,13 +50,15 @@ class Delivery:
     buckets: int = 64
     sleep: Callable[[float], None] = time.sleep
     order: list[str] = field(default_factory=lambda: ["arrival"])
+    once: bool = False
 
     def ledger(self, spark: SparkSession) -> Ledger:
         return Ledger(spark, f"{self.root}/_ledger")
 
     def committed(self, spark: SparkSession) -> dict:
-        """The last commit: batch, seq (the last number given), tables (their states), dead (batches that were given up)."""
-        return {"batch": -1, "seq": 0, "tables": {}, "dead": []} | self.ledger(spark).read()[1]
+        """The last commit: batch, seq (the last number given), tables (their states), dead (batches that were given up), newest (the
+        latest time in the log), status."""
+        return {"batch": -1, "seq": 0, "tables": {}, "dead": [], "newest": None, "status": {}} | self.ledger(spark).read()[1]
 
     def mirror(self, spark: SparkSession, table: str) -> MirrorStore:
         """A mirror as of the last commit."""
@@ -67,6 +74,13 @@ class Delivery:
         commit, before = self.ledger(spark).read()[0], self.committed(spark)
         if number <= before["batch"]:
             return
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)  # else each use of it would read the source again
+        try:
+            self._deliver(spark, batch, number, commit, before)
+        finally:
+            batch.unpersist()
+
+    def _deliver(self, spark: SparkSession, batch: DataFrame, number: int, commit: int, before: dict) -> None:
         events, broken = decode(with_arrival(batch))
         events, unsafe = guarded(events)
         if self.cutoffs is not None:
@@ -86,7 +100,8 @@ class Delivery:
                     self.sleep(waits[min(attempt, len(waits) - 1)])
         if after is None:
             write_dead_letters(events, f"{dead}/of=failed", error, self.attempts, mode="overwrite")
-            after = before | {"dead": [*before["dead"], number]}
+            given_up = before["status"].get("given_up", 0) + events.count()
+            after = before | {"dead": [*before["dead"], number], "status": before["status"] | {"given_up": given_up}}
         else:  # a try of this batch in another driver may have given it up without a commit
             Folder(spark, dead).remove("of=failed")
         self.ledger(spark).commit(after | {"batch": number}, commit)
@@ -109,10 +124,18 @@ class Delivery:
         """Write what a batch changes, and return the value to commit. Events are decoded once, numbered and written; tables read
         them from there."""
         base = before["seq"]
+        if self.once and self.mode == "time_series":
+            events = once_each(events, self.order)
+            events = unseen(events, self.log(spark) if before["newest"] is not None else events, before["newest"])
         rows = numbered(events, self.order, f"{self.root}/staging", base)
+        told = rows.agg(F.count("*").alias("n"), F.max("timestamp").alias("at"), F.max_by("table", "seq").alias("table"), F.max_by("timestamp", "seq").alias("last")).first()
+        old = before["status"]
+        status = {"events": old.get("events", 0) + told["n"], "batches": old.get("batches", 0) + 1, "given_up": old.get("given_up", 0)}
+        status |= {"last_event_ms": told["last"], "last_table": told["table"]} if told["n"] else {k: old.get(k) for k in ("last_event_ms", "last_table")}
+        before = before | {"status": status}
         if self.mode == "time_series":
             append_log(rows, f"{self.root}/log/batch={number}", mode="overwrite")
-            return before | {"seq": base + rows.count()}
+            return before | {"seq": base + told["n"], "newest": max((x for x in (before["newest"], told["at"]) if x is not None), default=None)}
         known = list(self.catalog)
         table = F.lower("table")
         names = sorted(r[0] for r in rows.select(table).where(table.isin(known)).distinct().collect()) if known else []
@@ -171,13 +194,13 @@ class Delivery:
         pairs = events.select(store.bucket(key).alias("a"), store.bucket(key_text(typed)).alias("b")).distinct().collect()
         return sorted({b for pair in pairs for b in pair if b is not None})
 
-    def log(self, spark: SparkSession, table: str) -> DataFrame:
-        """The log of a table as of the last commit."""
+    def log(self, spark: SparkSession, table: str | None = None) -> DataFrame:
+        """The log of a table, or of all, as of the last commit."""
         now = self.committed(spark)
         rows = spark.read.parquet(f"{self.root}/log").where(F.col("batch") <= now["batch"])
         if now["dead"]:
             rows = rows.where(~F.col("batch").isin(now["dead"]))
-        return rows.where(F.col("table") == table).drop("table", "batch")
+        return (rows if table is None else rows.where(F.col("table") == table)).drop("table", "batch")
 
     def dead_letters(self, spark: SparkSession) -> DataFrame:
         """Dead letters as of the last commit, with the number of their batch."""
