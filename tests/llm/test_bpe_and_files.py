@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -94,17 +95,19 @@ def test_empty_table(no_docs, spark, tmp_path):
     assert manifest.count() == 0 and tokenfile.read_tokens(manifest, f"file://{tmp_path}/t").count() == 0
 
 
-def test_token_files(docs, corpus, library, tmp_path):
+def test_token_files(spark, docs, corpus, library, tmp_path):
     folder = f"file://{tmp_path}/t"
+    hashes = [r[0] for r in spark.createDataFrame([(k, x[1]) for k, x in enumerate(corpus)], "k long, text string").orderBy("k").select(F.xxhash64("text")).collect()]
+    corpus = [r for r, _ in sorted(zip(corpus, hashes), key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1], (x[0][1] or "").encode()))]
     manifest = tokenfile.write_tokens(docs, PATH, folder, length=64)
     got = sorted(map(tuple, tokenfile.read_tokens(manifest, folder).collect()), key=lambda r: r[1])
     start, want = 0, []
-    for i, text, *_ in sorted(corpus, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    for i, text, *_ in corpus:
         ids = np.array([*library.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert got == want
-    stream = np.concatenate([np.array([*library.encode(t or "", add_special_tokens=False).ids, 2]) for _, t, *_ in sorted(corpus, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))])
+    stream = np.concatenate([np.array([*library.encode(t or "", add_special_tokens=False).ids, 2]) for _, t, *_ in corpus])
     for shard, _, tokens, base in map(tuple, manifest.collect()):
         reader = tokenfile.ShardReader(folder, shard)
         rows = -(-tokens // 64)

@@ -228,8 +228,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
     """Encode all texts and write them, each with ``end_id`` after it, in ascending order of their ids.
 
     Returns the manifest: shard, docs, tokens and ``base``, the ids in all shards before it. Rows with a null id come
-    first, rows with equal ids follow each other by text, and a null or empty text is just ``end_id``. An empty table
-    makes no shard. Documents are dealt out in ranges of their id and the beginning of their text, so rows of one id may lie in
+    first, rows with equal ids follow each other by the hash of their text, then by text, and a null or empty text is just ``end_id``. An
+    empty table makes no shard. Documents are dealt out in ranges of their id and that hash, so different texts of one id may lie in
     several; ranges are sorted, and written while they are read. Very long texts are encoded whole. Further columns are
     ignored. Only one row per shard is summed up in one task.
     """
@@ -237,8 +237,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, id_col: str = "doc_id"
     small_batches(spark)
     shared = spark.sparkContext.broadcast(LibraryEncoder(path))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    # the beginning of a text orders as texts do, and is short enough for the sample that the ranges come from
-    rows = rows.repartitionByRange(F.col("id").asc_nulls_first(), F.substring("text", 1, 32).asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+    by = [F.col("id").asc_nulls_first(), F.xxhash64("text").asc()]
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, writer = shared.value, None
