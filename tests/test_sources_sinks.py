@@ -237,6 +237,17 @@ def test_schema_sources(spark, tmp_path):
         assert "T" in schemas.load_cached(cache, f, now=lambda now=now: now)
     assert len(calls) == 2
     assert schemas.reflect(spark.range(1), "r").properties["id"].type == "integer"
+    columns = spark.createDataFrame([("a", "id", "BIGINT", "NO"), ("a", "at", "timestamp with time zone", "YES"), ("B", "x", "character varying", "YES"), ("B", "y", "NUMBER(10)", "no")], "t string, c string, k string, n string")
+    found = schemas.of_columns(columns)
+    assert sorted(found) == ["a", "b"] and found["a"].properties == {"id": Property("integer"), "at": Property(format="date-time", nullable=True)}
+    assert found["b"].properties == {"x": Property(nullable=True), "y": Property("number")} and "o''brien" in schemas.columns_sql("o'brien")
+    import duckdb
+
+    db = duckdb.connect()
+    db.execute('create table "Lots" (id bigint not null, note varchar, price double, is_open boolean, made timestamp)')
+    rows = db.execute(schemas.columns_sql("main")).fetchall()
+    lots = schemas.of_columns(spark.createDataFrame(rows, "t string, c string, k string, n string"))["lots"]
+    assert {n: (p.type, p.format, p.nullable) for n, p in lots.properties.items()} == {"id": ("integer", None, False), "note": ("string", None, True), "price": ("number", None, True), "is_open": ("boolean", None, True), "made": ("string", "date-time", True)}
 
 
 def test_store(spark, tmp_path):
@@ -330,6 +341,7 @@ def test_registry_and_dialects():
     assert dialects.create_table(odd, "postgres") == 'CREATE TABLE "t" ("id" TEXT NOT NULL, "c""n" BIGINT, PRIMARY KEY ("id"))'
     assert "PRIMARY KEY" not in dialects.create_table(Schema("t", "1", {"a": Property()}), "snowflake")
     assert dialects.DIALECTS["mysql"].string("a\\'b") == "'a\\\\''b'" and dialects.DIALECTS["sqlserver"].string("x") == "N'x'"
+    assert dialects.recreate_table(odd, "mysql")[0] == "DROP TABLE IF EXISTS `t`" and dialects.recreate_table(odd, "mysql")[1].startswith("CREATE TABLE `t`")
     only_key = Schema("t", "1", {"id": Property()}, ("id",))
     assert dialects.merge(only_key, "s", "postgres")[1].endswith("DO NOTHING")
     for d in dialects.DIALECTS:
@@ -717,6 +729,30 @@ def test_write_by_url(spark, tmp_path):
             registry.write(rows, url)
 
 
+def test_statements_on_an_engine():
+    """The statements for PostgreSQL, run by an engine that understands them: create, merge twice, evolve, recreate."""
+    import duckdb
+
+    one = Schema("lots", "1", {"id": Property(), "n": Property("integer", nullable=True), "note": Property(nullable=True)}, ("id",), ("id",))
+    two = Schema("lots", "2", {"id": Property(), "n": Property("number", nullable=True), "more": Property(nullable=True)}, ("id",), ("id",))
+    db = duckdb.connect()
+    for _ in range(2):
+        for sql in dialects.recreate_table(one, "postgres"):
+            db.execute(sql)
+    db.execute("create table stage as select * from (values ('a', 1, 'x', false), ('b', 2, 'y', false)) v(id, n, note, _deleted)")
+    for _ in range(2):
+        for sql in dialects.merge(one, "stage", "postgres"):
+            db.execute(sql)
+    db.execute("create or replace table stage as select * from (values ('a', 9, null, false), ('b', null, null, true), ('c', 3, 'z', false)) v(id, n, note, _deleted)")
+    for sql in dialects.merge(one, "stage", "postgres"):
+        db.execute(sql)
+    assert db.execute("select id, n, note from lots order by id").fetchall() == [("a", 9, None), ("c", 3, "z")]
+    change = evolve.diff(one, two)
+    for sql in [*dialects.add_columns(two, change["added"], "postgres"), *dialects.change_columns(two, change["changed"], "postgres"), *dialects.drop_columns("lots", change["removed"], "postgres")]:
+        db.execute(sql)
+    assert db.execute("select id, n, more from lots order by id").fetchall() == [("a", 9.0, None), ("c", 3.0, None)]
+
+
 def test_upsert_into_a_database(spark):
     two = Schema("t", "1", {"a": Property(), "b": Property("integer"), "v": Property(nullable=True)}, ("a", "b"))
     e = [(1, "insert", ["1"], '{"a":"x","b":1,"v":"old"}'), (2, "update", ["1"], '{"a":"x","b":1,"v":"new"}'), (3, "insert", ["2"], '{"a":"x","b":2}'), (4, "delete", ["", "x", "2"], None), (5, "delete", ["", "y", "3"], None)]

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidelog.functions import events as fe
 from tidelog.functions.hashing import broker_partition, xxhash32
 from tidelog.model import Property, Schema
-from tidelog.operators import cooldown, evolve, filters, metrics, mirror, segments, views
+from tidelog.operators import cooldown, evolve, filters, metrics, mirror, redelivery, segments, views
 from tidelog.plans import cdc
 from tidelog.scratch import scratch_folder
 from tidelog.sinks import brokers
@@ -335,6 +335,28 @@ def export_lines(spark, sf_dir):
     return e.select("operation", fe.entity_id().alias("entity"), F.col("locationId").alias("company"), fe.json_field("after", "name").alias("name"), "timestamp", F.col("mvccTimestamp").alias("mvcc"), F.col("modelVersion").alias("version"))
 
 
+@query("""select c_custkey, c_custkey % 2 = 0 as own_id, case when c_custkey % 2 = 0 then cast(c_custkey as varchar) else sha256('{"id":' || c_custkey || '}') end as id,
+       cast(5 as bigint) as timestamp from customer""", False)
+def broker_import_rows(spark, sf_dir):
+    """Rows as a broker's import sends them; half of them have ids that are no strings."""
+    c = cdc.load(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    row = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit('{"id":"'), key, F.lit('"}'))).otherwise(F.concat(F.lit('{"id":'), key, F.lit("}")))
+    e = snapshots.broker_events(c.select(row.alias("value"), F.lit("f").alias("file_name"), F.lit("customers").alias("table"), F.lit(0).cast("long").alias("file_us")), F.lit(5).cast("long"))
+    return e.select(fe.json_field("after", "id").cast("long").alias("c_custkey"), (F.length("id") < 64).alias("own_id"), "id", "timestamp")
+
+
+@query("select id, ms from ev where seq % 4 = 0")
+def redelivered_once(spark, sf_dir):
+    """New events, some of them twice, among repeats of a third of what is in the log; each new one comes out once."""
+    e = cdc.events(spark, sf_dir)
+    old, new = e.where("seq % 4 <> 0"), e.where("seq % 4 = 0")
+    log = old.select(F.col("id").alias("_event_id"), F.col("timestamp").alias("_timestamp"))
+    batch = new.unionByName(new.where("seq % 8 = 0")).unionByName(old.where("seq % 3 = 0"))
+    newest = log.agg(F.max("_timestamp")).first()[0]
+    return redelivery.unseen(redelivery.once_each(batch, ["timestamp"]), log, newest).select("id", F.col("timestamp").alias("ms"))
+
+
 @query("select o_orderkey from orders where o_orderstatus in ('F', 'P')", False)
 def files_of_known_tables(spark, sf_dir):
     """Export files of tables that a catalog knows; those of the others are passed over."""

@@ -55,6 +55,11 @@ def create_table(schema: Schema, dialect: str) -> str:
     return f"CREATE TABLE {d.identifier(schema.table)} ({', '.join(lines)})"
 
 
+def recreate_table(schema: Schema, dialect: str) -> list[str]:
+    """Statements that drop a table, if it is there, and make it anew."""
+    return [f"DROP TABLE IF EXISTS {DIALECTS[dialect].identifier(schema.table)}", create_table(schema, dialect)]
+
+
 def add_columns(schema: Schema, names: list[str], dialect: str) -> list[str]:
     d = DIALECTS[dialect]
     word = "ADD" if d.name == "sqlserver" else "ADD COLUMN"

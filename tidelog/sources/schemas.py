@@ -53,3 +53,24 @@ def reflect(df: DataFrame, table: str) -> Schema:
 
 def tables(spark: SparkSession, database: str | None = None) -> list[str]:
     return [t.name for t in spark.catalog.listTables(database)]
+
+
+#: Names of column types in databases, as JSON Schema has them; others are strings.
+_DATABASE = {"bigint": "integer", "integer": "integer", "int": "integer", "smallint": "integer", "number": "number", "double": "number", "double precision": "number", "float": "number", "real": "number", "boolean": "boolean", "bit": "boolean", "bool": "boolean"}
+
+
+def columns_sql(schema: str | None = None) -> str:
+    """A query for what ``of_columns`` takes, for databases with an information_schema; of the current schema, or a named one."""
+    where = "table_schema = " + ("current_schema" if schema is None else "'" + schema.replace("'", "''") + "'")
+    return f"SELECT table_name, column_name, data_type, is_nullable FROM information_schema.columns WHERE {where}"
+
+
+def of_columns(columns: DataFrame) -> Catalog:
+    """Schemas of a database's tables, from rows of table, column, type and whether it may be null (YES or NO), as by ``columns_sql``
+    through Spark's JDBC source. A row per column comes to the driver."""
+    found: dict[str, dict[str, Property]] = {}
+    for table, column, kind, nullable in columns.collect():
+        kind = kind.lower()
+        time = kind.startswith("timestamp") or kind == "datetime"
+        found.setdefault(table, {})[column] = Property(_DATABASE.get(kind.partition("(")[0].strip(), "string"), "date-time" if time else None, nullable.upper() == "YES")
+    return Catalog([Schema(t, "0", columns) for t, columns in sorted(found.items())])

@@ -72,6 +72,17 @@ def line_events(lines: DataFrame, versions: dict[str, str] | None = None) -> Dat
     )
 
 
+def broker_events(lines: DataFrame, at: Column | None = None) -> DataFrame:
+    """Lines as a broker's import sends them: the event's id and key are the row's id if that is a JSON string, else the hash of the
+    line (so a repeat is the same event), and its time is that of sending, or ``at`` in milliseconds. Lines that are no JSON
+    objects are left out."""
+    time = F.unix_millis(F.current_timestamp()) if at is None else at
+    events, value = line_events(lines), F.col("after")
+    is_text = F.schema_of_variant(F.variant_get(F.try_parse_json(value), "$.id", "variant")) == "STRING"
+    own = F.coalesce(F.when(is_text, json_field(value, "id")), F.sha2(value, 256))
+    return events.withColumns({"id": own, "key": F.array(own), "timestamp": time, "mvccTimestamp": F.lit(None).cast("string")})
+
+
 def import_events(spark: SparkSession, path: str, known: list[str], only: list[str] | None = None, completed: DataFrame | None = None, versions: dict[str, str] | None = None, source: bool = True) -> DataFrame:
     """Events of an export: of known tables, of the listed ones if a list is given, without files already completed. Read by the data
     source of ``exports``, or, for stores that only Spark reaches, by Spark's reader (source=False)."""
