@@ -269,8 +269,8 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", decode: boo
 
     Adds ``n_tokens``, ``ids`` (unsigned 32-bit little-endian integers as binary) and, if asked for, ``decoded``,
     the text that the ids stand for; columns of docs with these names are replaced. A null or empty text has no
-    ids and decodes to an empty text; repeated rows are encoded alike; very long texts are encoded whole. ``path`` is a vocabulary file on the driver; it is broadcast (a few MB,
-    whatever the table). One pass without a shuffle; chunks bound the memory of a task.
+    ids and decodes to an empty text; repeated rows are encoded alike; very long texts are encoded whole; an empty table gives
+    an empty one; other columns stay. ``path`` is a vocabulary file on the driver; it is broadcast (a few MB, whatever the table). One pass without a shuffle; chunks bound the memory of a task.
     """
     small_batches(docs.sparkSession)
     docs = docs.drop("n_tokens", "ids", "decoded")
@@ -296,7 +296,11 @@ def encode_texts(docs: DataFrame, path: str, text_col: str = "text", decode: boo
 
 
 def decode_ids(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """Every row with ``decoded``, the text of its ids (as encode_texts makes them; null as none)."""
+    """Every row with ``decoded``, the text of its ids (as encode_texts makes them).
+
+    Null and no ids are an empty text; repeated rows are decoded alike, very long ones whole; an empty table gives an empty one. A column
+    ``decoded`` is replaced, others stay.
+    """
     rows = rows.drop("decoded")
     shared = rows.sparkSession.sparkContext.broadcast(Vocabulary(path))
     at = rows.columns.index(ids_col)

@@ -457,8 +457,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     have an empty set and link with nothing. Returns one row per input row: the id, ``n_shingles``,
     ``set_id`` (equal for equal sets, null for empty ones) and ``component_id``, the smallest id of all rows
     it is linked with, directly or not, itself included. Rows with a null id take part; they only get a null
-    ``component_id`` if all of their component have. Repeated rows are linked copies. Further columns of
-    docs are ignored, an empty table gives an empty result.
+    ``component_id`` if all of their component have. Repeated rows are linked copies, very long texts are
+    taken whole. Further columns of docs are ignored, an empty table gives an empty result.
     """
     spark = docs.sparkSession
     small_batches(spark)

@@ -20,8 +20,8 @@ from tidelog.llm.substring import remove_repeats
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep, with cutoffs from the labels of sf_dir.
 
-    Null and short texts fail the base rules and go; repeated rows are judged alike; other columns, whatever their names,
-    stay as they are.
+    Null and short texts fail the base rules and go; repeated rows are judged alike; very long texts are measured whole; an empty
+    table stays empty; other columns, whatever their names, stay as they are.
     """
     mine = [c for c in docs.columns if c not in ("doc_id", "lang", "text")]
     (row,) = unused(docs.select("doc_id", "lang", "text"), "row")
@@ -34,7 +34,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near-duplicates (0.8 of their five-word shingles), the document with the smallest id.
 
     Rows that share that id are told apart by their text, of which one stays. Rows without an id stay: no other stage
-    could name them. So do null and blank texts, which are near nothing. Other columns, whatever their names, stay.
+    could name them. So do null and blank texts, which are near nothing. Very long texts are compared whole; an empty table stays
+    empty. Other columns, whatever their names, stay.
     """
     release(spark)
     found = jaccard_join(docs.select("doc_id", "text"), shingle=5, num=80, den=100).where("doc_id = component_id")
@@ -47,8 +48,8 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words of repeated 35-word windows; those left without a word go. Texts that lose nothing
-    stay as they are, null and blank ones too. Repeated rows lose all that is long enough. Other columns, whatever their names,
-    stay."""
+    stay as they are, null and blank ones too. Repeated rows lose all that is long enough. Very long texts are cut like
+    others; an empty table stays empty. Other columns, whatever their names, stay."""
     release(spark)
     own = dict(zip(("n_words", "n_removed", "kept_text"), unused(docs, "words", "removed", "kept"), strict=True))
     (row,) = unused(docs.select("text"), "row")
@@ -64,7 +65,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: words taken by size, rounded. A document cut by the end of its source's
-    share is whole or absent, one without words is absent.
+    share is whole or absent, one without words (null, blank) is absent. Very long documents are like others; an empty table stays empty.
 
     Rows alike in id, source and size share a key. Mostly all rows of a key are taken equally often; where a source's share
     ends among them, some are taken once more, which are those that come first in the parts that docs is read in. Other columns,
@@ -94,7 +95,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (32-bit little-endian), with their number, their digest and that of the text that they decode to.
-    A null or empty text has none. Other columns are left out."""
+    A null or empty text has none; repeated rows are encoded alike, very long texts whole; an empty table gives an empty one. Other columns are
+    left out."""
     import public_tokenizers
 
     rows = encode_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("word_bpe_49k.json"))

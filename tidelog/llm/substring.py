@@ -256,8 +256,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = 35) ->
     or another, is removed. All occurrences go, the first included; windows are judged on the input.
     Returns the columns of docs and ``n_words``, ``n_removed`` and ``kept_text``, the words that stay, joined
     by one space; columns of docs with these names are replaced. A null text has no words and keeps an empty
-    text; rows with fewer words than the width lose nothing; repeated rows remove each other's windows.
-    ``width`` is at least SHORTEST.
+    text; rows with fewer words than the width lose nothing; repeated rows remove each other's windows; very
+    long texts are worked on whole; an empty table gives an empty one. Other columns stay. ``width`` is at least SHORTEST.
     """
     if width < SHORTEST:
         raise ValueError(f"width must be {SHORTEST} or more")

@@ -43,7 +43,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     longer host, then block before allow. Without a fitting rule the verdict is ``default``.
     Returns one row per input row, repeated rows included: the id, ``host``, ``path``, ``rule`` (host and path of
     the rule, else null) and ``verdict``. A null URL or one without ``://`` has an empty host and path and fits no
-    rule. Rules with a null in them fit nothing. Other columns of pages are ignored.
+    rule. Rules with a null in them fit nothing. Very long URLs are judged whole; an empty table of pages gives an empty one,
+    one of rules the default. Other columns of pages are ignored.
 
     Rows are grouped by id and URL once; with few rules (BROADCAST_RULES at most, counted) they are broadcast
     and all else happens within that partitioning. With more, expressions of a host that very many URLs share
