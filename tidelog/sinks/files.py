@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.events import dead_letter, log_row
+from tidelog.sources.exports import opened
 from tidelog.sources.folders import listing
 
 
@@ -42,15 +43,13 @@ def copy_files(spark: SparkSession, source: str, target: str, glob: str = "*") -
         import pyarrow as pa
         from pyarrow import fs as pafs
 
-        to, root = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+        (here, _), (to, root) = opened(source), opened(target)
         to.create_dir(root, recursive=True)
         for batch in batches:
             names = []
             for path in batch.column(0).to_pylist():
-                where = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
-                name = where.rpartition("/")[2]
-                pafs.copy_files(where, f"{root}/{name}", destination_filesystem=to)
-                names.append(name)
+                names.append(path.rpartition("/")[2])
+                pafs.copy_files(path.partition("://")[2], f"{root}/{names[-1]}", source_filesystem=here, destination_filesystem=to)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), batch.column(1)], ["file_name", "length"])
 
     return files.mapInArrow(copy, "file_name string, length long")
