@@ -7,7 +7,7 @@ from tidelog.llm.shared import keep, shared_folder
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 

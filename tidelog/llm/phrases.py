@@ -138,11 +138,16 @@ def _read(buckets: int):
         def block(lang: str) -> Iterator[pa.RecordBatch]:
             nonlocal number
             del sizes[lang]
-            words = pa.array(b".".join(held.pop(lang)).replace(b".", b" . ").split(), pa.binary()).dictionary_encode()
-            seq, names = words.indices.to_numpy(), words.dictionary.to_pylist()
+            text = b".".join(held.pop(lang)).replace(b".", b" . ").strip()
+            if not text:
+                return
+            # split by Arrow: as objects of their own the words would take twenty times their text
+            words = pc.ascii_split_whitespace(pa.array([text], pa.large_string())).flatten().dictionary_encode()
+            del text
+            seq, names = words.indices.to_numpy(), words.dictionary.cast(pa.large_binary()).to_pylist()
             n = np.bincount(seq, minlength=len(names))
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in names), np.int64, len(names))
-            stop = words.dictionary.index(b".").as_py()
+            stop = words.dictionary.index(".").as_py()
             if stop >= 0:
                 bucket[stop] = buckets  # the last of all, which is no item
             by_word = pc.sort_indices(words.dictionary).to_numpy()
@@ -200,7 +205,7 @@ class _Group:
     def names(self, lang: str | None, first: int) -> tuple[int, Iterator[pa.RecordBatch]]:
         """How many items are frequent, and the rows that name them and that answer."""
         if self.words:
-            whole = pa.array(b" ".join(self.items).split(b" "), pa.binary()).dictionary_encode()
+            whole = pc.split_pattern(pa.array([b" ".join(self.items)], pa.large_string()), " ").flatten().dictionary_encode()
             m, of, keys = len(whole.dictionary), whole.indices.to_numpy(), whole.dictionary
         else:
             left, right = (np.concatenate([x[k] for x in self.items]) for k in range(2))
