@@ -600,6 +600,7 @@ def test_heartbeat_of_a_running_delivery(spark, tmp_path):
     inbox = str(tmp_path / "in")
     for k in range(2):
         send(inbox, f"{k}.json", *[change(10 * k + j, "insert", f"k{j}", {"id": f"k{j}"}) for j in range(3)])
+        os.utime(os.path.join(inbox, f"{k}.json"), (1000 + k, 1000 + k))
     d = Delivery(str(tmp_path / "out"), Catalog([ORDERS]))
     beat = monitor.Heartbeat(spark, str(tmp_path / "beat"), 0, lambda: d.committed(spark))
     spark.streams.addListener(beat)
