@@ -1,4 +1,5 @@
 import gzip
+import io
 import json
 import os
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tidelog.model import Catalog, Property, Schema
 from tidelog.operators import cooldown, evolve, filters, metrics, redelivery, segments
 from tidelog.operators.mirror import empty_mirror
+from tidelog.plans import queries
 from tidelog.sinks import databases, dialects, files, objects, registry
 from tidelog.sinks.store import Buckets, Folder, KeyValues, Ledger, MirrorStore
 from tidelog.sources import events as se
@@ -104,6 +106,72 @@ def test_export_splits(spark, tmp_path):
     assert listing(spark, str(tmp_path), "*.ndjson").count() == 2 and listing(spark, str(tmp_path)).count() == 7
 
 
+class Counted(io.BytesIO):
+    """Bytes as a file that counts what is read."""
+
+    n = 0
+
+    def read(self, size=-1):
+        data = super().read(size)
+        self.n += len(data)
+        return data
+
+
+def test_small_splits_share_tasks(tmp_path):
+    """Tasks follow the bytes of files, not the number of splits or files; a range that tasks share has each line once."""
+    text = [f"{k} {'x' * (k % 60)}" for k in range(250_000)]
+    name = f"{STAMP}-n-0-big-0.ndjson"
+    (tmp_path / name).write_text("\n".join(text))
+    reader = exports.ExportReader(str(tmp_path), 2000)
+    parts = reader.partitions()
+    assert len(parts) == -(-(tmp_path / name).stat().st_size // 4_194_000) == 3  # whole splits of 4 MB
+    got = [row for p in parts for b in reader.read(p) for row in zip(*(b.column(c).to_pylist() for c in ("block", "line", "value")), strict=True)]
+    assert [v for _, _, v in got] == text and [g[:2] for g in got] == sorted({g[:2] for g in got}) and all(b % 2000 == 0 for b, _, _ in got)
+    for k in range(40):
+        put(str(tmp_path), f"{STAMP}-n-{k}-small-0.ndjson", [{"id": "1"}])
+    reader.filters = [exports.EqualTo(("table",), "small")]
+    parts = reader.partitions()
+    assert len(parts) == 3 and sum(b.num_rows for p in parts for b in reader.read(p)) == 40
+    for split, sizes in ((2000, [4, 4, 1]), (3 << 20, [3, 3, 3]), (64 << 20, [9])):  # the larger of a task's size and a split
+        reader = exports.ExportReader(str(tmp_path), split)
+        reader.filters = [exports.EqualTo(("table",), "big")]
+        assert [round(sum(r.end - r.start for r in p.ranges) / 1e6) for p in reader.partitions()] == sizes
+
+
+@pytest.mark.parametrize("name, data, times", [
+    ("t.ndjson", b"".join(b"%d\n" % k for k in range(100_000)), 12),
+    ("t.ndjson", b"x" * 600_000 + b"\n", 3),  # splits within a line
+    ("t.ndjson.gz", b"".join(gzip.compress(b"%d\n" % k * 50) for k in range(5_000)), 60),
+])
+def test_small_splits_read_little_beyond_them(name, data, times):
+    raw, found = Counted(data), []
+    for at in range(0, len(data), 2000):
+        split = exports.Split(name, name, "t", 0, at, min(at + 2000, len(data)), len(data))
+        found += exports.lines(exports.pieces(raw, split), at == 0)
+    assert found == (gzip.decompress(data) if name.endswith("gz") else data).split(b"\n")[:-1]
+    assert raw.n < times * len(data)
+
+
+def test_export_of_orders(spark, tmp_path):
+    """Files have their rows in order, whole, whatever batches their writer gets them in."""
+    spark.range(3001).selectExpr("id * 7919 % 3001 as o_orderkey", "id as o_custkey", "if(id % 3 = 0, 'F', 'O') as o_orderstatus").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 70)
+    try:
+        folder = queries._export(spark, str(tmp_path)).removeprefix("file://")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for key, cust in sorted((k * 7919 % 3001, k) for k in range(3001)):
+        want.setdefault(f"orders_{'o' if cust % 3 else 'f'}-{key % 4}", []).append(json.dumps({"id": str(key), "cust": cust}, separators=(",", ":")))
+    made = {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith((".ndjson", ".gz"))}
+    for path in made:
+        raw = open(path, "rb").read()
+        key = "-".join(path.rpartition("/")[2].split(".")[0].split("-")[-2:])
+        assert (gzip.decompress(raw) if path.endswith("gz") else raw).decode().split("\n") == [*want.pop(key), ""]
+        assert path.endswith("gz") == (key[-1] in "02") and (f"/more/{key[-1]}/" in path) == (key[-1] in "23")
+    assert not want
+
+
 def test_torn_gzip_is_an_error(spark, tmp_path):
     (tmp_path / f"{STAMP}-n-0-t-0.ndjson.gz").write_bytes(members(["abc" * 50] * 90, 500, torn=True))
     for split in (1 << 20, 300):

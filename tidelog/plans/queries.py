@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import dataclasses
 import gzip
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import batched, groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -367,24 +369,27 @@ def files_of_known_tables(spark, sf_dir):
 
 def _export(spark, sf_dir, gz: bool = True) -> str:
     """An export of the orders in a folder that is shared: a table per status, files named by their number, some below others, gzip files
-    of many members."""
+    of many members. A file has one writer, which gets its rows in order and holds a batch of them."""
     folder = scratch_folder(spark, "export")
     o = cdc.load(spark, sf_dir, "orders").select(F.concat(F.lit("orders_"), F.lower("o_orderstatus")).alias("table"), (F.col("o_orderkey") % 4).alias("part"), "o_orderkey", F.to_json(F.struct(F.col("o_orderkey").cast("string").alias("id"), F.col("o_custkey").alias("cust"))).alias("line"))
 
-    def write(rows: pa.Table) -> pa.Table:
-        table, part = rows.column("table")[0].as_py(), rows.column("part")[0].as_py()
-        lines = [x.encode() + b"\n" for _, x in sorted(zip(rows.column("o_orderkey").to_pylist(), rows.column("line").to_pylist(), strict=True))]
-        packed = gz and part % 2 == 0
-        data = b"".join(gzip.compress(b"".join(lines[k : k + 50]), 1) for k in range(0, len(lines), 50)) if packed else b"".join(lines)
-        name = f"2024020{1 + part}000000{'0' * 19}-n1-0-{table}-{part}.ndjson" + ".gz" * packed
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = opened(folder)
-        root += f"/more/{part}" if part > 1 else ""
-        fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{name}", compression=None) as out:  # a name with .gz is compressed otherwise
-            out.write(data)
-        return pa.table({"n": pa.array([len(lines)], pa.int64())})
-
-    o.groupBy("table", "part").applyInArrow(write, "n long").agg(F.sum("n")).collect()
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for (table, part), own in groupby(rows, itemgetter(0, 1)):
+            packed, n = gz and part % 2 == 0, 0
+            name = f"2024020{1 + part}000000{'0' * 19}-n1-0-{table}-{part}.ndjson" + ".gz" * packed
+            path = root + (f"/more/{part}" if part > 1 else "")
+            fs.create_dir(path, recursive=True)
+            with fs.open_output_stream(f"{path}/{name}", compression=None, buffer_size=1 << 20) as out:  # a name with .gz is compressed otherwise
+                for lines in batched(own, 50 if packed else 5000):
+                    data = b"".join(line.encode() + b"\n" for _, _, line in lines)
+                    out.write(gzip.compress(data, 1) if packed else data)
+                    n += len(lines)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    ordered = o.repartition("table", "part").sortWithinPartitions("table", "part", "o_orderkey", "line").select("table", "part", "line")
+    ordered.mapInArrow(write, "n long").agg(F.sum("n")).collect()
     return folder
 
 

@@ -4,15 +4,17 @@ Files are found by their names, and filters on table, file_us and file_name choo
 never opened. Large files are read in splits, gzip files too, where they consist of several members (as made by appending, by
 block compression, or by compressing in parallel): a split reads the members that begin in its range of bytes. It finds the first
 by its magic bytes and proves it by decompressing it up to its checksum; from there on members follow each other. As with plain
-files, a line belongs to the split in which it begins, wherever it ends. A file of one member is one task's.
+files, a line belongs to the split in which it begins, wherever it ends. A file of one member is one task's. A task reads several
+splits, of small files too, so that their number says how finely files are cut but not how many tasks there are.
 """
 
 from __future__ import annotations
 
+import io
 import re
 import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -38,9 +40,11 @@ from pyspark.sql.datasource import (
 _NAME = re.compile(r"(\d{33})-[^-]+-\d+-(.+)-[^-]+\.ndjson(?:\.gz)?")
 #: The beginning of a gzip member.
 _MAGIC = b"\x1f\x8b\x08"
-#: Bytes that are read, and made, at a time; lines of a batch.
-_BLOCK, _MADE, _LINES = 1 << 20, 4 << 20, 1 << 13
+#: Bytes that are read from a file, and taken of a gzip member or after a split, and made, at a time; lines of a batch.
+_BLOCK, _SOME, _MADE, _LINES = 1 << 20, 1 << 14, 4 << 20, 1 << 13
 SPLIT_BYTES = 64 << 20
+#: Bytes of a task, if splits are smaller; the number of tasks from which on they get more, up to SPLIT_BYTES; bytes that a file counts as at least.
+_TASK, _TASKS, _FILE = 4 << 20, 1000, 1 << 18
 SCHEMA = "file_name string, table string, file_us long, block long, line long, value string"
 _COLUMNS = ["file_name", "table", "file_us", "block", "line", "value"]
 
@@ -67,7 +71,7 @@ def parsed(name: str) -> tuple[str, int | None] | None:
 
 
 @dataclass
-class Split(InputPartition):
+class Split:
     path: str
     name: str
     table: str
@@ -76,30 +80,53 @@ class Split(InputPartition):
     end: int
     size: int
 
-    def __init__(self, path, name, table, file_us, start, end, size):
+
+class Task(InputPartition):
+    """What a task reads: ranges of files, each of whole splits that follow each other."""
+
+    def __init__(self, ranges: list[Split]):
         super().__init__(None)
-        self.path, self.name, self.table, self.file_us, self.start, self.end, self.size = path, name, table, file_us, start, end, size
+        self.ranges = ranges
+
+
+def tasks(files: Iterable[Split], split: int) -> list[Task]:
+    """Files dealt to tasks in their order. A task has several splits up to some size, or one that is larger; the driver holds ranges, not splits."""
+    files = list(files)
+    most = min(SPLIT_BYTES, max(_TASK, sum(f.size for f in files) // _TASKS))
+    out, room = [], 0
+    for f in files:
+        at = 0
+        while at < f.size:
+            step = f.size - at if f.size - at <= room else room // split * split
+            if step <= 0:
+                out.append(Task([]))
+                room = most
+                step = min(f.size - at, max(split, most // split * split))
+            out[-1].ranges.append(replace(f, start=at, end=at + step))
+            room -= max(step, _FILE)
+            at += step
+    return out
 
 
 def inflated(raw, at: int, size: int) -> Iterator[tuple[int, bytes]]:
     """What members from one on hold, piece by piece, with the place where the piece's member begins. A torn member or anything but
     zeros after one is an error, as for gzip."""
+    raw.seek(at)
+    data = b""
     while at < size:
-        raw.seek(at)
-        member, data = zlib.decompressobj(31), b""
+        member = zlib.decompressobj(31)
         while not member.eof:
-            data = data or raw.read(_BLOCK)
+            data = data or raw.read(_SOME)
             if not data:
                 raise EOFError(f"the gzip member at {at} is torn")
             out = member.decompress(data, _MADE)
             data = member.unconsumed_tail
             if out:
                 yield at, out
-        at = raw.tell() - len(member.unused_data)
-        raw.seek(at)
-        while (zeros := raw.read(_BLOCK)) and not zeros.strip(b"\0"):
-            at += len(zeros)
-        at += len(zeros) - len(zeros.lstrip(b"\0"))
+        data = member.unused_data.lstrip(b"\0")
+        while not data and (more := raw.read(_SOME)):
+            data = more.lstrip(b"\0")
+        at = raw.tell() - len(data)
 
 
 def first_member(raw, start: int, end: int, size: int) -> int | None:
@@ -125,7 +152,7 @@ def _is_member(raw, at: int) -> bool:
     member, data = zlib.decompressobj(31), b""
     try:
         while not member.eof:
-            data = data or raw.read(_BLOCK)
+            data = data or raw.read(_SOME)
             if not data:
                 return False
             member.decompress(data, _MADE)
@@ -136,17 +163,18 @@ def _is_member(raw, at: int) -> bool:
 
 
 def pieces(raw, split: Split) -> Iterator[tuple[bytes, bool]]:
-    """The bytes of a split and of what follows it, each with whether it lies after the split."""
+    """The bytes of a split and of what follows it, each with whether it lies after the split. A plain file's split in which no line
+    begins is not read further."""
     if not split.name.endswith(".gz"):
-        at = split.start
+        at, begun = split.start, split.start == 0
         raw.seek(at)
-        while at < split.size:
-            stop = split.end if at < split.end else split.size
-            data = raw.read(min(_BLOCK, stop - at))
+        while at < split.size and (at < split.end or begun):
+            data = raw.read(min(_BLOCK, split.end - at) if at < split.end else _SOME)
             if not data:
                 return
             yield data, at >= split.end
             at += len(data)
+            begun = begun or b"\n" in data
         return
     at = 0 if split.start == 0 else first_member(raw, split.start, split.end, split.size)
     if at is not None:
@@ -213,40 +241,40 @@ class ExportReader(DataSourceReader):
                 return False
         return True
 
-    def partitions(self) -> list[Split]:
-        """Splits of the files whose names are chosen; an empty file has none."""
+    def partitions(self) -> list[Task]:
+        """Tasks for the files whose names are chosen; an empty file is in none."""
         fs, root = opened(self.folder)
-        out = []
+        files = []
         for info in fs.get_file_info(pafs.FileSelector(root, recursive=True)):
             said = parsed(info.base_name) if info.is_file else None
             if said and info.size and self._chosen({"file_name": info.base_name, "table": said[0], "file_us": said[1]}):
-                out += [Split(info.path, info.base_name, *said, at, min(at + self.split, info.size), info.size) for at in range(0, info.size, self.split)]
-        return sorted(out, key=lambda s: (s.path, s.start)) or [Split("", "", "", None, 0, 0, 0)]
+                files.append(Split(info.path, info.base_name, *said, 0, info.size, info.size))
+        return tasks(sorted(files, key=lambda f: f.path), self.split) or [Task([])]
 
-    def read(self, partition: Split) -> Iterator[pa.RecordBatch]:
-        if not partition.size:
-            return
+    def read(self, partition: Task) -> Iterator[pa.RecordBatch]:
         fs, _ = opened(self.folder)
-        held, n = [], 0
-        with fs.open_input_file(partition.path) as raw:
-            for line in lines(pieces(raw, partition), partition.start == 0):
-                held.append((n, line.removesuffix(b"\r").decode("utf-8", "replace")))
-                n += 1
-                if len(held) == _LINES:
-                    yield self._batch(partition, held)
-                    held = []
-        if held:
-            yield self._batch(partition, held)
+        for part in partition.ranges:
+            held = []
+            with io.BufferedReader(fs.open_input_file(part.path), _BLOCK) as raw:
+                for at in range(part.start, part.end, self.split):
+                    split = replace(part, start=at, end=min(at + self.split, part.end))
+                    for n, line in enumerate(lines(pieces(raw, split), at == 0)):
+                        held.append((at, n, line.removesuffix(b"\r").decode("utf-8", "replace")))
+                        if len(held) == _LINES:
+                            yield self._batch(part, held)
+                            held = []
+            if held:
+                yield self._batch(part, held)
 
     @staticmethod
-    def _batch(split: Split, held: list[tuple[int, str]]) -> pa.RecordBatch:
-        k = len(held)
-        same = [pa.array([x] * k, t) for x, t in ((split.name, pa.string()), (split.table, pa.string()), (split.file_us, pa.int64()), (split.start, pa.int64()))]
-        return pa.RecordBatch.from_arrays([*same, pa.array([n for n, _ in held], pa.int64()), pa.array([v for _, v in held], pa.string())], _COLUMNS)
+    def _batch(part: Split, held: list[tuple[int, int, str]]) -> pa.RecordBatch:
+        same = [pa.repeat(pa.scalar(x, t), len(held)) for x, t in ((part.name, pa.string()), (part.table, pa.string()), (part.file_us, pa.int64()))]
+        own = [pa.array([x[k] for x in held], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))]
+        return pa.RecordBatch.from_arrays([*same, *own], _COLUMNS)
 
 
 class ExportSource(DataSource):
-    """Options: path, and splitBytes, the bytes of a file that one task reads."""
+    """Options: path, and splitBytes, the bytes of a file's splits, of which a task reads one or more."""
 
     @classmethod
     def name(cls) -> str:
